@@ -1,0 +1,11 @@
+"""Independent DuckDB SQL oracles for every registered query."""
+
+from __future__ import annotations
+
+
+def all_sql() -> dict[str, str]:
+    from oracle import catalog_sql, operators_sql
+    from oracle.star_sql import star_query
+    out = {k: star_query(t, b) for k, (t, b) in catalog_sql.SQL.items()}
+    out.update(operators_sql.SQL)
+    return out

@@ -458,4 +458,8 @@ def with_star(tables: list[str] | tuple[str, ...]) -> str:
 
 
 def star_query(tables: list[str] | tuple[str, ...], body: str) -> str:
-    return with_star(tables) + body
+    head = with_star(tables)
+    stripped = body.lstrip()
+    if stripped[:4].upper() == "WITH":
+        return head.rstrip() + ",\n" + stripped[4:].lstrip()
+    return head + body
