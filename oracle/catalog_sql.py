@@ -322,3 +322,253 @@ FROM (SELECT sum(ss_ext_sales_price) AS promotions
         AND ca_address_sk = c_current_addr_sk AND ss_item_sk = i_item_sk
         AND ca_gmt_offset = -5 AND i_category = 'ring' AND s_gmt_offset = -5
         AND d_year = 1998 AND d_moy BETWEEN 1 AND 12) all_sales""")
+
+_SH = ["sun", "mon", "tue", "wed", "thu", "fri", "sat"]
+
+
+def _wk_pivot(amount):
+    return ", ".join(f"CAST(sum(CASE WHEN d_day_name = '{d}' THEN {amount} END) AS DOUBLE) AS {s}_sales"
+                     for d, s in zip(_DAYS, _SH))
+
+
+q("q02", "web_sales catalog_sales date_dim", f"""
+WITH wscs AS (
+  SELECT ws_sold_date_sk AS sold_date_sk, ws_ext_sales_price AS sales_price FROM web_sales
+  UNION ALL SELECT cs_sold_date_sk, cs_ext_sales_price FROM catalog_sales),
+wswscs AS (SELECT d_week_seq, {_wk_pivot('sales_price')} FROM wscs, date_dim
+           WHERE d_date_sk = sold_date_sk GROUP BY d_week_seq)
+SELECT d_week_seq1,
+  {", ".join(f"round(CASE WHEN {s}_sales2 <> 0 THEN {s}_sales1 / {s}_sales2 END, 2) AS r_{s}" for s in _SH)}
+FROM (SELECT wswscs.d_week_seq AS d_week_seq1, {", ".join(f"{s}_sales AS {s}_sales1" for s in _SH)}
+      FROM wswscs, date_dim WHERE date_dim.d_week_seq = wswscs.d_week_seq AND d_year = 2001) y,
+     (SELECT wswscs.d_week_seq AS d_week_seq2, {", ".join(f"{s}_sales AS {s}_sales2" for s in _SH)}
+      FROM wswscs, date_dim WHERE date_dim.d_week_seq = wswscs.d_week_seq AND d_year = 2002) z
+WHERE d_week_seq1 = d_week_seq2 - 53
+ORDER BY d_week_seq1""")
+
+
+def _year_total_branch(fact, p, cust, expr, tag):
+    return f"""SELECT c_customer_id AS customer_id, c_first_name AS customer_first_name,
+         c_last_name AS customer_last_name, c_preferred_cust_flag AS customer_preferred_cust_flag,
+         c_birth_country, c_login, c_email_address, d_year AS dyear,
+         CAST(sum({expr.format(p=p)}) AS DOUBLE) AS year_total, '{tag}' AS sale_type
+  FROM customer, {fact}, date_dim WHERE c_customer_sk = {cust} AND {p}_sold_date_sk = d_date_sk
+  GROUP BY c_customer_id, c_first_name, c_last_name, c_preferred_cust_flag, c_birth_country,
+           c_login, c_email_address, d_year"""
+
+
+def _ratio_sql(a, b):
+    return f"CASE WHEN {b}.year_total > 0 THEN {a}.year_total / {b}.year_total END"
+
+
+_Q4E = "(({p}_ext_list_price - {p}_ext_wholesale_cost - {p}_ext_discount_amt) + {p}_ext_sales_price)"
+q("q04", "customer store_sales catalog_sales web_sales date_dim", f"""
+WITH year_total AS (
+  {_year_total_branch('store_sales', 'ss', 'ss_customer_sk', _Q4E, 's')}
+  UNION ALL {_year_total_branch('catalog_sales', 'cs', 'cs_bill_customer_sk', _Q4E, 'c')}
+  UNION ALL {_year_total_branch('web_sales', 'ws', 'ws_bill_customer_sk', _Q4E, 'w')})
+SELECT t_s_secyear.customer_id AS c_customer_id, t_s_secyear.customer_first_name AS c_first_name,
+       t_s_secyear.customer_last_name AS c_last_name,
+       t_s_secyear.customer_preferred_cust_flag AS c_preferred_cust_flag
+FROM year_total t_s_firstyear, year_total t_s_secyear, year_total t_c_firstyear,
+     year_total t_c_secyear, year_total t_w_firstyear, year_total t_w_secyear
+WHERE t_s_secyear.customer_id = t_s_firstyear.customer_id
+  AND t_s_firstyear.customer_id = t_c_secyear.customer_id
+  AND t_s_firstyear.customer_id = t_c_firstyear.customer_id
+  AND t_s_firstyear.customer_id = t_w_firstyear.customer_id
+  AND t_s_firstyear.customer_id = t_w_secyear.customer_id
+  AND t_s_firstyear.sale_type = 's' AND t_c_firstyear.sale_type = 'c' AND t_w_firstyear.sale_type = 'w'
+  AND t_s_secyear.sale_type = 's' AND t_c_secyear.sale_type = 'c' AND t_w_secyear.sale_type = 'w'
+  AND t_s_firstyear.dyear = 2000 AND t_s_secyear.dyear = 2001
+  AND t_c_firstyear.dyear = 2000 AND t_c_secyear.dyear = 2001
+  AND t_w_firstyear.dyear = 2000 AND t_w_secyear.dyear = 2001
+  AND t_s_firstyear.year_total > 0 AND t_c_firstyear.year_total > 0 AND t_w_firstyear.year_total > 0
+  AND {_ratio_sql('t_c_secyear', 't_c_firstyear')} > {_ratio_sql('t_s_secyear', 't_s_firstyear')}
+  AND {_ratio_sql('t_c_secyear', 't_c_firstyear')} > {_ratio_sql('t_w_secyear', 't_w_firstyear')}
+ORDER BY 1, 2, 3, 4 LIMIT 100""")
+
+
+def _two_channel(expr, agg_cols, out_sql, order_sql, agg="sum"):
+    br = [_year_total_branch('store_sales', 'ss', 'ss_customer_sk', expr, 's'),
+          _year_total_branch('web_sales', 'ws', 'ws_bill_customer_sk', expr, 'w')]
+    if agg != "sum":
+        br = [b.replace("CAST(sum(", f"CAST({agg}(") for b in br]
+    return f"""
+WITH year_total AS ({br[0]} UNION ALL {br[1]})
+SELECT {out_sql}
+FROM year_total t_s_firstyear, year_total t_s_secyear, year_total t_w_firstyear, year_total t_w_secyear
+WHERE t_s_secyear.customer_id = t_s_firstyear.customer_id
+  AND t_s_firstyear.customer_id = t_w_secyear.customer_id
+  AND t_s_firstyear.customer_id = t_w_firstyear.customer_id
+  AND t_s_firstyear.sale_type = 's' AND t_w_firstyear.sale_type = 'w'
+  AND t_s_secyear.sale_type = 's' AND t_w_secyear.sale_type = 'w'
+  AND t_s_firstyear.dyear = 2000 AND t_s_secyear.dyear = 2001
+  AND t_w_firstyear.dyear = 2000 AND t_w_secyear.dyear = 2001
+  AND t_s_firstyear.year_total > 0 AND t_w_firstyear.year_total > 0
+  AND {_ratio_sql('t_w_secyear', 't_w_firstyear')} > {_ratio_sql('t_s_secyear', 't_s_firstyear')}
+ORDER BY {order_sql} LIMIT 100"""
+
+
+q("q11", "customer store_sales web_sales date_dim", _two_channel(
+    "{p}_ext_list_price - {p}_ext_discount_amt", None,
+    "t_s_secyear.customer_id AS c_customer_id, t_s_secyear.customer_first_name AS c_first_name, "
+    "t_s_secyear.customer_last_name AS c_last_name, "
+    "t_s_secyear.customer_preferred_cust_flag AS c_preferred_cust_flag", "1, 2, 3, 4"))
+q("q74", "customer store_sales web_sales date_dim", _two_channel(
+    "{p}_net_paid", None,
+    "t_s_secyear.customer_id AS c_customer_id, t_s_secyear.customer_first_name AS c_first_name, "
+    "t_s_secyear.customer_last_name AS c_last_name", "1, 2, 3"))
+
+q("q31", "store_sales web_sales date_dim customer_address", """
+WITH ss AS (SELECT ca_county, d_qoy, d_year, CAST(sum(ss_ext_sales_price) AS DOUBLE) AS store_sales
+            FROM store_sales, date_dim, customer_address
+            WHERE ss_sold_date_sk = d_date_sk AND ss_addr_sk = ca_address_sk GROUP BY ca_county, d_qoy, d_year),
+     ws AS (SELECT ca_county, d_qoy, d_year, CAST(sum(ws_ext_sales_price) AS DOUBLE) AS web_sales
+            FROM web_sales, date_dim, customer_address
+            WHERE ws_sold_date_sk = d_date_sk AND ws_bill_addr_sk = ca_address_sk GROUP BY ca_county, d_qoy, d_year)
+SELECT ss1.ca_county, ss1.d_year,
+       CASE WHEN ws1.web_sales <> 0 THEN ws2.web_sales / ws1.web_sales END AS web_q1_q2_increase,
+       CASE WHEN ss1.store_sales <> 0 THEN ss2.store_sales / ss1.store_sales END AS store_q1_q2_increase,
+       CASE WHEN ws2.web_sales <> 0 THEN ws3.web_sales / ws2.web_sales END AS web_q2_q3_increase,
+       CASE WHEN ss2.store_sales <> 0 THEN ss3.store_sales / ss2.store_sales END AS store_q2_q3_increase
+FROM ss ss1, ss ss2, ss ss3, ws ws1, ws ws2, ws ws3
+WHERE ss1.d_qoy = 1 AND ss1.d_year = 2000 AND ss1.ca_county = ss2.ca_county AND ss2.d_qoy = 2
+  AND ss2.d_year = 2000 AND ss2.ca_county = ss3.ca_county AND ss3.d_qoy = 3 AND ss3.d_year = 2000
+  AND ss1.ca_county = ws1.ca_county AND ws1.d_qoy = 1 AND ws1.d_year = 2000
+  AND ws1.ca_county = ws2.ca_county AND ws2.d_qoy = 2 AND ws2.d_year = 2000
+  AND ws1.ca_county = ws3.ca_county AND ws3.d_qoy = 3 AND ws3.d_year = 2000
+  AND CASE WHEN ws1.web_sales > 0 THEN ws2.web_sales / ws1.web_sales END
+      > CASE WHEN ss1.store_sales > 0 THEN ss2.store_sales / ss1.store_sales END
+  AND CASE WHEN ws2.web_sales > 0 THEN ws3.web_sales / ws2.web_sales END
+      > CASE WHEN ss2.store_sales > 0 THEN ss3.store_sales / ss2.store_sales END
+ORDER BY ss1.ca_county""")
+
+
+def _three(key, item_filter, year, month, order_sql):
+    br = []
+    for fact, p, addr in [("store_sales", "ss", "ss_addr_sk"), ("catalog_sales", "cs", "cs_bill_addr_sk"),
+                          ("web_sales", "ws", "ws_bill_addr_sk")]:
+        br.append(f"""SELECT {key}, sum({p}_ext_sales_price) AS total_sales
+  FROM {fact}, date_dim, customer_address, item
+  WHERE {key} IN (SELECT {key} FROM item WHERE {item_filter})
+    AND {p}_item_sk = i_item_sk AND {p}_sold_date_sk = d_date_sk AND d_year = {year} AND d_moy = {month}
+    AND {addr} = ca_address_sk AND ca_gmt_offset = -5
+  GROUP BY {key}""")
+    return f"""
+SELECT {key}, CAST(sum(total_sales) AS DOUBLE) AS total_sales
+FROM ({br[0]} UNION ALL {br[1]} UNION ALL {br[2]}) tmp1
+GROUP BY {key} ORDER BY {order_sql} LIMIT 100"""
+
+
+_T3 = "store_sales catalog_sales web_sales date_dim customer_address item"
+q("q33", _T3, _three("i_manufact_id", "i_category IN ('ring')", 1998, 5, "total_sales, i_manufact_id"))
+q("q56", _T3, _three("i_item_id", "i_color IN ('blue', 'red', 'cold')", 2001, 2, "total_sales, i_item_id"))
+q("q60", _T3, _three("i_item_id", "i_category IN ('gear')", 1998, 9, "i_item_id, total_sales"))
+
+
+def _q58():
+    items = []
+    for fact, p in [("store_sales", "ss"), ("catalog_sales", "cs"), ("web_sales", "ws")]:
+        items.append(f"""{p}_items AS (
+  SELECT i_item_id AS item_id, CAST(sum({p}_ext_sales_price) AS DOUBLE) AS {p}_item_rev
+  FROM {fact}, item, date_dim
+  WHERE {p}_item_sk = i_item_sk AND d_date IN (
+          SELECT d_date FROM date_dim WHERE d_week_seq >= (SELECT d_week_seq FROM date_dim WHERE d_date = DATE '2000-01-03')
+                                        AND d_week_seq < (SELECT d_week_seq FROM date_dim WHERE d_date = DATE '2000-01-03') + 26)
+    AND {p}_sold_date_sk = d_date_sk
+  GROUP BY i_item_id)""")
+    return "\nWITH " + ",\n".join(items) + """
+SELECT ss_items.item_id, ss_item_rev,
+       ss_item_rev / ((ss_item_rev + cs_item_rev + ws_item_rev) / 3) * 100 AS ss_dev,
+       cs_item_rev, cs_item_rev / ((ss_item_rev + cs_item_rev + ws_item_rev) / 3) * 100 AS cs_dev,
+       ws_item_rev, ws_item_rev / ((ss_item_rev + cs_item_rev + ws_item_rev) / 3) * 100 AS ws_dev,
+       (ss_item_rev + cs_item_rev + ws_item_rev) / 3 AS average
+FROM ss_items, cs_items, ws_items
+WHERE ss_items.item_id = cs_items.item_id AND ss_items.item_id = ws_items.item_id
+  AND ss_item_rev BETWEEN 0.1 * cs_item_rev AND 1.9 * cs_item_rev
+  AND ss_item_rev BETWEEN 0.1 * ws_item_rev AND 1.9 * ws_item_rev
+  AND cs_item_rev BETWEEN 0.1 * ss_item_rev AND 1.9 * ss_item_rev
+  AND cs_item_rev BETWEEN 0.1 * ws_item_rev AND 1.9 * ws_item_rev
+  AND ws_item_rev BETWEEN 0.1 * ss_item_rev AND 1.9 * ss_item_rev
+  AND ws_item_rev BETWEEN 0.1 * cs_item_rev AND 1.9 * cs_item_rev
+ORDER BY item_id, ss_item_rev LIMIT 100"""
+
+
+q("q58", "store_sales catalog_sales web_sales item date_dim", _q58())
+
+q("q59", "store_sales date_dim store", f"""
+WITH wss AS (SELECT d_week_seq, ss_store_sk, {_wk_pivot('ss_sales_price')}
+             FROM store_sales, date_dim WHERE d_date_sk = ss_sold_date_sk GROUP BY d_week_seq, ss_store_sk)
+SELECT s_store_name1, s_store_id1, d_week_seq1,
+  {", ".join(f"CASE WHEN {s}_sales2 <> 0 THEN {s}_sales1 / {s}_sales2 END AS r_{s}" for s in _SH)}
+FROM (SELECT s_store_name AS s_store_name1, wss.d_week_seq AS d_week_seq1, s_store_id AS s_store_id1,
+             {", ".join(f"{s}_sales AS {s}_sales1" for s in _SH)}
+      FROM wss, store, date_dim d
+      WHERE d.d_week_seq = wss.d_week_seq AND ss_store_sk = s_store_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11) y,
+     (SELECT s_store_name AS s_store_name2, wss.d_week_seq AS d_week_seq2, s_store_id AS s_store_id2,
+             {", ".join(f"{s}_sales AS {s}_sales2" for s in _SH)}
+      FROM wss, store, date_dim d
+      WHERE d.d_week_seq = wss.d_week_seq AND ss_store_sk = s_store_sk AND d_month_seq BETWEEN 1176 + 12 AND 1176 + 23) x
+WHERE s_store_id1 = s_store_id2 AND d_week_seq1 = d_week_seq2 - 52
+ORDER BY s_store_name1, s_store_id1, d_week_seq1, {", ".join(f"r_{s}" for s in _SH)} LIMIT 100""")
+
+q("q71", "item web_sales catalog_sales store_sales date_dim time_dim", """
+SELECT i_brand_id AS brand_id, i_brand AS brand, t_hour, t_minute, CAST(sum(ext_price) AS DOUBLE) AS ext_price
+FROM item,
+     (SELECT ws_ext_sales_price AS ext_price, ws_sold_date_sk AS sold_date_sk, ws_item_sk AS sold_item_sk,
+             ws_sold_time_sk AS time_sk FROM web_sales, date_dim
+      WHERE d_date_sk = ws_sold_date_sk AND d_moy = 11 AND d_year = 1999
+      UNION ALL
+      SELECT cs_ext_sales_price, cs_sold_date_sk, cs_item_sk, cs_sold_time_sk FROM catalog_sales, date_dim
+      WHERE d_date_sk = cs_sold_date_sk AND d_moy = 11 AND d_year = 1999
+      UNION ALL
+      SELECT ss_ext_sales_price, ss_sold_date_sk, ss_item_sk, ss_sold_time_sk FROM store_sales, date_dim
+      WHERE d_date_sk = ss_sold_date_sk AND d_moy = 11 AND d_year = 1999) tmp, time_dim
+WHERE sold_item_sk = i_item_sk AND i_manager_id = 1 AND time_sk = t_time_sk
+  AND (t_meal_time = 'breakfast' OR t_meal_time = 'dinner')
+GROUP BY i_brand, i_brand_id, t_hour, t_minute
+ORDER BY ext_price DESC, brand_id, brand, t_hour, t_minute""")
+
+q("q76", "store_sales web_sales catalog_sales item date_dim", """
+SELECT channel, col_name, d_year, d_qoy, i_category, count(*) AS sales_cnt,
+       CAST(sum(ext_sales_price) AS DOUBLE) AS sales_amt
+FROM (SELECT 'store' AS channel, 'ss_store_sk' AS col_name, d_year, d_qoy, i_category,
+             ss_ext_sales_price AS ext_sales_price
+      FROM store_sales, item, date_dim
+      WHERE ss_store_sk IS NULL AND ss_sold_date_sk = d_date_sk AND ss_item_sk = i_item_sk
+      UNION ALL
+      SELECT 'web', 'ws_ship_customer_sk', d_year, d_qoy, i_category, ws_ext_sales_price
+      FROM web_sales, item, date_dim
+      WHERE ws_ship_customer_sk IS NULL AND ws_sold_date_sk = d_date_sk AND ws_item_sk = i_item_sk
+      UNION ALL
+      SELECT 'catalog', 'cs_ship_addr_sk', d_year, d_qoy, i_category, cs_ext_sales_price
+      FROM catalog_sales, item, date_dim
+      WHERE cs_ship_addr_sk IS NULL AND cs_sold_date_sk = d_date_sk AND cs_item_sk = i_item_sk) foo
+GROUP BY channel, col_name, d_year, d_qoy, i_category
+ORDER BY channel, col_name, d_year, d_qoy, i_category LIMIT 100""")
+
+
+def _q83():
+    items = []
+    for fact, p, qty in [("store_returns", "sr", "sr_return_quantity"), ("catalog_returns", "cr", "cr_return_quantity"),
+                         ("web_returns", "wr", "wr_return_quantity")]:
+        items.append(f"""{p}_items AS (
+  SELECT i_item_id AS item_id, sum({qty}) AS {p}_item_qty
+  FROM {fact}, item, date_dim
+  WHERE {p}_item_sk = i_item_sk
+    AND d_date IN (SELECT d_date FROM date_dim WHERE d_week_seq IN (
+          SELECT d_week_seq FROM date_dim WHERE d_date IN ({", ".join(f"DATE '2000-{m:02d}-{d:02d}'" for m in range(1, 13) for d in (3, 10, 17, 24))})))
+    AND {p}_returned_date_sk = d_date_sk
+  GROUP BY i_item_id)""")
+    return "\nWITH " + ",\n".join(items) + """
+SELECT sr_items.item_id, sr_item_qty,
+       sr_item_qty / CAST(sr_item_qty + cr_item_qty + wr_item_qty AS DOUBLE) / 3.0 * 100 AS sr_dev,
+       cr_item_qty, cr_item_qty / CAST(sr_item_qty + cr_item_qty + wr_item_qty AS DOUBLE) / 3.0 * 100 AS cr_dev,
+       wr_item_qty, wr_item_qty / CAST(sr_item_qty + cr_item_qty + wr_item_qty AS DOUBLE) / 3.0 * 100 AS wr_dev,
+       CAST(sr_item_qty + cr_item_qty + wr_item_qty AS DOUBLE) / 3.0 AS average
+FROM sr_items, cr_items, wr_items
+WHERE sr_items.item_id = cr_items.item_id AND sr_items.item_id = wr_items.item_id
+ORDER BY sr_items.item_id, sr_item_qty LIMIT 100"""
+
+
+q("q83", "store_returns catalog_returns web_returns item date_dim", _q83())
