@@ -572,3 +572,272 @@ ORDER BY sr_items.item_id, sr_item_qty LIMIT 100"""
 
 
 q("q83", "store_returns catalog_returns web_returns item date_dim", _q83())
+
+
+def _sd(c):
+    n = f"count({c})"
+    return (f"CASE WHEN {n} > 1 THEN sqrt(CAST({n} * sum(CAST({c} AS BIGINT) * {c}) - sum({c}) * sum({c}) AS DOUBLE)"
+            f" / CAST({n} * ({n} - 1) AS DOUBLE)) END")
+
+
+def _av(c):
+    return f"(CAST(sum({c}) AS DOUBLE) / count({c}))"
+
+
+_Q17_SEL = ",\n  ".join(
+    f"count({c}) AS {n}count, {_av(c)} AS {n}ave, {_sd(c)} AS {n}stdev, {_sd(c)} / {_av(c)} AS {n}cov"
+    for c, n in [("ss_quantity", "store_sales_quantity"), ("sr_return_quantity", "store_returns_quantity"),
+                 ("cs_quantity", "catalog_sales_quantity")])
+q("q17", "store_sales store_returns catalog_sales date_dim store item", f"""
+SELECT i_item_id, i_item_desc, s_state,
+  {_Q17_SEL}
+FROM store_sales, store_returns, catalog_sales, date_dim d1, date_dim d2, date_dim d3, store, item
+WHERE d1.d_quarter_name = '1999Q1' AND d1.d_date_sk = ss_sold_date_sk AND i_item_sk = ss_item_sk
+  AND s_store_sk = ss_store_sk AND ss_customer_sk = sr_customer_sk AND ss_item_sk = sr_item_sk
+  AND ss_ticket_number = sr_ticket_number AND sr_returned_date_sk = d2.d_date_sk
+  AND d2.d_quarter_name IN ('1999Q1', '1999Q2', '1999Q3') AND sr_customer_sk = cs_bill_customer_sk
+  AND sr_item_sk = cs_item_sk AND cs_sold_date_sk = d3.d_date_sk
+  AND d3.d_quarter_name IN ('1999Q1', '1999Q2', '1999Q3')
+GROUP BY i_item_id, i_item_desc, s_state
+ORDER BY i_item_id, i_item_desc, s_state LIMIT 100""")
+
+
+def _chain(sel, d1, d2, d3):
+    return f"""
+SELECT i_item_id, i_item_desc, s_store_id, s_store_name, {sel}
+FROM store_sales, store_returns, catalog_sales, date_dim d1, date_dim d2, date_dim d3, store, item
+WHERE {d1} AND d1.d_date_sk = ss_sold_date_sk AND i_item_sk = ss_item_sk AND s_store_sk = ss_store_sk
+  AND ss_customer_sk = sr_customer_sk AND ss_item_sk = sr_item_sk AND ss_ticket_number = sr_ticket_number
+  AND sr_returned_date_sk = d2.d_date_sk AND {d2}
+  AND sr_customer_sk = cs_bill_customer_sk AND sr_item_sk = cs_item_sk
+  AND cs_sold_date_sk = d3.d_date_sk AND {d3}
+GROUP BY i_item_id, i_item_desc, s_store_id, s_store_name
+ORDER BY i_item_id, i_item_desc, s_store_id, s_store_name LIMIT 100"""
+
+
+_TCH = "store_sales store_returns catalog_sales date_dim store item"
+q("q25", _TCH, _chain(
+    "CAST(sum(ss_net_profit) AS DOUBLE) AS store_sales_profit, CAST(sum(sr_net_loss) AS DOUBLE) AS store_returns_loss, "
+    "CAST(sum(cs_net_profit) AS DOUBLE) AS catalog_sales_profit",
+    "d1.d_moy = 4 AND d1.d_year = 1999", "d2.d_moy BETWEEN 4 AND 10 AND d2.d_year = 1999",
+    "d3.d_moy BETWEEN 4 AND 10 AND d3.d_year = 1999"))
+q("q29", _TCH, _chain(
+    "CAST(sum(ss_quantity) AS BIGINT) AS store_sales_quantity, CAST(sum(sr_return_quantity) AS BIGINT) AS store_returns_quantity, "
+    "CAST(sum(cs_quantity) AS BIGINT) AS catalog_sales_quantity",
+    "d1.d_moy = 9 AND d1.d_year = 1999", "d2.d_moy BETWEEN 9 AND 9 + 3 AND d2.d_year = 1999",
+    "d3.d_year IN (1999, 2000, 2001)"))
+
+
+def _q24(color):
+    return f"""
+WITH ssales AS (
+  SELECT c_last_name, c_first_name, s_store_name, ca_state, s_state, i_color, i_current_price, i_manager_id,
+         i_units, i_size, sum(ss_net_paid) AS netpaid
+  FROM store_sales, store_returns, store, item, customer, customer_address
+  WHERE ss_ticket_number = sr_ticket_number AND ss_item_sk = sr_item_sk AND ss_customer_sk = c_customer_sk
+    AND ss_item_sk = i_item_sk AND ss_store_sk = s_store_sk AND c_current_addr_sk = ca_address_sk
+    AND c_birth_country <> upper(ca_country) AND s_zip = ca_zip AND s_market_id = 5
+  GROUP BY c_last_name, c_first_name, s_store_name, ca_state, s_state, i_color, i_current_price,
+           i_manager_id, i_units, i_size)
+SELECT c_last_name, c_first_name, s_store_name, CAST(sum(netpaid) AS DOUBLE) AS paid
+FROM ssales WHERE i_color = '{color}'
+GROUP BY c_last_name, c_first_name, s_store_name
+HAVING CAST(sum(netpaid) AS DOUBLE) > (SELECT 0.05 * (CAST(sum(netpaid) AS DOUBLE) / count(netpaid)) FROM ssales)
+ORDER BY c_last_name, c_first_name, s_store_name"""
+
+
+q("q24_1", "store_sales store_returns store item customer customer_address", _q24("red"))
+q("q24_2", "store_sales store_returns store item customer customer_address", _q24("blue"))
+
+q("q40", "catalog_sales catalog_returns warehouse item date_dim", """
+SELECT w_state, i_item_id,
+  CAST(sum(CASE WHEN d_date < DATE '2000-03-11' THEN cs_sales_price - coalesce(cr_refunded_cash, 0) ELSE 0 END) AS DOUBLE) AS sales_before,
+  CAST(sum(CASE WHEN d_date >= DATE '2000-03-11' THEN cs_sales_price - coalesce(cr_refunded_cash, 0) ELSE 0 END) AS DOUBLE) AS sales_after
+FROM catalog_sales LEFT OUTER JOIN catalog_returns
+       ON (cs_order_number = cr_order_number AND cs_item_sk = cr_item_sk), warehouse, item, date_dim
+WHERE i_current_price BETWEEN 10.0 AND 40.0 AND i_item_sk = cs_item_sk AND cs_warehouse_sk = w_warehouse_sk
+  AND cs_sold_date_sk = d_date_sk AND d_date BETWEEN DATE '2000-03-11' - 30 AND DATE '2000-03-11' + 30
+GROUP BY w_state, i_item_id ORDER BY w_state, i_item_id LIMIT 100""")
+
+
+def _q49_branch(ch, sales, rets, p, r, on_s, on_r, ramt):
+    return f"""SELECT '{ch}' AS channel, item, return_ratio, return_rank, currency_rank FROM (
+    SELECT item, return_ratio, currency_ratio,
+           rank() OVER (ORDER BY return_ratio) AS return_rank,
+           rank() OVER (ORDER BY currency_ratio) AS currency_rank
+    FROM (SELECT s.{p}_item_sk AS item,
+                 CAST(sum(coalesce(r.{r}_return_quantity, 0)) AS DOUBLE) / CAST(sum(coalesce(s.{p}_quantity, 0)) AS DOUBLE) AS return_ratio,
+                 CAST(sum(coalesce(r.{ramt}, 0)) AS DOUBLE) / CAST(sum(coalesce(s.{p}_net_paid, 0)) AS DOUBLE) AS currency_ratio
+          FROM {sales} s LEFT OUTER JOIN {rets} r ON (s.{on_s} = r.{on_r} AND s.{p}_item_sk = r.{r}_item_sk), date_dim
+          WHERE r.{ramt} > 100 AND s.{p}_net_profit > 1 AND s.{p}_net_paid > 0 AND s.{p}_quantity > 0
+            AND {p}_sold_date_sk = d_date_sk AND d_year = 2001 AND d_moy = 12
+          GROUP BY s.{p}_item_sk) x) y
+  WHERE return_rank <= 10 OR currency_rank <= 10"""
+
+
+q("q49", "web_sales web_returns catalog_sales catalog_returns store_sales store_returns date_dim", f"""
+SELECT channel, item, return_ratio, return_rank, currency_rank FROM (
+  {_q49_branch('web', 'web_sales', 'web_returns', 'ws', 'wr', 'ws_order_number', 'wr_order_number', 'wr_return_amt')}
+  UNION
+  {_q49_branch('catalog', 'catalog_sales', 'catalog_returns', 'cs', 'cr', 'cs_order_number', 'cr_order_number', 'cr_return_amount')}
+  UNION
+  {_q49_branch('store', 'store_sales', 'store_returns', 'ss', 'sr', 'ss_ticket_number', 'sr_ticket_number', 'sr_return_amt')}
+) t
+ORDER BY channel, return_rank, currency_rank, item, return_ratio LIMIT 100""")
+
+q("q50", "store_sales store_returns store date_dim", """
+SELECT s_store_name, s_company_id, s_street_number, s_street_name, s_street_type, s_suite_number, s_city,
+       s_county, s_state, s_zip,
+  sum(CASE WHEN sr_returned_date_sk - ss_sold_date_sk <= 30 THEN 1 ELSE 0 END) AS days_30,
+  sum(CASE WHEN sr_returned_date_sk - ss_sold_date_sk > 30 AND sr_returned_date_sk - ss_sold_date_sk <= 60 THEN 1 ELSE 0 END) AS days_31_60,
+  sum(CASE WHEN sr_returned_date_sk - ss_sold_date_sk > 60 AND sr_returned_date_sk - ss_sold_date_sk <= 90 THEN 1 ELSE 0 END) AS days_61_90,
+  sum(CASE WHEN sr_returned_date_sk - ss_sold_date_sk > 90 AND sr_returned_date_sk - ss_sold_date_sk <= 120 THEN 1 ELSE 0 END) AS days_91_120,
+  sum(CASE WHEN sr_returned_date_sk - ss_sold_date_sk > 120 THEN 1 ELSE 0 END) AS days_over_120
+FROM store_sales, store_returns, store, date_dim d1, date_dim d2
+WHERE d2.d_year = 1999 AND d2.d_moy = 8 AND ss_ticket_number = sr_ticket_number AND ss_item_sk = sr_item_sk
+  AND ss_sold_date_sk = d1.d_date_sk AND sr_returned_date_sk = d2.d_date_sk
+  AND ss_customer_sk = sr_customer_sk AND ss_store_sk = s_store_sk
+GROUP BY s_store_name, s_company_id, s_street_number, s_street_name, s_street_type, s_suite_number,
+         s_city, s_county, s_state, s_zip
+ORDER BY s_store_name, s_company_id, s_street_number, s_street_name, s_street_type, s_suite_number,
+         s_city, s_county, s_state, s_zip LIMIT 100""")
+
+q("q72", "catalog_sales inventory warehouse item customer_demographics household_demographics date_dim promotion catalog_returns", """
+SELECT i_item_desc, w_warehouse_name, d1.d_week_seq AS d_week_seq,
+       sum(CASE WHEN p_promo_sk IS NULL THEN 1 ELSE 0 END) AS no_promo,
+       sum(CASE WHEN p_promo_sk IS NOT NULL THEN 1 ELSE 0 END) AS promo,
+       count(*) AS total_cnt
+FROM catalog_sales
+JOIN inventory ON (cs_item_sk = inv_item_sk)
+JOIN warehouse ON (w_warehouse_sk = inv_warehouse_sk)
+JOIN item ON (i_item_sk = cs_item_sk)
+JOIN customer_demographics ON (cs_bill_cdemo_sk = cd_demo_sk)
+JOIN household_demographics ON (cs_bill_hdemo_sk = hd_demo_sk)
+JOIN date_dim d1 ON (cs_sold_date_sk = d1.d_date_sk)
+JOIN date_dim d2 ON (inv_date_sk = d2.d_date_sk)
+JOIN date_dim d3 ON (cs_ship_date_sk = d3.d_date_sk)
+LEFT OUTER JOIN promotion ON (cs_promo_sk = p_promo_sk)
+LEFT OUTER JOIN catalog_returns ON (cr_item_sk = cs_item_sk AND cr_order_number = cs_order_number)
+WHERE d1.d_week_seq = d2.d_week_seq AND inv_quantity_on_hand < cs_quantity AND d3.d_date > d1.d_date + 5
+  AND hd_buy_potential = '>10000' AND d1.d_year = 1999 AND cd_marital_status = 'D'
+GROUP BY i_item_desc, w_warehouse_name, d1.d_week_seq
+ORDER BY total_cnt DESC, i_item_desc, w_warehouse_name, d_week_seq LIMIT 100""")
+
+
+def _q75_branch(sales, rets, p, r, on_s, on_r, ramt):
+    return f"""SELECT d_year, i_brand_id, i_class_id, i_category_id, i_manufact_id,
+         {p}_quantity - coalesce({r}_return_quantity, 0) AS sales_cnt,
+         {p}_ext_sales_price - coalesce({ramt}, 0.0) AS sales_amt
+  FROM {sales} JOIN item ON i_item_sk = {p}_item_sk JOIN date_dim ON d_date_sk = {p}_sold_date_sk
+       LEFT JOIN {rets} ON ({on_s} = {on_r} AND {p}_item_sk = {r}_item_sk)
+  WHERE i_category = 'gear'"""
+
+
+q("q75", "catalog_sales catalog_returns store_sales store_returns web_sales web_returns item date_dim", f"""
+WITH all_sales AS (
+  SELECT d_year, i_brand_id, i_class_id, i_category_id, i_manufact_id,
+         sum(sales_cnt) AS sales_cnt, sum(sales_amt) AS sales_amt
+  FROM ({_q75_branch('catalog_sales', 'catalog_returns', 'cs', 'cr', 'cs_order_number', 'cr_order_number', 'cr_return_amount')}
+        UNION
+        {_q75_branch('store_sales', 'store_returns', 'ss', 'sr', 'ss_ticket_number', 'sr_ticket_number', 'sr_return_amt')}
+        UNION
+        {_q75_branch('web_sales', 'web_returns', 'ws', 'wr', 'ws_order_number', 'wr_order_number', 'wr_return_amt')}) sales_detail
+  GROUP BY d_year, i_brand_id, i_class_id, i_category_id, i_manufact_id)
+SELECT prev_yr.d_year AS prev_year, curr_yr.d_year AS year, curr_yr.i_brand_id, curr_yr.i_class_id,
+       curr_yr.i_category_id, curr_yr.i_manufact_id, prev_yr.sales_cnt AS prev_yr_cnt,
+       curr_yr.sales_cnt AS curr_yr_cnt, curr_yr.sales_cnt - prev_yr.sales_cnt AS sales_cnt_diff,
+       CAST(curr_yr.sales_amt - prev_yr.sales_amt AS DOUBLE) AS sales_amt_diff
+FROM all_sales curr_yr, all_sales prev_yr
+WHERE curr_yr.i_brand_id = prev_yr.i_brand_id AND curr_yr.i_class_id = prev_yr.i_class_id
+  AND curr_yr.i_category_id = prev_yr.i_category_id AND curr_yr.i_manufact_id = prev_yr.i_manufact_id
+  AND curr_yr.d_year = 2000 AND prev_yr.d_year = 2000 - 1
+  AND CAST(curr_yr.sales_cnt AS DOUBLE) / CAST(prev_yr.sales_cnt AS DOUBLE) < 0.9
+ORDER BY sales_cnt_diff, sales_amt_diff, i_brand_id, i_class_id, i_category_id, i_manufact_id LIMIT 100""")
+
+
+def _q78_cte(name, sales, rets, p, r, on_s, on_r, cust):
+    return f"""{name} AS (
+  SELECT d_year AS {p}_sold_year, {p}_item_sk, {cust} AS {p}_customer_sk, sum({p}_quantity) AS {p}_qty,
+         sum({p}_wholesale_cost) AS {p}_wc, sum({p}_sales_price) AS {p}_sp
+  FROM {sales} LEFT JOIN {rets} ON {on_r} = {on_s} AND {p}_item_sk = {r}_item_sk
+       JOIN date_dim ON {p}_sold_date_sk = d_date_sk
+  WHERE {on_r} IS NULL
+  GROUP BY d_year, {p}_item_sk, {cust})"""
+
+
+q("q78", "store_sales store_returns web_sales web_returns catalog_sales catalog_returns date_dim", f"""
+WITH {_q78_cte('ws', 'web_sales', 'web_returns', 'ws', 'wr', 'ws_order_number', 'wr_order_number', 'ws_bill_customer_sk')},
+{_q78_cte('cs', 'catalog_sales', 'catalog_returns', 'cs', 'cr', 'cs_order_number', 'cr_order_number', 'cs_bill_customer_sk')},
+{_q78_cte('ss', 'store_sales', 'store_returns', 'ss', 'sr', 'ss_ticket_number', 'sr_ticket_number', 'ss_customer_sk')}
+SELECT ss_sold_year, ss_item_sk, ss_customer_sk,
+  CASE WHEN coalesce(ws_qty, 0) + coalesce(cs_qty, 0) > 0
+       THEN ((ss_qty * 200 + coalesce(ws_qty, 0) + coalesce(cs_qty, 0)) // ((coalesce(ws_qty, 0) + coalesce(cs_qty, 0)) * 2)) / 100.0 END AS ratio,
+  ss_qty AS store_qty, CAST(ss_wc AS DOUBLE) AS store_wholesale_cost, CAST(ss_sp AS DOUBLE) AS store_sales_price,
+  coalesce(ws_qty, 0) + coalesce(cs_qty, 0) AS other_chan_qty,
+  CAST(coalesce(ws_wc, 0) + coalesce(cs_wc, 0) AS DOUBLE) AS other_chan_wholesale_cost,
+  CAST(coalesce(ws_sp, 0) + coalesce(cs_sp, 0) AS DOUBLE) AS other_chan_sales_price
+FROM ss LEFT JOIN ws ON (ws_sold_year = ss_sold_year AND ws_item_sk = ss_item_sk AND ws_customer_sk = ss_customer_sk)
+        LEFT JOIN cs ON (cs_sold_year = ss_sold_year AND cs_item_sk = ss_item_sk AND cs_customer_sk = ss_customer_sk)
+WHERE (coalesce(ws_qty, 0) > 0 OR coalesce(cs_qty, 0) > 0) AND ss_sold_year = 2000
+ORDER BY ss_sold_year, ss_item_sk, ss_customer_sk, store_qty DESC, store_wholesale_cost DESC, store_sales_price DESC,
+         other_chan_qty, other_chan_wholesale_cost, other_chan_sales_price, ratio LIMIT 100""")
+
+
+def _q80_cte(name, sales, rets, p, r, on_s, on_r, ramt, rloss, outlet, okey, oid, fk):
+    return f"""{name} AS (
+  SELECT {oid} AS oid, sum({p}_ext_sales_price) AS sales, sum(coalesce({ramt}, 0)) AS returns_,
+         sum({p}_net_profit - coalesce({rloss}, 0)) AS profit
+  FROM {sales} LEFT OUTER JOIN {rets} ON ({p}_item_sk = {r}_item_sk AND {on_s} = {on_r}),
+       date_dim, {outlet}, item, promotion
+  WHERE {p}_sold_date_sk = d_date_sk AND d_date BETWEEN DATE '2000-08-23' AND DATE '2000-08-23' + 30
+    AND {fk} = {okey} AND {p}_item_sk = i_item_sk AND i_current_price > 20
+    AND {p}_promo_sk = p_promo_sk AND p_channel_tv = 'N'
+  GROUP BY {oid})"""
+
+
+q("q80", "store_sales store_returns catalog_sales catalog_returns web_sales web_returns date_dim store catalog_page web_site item promotion", f"""
+WITH {_q80_cte('ssr', 'store_sales', 'store_returns', 'ss', 'sr', 'ss_ticket_number', 'sr_ticket_number', 'sr_return_amt', 'sr_net_loss', 'store', 's_store_sk', 's_store_id', 'ss_store_sk')},
+{_q80_cte('csr', 'catalog_sales', 'catalog_returns', 'cs', 'cr', 'cs_order_number', 'cr_order_number', 'cr_return_amount', 'cr_net_loss', 'catalog_page', 'cp_catalog_page_sk', 'cp_catalog_page_id', 'cs_catalog_page_sk')},
+{_q80_cte('wsr', 'web_sales', 'web_returns', 'ws', 'wr', 'ws_order_number', 'wr_order_number', 'wr_return_amt', 'wr_net_loss', 'web_site', 'web_site_sk', 'web_site_id', 'ws_web_site_sk')}
+SELECT channel, id, CAST(sum(sales) AS DOUBLE) AS sales, CAST(sum(returns_) AS DOUBLE) AS returns,
+       CAST(sum(profit) AS DOUBLE) AS profit
+FROM (SELECT 'store channel' AS channel, 'store' || oid AS id, sales, returns_, profit FROM ssr
+      UNION ALL SELECT 'catalog channel', 'catalog_page' || oid, sales, returns_, profit FROM csr
+      UNION ALL SELECT 'web channel', 'web_site' || oid, sales, returns_, profit FROM wsr) x
+GROUP BY ROLLUP (channel, id)
+ORDER BY channel, id, sales, returns, profit LIMIT 100""")
+
+q("q85", "web_sales web_returns web_page customer_demographics customer_address date_dim reason", """
+SELECT substr(r_reason_desc, 1, 20) AS reason,
+       CAST(sum(ws_quantity) AS DOUBLE) / count(ws_quantity) AS avg_qty,
+       CAST(sum(wr_refunded_cash) AS DOUBLE) / count(wr_refunded_cash) AS avg_refund,
+       CAST(sum(wr_fee) AS DOUBLE) / count(wr_fee) AS avg_fee
+FROM web_sales, web_returns, web_page, customer_demographics cd1, customer_demographics cd2,
+     customer_address, date_dim, reason
+WHERE ws_web_page_sk = wp_web_page_sk AND ws_item_sk = wr_item_sk AND ws_order_number = wr_order_number
+  AND ws_sold_date_sk = d_date_sk AND d_year = 1999 AND cd1.cd_demo_sk = wr_refunded_cdemo_sk
+  AND cd2.cd_demo_sk = wr_returning_cdemo_sk AND ca_address_sk = wr_refunded_addr_sk AND r_reason_sk = wr_reason_sk
+  AND ((cd1.cd_marital_status = 'M' AND cd1.cd_marital_status = cd2.cd_marital_status
+        AND cd1.cd_education_status = 'Advanced Degree' AND cd1.cd_education_status = cd2.cd_education_status
+        AND ws_sales_price BETWEEN 100.00 AND 150.00)
+    OR (cd1.cd_marital_status = 'S' AND cd1.cd_marital_status = cd2.cd_marital_status
+        AND cd1.cd_education_status = 'College' AND cd1.cd_education_status = cd2.cd_education_status
+        AND ws_sales_price BETWEEN 50.00 AND 100.00)
+    OR (cd1.cd_marital_status = 'W' AND cd1.cd_marital_status = cd2.cd_marital_status
+        AND cd1.cd_education_status = '2 yr Degree' AND cd1.cd_education_status = cd2.cd_education_status
+        AND ws_sales_price BETWEEN 150.00 AND 200.00))
+  AND ((ca_country = 'United States' AND ca_state IN ('IN', 'IL', 'KY') AND ws_net_profit BETWEEN 100 AND 200)
+    OR (ca_country = 'United States' AND ca_state IN ('CT', 'MA', 'MD') AND ws_net_profit BETWEEN 150 AND 300)
+    OR (ca_country = 'United States' AND ca_state IN ('LA', 'IA', 'AR') AND ws_net_profit BETWEEN 50 AND 250))
+GROUP BY r_reason_desc
+ORDER BY reason, avg_qty, avg_refund, avg_fee LIMIT 100""")
+
+q("q93", "store_sales store_returns reason", """
+SELECT ss_customer_sk, CAST(sum(act_sales) AS DOUBLE) AS sumsales
+FROM (SELECT ss_item_sk, ss_ticket_number, ss_customer_sk,
+             CASE WHEN sr_return_quantity IS NOT NULL THEN (ss_quantity - sr_return_quantity) * ss_sales_price
+                  ELSE (ss_quantity * ss_sales_price) END AS act_sales
+      FROM store_sales LEFT OUTER JOIN store_returns ON (sr_item_sk = ss_item_sk AND sr_ticket_number = ss_ticket_number),
+           reason
+      WHERE sr_reason_sk = r_reason_sk AND r_reason_desc = 'reason 28') t
+GROUP BY ss_customer_sk ORDER BY sumsales, ss_customer_sk LIMIT 100""")

@@ -48,3 +48,27 @@ def avg_exact(col: Column | str) -> Column:
     """
     c = F.col(col) if isinstance(col, str) else col
     return F.sum(c).cast("double") / F.count(c)
+
+
+def stddev_samp_exact(col: Column | str) -> Column:
+    """Sample standard deviation of an INTEGER column from exact integer sums.
+
+    ``sqrt((n*sum(x^2) - sum(x)^2) / (n*(n-1)))``: the sums are exact 64-bit
+    integers, so the one rounding step (int -> double, divide, sqrt) is the
+    same in every IEEE engine, unlike streaming variance updates whose
+    rounding depends on the merge order of partial aggregates.
+    """
+    c = (F.col(col) if isinstance(col, str) else col).cast("long")
+    n = F.count(c)
+    num = (n * F.sum(c * c) - F.sum(c) * F.sum(c)).cast("double")
+    return F.when(n > 1, F.sqrt(num / (n * (n - 1)).cast("double")))
+
+
+def round_ratio2(num: Column, den: Column) -> Column:
+    """round(num/den, 2) half-up for non-negative integers, exactly."""
+    return F.when(den > 0, idiv_col(num * 200 + den, den * 2) / 100.0)
+
+
+def idiv_col(num: Column, den: Column) -> Column:
+    """Floor division of non-negative integer columns."""
+    return ((num - F.pmod(num, den)) / den).cast("long")

@@ -1,3 +1,3 @@
 """Decision-support query catalogue, one module per query family."""
 
-from shelfline.plans.catalog import multichannel, star_topk, subqueries  # noqa: F401
+from shelfline.plans.catalog import multichannel, returns_chain, star_topk, subqueries  # noqa: F401
