@@ -841,3 +841,300 @@ FROM (SELECT ss_item_sk, ss_ticket_number, ss_customer_sk,
            reason
       WHERE sr_reason_sk = r_reason_sk AND r_reason_desc = 'reason 28') t
 GROUP BY ss_customer_sk ORDER BY sumsales, ss_customer_sk LIMIT 100""")
+
+_Q8Z = ", ".join(f"'{z}'" for z in sorted({str(10000 + 100 * n + k) for n in range(25) for k in range(3)}
+                                         | {str(z) for z in range(20000, 20325)}))
+q("q08", "store_sales date_dim store customer_address customer", f"""
+SELECT s_store_name, CAST(sum(ss_net_profit) AS DOUBLE) AS net_profit
+FROM store_sales, date_dim, store,
+     (SELECT ca_zip FROM (
+        SELECT substr(ca_zip, 1, 5) AS ca_zip FROM customer_address WHERE substr(ca_zip, 1, 5) IN ({_Q8Z})
+        INTERSECT
+        SELECT ca_zip FROM (SELECT substr(ca_zip, 1, 5) AS ca_zip, count(*) AS cnt
+                            FROM customer_address, customer
+                            WHERE ca_address_sk = c_current_addr_sk AND c_preferred_cust_flag = 'Y'
+                            GROUP BY ca_zip HAVING count(*) > 3) a1) a2) v1
+WHERE ss_store_sk = s_store_sk AND ss_sold_date_sk = d_date_sk AND d_qoy = 2 AND d_year = 1998
+  AND substr(s_zip, 1, 2) = substr(v1.ca_zip, 1, 2)
+GROUP BY s_store_name ORDER BY s_store_name LIMIT 100""")
+
+
+def _exists(fact, p, cust, period):
+    return f"EXISTS (SELECT * FROM {fact}, date_dim WHERE c.c_customer_sk = {cust} AND {p}_sold_date_sk = d_date_sk AND {period})"
+
+
+_Q10_SEL = """cd_gender, cd_marital_status, cd_education_status, count(*) AS cnt1, cd_purchase_estimate,
+       count(*) AS cnt2, cd_credit_rating, count(*) AS cnt3, cd_dep_count, count(*) AS cnt4,
+       cd_dep_employed_count, count(*) AS cnt5, cd_dep_college_count, count(*) AS cnt6"""
+_Q10_GRP = """cd_gender, cd_marital_status, cd_education_status, cd_purchase_estimate, cd_credit_rating,
+         cd_dep_count, cd_dep_employed_count, cd_dep_college_count"""
+_Q10_P = "d_year = 1999 AND d_moy BETWEEN 1 AND 12"
+_Q10_C = "('NATION_1 County', 'NATION_5 County', 'NATION_9 County', 'NATION_13 County', 'NATION_17 County')"
+q("q10", "customer customer_address customer_demographics store_sales web_sales catalog_sales date_dim", f"""
+SELECT {_Q10_SEL}
+FROM customer c, customer_address ca, customer_demographics
+WHERE c.c_current_addr_sk = ca.ca_address_sk AND ca_county IN {_Q10_C} AND cd_demo_sk = c.c_current_cdemo_sk
+  AND {_exists('store_sales', 'ss', 'ss_customer_sk', _Q10_P)}
+  AND ({_exists('web_sales', 'ws', 'ws_bill_customer_sk', _Q10_P)}
+       OR {_exists('catalog_sales', 'cs', 'cs_ship_customer_sk', _Q10_P)})
+GROUP BY {_Q10_GRP}
+ORDER BY {_Q10_GRP} LIMIT 100""")
+q("q10a", "customer customer_address customer_demographics store_sales web_sales catalog_sales date_dim", f"""
+SELECT {_Q10_SEL}
+FROM customer c, customer_address ca, customer_demographics
+WHERE c.c_current_addr_sk = ca.ca_address_sk AND ca_county IN {_Q10_C} AND cd_demo_sk = c.c_current_cdemo_sk
+  AND {_exists('store_sales', 'ss', 'ss_customer_sk', _Q10_P)}
+  AND EXISTS (SELECT * FROM (SELECT ws_bill_customer_sk AS customer_sk, d_year, d_moy FROM web_sales, date_dim
+                              WHERE ws_sold_date_sk = d_date_sk AND {_Q10_P}
+                             UNION ALL
+                             SELECT cs_ship_customer_sk AS customer_sk, d_year, d_moy FROM catalog_sales, date_dim
+                              WHERE cs_sold_date_sk = d_date_sk AND {_Q10_P}) x
+              WHERE c.c_customer_sk = x.customer_sk)
+GROUP BY {_Q10_GRP}
+ORDER BY {_Q10_GRP} LIMIT 100""")
+
+_Q35_SEL = """ca_state, cd_gender, cd_marital_status, cd_dep_count, count(*) AS cnt1,
+       CAST(sum(cd_dep_count) AS DOUBLE) / count(cd_dep_count) AS avg1, max(cd_dep_count) AS max1, sum(cd_dep_count) AS sum1,
+       cd_dep_employed_count, count(*) AS cnt2,
+       CAST(sum(cd_dep_employed_count) AS DOUBLE) / count(cd_dep_employed_count) AS avg2, max(cd_dep_employed_count) AS max2,
+       sum(cd_dep_employed_count) AS sum2, cd_dep_college_count, count(*) AS cnt3,
+       CAST(sum(cd_dep_college_count) AS DOUBLE) / count(cd_dep_college_count) AS avg3, max(cd_dep_college_count) AS max3,
+       sum(cd_dep_college_count) AS sum3"""
+_Q35_GRP = "ca_state, cd_gender, cd_marital_status, cd_dep_count, cd_dep_employed_count, cd_dep_college_count"
+_Q35_P = "d_year = 1999 AND d_qoy < 4"
+q("q35", "customer customer_address customer_demographics store_sales web_sales catalog_sales date_dim", f"""
+SELECT {_Q35_SEL}
+FROM customer c, customer_address ca, customer_demographics
+WHERE c.c_current_addr_sk = ca.ca_address_sk AND cd_demo_sk = c.c_current_cdemo_sk
+  AND {_exists('store_sales', 'ss', 'ss_customer_sk', _Q35_P)}
+  AND ({_exists('web_sales', 'ws', 'ws_bill_customer_sk', _Q35_P)}
+       OR {_exists('catalog_sales', 'cs', 'cs_ship_customer_sk', _Q35_P)})
+GROUP BY {_Q35_GRP}
+ORDER BY {_Q35_GRP} LIMIT 100""")
+q("q35a", "customer customer_address customer_demographics store_sales web_sales catalog_sales date_dim", f"""
+SELECT {_Q35_SEL}
+FROM customer c, customer_address ca, customer_demographics
+WHERE c.c_current_addr_sk = ca.ca_address_sk AND cd_demo_sk = c.c_current_cdemo_sk
+  AND {_exists('store_sales', 'ss', 'ss_customer_sk', _Q35_P)}
+  AND EXISTS (SELECT * FROM (SELECT ws_bill_customer_sk AS customer_sk FROM web_sales, date_dim
+                              WHERE ws_sold_date_sk = d_date_sk AND {_Q35_P}
+                             UNION ALL
+                             SELECT cs_ship_customer_sk AS customer_sk FROM catalog_sales, date_dim
+                              WHERE cs_sold_date_sk = d_date_sk AND {_Q35_P}) x
+              WHERE c.c_customer_sk = x.customer_sk)
+GROUP BY {_Q35_GRP}
+ORDER BY {_Q35_GRP} LIMIT 100""")
+
+_Q69_P = "d_year = 2001 AND d_moy BETWEEN 4 AND 4 + 2"
+q("q69", "customer customer_address customer_demographics store_sales web_sales catalog_sales date_dim", f"""
+SELECT cd_gender, cd_marital_status, cd_education_status, count(*) AS cnt1, cd_purchase_estimate,
+       count(*) AS cnt2, cd_credit_rating, count(*) AS cnt3
+FROM customer c, customer_address ca, customer_demographics
+WHERE c.c_current_addr_sk = ca.ca_address_sk AND ca_state IN ('KS', 'KY', 'MA', 'MD', 'IA')
+  AND cd_demo_sk = c.c_current_cdemo_sk
+  AND {_exists('store_sales', 'ss', 'ss_customer_sk', _Q69_P)}
+  AND (NOT {_exists('web_sales', 'ws', 'ws_bill_customer_sk', _Q69_P)}
+       AND NOT {_exists('catalog_sales', 'cs', 'cs_ship_customer_sk', _Q69_P)})
+GROUP BY cd_gender, cd_marital_status, cd_education_status, cd_purchase_estimate, cd_credit_rating
+ORDER BY cd_gender, cd_marital_status, cd_education_status, cd_purchase_estimate, cd_credit_rating LIMIT 100""")
+
+
+def _named(fact, p, cust):
+    return f"""SELECT DISTINCT c_last_name, c_first_name, d_date FROM {fact}, date_dim, customer
+  WHERE {p}_sold_date_sk = d_date_sk AND {cust} = c_customer_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11"""
+
+
+_TN = "store_sales catalog_sales web_sales date_dim customer"
+q("q38", _TN, f"""
+SELECT count(*) AS cnt FROM (
+  {_named('store_sales', 'ss', 'ss_customer_sk')}
+  INTERSECT {_named('catalog_sales', 'cs', 'cs_bill_customer_sk')}
+  INTERSECT {_named('web_sales', 'ws', 'ws_bill_customer_sk')}) hot_cust""")
+q("q87", _TN, f"""
+SELECT count(*) AS cnt FROM (
+  ({_named('store_sales', 'ss', 'ss_customer_sk')})
+  EXCEPT ({_named('catalog_sales', 'cs', 'cs_bill_customer_sk')})
+  EXCEPT ({_named('web_sales', 'ws', 'ws_bill_customer_sk')})) cool_cust""")
+
+q("q16", "catalog_sales date_dim customer_address call_center catalog_returns", """
+SELECT count(DISTINCT cs_order_number) AS order_count, CAST(sum(cs_ext_ship_cost) AS DOUBLE) AS total_shipping_cost,
+       CAST(sum(cs_net_profit) AS DOUBLE) AS total_net_profit
+FROM catalog_sales cs1, date_dim, customer_address, call_center
+WHERE d_date BETWEEN DATE '2000-02-01' AND DATE '2000-02-01' + 60 AND cs1.cs_ship_date_sk = d_date_sk
+  AND cs1.cs_ship_addr_sk = ca_address_sk AND ca_state = 'IL' AND cs1.cs_call_center_sk = cc_call_center_sk
+  AND cc_county IN ('NATION_0 County', 'NATION_4 County', 'NATION_8 County', 'NATION_12 County',
+                    'NATION_16 County', 'NATION_20 County')
+  AND EXISTS (SELECT * FROM catalog_sales cs2
+              WHERE cs1.cs_order_number = cs2.cs_order_number AND cs1.cs_warehouse_sk <> cs2.cs_warehouse_sk)
+  AND NOT EXISTS (SELECT * FROM catalog_returns cr1 WHERE cs1.cs_order_number = cr1.cr_order_number)""")
+
+q("q94", "web_sales date_dim customer_address web_site web_returns", """
+SELECT count(DISTINCT ws_order_number) AS order_count, CAST(sum(ws_ext_ship_cost) AS DOUBLE) AS total_shipping_cost,
+       CAST(sum(ws_net_profit) AS DOUBLE) AS total_net_profit
+FROM web_sales ws1, date_dim, customer_address, web_site
+WHERE d_date BETWEEN DATE '1999-02-01' AND DATE '1999-02-01' + 60 AND ws1.ws_ship_date_sk = d_date_sk
+  AND ws1.ws_ship_addr_sk = ca_address_sk AND ca_state = 'IL' AND ws1.ws_web_site_sk = web_site_sk
+  AND web_company_name = 'pri'
+  AND EXISTS (SELECT * FROM web_sales ws2
+              WHERE ws1.ws_order_number = ws2.ws_order_number AND ws1.ws_warehouse_sk <> ws2.ws_warehouse_sk)
+  AND NOT EXISTS (SELECT * FROM web_returns wr1 WHERE ws1.ws_order_number = wr1.wr_order_number)""")
+
+q("q95", "web_sales date_dim customer_address web_site web_returns", """
+WITH ws_wh AS (SELECT ws1.ws_order_number, ws1.ws_warehouse_sk AS wh1, ws2.ws_warehouse_sk AS wh2
+               FROM web_sales ws1, web_sales ws2
+               WHERE ws1.ws_order_number = ws2.ws_order_number AND ws1.ws_warehouse_sk <> ws2.ws_warehouse_sk)
+SELECT count(DISTINCT ws_order_number) AS order_count, CAST(sum(ws_ext_ship_cost) AS DOUBLE) AS total_shipping_cost,
+       CAST(sum(ws_net_profit) AS DOUBLE) AS total_net_profit
+FROM web_sales ws1, date_dim, customer_address, web_site
+WHERE d_date BETWEEN DATE '1999-02-01' AND DATE '1999-02-01' + 60 AND ws1.ws_ship_date_sk = d_date_sk
+  AND ws1.ws_ship_addr_sk = ca_address_sk AND ca_state = 'IL' AND ws1.ws_web_site_sk = web_site_sk
+  AND web_company_name = 'pri'
+  AND ws1.ws_order_number IN (SELECT ws_order_number FROM ws_wh)
+  AND ws1.ws_order_number IN (SELECT wr_order_number FROM web_returns, ws_wh WHERE wr_order_number = ws_wh.ws_order_number)""")
+
+q("q97", "store_sales catalog_sales date_dim", """
+WITH ssci AS (SELECT ss_customer_sk AS customer_sk, ss_item_sk AS item_sk FROM store_sales, date_dim
+              WHERE ss_sold_date_sk = d_date_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11
+              GROUP BY ss_customer_sk, ss_item_sk),
+     csci AS (SELECT cs_bill_customer_sk AS customer_sk, cs_item_sk AS item_sk FROM catalog_sales, date_dim
+              WHERE cs_sold_date_sk = d_date_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11
+              GROUP BY cs_bill_customer_sk, cs_item_sk)
+SELECT sum(CASE WHEN ssci.customer_sk IS NOT NULL AND csci.customer_sk IS NULL THEN 1 ELSE 0 END) AS store_only,
+       sum(CASE WHEN ssci.customer_sk IS NULL AND csci.customer_sk IS NOT NULL THEN 1 ELSE 0 END) AS catalog_only,
+       sum(CASE WHEN ssci.customer_sk IS NOT NULL AND csci.customer_sk IS NOT NULL THEN 1 ELSE 0 END) AS store_and_catalog
+FROM ssci FULL OUTER JOIN csci ON (ssci.customer_sk = csci.customer_sk AND ssci.item_sk = csci.item_sk)""")
+
+q("q54", "catalog_sales web_sales item date_dim customer store_sales customer_address store", """
+WITH my_customers AS (
+  SELECT DISTINCT c_customer_sk, c_current_addr_sk
+  FROM (SELECT cs_sold_date_sk AS sold_date_sk, cs_bill_customer_sk AS customer_sk, cs_item_sk AS item_sk FROM catalog_sales
+        UNION ALL SELECT ws_sold_date_sk, ws_bill_customer_sk, ws_item_sk FROM web_sales) cs_or_ws_sales,
+       item, date_dim, customer
+  WHERE sold_date_sk = d_date_sk AND item_sk = i_item_sk AND i_category = 'ring' AND i_class = 'promo'
+    AND c_customer_sk = cs_or_ws_sales.customer_sk AND d_moy = 12 AND d_year = 1998),
+my_revenue AS (
+  SELECT c_customer_sk, sum(ss_ext_sales_price) AS revenue
+  FROM my_customers, store_sales, customer_address, store, date_dim
+  WHERE c_current_addr_sk = ca_address_sk AND ca_county = s_county AND ca_state = s_state
+    AND ss_sold_date_sk = d_date_sk AND c_customer_sk = ss_customer_sk
+    AND d_month_seq BETWEEN (SELECT DISTINCT d_month_seq + 1 FROM date_dim WHERE d_year = 1998 AND d_moy = 12)
+                        AND (SELECT DISTINCT d_month_seq + 3 FROM date_dim WHERE d_year = 1998 AND d_moy = 12)
+  GROUP BY c_customer_sk),
+segments AS (SELECT CAST(revenue * 100 AS BIGINT) // 5000 AS segment FROM my_revenue)
+SELECT segment, count(*) AS num_customers, segment * 50 AS segment_base
+FROM segments GROUP BY segment ORDER BY segment, num_customers LIMIT 100""")
+
+
+def _q14_ctes(y0):
+    def ks(fact, p):
+        return (f"SELECT i_brand_id AS brand_id, i_class_id AS class_id, i_category_id AS category_id "
+                f"FROM {fact}, item, date_dim WHERE {p}_item_sk = i_item_sk AND {p}_sold_date_sk = d_date_sk "
+                f"AND d_year BETWEEN {y0} AND {y0} + 2")
+    return f"""
+WITH cross_items AS (
+  SELECT i_item_sk AS ss_item_sk FROM item,
+    ({ks('store_sales', 'ss')} INTERSECT {ks('catalog_sales', 'cs')} INTERSECT {ks('web_sales', 'ws')}) x
+  WHERE i_brand_id = brand_id AND i_class_id = class_id AND i_category_id = category_id),
+avg_sales AS (
+  SELECT CAST(sum(quantity * list_price) AS DOUBLE) / count(quantity * list_price) AS average_sales
+  FROM (SELECT ss_quantity AS quantity, ss_list_price AS list_price FROM store_sales, date_dim
+        WHERE ss_sold_date_sk = d_date_sk AND d_year BETWEEN {y0} AND {y0} + 2
+        UNION ALL SELECT cs_quantity, cs_list_price FROM catalog_sales, date_dim
+        WHERE cs_sold_date_sk = d_date_sk AND d_year BETWEEN {y0} AND {y0} + 2
+        UNION ALL SELECT ws_quantity, ws_list_price FROM web_sales, date_dim
+        WHERE ws_sold_date_sk = d_date_sk AND d_year BETWEEN {y0} AND {y0} + 2) x)"""
+
+
+def _q14_branch(ch, fact, p, date_cond):
+    return f"""SELECT '{ch}' AS channel, i_brand_id, i_class_id, i_category_id,
+         sum({p}_quantity * {p}_list_price) AS sales, count(*) AS number_sales
+  FROM {fact}, item, date_dim
+  WHERE {p}_item_sk IN (SELECT ss_item_sk FROM cross_items) AND {p}_item_sk = i_item_sk
+    AND {p}_sold_date_sk = d_date_sk AND {date_cond}
+  GROUP BY i_brand_id, i_class_id, i_category_id
+  HAVING CAST(sum({p}_quantity * {p}_list_price) AS DOUBLE) > (SELECT average_sales FROM avg_sales)"""
+
+
+_Q14_D = "d_year = 1998 + 2 AND d_moy = 11"
+_Q14_Y = f"""({_q14_branch('store', 'store_sales', 'ss', _Q14_D)}
+  UNION ALL {_q14_branch('catalog', 'catalog_sales', 'cs', _Q14_D)}
+  UNION ALL {_q14_branch('web', 'web_sales', 'ws', _Q14_D)}) y"""
+_T14 = "store_sales catalog_sales web_sales item date_dim"
+q("q14_1", _T14, _q14_ctes(1998) + f"""
+SELECT channel, i_brand_id, i_class_id, i_category_id, CAST(sum(sales) AS DOUBLE) AS sum_sales,
+       sum(number_sales) AS sum_number_sales
+FROM {_Q14_Y}
+GROUP BY ROLLUP (channel, i_brand_id, i_class_id, i_category_id)
+ORDER BY channel, i_brand_id, i_class_id, i_category_id, sum_sales, sum_number_sales LIMIT 100""")
+q("q14a", _T14, _q14_ctes(1998) + f""",
+y AS (SELECT * FROM {_Q14_Y})
+SELECT * FROM (
+  SELECT channel, i_brand_id, i_class_id, i_category_id, CAST(sum(sales) AS DOUBLE) AS sum_sales, sum(number_sales) AS sum_number_sales
+  FROM y GROUP BY channel, i_brand_id, i_class_id, i_category_id
+  UNION ALL SELECT channel, i_brand_id, i_class_id, NULL, CAST(sum(sales) AS DOUBLE), sum(number_sales)
+  FROM y GROUP BY channel, i_brand_id, i_class_id
+  UNION ALL SELECT channel, i_brand_id, NULL, NULL, CAST(sum(sales) AS DOUBLE), sum(number_sales)
+  FROM y GROUP BY channel, i_brand_id
+  UNION ALL SELECT channel, NULL, NULL, NULL, CAST(sum(sales) AS DOUBLE), sum(number_sales) FROM y GROUP BY channel
+  UNION ALL SELECT NULL, NULL, NULL, NULL, CAST(sum(sales) AS DOUBLE), sum(number_sales) FROM y) z
+ORDER BY channel, i_brand_id, i_class_id, i_category_id, sum_sales, sum_number_sales LIMIT 100""")
+
+_WK = lambda y: f"d_week_seq = (SELECT d_week_seq FROM date_dim WHERE d_year = {y} AND d_moy = 12 AND d_dom = 11)"
+q("q14_2", _T14, _q14_ctes(1998) + f"""
+SELECT this_year.channel AS ty_channel, this_year.i_brand_id AS ty_brand, this_year.i_class_id AS ty_class,
+       this_year.i_category_id AS ty_category, CAST(this_year.sales AS DOUBLE) AS ty_sales,
+       this_year.number_sales AS ty_number_sales, last_year.channel AS ly_channel, last_year.i_brand_id AS ly_brand,
+       last_year.i_class_id AS ly_class, last_year.i_category_id AS ly_category,
+       CAST(last_year.sales AS DOUBLE) AS ly_sales, last_year.number_sales AS ly_number_sales
+FROM ({_q14_branch('store', 'store_sales', 'ss', _WK(1999))}) this_year,
+     ({_q14_branch('store', 'store_sales', 'ss', _WK(1998))}) last_year
+WHERE this_year.i_brand_id = last_year.i_brand_id AND this_year.i_class_id = last_year.i_class_id
+  AND this_year.i_category_id = last_year.i_category_id
+ORDER BY ty_channel, ty_brand, ty_class, ty_category LIMIT 100""")
+
+
+_Q23_CTES = """
+WITH frequent_ss_items AS (
+  SELECT substr(i_item_desc, 1, 30) AS itemdesc, i_item_sk AS item_sk, d_date AS solddate, count(*) AS cnt
+  FROM store_sales, date_dim, item
+  WHERE ss_sold_date_sk = d_date_sk AND ss_item_sk = i_item_sk AND d_year IN (2000, 2000 + 1, 2000 + 2, 2000 + 3)
+  GROUP BY substr(i_item_desc, 1, 30), i_item_sk, d_date HAVING count(*) > 0),
+max_store_sales AS (
+  SELECT max(csales) AS tpcds_cmax
+  FROM (SELECT c_customer_sk, sum(ss_quantity * ss_sales_price) AS csales FROM store_sales, customer, date_dim
+        WHERE ss_customer_sk = c_customer_sk AND ss_sold_date_sk = d_date_sk AND d_year IN (2000, 2000 + 1, 2000 + 2, 2000 + 3)
+        GROUP BY c_customer_sk) x),
+best_ss_customer AS (
+  SELECT c_customer_sk, sum(ss_quantity * ss_sales_price) AS ssales FROM store_sales, customer
+  WHERE ss_customer_sk = c_customer_sk GROUP BY c_customer_sk
+  HAVING CAST(sum(ss_quantity * ss_sales_price) AS DOUBLE) > 0.5 * CAST((SELECT * FROM max_store_sales) AS DOUBLE))"""
+
+
+def _q23_branch(fact, p, extra_from="", extra_where="", sel=None):
+    sel = sel or f"{p}_quantity * {p}_list_price AS sales"
+    return f"""SELECT {sel} FROM {fact}, date_dim{extra_from}
+  WHERE d_year = 2000 AND d_moy = 2 AND {p}_sold_date_sk = d_date_sk
+    AND {p}_item_sk IN (SELECT item_sk FROM frequent_ss_items)
+    AND {p}_bill_customer_sk IN (SELECT c_customer_sk FROM best_ss_customer){extra_where}"""
+
+
+_T23 = "store_sales catalog_sales web_sales date_dim item customer"
+q("q23_1", _T23, _Q23_CTES + f"""
+SELECT CAST(sum(sales) AS DOUBLE) AS sum_sales
+FROM ({_q23_branch('catalog_sales', 'cs')} UNION ALL {_q23_branch('web_sales', 'ws')}) x""")
+q("q23_2", _T23, _Q23_CTES + f"""
+SELECT c_last_name, c_first_name, sales FROM (
+  SELECT c_last_name, c_first_name, CAST(sum(cs_quantity * cs_list_price) AS DOUBLE) AS sales
+  FROM catalog_sales, customer, date_dim
+  WHERE d_year = 2000 AND d_moy = 2 AND cs_sold_date_sk = d_date_sk
+    AND cs_item_sk IN (SELECT item_sk FROM frequent_ss_items)
+    AND cs_bill_customer_sk IN (SELECT c_customer_sk FROM best_ss_customer) AND cs_bill_customer_sk = c_customer_sk
+  GROUP BY c_last_name, c_first_name
+  UNION ALL
+  SELECT c_last_name, c_first_name, CAST(sum(ws_quantity * ws_list_price) AS DOUBLE) AS sales
+  FROM web_sales, customer, date_dim
+  WHERE d_year = 2000 AND d_moy = 2 AND ws_sold_date_sk = d_date_sk
+    AND ws_item_sk IN (SELECT item_sk FROM frequent_ss_items)
+    AND ws_bill_customer_sk IN (SELECT c_customer_sk FROM best_ss_customer) AND ws_bill_customer_sk = c_customer_sk
+  GROUP BY c_last_name, c_first_name) y
+ORDER BY c_last_name, c_first_name, sales LIMIT 100""")
