@@ -1138,3 +1138,472 @@ SELECT c_last_name, c_first_name, sales FROM (
     AND ws_bill_customer_sk IN (SELECT c_customer_sk FROM best_ss_customer) AND ws_bill_customer_sk = c_customer_sk
   GROUP BY c_last_name, c_first_name) y
 ORDER BY c_last_name, c_first_name, sales LIMIT 100""")
+
+
+def _q05_body(group_sql):
+    return f"""
+WITH ssr AS (
+  SELECT s_store_id, sum(sales_price) AS sales, sum(profit) AS profit, sum(return_amt) AS returns_, sum(net_loss) AS profit_loss
+  FROM (SELECT ss_store_sk AS store_sk, ss_sold_date_sk AS date_sk, ss_ext_sales_price AS sales_price,
+               ss_net_profit AS profit, CAST(0 AS DECIMAL(7,2)) AS return_amt, CAST(0 AS DECIMAL(7,2)) AS net_loss
+        FROM store_sales
+        UNION ALL
+        SELECT sr_store_sk, sr_returned_date_sk, CAST(0 AS DECIMAL(7,2)), CAST(0 AS DECIMAL(7,2)), sr_return_amt, sr_net_loss
+        FROM store_returns) salesreturns, date_dim, store
+  WHERE date_sk = d_date_sk AND d_date BETWEEN DATE '2000-08-23' AND DATE '2000-08-23' + 14 AND store_sk = s_store_sk
+  GROUP BY s_store_id),
+csr AS (
+  SELECT cp_catalog_page_id, sum(sales_price) AS sales, sum(profit) AS profit, sum(return_amt) AS returns_, sum(net_loss) AS profit_loss
+  FROM (SELECT cs_catalog_page_sk AS page_sk, cs_sold_date_sk AS date_sk, cs_ext_sales_price AS sales_price,
+               cs_net_profit AS profit, CAST(0 AS DECIMAL(7,2)) AS return_amt, CAST(0 AS DECIMAL(7,2)) AS net_loss
+        FROM catalog_sales
+        UNION ALL
+        SELECT cr_catalog_page_sk, cr_returned_date_sk, CAST(0 AS DECIMAL(7,2)), CAST(0 AS DECIMAL(7,2)), cr_return_amount, cr_net_loss
+        FROM catalog_returns) salesreturns, date_dim, catalog_page
+  WHERE date_sk = d_date_sk AND d_date BETWEEN DATE '2000-08-23' AND DATE '2000-08-23' + 14 AND page_sk = cp_catalog_page_sk
+  GROUP BY cp_catalog_page_id),
+wsr AS (
+  SELECT web_site_id, sum(sales_price) AS sales, sum(profit) AS profit, sum(return_amt) AS returns_, sum(net_loss) AS profit_loss
+  FROM (SELECT ws_web_site_sk AS wsr_web_site_sk, ws_sold_date_sk AS date_sk, ws_ext_sales_price AS sales_price,
+               ws_net_profit AS profit, CAST(0 AS DECIMAL(7,2)) AS return_amt, CAST(0 AS DECIMAL(7,2)) AS net_loss
+        FROM web_sales
+        UNION ALL
+        SELECT ws_web_site_sk, wr_returned_date_sk, CAST(0 AS DECIMAL(7,2)), CAST(0 AS DECIMAL(7,2)), wr_return_amt, wr_net_loss
+        FROM web_returns LEFT OUTER JOIN web_sales ON (wr_item_sk = ws_item_sk AND wr_order_number = ws_order_number)
+       ) salesreturns, date_dim, web_site
+  WHERE date_sk = d_date_sk AND d_date BETWEEN DATE '2000-08-23' AND DATE '2000-08-23' + 14 AND wsr_web_site_sk = web_site_sk
+  GROUP BY web_site_id),
+x AS (SELECT 'store channel' AS channel, 'store' || s_store_id AS id, sales, returns_, profit - profit_loss AS profit FROM ssr
+      UNION ALL SELECT 'catalog channel', 'catalog_page' || cp_catalog_page_id, sales, returns_, profit - profit_loss FROM csr
+      UNION ALL SELECT 'web channel', 'web_site' || web_site_id, sales, returns_, profit - profit_loss FROM wsr)
+{group_sql}
+ORDER BY channel, id, sales, returns, profit LIMIT 100"""
+
+
+_MT = "CAST(sum(sales) AS DOUBLE) AS sales, CAST(sum(returns_) AS DOUBLE) AS returns, CAST(sum(profit) AS DOUBLE) AS profit"
+_T5 = "store_sales store_returns catalog_sales catalog_returns web_sales web_returns date_dim store catalog_page web_site"
+q("q05", _T5, _q05_body(f"SELECT channel, id, {_MT} FROM x GROUP BY ROLLUP (channel, id)"))
+q("q05a", _T5, _q05_body(f"""SELECT * FROM (
+  SELECT channel, id, {_MT} FROM x GROUP BY channel, id
+  UNION ALL SELECT channel, NULL, {_MT} FROM x GROUP BY channel
+  UNION ALL SELECT NULL, NULL, {_MT} FROM x) r"""))
+
+_Q18_AV = ", ".join(f"CAST(sum({c}) AS DOUBLE) / count({c}) AS {a}" for c, a in
+                    [("cs_quantity", "agg1"), ("cs_list_price", "agg2"), ("cs_coupon_amt", "agg3"),
+                     ("cs_sales_price", "agg4"), ("cs_net_profit", "agg5"), ("c_birth_year", "agg6"),
+                     ("cd1.cd_dep_count", "agg7")])
+_Q18_FROM = """FROM catalog_sales, customer_demographics cd1, customer_demographics cd2, customer, customer_address, date_dim, item
+WHERE cs_sold_date_sk = d_date_sk AND cs_item_sk = i_item_sk AND cs_bill_cdemo_sk = cd1.cd_demo_sk
+  AND cs_bill_customer_sk = c_customer_sk AND cd1.cd_gender = 'F' AND cd1.cd_education_status = 'Unknown'
+  AND c_current_cdemo_sk = cd2.cd_demo_sk AND c_current_addr_sk = ca_address_sk
+  AND c_birth_month IN (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12) AND d_year = 1999
+  AND ca_state IN ('IN', 'KS', 'KY', 'MA', 'MD', 'IA', 'ME')"""
+_Q18_ORD = "ORDER BY ca_country, ca_state, ca_county, i_item_id, agg1, agg2, agg3, agg4, agg5, agg6, agg7 LIMIT 100"
+_T18 = "catalog_sales customer_demographics customer customer_address date_dim item"
+q("q18", _T18, f"""
+SELECT i_item_id, ca_country, ca_state, ca_county, {_Q18_AV}
+{_Q18_FROM}
+GROUP BY ROLLUP (i_item_id, ca_country, ca_state, ca_county)
+{_Q18_ORD}""")
+q("q18a", _T18, f"""
+SELECT * FROM (
+  SELECT i_item_id, ca_country, ca_state, ca_county, {_Q18_AV} {_Q18_FROM} GROUP BY i_item_id, ca_country, ca_state, ca_county
+  UNION ALL SELECT i_item_id, ca_country, ca_state, NULL, {_Q18_AV} {_Q18_FROM} GROUP BY i_item_id, ca_country, ca_state
+  UNION ALL SELECT i_item_id, ca_country, NULL, NULL, {_Q18_AV} {_Q18_FROM} GROUP BY i_item_id, ca_country
+  UNION ALL SELECT i_item_id, NULL, NULL, NULL, {_Q18_AV} {_Q18_FROM} GROUP BY i_item_id
+  UNION ALL SELECT NULL, NULL, NULL, NULL, {_Q18_AV} {_Q18_FROM}) r
+{_Q18_ORD}""")
+
+_Q22_FROM = """FROM inventory, date_dim, item
+WHERE inv_date_sk = d_date_sk AND inv_item_sk = i_item_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11"""
+q("q22", "inventory date_dim item", f"""
+SELECT i_product_name, i_brand, i_class, i_category,
+       CAST(sum(inv_quantity_on_hand) AS DOUBLE) / count(inv_quantity_on_hand) AS qoh
+{_Q22_FROM}
+GROUP BY ROLLUP (i_product_name, i_brand, i_class, i_category)
+ORDER BY qoh, i_product_name, i_brand, i_class, i_category LIMIT 100""")
+q("q22a", "inventory date_dim item", f"""
+WITH results AS (
+  SELECT i_product_name, i_brand, i_class, i_category,
+         CAST(sum(inv_quantity_on_hand) AS DOUBLE) / count(inv_quantity_on_hand) AS qoh
+  {_Q22_FROM}
+  GROUP BY i_product_name, i_brand, i_class, i_category),
+results_rollup AS (
+  SELECT i_product_name, i_brand, i_class, i_category, qoh FROM results
+  UNION ALL SELECT i_product_name, i_brand, i_class, NULL, avg(qoh) FROM results GROUP BY i_product_name, i_brand, i_class
+  UNION ALL SELECT i_product_name, i_brand, NULL, NULL, avg(qoh) FROM results GROUP BY i_product_name, i_brand
+  UNION ALL SELECT i_product_name, NULL, NULL, NULL, avg(qoh) FROM results GROUP BY i_product_name
+  UNION ALL SELECT NULL, NULL, NULL, NULL, avg(qoh) FROM results)
+SELECT i_product_name, i_brand, i_class, i_category, qoh FROM results_rollup
+ORDER BY qoh, i_product_name, i_brand, i_class, i_category LIMIT 100""")
+
+_Q27_AV = ", ".join(f"CAST(sum({c}) AS DOUBLE) / count({c}) AS {a}" for c, a in
+                    [("ss_quantity", "agg1"), ("ss_list_price", "agg2"), ("ss_coupon_amt", "agg3"), ("ss_sales_price", "agg4")])
+_Q27_FROM = """FROM store_sales, customer_demographics, date_dim, store, item
+WHERE ss_sold_date_sk = d_date_sk AND ss_item_sk = i_item_sk AND ss_store_sk = s_store_sk AND ss_cdemo_sk = cd_demo_sk
+  AND cd_gender = 'M' AND cd_marital_status = 'S' AND cd_education_status = 'College' AND d_year = 2000
+  AND s_state IN ('KS', 'MA', 'KY', 'IA', 'ID', 'CT')"""
+_T27 = "store_sales customer_demographics date_dim store item"
+q("q27", _T27, f"""
+SELECT i_item_id, s_state, CAST(grouping(s_state) AS INTEGER) AS g_state, {_Q27_AV}
+{_Q27_FROM}
+GROUP BY ROLLUP (i_item_id, s_state)
+ORDER BY i_item_id, s_state, g_state, agg1, agg2, agg3, agg4 LIMIT 100""")
+q("q27a", _T27, f"""
+SELECT * FROM (
+  SELECT i_item_id, s_state, 0 AS g_state, {_Q27_AV} {_Q27_FROM} GROUP BY i_item_id, s_state
+  UNION ALL SELECT i_item_id, NULL AS s_state, 1 AS g_state, {_Q27_AV} {_Q27_FROM} GROUP BY i_item_id
+  UNION ALL SELECT NULL AS i_item_id, NULL AS s_state, 1 AS g_state, {_Q27_AV} {_Q27_FROM}) foo
+ORDER BY i_item_id, s_state, g_state, agg1, agg2, agg3, agg4 LIMIT 100""")
+
+_Q36_FROM = """FROM store_sales, date_dim d1, item, store
+WHERE d1.d_year = 2001 AND d1.d_date_sk = ss_sold_date_sk AND i_item_sk = ss_item_sk AND s_store_sk = ss_store_sk
+  AND s_state IN ('KS', 'MA', 'KY', 'IA', 'ID', 'CT', 'DE', 'ME')"""
+_GM = "CAST(sum(ss_net_profit) AS DOUBLE) / CAST(sum(ss_ext_sales_price) AS DOUBLE)"
+q("q36", "store_sales date_dim item store", f"""
+SELECT {_GM} AS gross_margin, i_category, i_class,
+       CAST(grouping(i_category) + grouping(i_class) AS INTEGER) AS lochierarchy,
+       rank() OVER (PARTITION BY grouping(i_category) + grouping(i_class),
+                    CASE WHEN grouping(i_class) = 0 THEN i_category END
+                    ORDER BY {_GM} ASC) AS rank_within_parent
+{_Q36_FROM}
+GROUP BY ROLLUP (i_category, i_class)
+ORDER BY lochierarchy DESC, CASE WHEN lochierarchy = 0 THEN i_category END, rank_within_parent,
+         gross_margin, i_category, i_class LIMIT 100""")
+q("q36a", "store_sales date_dim item store", f"""
+WITH results AS (SELECT sum(ss_net_profit) AS ss_net_profit, sum(ss_ext_sales_price) AS ss_ext_sales_price,
+                        i_category, i_class {_Q36_FROM} GROUP BY i_category, i_class),
+results_rollup AS (
+  SELECT CAST(ss_net_profit AS DOUBLE) / CAST(ss_ext_sales_price AS DOUBLE) AS gross_margin, i_category, i_class,
+         0 AS t_category, 0 AS t_class, 0 AS lochierarchy FROM results
+  UNION SELECT CAST(sum(ss_net_profit) AS DOUBLE) / CAST(sum(ss_ext_sales_price) AS DOUBLE), i_category, NULL, 0, 1, 1
+        FROM results GROUP BY i_category
+  UNION SELECT CAST(sum(ss_net_profit) AS DOUBLE) / CAST(sum(ss_ext_sales_price) AS DOUBLE), NULL, NULL, 1, 1, 2 FROM results)
+SELECT gross_margin, i_category, i_class, lochierarchy,
+       rank() OVER (PARTITION BY lochierarchy, CASE WHEN t_class = 0 THEN i_category END
+                    ORDER BY gross_margin ASC) AS rank_within_parent
+FROM results_rollup
+ORDER BY lochierarchy DESC, CASE WHEN lochierarchy = 0 THEN i_category END, rank_within_parent,
+         gross_margin, i_category, i_class LIMIT 100""")
+
+_Q70_FROM = """FROM store_sales, date_dim d1, store
+WHERE d1.d_month_seq BETWEEN 1176 AND 1176 + 11 AND d1.d_date_sk = ss_sold_date_sk AND s_store_sk = ss_store_sk
+  AND s_state IN (SELECT s_state FROM (
+        SELECT s_state AS s_state, rank() OVER (PARTITION BY s_state ORDER BY sum(ss_net_profit) DESC) AS ranking
+        FROM store_sales, store, date_dim
+        WHERE d_month_seq BETWEEN 1176 AND 1176 + 11 AND d_date_sk = ss_sold_date_sk AND s_store_sk = ss_store_sk
+        GROUP BY s_state) tmp1 WHERE ranking <= 5)"""
+q("q70", "store_sales date_dim store", f"""
+SELECT CAST(sum(ss_net_profit) AS DOUBLE) AS total_sum, s_state, s_county,
+       CAST(grouping(s_state) + grouping(s_county) AS INTEGER) AS lochierarchy,
+       rank() OVER (PARTITION BY grouping(s_state) + grouping(s_county),
+                    CASE WHEN grouping(s_county) = 0 THEN s_state END
+                    ORDER BY CAST(sum(ss_net_profit) AS DOUBLE) DESC) AS rank_within_parent
+{_Q70_FROM}
+GROUP BY ROLLUP (s_state, s_county)
+ORDER BY lochierarchy DESC, CASE WHEN lochierarchy = 0 THEN s_state END, rank_within_parent,
+         total_sum, s_state, s_county LIMIT 100""")
+q("q70a", "store_sales date_dim store", f"""
+WITH results AS (SELECT sum(ss_net_profit) AS total_sum, s_state, s_county {_Q70_FROM} GROUP BY s_state, s_county),
+results_rollup AS (
+  SELECT CAST(total_sum AS DOUBLE) AS total_sum, s_state, s_county, 0 AS g_state, 0 AS g_county, 0 AS lochierarchy FROM results
+  UNION SELECT CAST(sum(total_sum) AS DOUBLE), s_state, NULL, 0, 1, 1 FROM results GROUP BY s_state
+  UNION SELECT CAST(sum(total_sum) AS DOUBLE), NULL, NULL, 1, 1, 2 FROM results)
+SELECT total_sum, s_state, s_county, lochierarchy,
+       rank() OVER (PARTITION BY lochierarchy, CASE WHEN g_county = 0 THEN s_state END
+                    ORDER BY total_sum DESC) AS rank_within_parent
+FROM results_rollup
+ORDER BY lochierarchy DESC, CASE WHEN lochierarchy = 0 THEN s_state END, rank_within_parent,
+         total_sum, s_state, s_county LIMIT 100""")
+
+_Q86_FROM = """FROM web_sales, date_dim d1, item
+WHERE d1.d_month_seq BETWEEN 1176 AND 1176 + 11 AND d1.d_date_sk = ws_sold_date_sk AND i_item_sk = ws_item_sk"""
+q("q86", "web_sales date_dim item", f"""
+SELECT CAST(sum(ws_net_paid) AS DOUBLE) AS total_sum, i_category, i_class,
+       CAST(grouping(i_category) + grouping(i_class) AS INTEGER) AS lochierarchy,
+       rank() OVER (PARTITION BY grouping(i_category) + grouping(i_class),
+                    CASE WHEN grouping(i_class) = 0 THEN i_category END
+                    ORDER BY CAST(sum(ws_net_paid) AS DOUBLE) DESC) AS rank_within_parent
+{_Q86_FROM}
+GROUP BY ROLLUP (i_category, i_class)
+ORDER BY lochierarchy DESC, CASE WHEN lochierarchy = 0 THEN i_category END, rank_within_parent,
+         total_sum, i_category, i_class LIMIT 100""")
+q("q86a", "web_sales date_dim item", f"""
+WITH results AS (SELECT sum(ws_net_paid) AS total_sum, i_category, i_class {_Q86_FROM} GROUP BY i_category, i_class),
+results_rollup AS (
+  SELECT CAST(total_sum AS DOUBLE) AS total_sum, i_category, i_class, 0 AS g_category, 0 AS g_class, 0 AS lochierarchy FROM results
+  UNION SELECT CAST(sum(total_sum) AS DOUBLE), i_category, NULL, 0, 1, 1 FROM results GROUP BY i_category
+  UNION SELECT CAST(sum(total_sum) AS DOUBLE), NULL, NULL, 1, 1, 2 FROM results)
+SELECT total_sum, i_category, i_class, lochierarchy,
+       rank() OVER (PARTITION BY lochierarchy, CASE WHEN g_class = 0 THEN i_category END
+                    ORDER BY total_sum DESC) AS rank_within_parent
+FROM results_rollup
+ORDER BY lochierarchy DESC, CASE WHEN lochierarchy = 0 THEN i_category END, rank_within_parent,
+         total_sum, i_category, i_class LIMIT 100""")
+
+q("q44", "store_sales item", """
+SELECT asceding.rnk, i1.i_product_name AS best_performing, i2.i_product_name AS worst_performing
+FROM (SELECT * FROM (SELECT item_sk, rank() OVER (ORDER BY rank_col ASC) AS rnk
+                     FROM (SELECT ss_item_sk AS item_sk, CAST(sum(ss_net_profit) AS DOUBLE) / count(ss_net_profit) AS rank_col
+                           FROM store_sales ss1 WHERE ss_store_sk = 4 GROUP BY ss_item_sk
+                           HAVING CAST(sum(ss_net_profit) AS DOUBLE) / count(ss_net_profit) > 0.9 * (
+                             SELECT CAST(sum(ss_net_profit) AS DOUBLE) / count(ss_net_profit) FROM store_sales
+                             WHERE ss_store_sk = 4 AND ss_addr_sk IS NULL GROUP BY ss_store_sk)) v1) v11
+      WHERE rnk < 11) asceding,
+     (SELECT * FROM (SELECT item_sk, rank() OVER (ORDER BY rank_col DESC) AS rnk
+                     FROM (SELECT ss_item_sk AS item_sk, CAST(sum(ss_net_profit) AS DOUBLE) / count(ss_net_profit) AS rank_col
+                           FROM store_sales ss1 WHERE ss_store_sk = 4 GROUP BY ss_item_sk
+                           HAVING CAST(sum(ss_net_profit) AS DOUBLE) / count(ss_net_profit) > 0.9 * (
+                             SELECT CAST(sum(ss_net_profit) AS DOUBLE) / count(ss_net_profit) FROM store_sales
+                             WHERE ss_store_sk = 4 AND ss_addr_sk IS NULL GROUP BY ss_store_sk)) v2) v21
+      WHERE rnk < 11) descending,
+     item i1, item i2
+WHERE asceding.rnk = descending.rnk AND i1.i_item_sk = asceding.item_sk AND i2.i_item_sk = descending.item_sk
+ORDER BY asceding.rnk, best_performing, worst_performing LIMIT 100""")
+
+
+def _q47(fact, p, outlet_cols, outlet_join, outlet_tbl, ord_col):
+    oc = ", ".join(outlet_cols)
+    eq = " AND ".join(f"v1.{c} = v1_{{x}}.{c}" for c in ["i_category", "i_brand"] + outlet_cols)
+    return f"""
+WITH v1 AS (
+  SELECT i_category, i_brand, {oc}, d_year, d_moy, sum({p}_sales_price) AS sum_sales,
+         CAST(sum(sum({p}_sales_price)) OVER (PARTITION BY i_category, i_brand, {oc}, d_year) AS DOUBLE)
+           / count(sum({p}_sales_price)) OVER (PARTITION BY i_category, i_brand, {oc}, d_year) AS avg_monthly_sales,
+         rank() OVER (PARTITION BY i_category, i_brand, {oc} ORDER BY d_year, d_moy) AS rn
+  FROM item, {fact}, date_dim, {outlet_tbl}
+  WHERE {p}_item_sk = i_item_sk AND {p}_sold_date_sk = d_date_sk AND {outlet_join}
+    AND (d_year = 1999 OR (d_year = 1999 - 1 AND d_moy = 12) OR (d_year = 1999 + 1 AND d_moy = 1))
+  GROUP BY i_category, i_brand, {oc}, d_year, d_moy),
+v2 AS (
+  SELECT v1.i_category, v1.i_brand, {", ".join("v1." + c for c in outlet_cols)}, v1.d_year, v1.d_moy,
+         v1.avg_monthly_sales, CAST(v1.sum_sales AS DOUBLE) AS sum_sales, CAST(v1_lag.sum_sales AS DOUBLE) AS psum,
+         CAST(v1_lead.sum_sales AS DOUBLE) AS nsum
+  FROM v1, v1 v1_lag, v1 v1_lead
+  WHERE {eq.format(x='lag')} AND {eq.format(x='lead')} AND v1.rn = v1_lag.rn + 1 AND v1.rn = v1_lead.rn - 1)
+SELECT * FROM v2
+WHERE d_year = 1999 AND avg_monthly_sales > 0
+  AND CASE WHEN avg_monthly_sales > 0 THEN abs(sum_sales - avg_monthly_sales) / avg_monthly_sales END > 0.1
+ORDER BY sum_sales - avg_monthly_sales, {ord_col}, i_category, i_brand, {oc}, d_moy LIMIT 100"""
+
+
+q("q47", "item store_sales date_dim store", _q47("store_sales", "ss", ["s_store_name", "s_company_name"],
+                                                 "ss_store_sk = s_store_sk", "store", "s_store_name"))
+q("q57", "item catalog_sales date_dim call_center", _q47("catalog_sales", "cs", ["cc_name"],
+                                                         "cs_call_center_sk = cc_call_center_sk", "call_center", "cc_name"))
+
+
+def _q51_body():
+    def v1(fact, p):
+        return f"""SELECT {p}_item_sk AS item_sk, d_date,
+         sum(sum({p}_sales_price)) OVER (PARTITION BY {p}_item_sk ORDER BY d_date
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cume_sales
+  FROM {fact}, date_dim
+  WHERE {p}_sold_date_sk = d_date_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11 AND {p}_item_sk IS NOT NULL
+  GROUP BY {p}_item_sk, d_date"""
+    return f"""
+WITH web_v1 AS ({v1('web_sales', 'ws')}),
+store_v1 AS ({v1('store_sales', 'ss')})
+SELECT item_sk, d_date, CAST(web_sales AS DOUBLE) AS web_sales, CAST(store_sales AS DOUBLE) AS store_sales,
+       CAST(web_cumulative AS DOUBLE) AS web_cumulative, CAST(store_cumulative AS DOUBLE) AS store_cumulative
+FROM (SELECT item_sk, d_date, web_sales, store_sales,
+             max(web_sales) OVER (PARTITION BY item_sk ORDER BY d_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS web_cumulative,
+             max(store_sales) OVER (PARTITION BY item_sk ORDER BY d_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS store_cumulative
+      FROM (SELECT CASE WHEN web.item_sk IS NOT NULL THEN web.item_sk ELSE store.item_sk END AS item_sk,
+                   CASE WHEN web.d_date IS NOT NULL THEN web.d_date ELSE store.d_date END AS d_date,
+                   web.cume_sales AS web_sales, store.cume_sales AS store_sales
+            FROM web_v1 web FULL OUTER JOIN store_v1 store ON (web.item_sk = store.item_sk AND web.d_date = store.d_date)) x) y
+WHERE web_cumulative > store_cumulative
+ORDER BY item_sk, d_date LIMIT 100"""
+
+
+q("q51", "web_sales store_sales date_dim", _q51_body())
+q("q51a", "web_sales store_sales date_dim", """
+WITH web_tv AS (
+  SELECT ws_item_sk AS item_sk, d_date, sum(ws_sales_price) AS sales,
+         row_number() OVER (PARTITION BY ws_item_sk ORDER BY d_date) AS rk
+  FROM web_sales, date_dim
+  WHERE ws_sold_date_sk = d_date_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11 AND ws_item_sk IS NOT NULL
+  GROUP BY ws_item_sk, d_date),
+web_v1 AS (SELECT v1.item_sk, v1.d_date, v1.sales, sum(v2.sales) AS cume_sales
+           FROM web_tv v1, web_tv v2 WHERE v1.item_sk = v2.item_sk AND v1.rk >= v2.rk
+           GROUP BY v1.item_sk, v1.d_date, v1.sales),
+store_tv AS (
+  SELECT ss_item_sk AS item_sk, d_date, sum(ss_sales_price) AS sales,
+         row_number() OVER (PARTITION BY ss_item_sk ORDER BY d_date) AS rk
+  FROM store_sales, date_dim
+  WHERE ss_sold_date_sk = d_date_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11 AND ss_item_sk IS NOT NULL
+  GROUP BY ss_item_sk, d_date),
+store_v1 AS (SELECT v1.item_sk, v1.d_date, v1.sales, sum(v2.sales) AS cume_sales
+             FROM store_tv v1, store_tv v2 WHERE v1.item_sk = v2.item_sk AND v1.rk >= v2.rk
+             GROUP BY v1.item_sk, v1.d_date, v1.sales),
+v AS (SELECT CASE WHEN web.item_sk IS NOT NULL THEN web.item_sk ELSE store.item_sk END AS item_sk,
+             CASE WHEN web.d_date IS NOT NULL THEN web.d_date ELSE store.d_date END AS d_date,
+             web.cume_sales AS web_sales, store.cume_sales AS store_sales,
+             row_number() OVER (PARTITION BY CASE WHEN web.item_sk IS NOT NULL THEN web.item_sk ELSE store.item_sk END
+                                ORDER BY CASE WHEN web.d_date IS NOT NULL THEN web.d_date ELSE store.d_date END) AS rk
+      FROM web_v1 web FULL OUTER JOIN store_v1 store ON (web.item_sk = store.item_sk AND web.d_date = store.d_date))
+SELECT item_sk, d_date, CAST(web_sales AS DOUBLE) AS web_sales, CAST(store_sales AS DOUBLE) AS store_sales,
+       CAST(web_cumulative AS DOUBLE) AS web_cumulative, CAST(store_cumulative AS DOUBLE) AS store_cumulative
+FROM (SELECT v1.item_sk, v1.d_date, v1.web_sales, v1.store_sales, max(v2.web_sales) AS web_cumulative,
+             max(v2.store_sales) AS store_cumulative
+      FROM v v1, v v2 WHERE v1.item_sk = v2.item_sk AND v1.rk >= v2.rk
+      GROUP BY v1.item_sk, v1.d_date, v1.web_sales, v1.store_sales) x
+WHERE web_cumulative > store_cumulative
+ORDER BY item_sk, d_date LIMIT 100""")
+
+_Q53_ITEM = """((i_category IN ('ring', 'bolt', 'gear') AND i_class IN ('economy', 'large', 'medium', 'promo')
+        AND i_brand IN ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#4', 'Brand#5', 'Brand#6', 'Brand#7', 'Brand#8'))
+    OR (i_category IN ('rod', 'plate', 'gizmo') AND i_class IN ('small', 'standard', 'promo', 'economy')
+        AND i_brand IN ('Brand#9', 'Brand#10', 'Brand#11', 'Brand#12', 'Brand#13', 'Brand#14', 'Brand#15', 'Brand#16')))"""
+q("q53", "item store_sales date_dim store", f"""
+SELECT * FROM (
+  SELECT i_manufact_id, CAST(sum(ss_sales_price) AS DOUBLE) AS sum_sales,
+         CAST(sum(sum(ss_sales_price)) OVER (PARTITION BY i_manufact_id) AS DOUBLE)
+           / count(sum(ss_sales_price)) OVER (PARTITION BY i_manufact_id) AS avg_quarterly_sales
+  FROM item, store_sales, date_dim, store
+  WHERE ss_item_sk = i_item_sk AND ss_sold_date_sk = d_date_sk AND ss_store_sk = s_store_sk
+    AND d_month_seq BETWEEN 1176 AND 1176 + 11 AND {_Q53_ITEM}
+  GROUP BY i_manufact_id, d_qoy) tmp1
+WHERE CASE WHEN avg_quarterly_sales > 0 THEN abs(sum_sales - avg_quarterly_sales) / avg_quarterly_sales END > 0.1
+ORDER BY avg_quarterly_sales, sum_sales, i_manufact_id LIMIT 100""")
+q("q63", "item store_sales date_dim store", f"""
+SELECT * FROM (
+  SELECT i_manager_id, CAST(sum(ss_sales_price) AS DOUBLE) AS sum_sales,
+         CAST(sum(sum(ss_sales_price)) OVER (PARTITION BY i_manager_id) AS DOUBLE)
+           / count(sum(ss_sales_price)) OVER (PARTITION BY i_manager_id) AS avg_monthly_sales
+  FROM item, store_sales, date_dim, store
+  WHERE ss_item_sk = i_item_sk AND ss_sold_date_sk = d_date_sk AND ss_store_sk = s_store_sk
+    AND d_month_seq BETWEEN 1176 AND 1176 + 11 AND {_Q53_ITEM}
+  GROUP BY i_manager_id, d_moy) tmp1
+WHERE CASE WHEN avg_monthly_sales > 0 THEN abs(sum_sales - avg_monthly_sales) / avg_monthly_sales END > 0.1
+ORDER BY i_manager_id, avg_monthly_sales, sum_sales LIMIT 100""")
+q("q89", "item store_sales date_dim store", """
+SELECT * FROM (
+  SELECT i_category, i_class, i_brand, s_store_name, s_company_name, d_moy, CAST(sum(ss_sales_price) AS DOUBLE) AS sum_sales,
+         CAST(sum(sum(ss_sales_price)) OVER (PARTITION BY i_category, i_brand, s_store_name, s_company_name) AS DOUBLE)
+           / count(sum(ss_sales_price)) OVER (PARTITION BY i_category, i_brand, s_store_name, s_company_name) AS avg_monthly_sales
+  FROM item, store_sales, date_dim, store
+  WHERE ss_item_sk = i_item_sk AND ss_sold_date_sk = d_date_sk AND ss_store_sk = s_store_sk AND d_year IN (1999)
+    AND ((i_category IN ('ring', 'bolt', 'gear') AND i_class IN ('economy', 'large', 'medium'))
+      OR (i_category IN ('rod', 'plate', 'gizmo') AND i_class IN ('small', 'standard', 'promo')))
+  GROUP BY i_category, i_class, i_brand, s_store_name, s_company_name, d_moy) tmp1
+WHERE CASE WHEN avg_monthly_sales <> 0 THEN abs(sum_sales - avg_monthly_sales) / avg_monthly_sales END > 0.1
+ORDER BY sum_sales - avg_monthly_sales, s_store_name, i_category, i_class, i_brand, s_company_name, d_moy LIMIT 100""")
+
+q("q65", "store item store_sales date_dim", """
+SELECT s_store_name, i_item_desc, CAST(sc.revenue AS DOUBLE) AS revenue, CAST(i_current_price AS DOUBLE) AS i_current_price,
+       CAST(i_wholesale_cost AS DOUBLE) AS i_wholesale_cost, i_brand
+FROM store, item,
+     (SELECT ss_store_sk, CAST(sum(revenue) AS DOUBLE) / count(revenue) AS ave
+      FROM (SELECT ss_store_sk, ss_item_sk, sum(ss_sales_price) AS revenue FROM store_sales, date_dim
+            WHERE ss_sold_date_sk = d_date_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11
+            GROUP BY ss_store_sk, ss_item_sk) sa
+      GROUP BY ss_store_sk) sb,
+     (SELECT ss_store_sk, ss_item_sk, sum(ss_sales_price) AS revenue FROM store_sales, date_dim
+      WHERE ss_sold_date_sk = d_date_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11
+      GROUP BY ss_store_sk, ss_item_sk) sc
+WHERE sb.ss_store_sk = sc.ss_store_sk AND CAST(sc.revenue AS DOUBLE) <= 0.1 * sb.ave
+  AND s_store_sk = sc.ss_store_sk AND i_item_sk = sc.ss_item_sk
+ORDER BY s_store_name, i_item_desc, revenue, i_current_price, i_wholesale_cost, i_brand LIMIT 100""")
+
+_MO = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
+
+
+def _q66_branch(fact, p, price, net):
+    s = ", ".join(f"sum(CASE WHEN d_moy = {i + 1} THEN {price} * {p}_quantity ELSE 0 END) AS {m}_sales"
+                  for i, m in enumerate(_MO))
+    n = ", ".join(f"sum(CASE WHEN d_moy = {i + 1} THEN {net} * {p}_quantity ELSE 0 END) AS {m}_net"
+                  for i, m in enumerate(_MO))
+    return f"""SELECT w_warehouse_name, w_warehouse_sq_ft, w_city, w_county, w_state, w_country,
+         'DHL' || ',' || 'BARIAN' AS ship_carriers, d_year AS year, {s}, {n}
+  FROM {fact}, warehouse, date_dim, time_dim, ship_mode
+  WHERE {p}_warehouse_sk = w_warehouse_sk AND {p}_sold_date_sk = d_date_sk AND {p}_sold_time_sk = t_time_sk
+    AND {p}_ship_mode_sk = sm_ship_mode_sk AND d_year = 2001 AND t_time BETWEEN 30838 AND 30838 + 28800
+    AND sm_carrier IN ('DHL', 'BARIAN')
+  GROUP BY w_warehouse_name, w_warehouse_sq_ft, w_city, w_county, w_state, w_country, d_year"""
+
+
+q("q66", "web_sales catalog_sales warehouse date_dim time_dim ship_mode", f"""
+SELECT w_warehouse_name, w_warehouse_sq_ft, w_city, w_county, w_state, w_country, ship_carriers, year,
+  {", ".join(f"CAST(sum({m}_sales) AS DOUBLE) AS {m}_sales" for m in _MO)},
+  {", ".join(f"sum(CAST({m}_sales AS DOUBLE) / w_warehouse_sq_ft) AS {m}_sales_per_sq_foot" for m in _MO)},
+  {", ".join(f"CAST(sum({m}_net) AS DOUBLE) AS {m}_net" for m in _MO)}
+FROM ({_q66_branch('web_sales', 'ws', 'ws_ext_sales_price', 'ws_net_paid')}
+      UNION ALL {_q66_branch('catalog_sales', 'cs', 'cs_sales_price', 'cs_net_paid_inc_tax')}) x
+GROUP BY w_warehouse_name, w_warehouse_sq_ft, w_city, w_county, w_state, w_country, ship_carriers, year
+ORDER BY w_warehouse_name, w_warehouse_sq_ft, w_city, w_county, w_state, w_country LIMIT 100""")
+
+_Q67_K = "i_category, i_class, i_brand, i_product_name, d_year, d_qoy, d_moy, s_store_id"
+_Q67_FROM = """FROM store_sales, date_dim, store, item
+WHERE ss_sold_date_sk = d_date_sk AND ss_item_sk = i_item_sk AND ss_store_sk = s_store_sk
+  AND d_month_seq BETWEEN 1176 AND 1176 + 11"""
+_Q67_SUM = "CAST(sum(coalesce(ss_sales_price * ss_quantity, 0)) AS DOUBLE) AS sumsales"
+q("q67", "store_sales date_dim store item", f"""
+SELECT * FROM (
+  SELECT {_Q67_K}, sumsales, rank() OVER (PARTITION BY i_category ORDER BY sumsales DESC) AS rk
+  FROM (SELECT {_Q67_K}, {_Q67_SUM} {_Q67_FROM}
+        GROUP BY ROLLUP ({_Q67_K})) dw1) dw2
+WHERE rk <= 100
+ORDER BY {_Q67_K}, sumsales, rk LIMIT 100""")
+
+
+def _q67a_levels():
+    keys = _Q67_K.split(", ")
+    parts = []
+    for n in range(len(keys), -1, -1):
+        sel = ", ".join(keys[:n] + ["NULL"] * (len(keys) - n))
+        grp = f" GROUP BY {', '.join(keys[:n])}" if n else ""
+        parts.append(f"SELECT {sel}, {_Q67_SUM} {_Q67_FROM}{grp}")
+    return "\n  UNION ALL ".join(parts)
+
+
+q("q67a", "store_sales date_dim store item", f"""
+WITH results_rollup AS (
+  {_q67a_levels()})
+SELECT * FROM (
+  SELECT {_Q67_K}, sumsales, rank() OVER (PARTITION BY i_category ORDER BY sumsales DESC) AS rk
+  FROM results_rollup) dw2
+WHERE rk <= 100
+ORDER BY {_Q67_K}, sumsales, rk LIMIT 100""")
+
+
+def _q77_x():
+    dd = "d_date BETWEEN DATE '2000-08-23' AND DATE '2000-08-23' + 30"
+    return f"""
+WITH ss AS (SELECT s_store_sk, sum(ss_ext_sales_price) AS sales, sum(ss_net_profit) AS profit
+            FROM store_sales, date_dim, store WHERE ss_sold_date_sk = d_date_sk AND {dd} AND ss_store_sk = s_store_sk
+            GROUP BY s_store_sk),
+sr AS (SELECT s_store_sk, sum(sr_return_amt) AS returns_, sum(sr_net_loss) AS profit_loss
+       FROM store_returns, date_dim, store WHERE sr_returned_date_sk = d_date_sk AND {dd} AND sr_store_sk = s_store_sk
+       GROUP BY s_store_sk),
+cs AS (SELECT cs_call_center_sk, sum(cs_ext_sales_price) AS sales, sum(cs_net_profit) AS profit
+       FROM catalog_sales, date_dim WHERE cs_sold_date_sk = d_date_sk AND {dd} GROUP BY cs_call_center_sk),
+cr AS (SELECT cr_call_center_sk, sum(cr_return_amount) AS returns_, sum(cr_net_loss) AS profit_loss
+       FROM catalog_returns, date_dim WHERE cr_returned_date_sk = d_date_sk AND {dd} GROUP BY cr_call_center_sk),
+ws AS (SELECT wp_web_page_sk, sum(ws_ext_sales_price) AS sales, sum(ws_net_profit) AS profit
+       FROM web_sales, date_dim, web_page WHERE ws_sold_date_sk = d_date_sk AND {dd} AND ws_web_page_sk = wp_web_page_sk
+       GROUP BY wp_web_page_sk),
+wr AS (SELECT wp_web_page_sk, sum(wr_return_amt) AS returns_, sum(wr_net_loss) AS profit_loss
+       FROM web_returns, date_dim, web_page WHERE wr_returned_date_sk = d_date_sk AND {dd} AND wr_web_page_sk = wp_web_page_sk
+       GROUP BY wp_web_page_sk),
+x AS (SELECT 'store channel' AS channel, ss.s_store_sk AS id, sales, coalesce(returns_, 0) AS returns_,
+             profit - coalesce(profit_loss, 0) AS profit
+      FROM ss LEFT JOIN sr ON ss.s_store_sk = sr.s_store_sk
+      UNION ALL
+      SELECT 'catalog channel', cs_call_center_sk, sales, returns_, profit - profit_loss FROM cs, cr
+      UNION ALL
+      SELECT 'web channel', ws.wp_web_page_sk, sales, coalesce(returns_, 0), profit - coalesce(profit_loss, 0)
+      FROM ws LEFT JOIN wr ON ws.wp_web_page_sk = wr.wp_web_page_sk)"""
+
+
+_T77 = "store_sales store_returns catalog_sales catalog_returns web_sales web_returns date_dim store web_page"
+q("q77", _T77, _q77_x() + f"""
+SELECT channel, id, {_MT} FROM x GROUP BY ROLLUP (channel, id)
+ORDER BY channel, id, sales, returns, profit LIMIT 100""")
+q("q77a", _T77, _q77_x() + f"""
+SELECT * FROM (
+  SELECT channel, id, {_MT} FROM x GROUP BY channel, id
+  UNION SELECT channel, NULL, {_MT} FROM x GROUP BY channel
+  UNION SELECT NULL, NULL, {_MT} FROM x) r
+ORDER BY channel, id, sales, returns, profit LIMIT 100""")
