@@ -1607,3 +1607,224 @@ SELECT * FROM (
   UNION SELECT channel, NULL, {_MT} FROM x GROUP BY channel
   UNION SELECT NULL, NULL, {_MT} FROM x) r
 ORDER BY channel, id, sales, returns, profit LIMIT 100""")
+
+q("q13", "store_sales store customer_demographics household_demographics customer_address date_dim", """
+SELECT CAST(sum(ss_quantity) AS DOUBLE) / count(ss_quantity) AS avg_qty,
+       CAST(sum(ss_ext_sales_price) AS DOUBLE) / count(ss_ext_sales_price) AS avg_ext_sales_price,
+       CAST(sum(ss_ext_wholesale_cost) AS DOUBLE) / count(ss_ext_wholesale_cost) AS avg_ext_wholesale_cost,
+       CAST(sum(ss_ext_wholesale_cost) AS DOUBLE) AS sum_ext_wholesale_cost
+FROM store_sales, store, customer_demographics, household_demographics, customer_address, date_dim
+WHERE s_store_sk = ss_store_sk AND ss_sold_date_sk = d_date_sk AND d_year = 1999
+  AND ((ss_hdemo_sk = hd_demo_sk AND cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'M'
+        AND cd_education_status = 'Advanced Degree' AND ss_sales_price BETWEEN 100.00 AND 150.00 AND hd_dep_count = 3)
+    OR (ss_hdemo_sk = hd_demo_sk AND cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'S'
+        AND cd_education_status = 'College' AND ss_sales_price BETWEEN 50.00 AND 100.00 AND hd_dep_count = 1)
+    OR (ss_hdemo_sk = hd_demo_sk AND cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'W'
+        AND cd_education_status = '2 yr Degree' AND ss_sales_price BETWEEN 150.00 AND 200.00 AND hd_dep_count = 1))
+  AND ((ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('IN', 'KS', 'KY')
+        AND ss_net_profit BETWEEN 100 AND 200)
+    OR (ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('MA', 'MD', 'IA')
+        AND ss_net_profit BETWEEN 150 AND 300)
+    OR (ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('ME', 'CT', 'ID')
+        AND ss_net_profit BETWEEN 50 AND 250))""")
+
+q("q48", "store_sales store customer_demographics customer_address date_dim", """
+SELECT sum(ss_quantity) AS sum_quantity
+FROM store_sales, store, customer_demographics, customer_address, date_dim
+WHERE s_store_sk = ss_store_sk AND ss_sold_date_sk = d_date_sk AND d_year = 1999
+  AND ((cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'M' AND cd_education_status = '4 yr Degree'
+        AND ss_sales_price BETWEEN 100.00 AND 150.00)
+    OR (cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'D' AND cd_education_status = '2 yr Degree'
+        AND ss_sales_price BETWEEN 50.00 AND 100.00)
+    OR (cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'S' AND cd_education_status = 'College'
+        AND ss_sales_price BETWEEN 150.00 AND 200.00))
+  AND ((ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('CO', 'IN', 'KS')
+        AND ss_net_profit BETWEEN 0 AND 2000)
+    OR (ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('MA', 'MD', 'KY')
+        AND ss_net_profit BETWEEN 150 AND 3000)
+    OR (ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('IA', 'CT', 'ME')
+        AND ss_net_profit BETWEEN 50 AND 25000))""")
+
+q("q21", "inventory warehouse item date_dim", """
+SELECT * FROM (
+  SELECT w_warehouse_name, i_item_id,
+         sum(CASE WHEN d_date < DATE '2000-03-11' THEN inv_quantity_on_hand ELSE 0 END) AS inv_before,
+         sum(CASE WHEN d_date >= DATE '2000-03-11' THEN inv_quantity_on_hand ELSE 0 END) AS inv_after
+  FROM inventory, warehouse, item, date_dim
+  WHERE i_current_price BETWEEN 10.0 AND 40.0 AND i_item_sk = inv_item_sk AND inv_warehouse_sk = w_warehouse_sk
+    AND inv_date_sk = d_date_sk AND d_date BETWEEN DATE '2000-03-11' - 30 AND DATE '2000-03-11' + 30
+  GROUP BY w_warehouse_name, i_item_id) x
+WHERE (CASE WHEN inv_before > 0 THEN CAST(inv_after AS DOUBLE) / inv_before END) BETWEEN 2.0 / 3.0 AND 3.0 / 2.0
+ORDER BY w_warehouse_name, i_item_id LIMIT 100""")
+
+_ALLC = ", ".join(f"'NATION_{n} County'" for n in range(25))
+
+
+def _tickets(dom, ratio, cnt, order_sql):
+    return f"""
+SELECT c_last_name, c_first_name, c_salutation, c_preferred_cust_flag, ss_ticket_number, cnt
+FROM (SELECT ss_ticket_number, ss_customer_sk, count(*) AS cnt
+      FROM store_sales, date_dim, store, household_demographics
+      WHERE ss_sold_date_sk = d_date_sk AND ss_store_sk = s_store_sk AND ss_hdemo_sk = hd_demo_sk
+        AND ({dom}) AND (hd_buy_potential = '>10000' OR hd_buy_potential = 'Unknown') AND hd_vehicle_count > 0
+        AND (CASE WHEN hd_vehicle_count > 0 THEN CAST(hd_dep_count AS DOUBLE) / hd_vehicle_count END) > {ratio}
+        AND d_year IN (1999, 1999 + 1, 1999 + 2) AND s_county IN ({_ALLC})
+      GROUP BY ss_ticket_number, ss_customer_sk) dn, customer
+WHERE ss_customer_sk = c_customer_sk AND cnt BETWEEN {cnt}
+ORDER BY {order_sql}"""
+
+
+q("q34", "store_sales date_dim store household_demographics customer", _tickets(
+    "d_dom BETWEEN 1 AND 3 OR d_dom BETWEEN 25 AND 28", 1.2, "2 AND 20",
+    "c_last_name, c_first_name, c_salutation, c_preferred_cust_flag DESC, ss_ticket_number, cnt"))
+q("q73", "store_sales date_dim store household_demographics customer", _tickets(
+    "d_dom BETWEEN 1 AND 2", 1.0, "1 AND 5",
+    "cnt DESC, c_last_name, c_first_name, c_salutation, c_preferred_cust_flag, ss_ticket_number"))
+
+
+def _q39(extra):
+    n = "count(inv_quantity_on_hand)"
+    sd = (f"CASE WHEN {n} > 1 THEN sqrt(CAST({n} * sum(CAST(inv_quantity_on_hand AS BIGINT) * inv_quantity_on_hand)"
+          f" - sum(inv_quantity_on_hand) * sum(inv_quantity_on_hand) AS DOUBLE) / CAST({n} * ({n} - 1) AS DOUBLE)) END")
+    return f"""
+WITH inv AS (
+  SELECT w_warehouse_name, w_warehouse_sk, i_item_sk, d_moy, stdev, mean,
+         CASE mean WHEN 0 THEN NULL ELSE stdev / mean END AS cov
+  FROM (SELECT w_warehouse_name, w_warehouse_sk, inv_item_sk AS i_item_sk, d_moy, {sd} AS stdev,
+               CAST(sum(inv_quantity_on_hand) AS DOUBLE) / {n} AS mean
+        FROM inventory, warehouse, date_dim
+        WHERE inv_warehouse_sk = w_warehouse_sk AND inv_date_sk = d_date_sk AND d_year = 2000
+        GROUP BY w_warehouse_name, w_warehouse_sk, inv_item_sk, d_moy) foo
+  WHERE CASE mean WHEN 0 THEN 0 ELSE stdev / mean END > 0.5)
+SELECT inv1.w_warehouse_sk AS w_warehouse_sk1, inv1.i_item_sk AS i_item_sk1, inv1.d_moy AS d_moy1, inv1.mean AS mean1,
+       inv1.cov AS cov1, inv2.w_warehouse_sk AS w_warehouse_sk2, inv2.i_item_sk AS i_item_sk2, inv2.d_moy AS d_moy2,
+       inv2.mean AS mean2, inv2.cov AS cov2
+FROM inv inv1, inv inv2
+WHERE inv1.i_item_sk = inv2.i_item_sk AND inv1.w_warehouse_sk = inv2.w_warehouse_sk AND inv1.d_moy = 1
+  AND inv2.d_moy = 1 + 1{extra}
+ORDER BY w_warehouse_sk1, i_item_sk1, d_moy1, mean1, cov1, d_moy2, mean2, cov2"""
+
+
+q("q39_1", "inventory warehouse date_dim", _q39(""))
+q("q39_2", "inventory warehouse date_dim", _q39(" AND inv1.cov > 0.6"))
+
+
+def _moved(date_cond, hd_cond, store_cond, sums, sel, order_sql):
+    return f"""
+SELECT c_last_name, c_first_name, current_addr.ca_city, bought_city, ss_ticket_number, {sel}
+FROM (SELECT ss_ticket_number, ss_customer_sk, ca_city AS bought_city, {sums}
+      FROM store_sales, date_dim, store, household_demographics, customer_address
+      WHERE ss_sold_date_sk = d_date_sk AND ss_store_sk = s_store_sk AND ss_hdemo_sk = hd_demo_sk
+        AND ss_addr_sk = ca_address_sk AND ({hd_cond}) AND {date_cond} AND {store_cond}
+      GROUP BY ss_ticket_number, ss_customer_sk, ss_addr_sk, ca_city) dn, customer, customer_address current_addr
+WHERE ss_customer_sk = c_customer_sk AND c_current_addr_sk = current_addr.ca_address_sk
+  AND current_addr.ca_city <> bought_city
+ORDER BY {order_sql} LIMIT 100"""
+
+
+_CITIES5 = "s_city IN ('Fairview', 'Midway', 'Riverside', 'Salem', 'Greenwood')"
+_TM = "store_sales date_dim store household_demographics customer_address customer"
+q("q46", _TM, _moved("d_dow IN (6, 0) AND d_year IN (1999, 1999 + 1, 1999 + 2)",
+                     "hd_dep_count = 4 OR hd_vehicle_count = 3", _CITIES5,
+                     "CAST(sum(ss_coupon_amt) AS DOUBLE) AS amt, CAST(sum(ss_net_profit) AS DOUBLE) AS profit",
+                     "amt, profit", "c_last_name, c_first_name, ca_city, bought_city, ss_ticket_number, amt, profit"))
+q("q68", _TM, _moved("d_dom BETWEEN 1 AND 2 AND d_year IN (1999, 1999 + 1, 1999 + 2)",
+                     "hd_dep_count = 4 OR hd_vehicle_count = 3", _CITIES5,
+                     "CAST(sum(ss_ext_sales_price) AS DOUBLE) AS extended_price, "
+                     "CAST(sum(ss_ext_list_price) AS DOUBLE) AS list_price, CAST(sum(ss_ext_tax) AS DOUBLE) AS extended_tax",
+                     "extended_price, extended_tax, list_price",
+                     "c_last_name, ss_ticket_number, c_first_name, ca_city, bought_city, extended_price, extended_tax, list_price"))
+
+q("q79", "store_sales date_dim store household_demographics customer", """
+SELECT c_last_name, c_first_name, substr(s_city, 1, 30) AS city, ss_ticket_number, amt, profit
+FROM (SELECT ss_ticket_number, ss_customer_sk, s_city, CAST(sum(ss_coupon_amt) AS DOUBLE) AS amt,
+             CAST(sum(ss_net_profit) AS DOUBLE) AS profit
+      FROM store_sales, date_dim, store, household_demographics
+      WHERE ss_sold_date_sk = d_date_sk AND ss_store_sk = s_store_sk AND ss_hdemo_sk = hd_demo_sk
+        AND (hd_dep_count = 6 OR hd_vehicle_count > 2) AND d_dow = 1 AND d_year IN (1999, 1999 + 1, 1999 + 2)
+        AND s_number_employees BETWEEN 200 AND 295
+      GROUP BY ss_ticket_number, ss_customer_sk, ss_addr_sk, s_city) ms, customer
+WHERE ss_customer_sk = c_customer_sk
+ORDER BY c_last_name, c_first_name, city, profit, ss_ticket_number, amt LIMIT 100""")
+
+
+def _lat(fact, p, outlet, okey, fk, oname):
+    lag = f"{p}_ship_date_sk - {p}_sold_date_sk"
+    return f"""
+SELECT substr(w_warehouse_name, 1, 20) AS warehouse, sm_type, {oname},
+  sum(CASE WHEN {lag} <= 30 THEN 1 ELSE 0 END) AS days_30,
+  sum(CASE WHEN {lag} > 30 AND {lag} <= 60 THEN 1 ELSE 0 END) AS days_31_60,
+  sum(CASE WHEN {lag} > 60 AND {lag} <= 90 THEN 1 ELSE 0 END) AS days_61_90,
+  sum(CASE WHEN {lag} > 90 AND {lag} <= 120 THEN 1 ELSE 0 END) AS days_91_120,
+  sum(CASE WHEN {lag} > 120 THEN 1 ELSE 0 END) AS days_over_120
+FROM {fact}, warehouse, ship_mode, {outlet}, date_dim
+WHERE d_month_seq BETWEEN 1176 AND 1176 + 11 AND {p}_ship_date_sk = d_date_sk AND {p}_warehouse_sk = w_warehouse_sk
+  AND {p}_ship_mode_sk = sm_ship_mode_sk AND {fk} = {okey}
+GROUP BY substr(w_warehouse_name, 1, 20), sm_type, {oname}
+ORDER BY warehouse, sm_type, {oname} LIMIT 100"""
+
+
+q("q62", "web_sales warehouse ship_mode web_site date_dim",
+  _lat("web_sales", "ws", "web_site", "web_site_sk", "ws_web_site_sk", "web_name"))
+q("q99", "catalog_sales warehouse ship_mode call_center date_dim",
+  _lat("catalog_sales", "cs", "call_center", "cc_call_center_sk", "cs_call_center_sk", "cc_name"))
+
+q("q84", "customer customer_address customer_demographics household_demographics income_band store_returns", """
+SELECT c_customer_id AS customer_id, coalesce(c_last_name, '') || ', ' || coalesce(c_first_name, '') AS customername
+FROM customer, customer_address, customer_demographics, household_demographics, income_band, store_returns
+WHERE ca_city = 'Fairview' AND c_current_addr_sk = ca_address_sk AND ib_lower_bound >= 20000
+  AND ib_upper_bound <= 20000 + 50000 AND ib_income_band_sk = hd_income_band_sk AND cd_demo_sk = c_current_cdemo_sk
+  AND hd_demo_sk = c_current_hdemo_sk AND sr_cdemo_sk = cd_demo_sk
+ORDER BY customer_id, customername LIMIT 100""")
+
+q("q64", "catalog_sales catalog_returns store_sales store_returns date_dim store customer customer_demographics promotion household_demographics customer_address income_band item", """
+WITH cs_ui AS (
+  SELECT cs_item_sk, sum(cs_ext_list_price) AS sale, sum(cr_refunded_cash + cr_reversed_charge + cr_store_credit) AS refund
+  FROM catalog_sales, catalog_returns
+  WHERE cs_item_sk = cr_item_sk AND cs_order_number = cr_order_number
+  GROUP BY cs_item_sk
+  HAVING sum(cs_ext_list_price) > 2 * sum(cr_refunded_cash + cr_reversed_charge + cr_store_credit)),
+cross_sales AS (
+  SELECT i_product_name AS product_name, i_item_sk AS item_sk, s_store_name AS store_name, s_zip AS store_zip,
+         ad1.ca_street_number AS b_street_number, ad1.ca_street_name AS b_street_name, ad1.ca_city AS b_city,
+         ad1.ca_zip AS b_zip, ad2.ca_street_number AS c_street_number, ad2.ca_street_name AS c_street_name,
+         ad2.ca_city AS c_city, ad2.ca_zip AS c_zip, d1.d_year AS syear, d2.d_year AS fsyear, d3.d_year AS s2year,
+         count(*) AS cnt, sum(ss_wholesale_cost) AS s1, sum(ss_list_price) AS s2, sum(ss_coupon_amt) AS s3
+  FROM store_sales, store_returns, cs_ui, date_dim d1, date_dim d2, date_dim d3, store, customer,
+       customer_demographics cd1, customer_demographics cd2, promotion, household_demographics hd1,
+       household_demographics hd2, customer_address ad1, customer_address ad2, income_band ib1, income_band ib2, item
+  WHERE ss_store_sk = s_store_sk AND ss_sold_date_sk = d1.d_date_sk AND ss_customer_sk = c_customer_sk
+    AND ss_cdemo_sk = cd1.cd_demo_sk AND ss_hdemo_sk = hd1.hd_demo_sk AND ss_addr_sk = ad1.ca_address_sk
+    AND ss_item_sk = i_item_sk AND ss_item_sk = sr_item_sk AND ss_ticket_number = sr_ticket_number
+    AND ss_item_sk = cs_ui.cs_item_sk AND c_current_cdemo_sk = cd2.cd_demo_sk AND c_current_hdemo_sk = hd2.hd_demo_sk
+    AND c_current_addr_sk = ad2.ca_address_sk AND c_first_sales_date_sk = d2.d_date_sk
+    AND c_first_shipto_date_sk = d3.d_date_sk AND ss_promo_sk = p_promo_sk
+    AND hd1.hd_income_band_sk = ib1.ib_income_band_sk AND hd2.hd_income_band_sk = ib2.ib_income_band_sk
+    AND cd1.cd_marital_status <> cd2.cd_marital_status
+    AND i_color IN ('blue', 'red', 'cold', 'hot', 'new', 'old')
+    AND i_current_price BETWEEN 20 AND 20 + 10 AND i_current_price BETWEEN 20 + 1 AND 20 + 15
+  GROUP BY i_product_name, i_item_sk, s_store_name, s_zip, ad1.ca_street_number, ad1.ca_street_name, ad1.ca_city,
+           ad1.ca_zip, ad2.ca_street_number, ad2.ca_street_name, ad2.ca_city, ad2.ca_zip, d1.d_year, d2.d_year, d3.d_year)
+SELECT cs1.product_name, cs1.store_name, cs1.store_zip, cs1.b_street_number, cs1.b_street_name, cs1.b_city, cs1.b_zip,
+       cs1.c_street_number, cs1.c_street_name, cs1.c_city, cs1.c_zip, cs1.syear, cs1.cnt,
+       CAST(cs1.s1 AS DOUBLE) AS s11, CAST(cs1.s2 AS DOUBLE) AS s21, CAST(cs1.s3 AS DOUBLE) AS s31,
+       CAST(cs2.s1 AS DOUBLE) AS s12, CAST(cs2.s2 AS DOUBLE) AS s22, CAST(cs2.s3 AS DOUBLE) AS s32,
+       cs2.syear AS syear2, cs2.cnt AS cnt2
+FROM cross_sales cs1, cross_sales cs2
+WHERE cs1.item_sk = cs2.item_sk AND cs1.syear = 1999 AND cs2.syear = 1999 + 1 AND cs2.cnt <= cs1.cnt
+  AND cs1.store_name = cs2.store_name AND cs1.store_zip = cs2.store_zip
+ORDER BY cs1.product_name, cs1.store_name, cnt2, s11, s12""")
+
+q("q80a", "store_sales store_returns catalog_sales catalog_returns web_sales web_returns date_dim store catalog_page web_site item promotion",
+  SQL["q80"][1].replace("""GROUP BY ROLLUP (channel, id)""", "GROUP BY channel, id").replace(
+      """SELECT channel, id, CAST(sum(sales) AS DOUBLE) AS sales, CAST(sum(returns_) AS DOUBLE) AS returns,
+       CAST(sum(profit) AS DOUBLE) AS profit
+FROM (""", """, x AS (""").replace(
+      """) x
+GROUP BY channel, id
+ORDER BY""", f""")
+SELECT * FROM (
+  SELECT channel, id, {_MT} FROM x GROUP BY channel, id
+  UNION SELECT channel, NULL, {_MT} FROM x GROUP BY channel
+  UNION SELECT NULL, NULL, {_MT} FROM x) r
+ORDER BY"""))

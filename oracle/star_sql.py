@@ -121,6 +121,7 @@ def _yn(cond: str) -> str:
     return f"CASE WHEN {cond} THEN 'Y' ELSE 'N' END"
 
 
+_PCDEMO = f"((ck + CASE WHEN onum % 7 = 0 THEN onum % 13 + 1 ELSE 0 END) % {S.N_CDEMO} + 1)"
 _ADDR = "((CASE WHEN onum % 4 = 0 THEN (ck * 31 + onum) % n_cust ELSE ck END) + 1)"
 
 # name -> (SQL body, dependencies)
@@ -147,7 +148,7 @@ CTES["store_sales"] = (f"""SELECT sold AS ss_sold_date_sk,
   CAST((onum * 7919 + ln * 1047) % 86400 AS INTEGER) AS ss_sold_time_sk,
   CAST(pk + 1 AS INTEGER) AS ss_item_sk,
   {nullk('ck + 1', 1)} AS ss_customer_sk,
-  {nullk(f'ck % {S.N_CDEMO} + 1', 2)} AS ss_cdemo_sk,
+  {nullk(_PCDEMO, 2)} AS ss_cdemo_sk,
   {nullk(f'(ck * 7) % {S.N_HDEMO} + 1', 3)} AS ss_hdemo_sk,
   {nullk(_ADDR, 4)} AS ss_addr_sk,
   {nullk(f'sk % {S.N_STORE_MAX} + 1', 5)} AS ss_store_sk,
@@ -158,7 +159,7 @@ FROM _store_priced""", ["_store_priced"])
 CTES["store_returns"] = (f"""SELECT r_date AS sr_returned_date_sk, r_time AS sr_return_time_sk,
   CAST(pk + 1 AS INTEGER) AS sr_item_sk,
   {nullk('ck + 1', 1)} AS sr_customer_sk,
-  {nullk(f'ck % {S.N_CDEMO} + 1', 2)} AS sr_cdemo_sk,
+  {nullk(_PCDEMO, 2)} AS sr_cdemo_sk,
   {nullk(f'(ck * 7) % {S.N_HDEMO} + 1', 3)} AS sr_hdemo_sk,
   {nullk(_ADDR, 4)} AS sr_addr_sk,
   {nullk(f'sk % {S.N_STORE_MAX} + 1', 5)} AS sr_store_sk,

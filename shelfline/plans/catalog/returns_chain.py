@@ -315,9 +315,7 @@ def _channel_net(st, sales, rets, p, r, on_s, on_r, ramt, rloss, outlet_join, ou
         F.sum(F.col(f"{p}_net_profit") - F.coalesce(F.col(rloss), F.lit(0))).alias("profit"))
 
 
-@star_query("q80", price_min=20)
-def q80(st, start="2000-08-23", price_min=50):
-    """Sales/returns/profit per outlet and channel with a ROLLUP (channel, id)."""
+def _q80_union(st, start, price_min):
     ssr = _channel_net(st, "store_sales", "store_returns", "ss", "sr", "ss_ticket_number", "sr_ticket_number",
                        "sr_return_amt", "sr_net_loss", st.store.select("s_store_sk", "s_store_id"), "ss_store_sk",
                        "s_store_id", start, price_min)
@@ -328,18 +326,37 @@ def q80(st, start="2000-08-23", price_min=50):
     wsr = _channel_net(st, "web_sales", "web_returns", "ws", "wr", "ws_order_number", "wr_order_number",
                        "wr_return_amt", "wr_net_loss", st.web_site.select("web_site_sk", "web_site_id"),
                        "ws_web_site_sk", "web_site_id", start, price_min)
-    u = (ssr.select(F.lit("store channel").alias("channel"), F.concat(F.lit("store"), "oid").alias("id"),
-                    "sales", "returns_", "profit")
-         .unionByName(csr.select(F.lit("catalog channel").alias("channel"),
-                                 F.concat(F.lit("catalog_page"), "oid").alias("id"), "sales", "returns_", "profit"))
-         .unionByName(wsr.select(F.lit("web channel").alias("channel"), F.concat(F.lit("web_site"), "oid").alias("id"),
-                                 "sales", "returns_", "profit")))
-    g = u.rollup("channel", "id").agg(F.sum("sales").cast("double").alias("sales"),
-                                      F.sum("returns_").cast("double").alias("returns"),
-                                      F.sum("profit").cast("double").alias("profit"))
+    return (ssr.select(F.lit("store channel").alias("channel"), F.concat(F.lit("store"), "oid").alias("id"),
+                       "sales", "returns_", "profit")
+            .unionByName(csr.select(F.lit("catalog channel").alias("channel"),
+                                    F.concat(F.lit("catalog_page"), "oid").alias("id"), "sales", "returns_", "profit"))
+            .unionByName(wsr.select(F.lit("web channel").alias("channel"), F.concat(F.lit("web_site"), "oid").alias("id"),
+                                    "sales", "returns_", "profit")))
+
+
+_TOT = [("sales", "sales"), ("returns_", "returns"), ("profit", "profit")]
+
+
+@star_query("q80", price_min=20)
+def q80(st, start="2000-08-23", price_min=50):
+    """Sales/returns/profit per outlet and channel with a ROLLUP (channel, id)."""
+    u = _q80_union(st, start, price_min)
+    g = u.rollup("channel", "id").agg(*[F.sum(c).cast("double").alias(a) for c, a in _TOT])
     return topk(g, 100, "channel", "id", "sales", "returns", "profit")
 
 
+@star_query("q80a", price_min=20)
+def q80a(st, start="2000-08-23", price_min=50):
+    """q80 with the levels written as UNION (distinct) of detail, channel and total."""
+    u = _q80_union(st, start, price_min)
+    aggs = [F.sum(c).cast("double").alias(a) for c, a in _TOT]
+    d = u.groupBy("channel", "id").agg(*aggs)
+    c = u.groupBy("channel").agg(*aggs).select("channel", F.lit(None).cast("string").alias("id"), "sales", "returns", "profit")
+    t = u.agg(*aggs).select(F.lit(None).cast("string").alias("channel"), F.lit(None).cast("string").alias("id"),
+                            "sales", "returns", "profit")
+    return topk(d.unionByName(c).unionByName(t).distinct(), 100, "channel", "id", "sales", "returns", "profit")
+
+
 @star_query("q85", year=1999)
 def q85(st, year=2000):
     """Average quantity/refund/fee of web returns by reason for demographic x

@@ -40,7 +40,7 @@ from shelfline.session import scratch_dir
 from shelfline.sources.tables import read_table
 
 # Bump whenever a derivation rule changes: it keys the materialised copy.
-STAR_VERSION = "4"
+STAR_VERSION = "5"
 
 JD_1998 = 2450815          # date key of 1998-01-01 (Julian day number)
 DATE_LO, DATE_DAYS = "1994-01-01", 3652   # calendar 1994-01-01 .. 2003-12-31
@@ -212,6 +212,13 @@ _RET_MONEY = ["r_amt", "r_tax", "r_amt_inc_tax", "r_fee", "r_ship", "r_cash", "r
               "r_credit", "r_loss"]
 
 
+def _purchase_cdemo(on: Column, ck: Column) -> Column:
+    """Demographics recorded at purchase: the customer's current profile,
+    except every 7th ticket, which carries an older (different) profile."""
+    shift = F.when(F.pmod(on, F.lit(7)) == 0, F.pmod(on, F.lit(13)) + 1).otherwise(F.lit(0))
+    return F.pmod(ck + shift, F.lit(N_CDEMO)) + 1
+
+
 def _ship_ck(on: Column, ck: Column, n_cust: Column) -> Column:
     """Gift orders (order % 10 == 0) ship to another customer."""
     return F.when(F.pmod(on, F.lit(10)) == 0, F.pmod(ck * 7 + on, n_cust)).otherwise(ck)
@@ -244,7 +251,7 @@ class StarBuilder:
             F.pmod(on * 7919 + F.col("ln") * 1047, F.lit(86400)).cast("int").alias("ss_sold_time_sk"),
             (pk + 1).cast("int").alias("ss_item_sk"),
             null_when(ck + 1, on, pk, 1).alias("ss_customer_sk"),
-            null_when(F.pmod(ck, F.lit(N_CDEMO)) + 1, on, pk, 2).alias("ss_cdemo_sk"),
+            null_when(_purchase_cdemo(on, ck), on, pk, 2).alias("ss_cdemo_sk"),
             null_when(F.pmod(ck * 7, F.lit(N_HDEMO)) + 1, on, pk, 3).alias("ss_hdemo_sk"),
             null_when(addr, on, pk, 4).alias("ss_addr_sk"),
             null_when(F.pmod(F.col("sk"), F.lit(N_STORE_MAX)) + 1, on, pk, 5).alias("ss_store_sk"),
@@ -270,7 +277,7 @@ class StarBuilder:
             F.col("r_time").alias("sr_return_time_sk"),
             (pk + 1).cast("int").alias("sr_item_sk"),
             null_when(ck + 1, on, pk, 1).alias("sr_customer_sk"),
-            null_when(F.pmod(ck, F.lit(N_CDEMO)) + 1, on, pk, 2).alias("sr_cdemo_sk"),
+            null_when(_purchase_cdemo(on, ck), on, pk, 2).alias("sr_cdemo_sk"),
             null_when(F.pmod(ck * 7, F.lit(N_HDEMO)) + 1, on, pk, 3).alias("sr_hdemo_sk"),
             null_when(addr, on, pk, 4).alias("sr_addr_sk"),
             null_when(F.pmod(F.col("sk"), F.lit(N_STORE_MAX)) + 1, on, pk, 5).alias("sr_store_sk"),
