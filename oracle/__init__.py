@@ -8,4 +8,5 @@ def all_sql() -> dict[str, str]:
     from oracle.star_sql import star_query
     out = {k: star_query(t, b) for k, (t, b) in catalog_sql.SQL.items()}
     out.update(operators_sql.SQL)
+    out.update({k: star_query(t.split(), b) for k, (t, b) in operators_sql.STAR_SQL.items()})
     return out

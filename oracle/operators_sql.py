@@ -3,3 +3,317 @@
 from __future__ import annotations
 
 SQL: dict[str, str] = {}
+STAR_SQL: dict[str, tuple[str, str]] = {}   # key -> (star tables, body)
+
+DEC = "CAST({} AS DECIMAL(12,2))".format
+REV = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
+YR = "year(CAST({} AS DATE))".format
+
+SQL["join_star"] = f"""
+SELECT n_name, p_brand, CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) AS revenue, count(*) AS lines
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+     JOIN part ON l_partkey = p_partkey
+WHERE {YR('l_shipdate')} = 1997 GROUP BY n_name, p_brand"""
+SQL["join_fact_fact"] = f"""
+SELECT o_orderpriority, l_returnflag, count(*) AS lines, CAST(sum({REV}) AS DOUBLE) AS revenue,
+       count(DISTINCT o_orderkey) AS orders
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority, l_returnflag"""
+SQL["join_left"] = f"""
+SELECT c_count, count(*) AS custdist
+FROM (SELECT c_custkey, count(o_orderkey) AS c_count
+      FROM customer LEFT OUTER JOIN (SELECT o_custkey, o_orderkey FROM orders WHERE {YR('o_orderdate')} = 1998) o
+           ON c_custkey = o_custkey
+      GROUP BY c_custkey) c
+GROUP BY c_count"""
+SQL["join_full"] = f"""
+SELECT coalesce(a.o_custkey, b.o_custkey) AS custkey, coalesce(a.n1, 0) AS orders_y1, coalesce(b.n2, 0) AS orders_y2
+FROM (SELECT o_custkey, count(*) AS n1 FROM orders WHERE {YR('o_orderdate')} = 1996 GROUP BY o_custkey) a
+FULL OUTER JOIN (SELECT o_custkey, count(*) AS n2 FROM orders WHERE {YR('o_orderdate')} = 1997 GROUP BY o_custkey) b
+  ON a.o_custkey = b.o_custkey"""
+SQL["join_semi"] = """
+SELECT c_mktsegment, count(*) AS customers FROM customer c
+WHERE EXISTS (SELECT * FROM orders o WHERE o.o_custkey = c.c_custkey AND o_totalprice > 300000.0)
+GROUP BY c_mktsegment"""
+SQL["join_anti"] = f"""
+SELECT p_brand, count(*) AS parts FROM part p
+WHERE NOT EXISTS (SELECT * FROM lineitem l WHERE l.l_partkey = p.p_partkey AND {YR('l_shipdate')} = 1998)
+GROUP BY p_brand"""
+SQL["join_anti_null"] = """
+SELECT o_orderstatus, count(*) AS orders
+FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R') r ON o_orderkey = r.l_orderkey
+WHERE r.l_orderkey IS NULL GROUP BY o_orderstatus"""
+SQL["join_mark"] = """
+SELECT c_nationkey, count(*) AS customers FROM customer c
+WHERE EXISTS (SELECT * FROM orders o WHERE o.o_custkey = c.c_custkey AND o_orderpriority = '1-URGENT')
+   OR c_acctbal > 9000.0
+GROUP BY c_nationkey"""
+SQL["join_semi_theta"] = """
+SELECT l_returnflag, count(*) AS lines FROM lineitem l1
+WHERE EXISTS (SELECT * FROM lineitem l2 WHERE l2.l_orderkey = l1.l_orderkey AND l2.l_suppkey <> l1.l_suppkey)
+GROUP BY l_returnflag"""
+SQL["join_theta"] = f"""
+SELECT {YR('o_orderdate')} AS order_year, count(*) AS early_lines
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND CAST(l_shipdate AS DATE) < CAST(o_orderdate AS DATE)
+GROUP BY order_year"""
+SQL["join_cross"] = f"""
+SELECT avg_r, avg_n, avg_r / avg_n AS ratio
+FROM (SELECT CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) / count(*) AS avg_r FROM lineitem WHERE l_returnflag = 'R') r,
+     (SELECT CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) / count(*) AS avg_n FROM lineitem WHERE l_returnflag = 'N') n"""
+SQL["join_self_offset"] = f"""
+WITH y AS (SELECT s_nationkey, {YR('l_shipdate')} AS yr, sum({DEC('l_extendedprice')}) AS rev
+           FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey, yr)
+SELECT cur.s_nationkey, cur.yr, CAST(cur.rev AS DOUBLE) AS revenue, CAST(prev.rev AS DOUBLE) AS prev_revenue
+FROM y cur JOIN y prev ON cur.s_nationkey = prev.s_nationkey AND cur.yr = prev.yr + 1"""
+STAR_SQL["join_asof_scd"] = ("store_sales item date_dim", """
+SELECT i.i_rec_start_date, count(*) AS sales, CAST(sum(ss_ext_sales_price) AS DOUBLE) AS revenue
+FROM store_sales JOIN item sold ON ss_item_sk = sold.i_item_sk
+     JOIN date_dim ON ss_sold_date_sk = d_date_sk
+     JOIN item i ON sold.i_item_id = i.i_item_id AND d_date >= i.i_rec_start_date
+                AND d_date <= coalesce(i.i_rec_end_date, DATE '9999-12-31')
+GROUP BY i.i_rec_start_date""")
+SQL["join_triangular"] = f"""
+WITH o AS (SELECT o_custkey, o_orderkey, {DEC('o_totalprice')} AS tp FROM orders)
+SELECT a.o_custkey, a.o_orderkey, count(*) AS n_so_far, CAST(sum(b.tp) AS DOUBLE) AS spent_so_far
+FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND a.o_orderkey >= b.o_orderkey
+GROUP BY a.o_custkey, a.o_orderkey"""
+SQL["join_roles"] = f"""
+SELECT n1.n_name AS cust_nation, n2.n_name AS supp_nation, CAST(sum({REV}) AS DOUBLE) AS revenue
+FROM lineitem, orders, customer, nation n1, region, supplier, nation n2
+WHERE l_orderkey = o_orderkey AND o_custkey = c_custkey AND c_nationkey = n1.n_nationkey
+  AND n1.n_regionkey = r_regionkey AND r_name = 'EUROPE' AND l_suppkey = s_suppkey
+  AND s_nationkey = n2.n_nationkey AND n1.n_name <> n2.n_name
+GROUP BY cust_nation, supp_nation"""
+SQL["join_or_factored"] = f"""
+SELECT CAST(sum({REV}) AS DOUBLE) AS revenue, count(*) AS lines
+FROM lineitem, part
+WHERE (p_partkey = l_partkey AND p_brand = 'Brand#12' AND l_quantity BETWEEN 1 AND 11 AND p_size BETWEEN 1 AND 5)
+   OR (p_partkey = l_partkey AND p_brand = 'Brand#23' AND l_quantity BETWEEN 10 AND 20 AND p_size BETWEEN 1 AND 10)
+   OR (p_partkey = l_partkey AND p_brand = 'Brand#3' AND l_quantity BETWEEN 20 AND 30 AND p_size BETWEEN 1 AND 15)"""
+
+SQL["filter_predicates"] = f"""
+SELECT l_returnflag, count(*) AS lines, CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) AS price
+FROM lineitem
+WHERE l_quantity BETWEEN 10 AND 30 AND l_returnflag IN ('A', 'R') AND (l_discount >= 0.05 OR l_tax = 0.0)
+  AND NOT (l_linestatus = 'O')
+GROUP BY l_returnflag"""
+SQL["filter_like"] = "SELECT p_brand, count(*) AS parts FROM part WHERE p_name LIKE 'blue%' GROUP BY p_brand"
+STAR_SQL["filter_null"] = ("store_sales", """
+SELECT ss_store_sk IS NULL AS store_missing, count(*) AS lines,
+       sum(CASE WHEN ss_customer_sk IS NULL THEN 1 ELSE 0 END) AS customer_missing,
+       sum(CASE WHEN ss_promo_sk IS NOT NULL THEN 1 ELSE 0 END) AS promo_present
+FROM store_sales GROUP BY store_missing""")
+SQL["subq_scalar"] = f"""
+SELECT o_orderpriority, count(*) AS orders FROM orders
+WHERE CAST({DEC('o_totalprice')} AS DOUBLE) > (SELECT CAST(sum({DEC('o_totalprice')}) AS DOUBLE) / count(*) FROM orders)
+GROUP BY o_orderpriority"""
+SQL["subq_corr_agg"] = f"""
+SELECT count(*) AS lines, CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) AS price FROM lineitem l1
+WHERE l_quantity > (SELECT 1.5 * (CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / count(l_quantity))
+                    FROM lineitem l2 WHERE l2.l_partkey = l1.l_partkey)"""
+SQL["subq_corr_count"] = """
+SELECT p_type, count(*) AS parts FROM part
+WHERE (SELECT count(*) FROM lineitem WHERE l_partkey = p_partkey
+         AND ((l_discount >= 0.09 AND l_quantity > 45) OR (l_tax = 0.0 AND l_returnflag = 'R'))) > 0
+GROUP BY p_type"""
+SQL["subq_nested_in"] = """
+SELECT c_mktsegment, count(*) AS customers FROM customer
+WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderkey IN (
+        SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45))
+GROUP BY c_mktsegment"""
+
+
+def _subq_case():
+    th = (11000, 13000, 11500, 12500, 12000)
+    parts = []
+    for b in range(5):
+        lo, hi = 10 * b + 1, 10 * b + 10
+        w = f"FROM lineitem WHERE l_quantity BETWEEN {lo} AND {hi}"
+        parts.append(f"""CASE WHEN (SELECT count(*) {w}) > {th[b]}
+  THEN (SELECT CAST(sum(CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) / count(*) {w})
+  ELSE (SELECT CAST(sum(CAST(l_tax AS DECIMAL(4,2))) AS DOUBLE) / count(*) {w}) END AS bucket{b + 1}""")
+    return "SELECT " + ",\n".join(parts)
+
+
+SQL["subq_case"] = _subq_case()
+SQL["cte_reuse"] = f"""
+WITH spend AS (SELECT o_custkey, sum({DEC('o_totalprice')}) AS spend FROM orders GROUP BY o_custkey)
+SELECT o_custkey, CAST(spend AS DOUBLE) AS spend FROM spend
+WHERE CAST(spend AS DOUBLE) > 2 * (SELECT CAST(sum(spend) AS DOUBLE) / count(spend) FROM spend)
+ORDER BY spend DESC, o_custkey LIMIT 100"""
+SQL["filter_guarded_ratio"] = """
+SELECT l_partkey, ret_qty, qty, CASE WHEN qty > 0 THEN CAST(ret_qty AS DOUBLE) / qty END AS ratio
+FROM (SELECT l_partkey, sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END) AS ret_qty,
+             sum(CAST(l_quantity AS BIGINT)) AS qty
+      FROM lineitem GROUP BY l_partkey) g
+WHERE CASE WHEN qty > 0 THEN CAST(ret_qty AS DOUBLE) / qty END > 0.3"""
+
+SQL["agg_basic"] = f"""
+SELECT l_returnflag, l_linestatus, sum(CAST(l_quantity AS BIGINT)) AS sum_qty,
+       CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) AS sum_base_price, CAST(sum({REV}) AS DOUBLE) AS sum_disc_price,
+       CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / count(*) AS avg_qty,
+       CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) / count(*) AS avg_price,
+       CAST(sum(CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) / count(*) AS avg_disc, count(*) AS count_order
+FROM lineitem WHERE CAST(l_shipdate AS DATE) <= DATE '1998-09-02'
+GROUP BY l_returnflag, l_linestatus"""
+SQL["agg_global"] = f"""
+SELECT count(*) AS lines, CAST(sum({REV}) AS DOUBLE) AS revenue, min(l_quantity) AS min_qty, max(l_quantity) AS max_qty
+FROM lineitem WHERE {YR('l_shipdate')} = 1996"""
+SQL["agg_count_distinct"] = """
+SELECT c_nationkey, count(DISTINCT o_custkey) AS customers, count(*) AS orders
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey"""
+_N = "count(l_quantity)"
+_SD = (f"CASE WHEN {_N} > 1 THEN sqrt(CAST({_N} * sum(CAST(l_quantity AS BIGINT) * CAST(l_quantity AS BIGINT))"
+       f" - sum(CAST(l_quantity AS BIGINT)) * sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / CAST({_N} * ({_N} - 1) AS DOUBLE)) END")
+_AV = f"(CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) / {_N})"
+SQL["agg_stddev"] = f"""
+SELECT p_brand, {_SD} AS stdev, {_AV} AS mean, {_SD} / {_AV} AS cov
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand"""
+SQL["agg_pivot"] = f"""
+SELECT r_name, {", ".join(f"CAST(sum(CASE WHEN yr = {y} THEN rev END) AS DOUBLE) AS y{y}" for y in (1995, 1996, 1997, 1998))}
+FROM (SELECT r_name, {YR('l_shipdate')} AS yr, {DEC('l_extendedprice')} AS rev
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+           JOIN region ON n_regionkey = r_regionkey) x
+GROUP BY r_name"""
+_LAG = "date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE))"
+SQL["agg_buckets"] = f"""
+SELECT o_orderpriority,
+       sum(CASE WHEN {_LAG} < 0 THEN 1 ELSE 0 END) AS before_order,
+       sum(CASE WHEN {_LAG} >= 0 AND {_LAG} <= 30 THEN 1 ELSE 0 END) AS days_0_30,
+       sum(CASE WHEN {_LAG} > 30 AND {_LAG} <= 120 THEN 1 ELSE 0 END) AS days_31_120,
+       sum(CASE WHEN {_LAG} > 120 THEN 1 ELSE 0 END) AS days_over_120
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority"""
+SQL["agg_having"] = f"""
+SELECT l_suppkey, CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) AS value FROM lineitem GROUP BY l_suppkey
+HAVING CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) > (SELECT CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) * 0.01 FROM lineitem)"""
+_NR = f"""(SELECT r_name, n_name, {DEC('l_extendedprice')} AS rev
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+       JOIN region ON n_regionkey = r_regionkey) x"""
+SQL["agg_rollup"] = f"""
+SELECT r_name, n_name, CAST(sum(rev) AS DOUBLE) AS revenue, count(*) AS lines FROM {_NR}
+GROUP BY ROLLUP (r_name, n_name)"""
+SQL["agg_grouping"] = f"""
+SELECT r_name, n_name, CAST(sum(rev) AS DOUBLE) AS revenue, CAST(grouping(r_name) AS INTEGER) AS g_region,
+       CAST(grouping(n_name) AS INTEGER) AS g_nation, CAST(grouping(r_name) + grouping(n_name) AS INTEGER) AS lvl,
+       CAST(grouping(r_name, n_name) AS INTEGER) AS gid
+FROM {_NR} GROUP BY ROLLUP (r_name, n_name)"""
+SQL["agg_rollup_union"] = f"""
+SELECT r_name, n_name, CAST(sum(rev) AS DOUBLE) AS revenue, count(*) AS lines FROM {_NR} GROUP BY r_name, n_name
+UNION ALL SELECT r_name, NULL, CAST(sum(rev) AS DOUBLE), count(*) FROM {_NR} GROUP BY r_name
+UNION ALL SELECT NULL, NULL, CAST(sum(rev) AS DOUBLE), count(*) FROM {_NR}"""
+SQL["agg_distinct"] = """
+SELECT DISTINCT c_nationkey, c_mktsegment FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)"""
+SQL["agg_two_level"] = f"""
+SELECT c_mktsegment, CAST(sum(spend) AS DOUBLE) / count(spend) AS avg_spend, CAST(max(spend) AS DOUBLE) AS max_spend
+FROM (SELECT c_mktsegment, o_custkey, sum({DEC('o_totalprice')}) AS spend
+      FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment, o_custkey) x
+GROUP BY c_mktsegment"""
+SQL["agg_param"] = f"""
+SELECT p_brand, CAST(max({DEC('l_extendedprice')}) AS DOUBLE) AS value
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand"""
+SQL["agg_multi_filter"] = f"""
+SELECT count(*) FILTER (WHERE l_discount < 0.03) AS low_disc,
+       count(*) FILTER (WHERE l_discount BETWEEN 0.03 AND 0.07) AS mid_disc,
+       count(*) FILTER (WHERE l_discount > 0.07) AS high_disc,
+       CAST(sum({DEC('l_extendedprice')}) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS returned_value,
+       count(DISTINCT l_partkey) FILTER (WHERE l_quantity > 45) AS parts_big_qty
+FROM lineitem"""
+
+SQL["win_share"] = f"""
+SELECT p_type, p_brand, CAST(rev AS DOUBLE) AS revenue,
+       CAST(rev AS DOUBLE) * 100 / CAST(sum(rev) OVER (PARTITION BY p_type) AS DOUBLE) AS share
+FROM (SELECT p_type, p_brand, sum({DEC('l_extendedprice')}) AS rev
+      FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type, p_brand) g"""
+SQL["win_avg"] = f"""
+SELECT s_nationkey, mon, CAST(rev AS DOUBLE) AS revenue,
+       CAST(sum(rev) OVER (PARTITION BY s_nationkey) AS DOUBLE) / count(rev) OVER (PARTITION BY s_nationkey) AS avg_month
+FROM (SELECT s_nationkey, month(CAST(l_shipdate AS DATE)) AS mon, sum({DEC('l_extendedprice')}) AS rev
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE {YR('l_shipdate')} = 1997
+      GROUP BY s_nationkey, mon) g"""
+_BPR = f"""(SELECT p_type, p_brand, p_partkey, CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) AS rev
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type, p_brand, p_partkey) g"""
+SQL["win_rank"] = f"SELECT p_brand, p_partkey, rev, rank() OVER (PARTITION BY p_brand ORDER BY rev DESC) AS rk FROM {_BPR}"
+SQL["win_rank_global"] = f"""
+SELECT s_nationkey, rev, rank() OVER (ORDER BY rev DESC) AS rk
+FROM (SELECT s_nationkey, CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) AS rev
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey) g"""
+SQL["win_rank_rollup"] = f"""
+SELECT r_name, n_name, CAST(grouping(r_name) + grouping(n_name) AS INTEGER) AS lvl, CAST(sum(rev) AS DOUBLE) AS rev,
+       rank() OVER (PARTITION BY grouping(r_name) + grouping(n_name), CASE WHEN grouping(n_name) = 0 THEN r_name END
+                    ORDER BY CAST(sum(rev) AS DOUBLE) DESC) AS rank_within_parent
+FROM {_NR} GROUP BY ROLLUP (r_name, n_name)"""
+SQL["win_running_sum"] = f"""
+SELECT o_custkey, yr, CAST(sum(spend) OVER (PARTITION BY o_custkey ORDER BY yr
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS cume_spend
+FROM (SELECT o_custkey, {YR('o_orderdate')} AS yr, sum({DEC('o_totalprice')}) AS spend FROM orders GROUP BY o_custkey, yr) g"""
+SQL["win_running_max"] = """
+SELECT o_custkey, o_orderkey, max(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderkey
+                                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS max_so_far
+FROM orders"""
+SQL["win_row_number"] = """
+SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS first_order_date
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) x
+WHERE rn = 1"""
+SQL["win_lag_lead"] = f"""
+SELECT s_nationkey, yr, rev, lag(rev) OVER (PARTITION BY s_nationkey ORDER BY yr) AS prev_rev,
+       lead(rev) OVER (PARTITION BY s_nationkey ORDER BY yr) AS next_rev
+FROM (SELECT s_nationkey, {YR('l_shipdate')} AS yr, CAST(sum({DEC('l_extendedprice')}) AS DOUBLE) AS rev
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY s_nationkey, yr) g"""
+SQL["win_topn"] = f"""
+SELECT p_brand, p_partkey, rev, rk FROM (
+  SELECT p_brand, p_partkey, rev, rank() OVER (PARTITION BY p_brand ORDER BY rev DESC) AS rk FROM {_BPR}) x
+WHERE rk <= 3"""
+
+SQL["sort_multi"] = f"""
+SELECT o_orderpriority, o_orderstatus, CAST(sum({DEC('o_totalprice')}) AS DOUBLE) AS total
+FROM orders GROUP BY o_orderpriority, o_orderstatus
+ORDER BY o_orderpriority ASC, total DESC, length(o_orderstatus), o_orderstatus"""
+SQL["sort_topk"] = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100"
+STAR_SQL["sort_nulls"] = ("store_sales", """
+SELECT ss_store_sk, ss_promo_sk, count(*) AS lines FROM store_sales GROUP BY ss_store_sk, ss_promo_sk
+ORDER BY ss_store_sk ASC NULLS FIRST, ss_promo_sk DESC NULLS LAST LIMIT 40""")
+SQL["set_union_all"] = """
+SELECT nk, count(*) AS n FROM (
+  SELECT c_nationkey AS nk FROM customer WHERE c_mktsegment = 'BUILDING'
+  UNION ALL SELECT s_nationkey FROM supplier) u GROUP BY nk"""
+SQL["set_union"] = """
+SELECT c_nationkey AS nk FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION SELECT c_nationkey FROM customer WHERE c_mktsegment = 'MACHINERY'"""
+SQL["set_intersect"] = f"""
+SELECT l_partkey FROM lineitem WHERE {YR('l_shipdate')} = 1996
+INTERSECT SELECT l_partkey FROM lineitem WHERE {YR('l_shipdate')} = 1997"""
+SQL["set_except"] = f"""
+SELECT l_partkey FROM lineitem WHERE {YR('l_shipdate')} = 1996
+EXCEPT SELECT l_partkey FROM lineitem WHERE {YR('l_shipdate')} = 1997"""
+
+SQL["fn_substr"] = "SELECT substr(p_name, 1, 3) AS prefix, count(*) AS n FROM part GROUP BY prefix"
+SQL["fn_concat"] = "SELECT p_brand || '/' || p_type AS brand_type, count(*) AS n FROM part GROUP BY brand_type"
+SQL["fn_upper"] = "SELECT upper(split_part(p_name, ' ', 2)) AS noun, count(*) AS n FROM part GROUP BY noun"
+SQL["fn_coalesce"] = """
+SELECT coalesce(n_orders, 0) AS n_orders, count(*) AS customers, count(nullif(coalesce(n_orders, 0), 0)) AS nonzero
+FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey) o ON c_custkey = o_custkey
+GROUP BY coalesce(n_orders, 0)"""
+SQL["fn_math"] = """
+SELECT CAST(round(CAST(c_acctbal AS DECIMAL(12,2)) / 1000, 0) AS INTEGER) AS k_bucket, count(*) AS n,
+       CAST(sum(abs(CAST(c_acctbal AS DECIMAL(12,2)))) AS DOUBLE) AS sum_abs,
+       CAST(max(round(CAST(c_acctbal AS DECIMAL(12,2)) * CAST(1.1 AS DECIMAL(2,1)), 1)) AS DOUBLE) AS max_scaled
+FROM customer GROUP BY k_bucket"""
+SQL["fn_cast"] = """
+SELECT CAST(substr(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), 1, 4) AS INTEGER) AS yr,
+       CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total, count(*) AS n
+FROM orders GROUP BY yr"""
+SQL["fn_date_add"] = """
+SELECT year(CAST(o_orderdate AS DATE) + 30) AS due_year, count(*) AS lines,
+       sum(CASE WHEN CAST(l_shipdate AS DATE) BETWEEN CAST(o_orderdate AS DATE) AND CAST(o_orderdate AS DATE) + 30
+                THEN 1 ELSE 0 END) AS on_time
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY due_year"""
+SQL["fn_date_diff"] = f"""
+SELECT CAST(sign({_LAG}) AS INTEGER) AS sign, count(*) AS lines, min({_LAG}) AS min_days, max({_LAG}) AS max_days,
+       sum({_LAG}) AS sum_days
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY sign"""
+SQL["fn_case"] = """
+SELECT CASE WHEN l_quantity < 10 THEN 'small' WHEN l_quantity < 40 THEN 'medium' ELSE 'large' END AS size,
+       CASE l_returnflag WHEN 'R' THEN 'returned' WHEN 'A' THEN 'accepted' ELSE 'none' END AS state, count(*) AS n
+FROM lineitem GROUP BY size, state"""
+SQL["fn_lit"] = """
+SELECT 'customer' AS kind, c_nationkey AS nk, count(*) AS n, 1 AS weight FROM customer GROUP BY c_nationkey
+UNION ALL SELECT 'supplier', s_nationkey, count(*), 2 FROM supplier GROUP BY s_nationkey"""
