@@ -317,3 +317,176 @@ FROM lineitem GROUP BY size, state"""
 SQL["fn_lit"] = """
 SELECT 'customer' AS kind, c_nationkey AS nk, count(*) AS n, 1 AS weight FROM customer GROUP BY c_nationkey
 UNION ALL SELECT 'supplier', s_nationkey, count(*), 2 FROM supplier GROUP BY s_nationkey"""
+
+# ---------------------------------------------------------------- dataset building and profiling
+SQL["dim_date"] = """
+WITH r AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders),
+cal AS (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d FROM r),
+x AS (SELECT year(d) AS d_year, (year(d) - 1900) * 12 + month(d) - 1 AS month_seq,
+             date_diff('day', DATE '1900-01-01', d) // 7 + 1 AS week_seq,
+             (year(d) - 1900) * 4 + (month(d) - 1) // 3 + 1 AS quarter_seq,
+             (date_diff('day', DATE '1900-01-01', d) + 1) % 7 IN (0, 6) AS weekend,
+             (month(d) = 12 AND day(d) = 25) OR (month(d) = 1 AND day(d) = 1) OR (month(d) = 7 AND day(d) = 4) AS holiday
+      FROM cal)
+SELECT d_year, count(*) AS days, sum(CAST(weekend AS INTEGER)) AS weekend_days, sum(CAST(holiday AS INTEGER)) AS holidays,
+       min(week_seq) AS first_week_seq, max(week_seq) AS last_week_seq, min(month_seq) AS first_month_seq,
+       count(DISTINCT quarter_seq) AS quarters
+FROM x GROUP BY d_year"""
+STAR_SQL["dim_time"] = ("store_sales time_dim", """
+SELECT t_am_pm, t_shift, t_sub_shift, t_meal_time, count(*) AS lines, CAST(sum(ss_net_paid) AS DOUBLE) AS net_paid
+FROM store_sales JOIN time_dim ON ss_sold_time_sk = t_time_sk
+GROUP BY t_am_pm, t_shift, t_sub_shift, t_meal_time""")
+STAR_SQL["dim_demographics"] = ("customer customer_demographics household_demographics", """
+SELECT cd_gender, cd_marital_status, cd_education_status, hd_buy_potential, count(*) AS customers
+FROM customer JOIN customer_demographics ON c_current_cdemo_sk = cd_demo_sk
+     JOIN household_demographics ON c_current_hdemo_sk = hd_demo_sk
+GROUP BY cd_gender, cd_marital_status, cd_education_status, hd_buy_potential""")
+STAR_SQL["dim_income_band"] = ("customer household_demographics income_band", """
+SELECT ib_lower_bound, ib_upper_bound, count(*) AS customers
+FROM customer JOIN household_demographics ON c_current_hdemo_sk = hd_demo_sk
+     JOIN income_band ON hd_income_band_sk = ib_income_band_sk
+GROUP BY ib_lower_bound, ib_upper_bound""")
+STAR_SQL["dim_scd2"] = ("item", """
+SELECT revision, price_changed, count(*) AS rows,
+       sum(CASE WHEN derived_end IS NOT DISTINCT FROM i_rec_end_date THEN 1 ELSE 0 END) AS end_matches
+FROM (SELECT i_item_id, i_rec_end_date,
+             CAST(lead(i_rec_start_date) OVER (PARTITION BY i_item_id ORDER BY i_rec_start_date) - 1 AS DATE) AS derived_end,
+             row_number() OVER (PARTITION BY i_item_id ORDER BY i_rec_start_date) AS revision,
+             lag(i_current_price) OVER (PARTITION BY i_item_id ORDER BY i_rec_start_date) <> i_current_price AS price_changed
+      FROM item) h
+GROUP BY revision, price_changed""")
+STAR_SQL["sales_pricing"] = ("store_sales date_dim", """
+SELECT d_year, CAST(sum(ss_ext_list_price) AS DOUBLE) AS ss_ext_list_price,
+       CAST(sum(ss_ext_sales_price) AS DOUBLE) AS ss_ext_sales_price, CAST(sum(ss_coupon_amt) AS DOUBLE) AS ss_coupon_amt,
+       CAST(sum(ss_net_paid) AS DOUBLE) AS ss_net_paid, CAST(sum(ss_ext_tax) AS DOUBLE) AS ss_ext_tax,
+       CAST(sum(ss_net_profit) AS DOUBLE) AS ss_net_profit,
+       sum(CASE WHEN ss_coupon_amt > 0 THEN 1 ELSE 0 END) AS coupon_lines,
+       sum(CASE WHEN ss_net_paid <> ss_ext_sales_price - ss_coupon_amt
+                  OR ss_ext_discount_amt <> ss_ext_list_price - ss_ext_sales_price
+                  OR ss_net_paid_inc_tax <> ss_net_paid + ss_ext_tax
+                  OR ss_net_profit <> ss_net_paid - ss_ext_wholesale_cost THEN 1 ELSE 0 END) AS violations
+FROM store_sales JOIN date_dim ON ss_sold_date_sk = d_date_sk GROUP BY d_year""")
+STAR_SQL["returns_from_sales"] = ("store_sales store_returns date_dim", """
+SELECT d_year, count(*) AS sales, sum(CASE WHEN sr_item_sk IS NOT NULL THEN 1 ELSE 0 END) AS returns,
+       sum(sr_return_quantity) AS returned_qty,
+       CAST(sum(CAST(sr_returned_date_sk - ss_sold_date_sk AS BIGINT)) AS DOUBLE) / count(sr_returned_date_sk - ss_sold_date_sk) AS avg_lag_days,
+       CAST(sum(sr_refunded_cash) AS DOUBLE) AS cash, CAST(sum(sr_reversed_charge) AS DOUBLE) AS charge,
+       CAST(sum(sr_store_credit) AS DOUBLE) AS credit,
+       sum(CASE WHEN sr_refunded_cash + sr_reversed_charge + sr_store_credit <> sr_return_amt THEN 1 ELSE 0 END) AS split_violations,
+       sum(CASE WHEN sr_return_quantity > ss_quantity THEN 1 ELSE 0 END) AS qty_violations
+FROM store_sales LEFT JOIN store_returns ON ss_item_sk = sr_item_sk AND ss_ticket_number = sr_ticket_number
+     JOIN date_dim ON ss_sold_date_sk = d_date_sk
+GROUP BY d_year""")
+STAR_SQL["inventory_snapshot"] = ("inventory date_dim", """
+SELECT inv_warehouse_sk, d_year, count(DISTINCT inv_date_sk) AS snapshots, count(DISTINCT inv_item_sk) AS items,
+       CAST(sum(inv_quantity_on_hand) AS DOUBLE) / count(inv_quantity_on_hand) AS avg_on_hand,
+       min(d_dow) AS min_dow, max(d_dow) AS max_dow
+FROM inventory JOIN date_dim ON inv_date_sk = d_date_sk GROUP BY inv_warehouse_sk, d_year""")
+
+
+def _dq_pk():
+    from shelfline.plans.building import PK
+    parts = [f"""SELECT '{t}' AS table_name, sum(n) AS rows, sum(n - 1) AS duplicate_rows
+  FROM (SELECT count(*) AS n FROM {t} GROUP BY {", ".join(k)}) g""" for t, k in PK.items()]
+    return " ".join(PK), "\nUNION ALL ".join(parts)
+
+
+def _dq_fk():
+    from shelfline.plans.building import FK
+    tabs = sorted({t for t, _, d, _ in FK} | {d for _, _, d, _ in FK})
+    parts = [f"""SELECT '{t}.{c}' AS fk_name, count(*) AS orphans FROM {t}
+  WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {d} WHERE {k} = {t}.{c})""" for t, c, d, k in FK]
+    return " ".join(tabs), "\nUNION ALL ".join(parts)
+
+
+STAR_SQL["dq_pk"] = _dq_pk()
+STAR_SQL["dq_fk"] = _dq_fk()
+
+
+def _nulls():
+    from shelfline.plans.building import _NULLABLE
+    parts = []
+    for t, cols in _NULLABLE.items():
+        for c in cols:
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS nulls, "
+                         f"count(*) AS rows FROM {t}")
+    return " ".join(_NULLABLE), "\nUNION ALL ".join(parts)
+
+
+STAR_SQL["profile_nulls"] = _nulls()
+STAR_SQL["profile_skew"] = ("store_sales catalog_sales web_sales inventory", "\nUNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, max(n) AS max_rows, sum(n) AS rows, max(n) * 32 / CAST(sum(n) AS DOUBLE) AS skew,
+       CASE WHEN max(n) * 32 / CAST(sum(n) AS DOUBLE) >= 1.2 THEN 'WARN' ELSE 'OK' END AS status
+  FROM (SELECT {k} % 32 AS b, count(*) AS n FROM {t} GROUP BY b) g"""
+    for t, k in [("store_sales", "ss_item_sk"), ("catalog_sales", "cs_item_sk"), ("web_sales", "ws_item_sk"),
+                 ("inventory", "inv_item_sk")]))
+_CK = {"store_sales": ["ss_item_sk", "ss_ticket_number", "ss_quantity"],
+       "store_returns": ["sr_item_sk", "sr_ticket_number", "sr_return_quantity"],
+       "catalog_sales": ["cs_item_sk", "cs_order_number", "cs_quantity"],
+       "catalog_returns": ["cr_item_sk", "cr_order_number", "cr_return_quantity"],
+       "web_sales": ["ws_item_sk", "ws_order_number", "ws_quantity"],
+       "web_returns": ["wr_item_sk", "wr_order_number", "wr_return_quantity"],
+       "inventory": ["inv_date_sk", "inv_item_sk", "inv_quantity_on_hand"]}
+STAR_SQL["profile_checksum"] = (" ".join(_CK), "\nUNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, count(*) AS rows,
+       sum((CAST({a} AS BIGINT) * 31 + CAST({b} AS BIGINT) * 17 + CAST({c} AS BIGINT)) % 1000003) AS checksum FROM {t}"""
+    for t, (a, b, c) in _CK.items()))
+STAR_SQL["profile_stats"] = ("store_sales", "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values,
+       CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value FROM store_sales"""
+    for c in ["ss_quantity", "ss_sales_price", "ss_net_profit", "ss_customer_sk", "ss_store_sk"]))
+SQL["orders_explode"] = """
+WITH n AS (SELECT count(*) AS n_items FROM part),
+o AS (SELECT o_orderkey, 8 + o_orderkey % 9 AS n, n_items FROM orders, n),
+lines AS (SELECT o_orderkey, o.n, ((o_orderkey * 7919) % n_items + i) % n_items AS item
+          FROM o, LATERAL (SELECT unnest(range(0, o.n)) AS i) g)
+SELECT n, count(DISTINCT o_orderkey) AS orders, count(*) AS lines,
+       count(DISTINCT (o_orderkey, item)) AS distinct_pairs, min(item) AS min_item, max(item) AS max_item
+FROM lines GROUP BY n"""
+STAR_SQL["sample_weighted"] = ("item customer", """
+WITH w AS (SELECT i_category, count(*) AS weight FROM item GROUP BY i_category),
+c AS (SELECT i_category, weight, sum(weight) OVER (ORDER BY i_category ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_hi
+      FROM w),
+t AS (SELECT sum(weight) AS total FROM w),
+r AS (SELECT c_customer_sk, (CAST(c_customer_sk AS BIGINT) * 7919 + 13) % total AS r FROM customer, t)
+SELECT i_category, weight, count(*) AS customers
+FROM r JOIN c ON r.r >= c.cum_hi - c.weight AND r.r < c.cum_hi
+GROUP BY i_category, weight""")
+STAR_SQL["volume_by_day"] = ("store_sales date_dim", """
+WITH d AS (SELECT d_date_sk, d_year, d_moy, CASE WHEN d_moy = 12 THEN 3 WHEN d_dow IN (0, 6) THEN 2 ELSE 1 END AS w
+           FROM date_dim),
+tickets AS (SELECT DISTINCT ss_ticket_number, ss_sold_date_sk FROM store_sales),
+td AS (SELECT * FROM tickets JOIN d ON ss_sold_date_sk = d_date_sk),
+per_year AS (SELECT d_year, count(*) AS n_year FROM td GROUP BY d_year),
+days AS (SELECT d.*, n_year, sum(w) OVER (PARTITION BY d.d_year) AS w_year FROM d JOIN per_year USING (d_year)),
+exp AS (SELECT d_year, d_moy, CAST(sum((n_year * w * 2 + w_year) // (w_year * 2)) AS BIGINT) AS expected_tickets
+        FROM days GROUP BY d_year, d_moy),
+act AS (SELECT d_year, d_moy, count(*) AS actual_tickets FROM td GROUP BY d_year, d_moy)
+SELECT exp.d_year, exp.d_moy, expected_tickets, coalesce(actual_tickets, 0) AS actual_tickets
+FROM exp LEFT JOIN act ON exp.d_year = act.d_year AND exp.d_moy = act.d_moy""")
+SQL["scale_rowcounts"] = """
+WITH u AS (
+  SELECT 'region' AS table_name, true AS static, count(*) AS rows FROM region
+  UNION ALL SELECT 'nation', true, count(*) FROM nation
+  UNION ALL SELECT 'customer', false, count(*) FROM customer
+  UNION ALL SELECT 'supplier', false, count(*) FROM supplier
+  UNION ALL SELECT 'part', false, count(*) FROM part
+  UNION ALL SELECT 'orders', false, count(*) FROM orders
+  UNION ALL SELECT 'lineitem', false, count(*) FROM lineitem),
+s AS (SELECT rows / 6000000.0 AS sf FROM u WHERE table_name = 'lineitem')
+SELECT table_name, static, rows, sf,
+       CAST(CASE WHEN static THEN rows ELSE round(rows * (1 / sf)) END AS BIGINT) AS rows_sf1,
+       CAST(CASE WHEN static THEN rows ELSE round(rows * (100 / sf)) END AS BIGINT) AS rows_sf100,
+       CAST(CASE WHEN static THEN rows ELSE round(rows * (1000 / sf)) END AS BIGINT) AS rows_sf1000
+FROM u, s"""
+STAR_SQL["dim_item_hierarchy"] = ("item", """
+SELECT i_category_id, i_category, i_class_id, i_class, count(DISTINCT i_brand_id) AS brands, count(*) AS items,
+       count(DISTINCT i_item_id) AS business_ids
+FROM item GROUP BY i_category_id, i_category, i_class_id, i_class""")
+STAR_SQL["gift_orders"] = ("catalog_sales web_sales date_dim", """
+SELECT 'catalog' AS channel, d_year, count(*) AS lines,
+       sum(CASE WHEN cs_ship_customer_sk <> cs_bill_customer_sk THEN 1 ELSE 0 END) AS gift_lines
+FROM catalog_sales JOIN date_dim ON cs_sold_date_sk = d_date_sk GROUP BY d_year
+UNION ALL
+SELECT 'web', d_year, count(*), sum(CASE WHEN ws_ship_customer_sk <> ws_bill_customer_sk THEN 1 ELSE 0 END)
+FROM web_sales JOIN date_dim ON ws_sold_date_sk = d_date_sk GROUP BY d_year""")
