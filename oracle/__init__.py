@@ -9,4 +9,6 @@ def all_sql() -> dict[str, str]:
     out = {k: star_query(t, b) for k, (t, b) in catalog_sql.SQL.items()}
     out.update(operators_sql.SQL)
     out.update({k: star_query(t.split(), b) for k, (t, b) in operators_sql.STAR_SQL.items()})
+    # the CSV round trip must return exactly the exported report
+    out["csv_roundtrip"] = out["q42"]
     return out

@@ -490,3 +490,96 @@ FROM catalog_sales JOIN date_dim ON cs_sold_date_sk = d_date_sk GROUP BY d_year
 UNION ALL
 SELECT 'web', d_year, count(*), sum(CASE WHEN ws_ship_customer_sk <> ws_bill_customer_sk THEN 1 ELSE 0 END)
 FROM web_sales JOIN date_dim ON ws_sold_date_sk = d_date_sk GROUP BY d_year""")
+
+# ---------------------------------------------------------------- sources and sinks
+STAR_SQL["src_delimited"] = ("store_returns", """
+SELECT sr_reason_sk, count(*) AS returns, count(*) - count(sr_customer_sk) AS null_customers,
+       CAST(sum(sr_return_amt) AS DOUBLE) AS return_amt, CAST(sum(sr_net_loss) AS DOUBLE) AS net_loss
+FROM store_returns GROUP BY sr_reason_sk""")
+STAR_SQL["load_overwrite"] = ("customer", """
+SELECT c_preferred_cust_flag, c_birth_country, count(*) AS customers FROM customer
+GROUP BY c_preferred_cust_flag, c_birth_country""")
+STAR_SQL["scan_partition_pruned"] = ("store_sales", """
+SELECT ss_store_sk, count(*) AS lines, CAST(sum(ss_net_paid) AS DOUBLE) AS net_paid FROM store_sales
+WHERE ss_sold_date_sk BETWEEN 2451180 AND 2451269 GROUP BY ss_store_sk""")
+
+# ---------------------------------------------------------------- incremental refresh
+_ASOF = ("{d} >= it.i_rec_start_date AND {d} <= coalesce(it.i_rec_end_date, DATE '9999-12-31')")
+STAR_SQL["refresh_insert_sales"] = ("store_sales date_dim item customer store", f"""
+WITH last AS (SELECT max(ss_sold_date_sk) AS last_sk FROM store_sales),
+feed AS (
+  SELECT ss_ticket_number + 50000000 AS purchase_id, i_item_id AS item_id, c_customer_id AS customer_id,
+         s_store_id AS store_id, strftime(d_date, '%Y-%m-%d') AS purchase_date, ss_quantity AS quantity,
+         ss_sales_price AS sale_price, ss_coupon_amt AS coupon_amt
+  FROM store_sales CROSS JOIN last JOIN date_dim ON ss_sold_date_sk = d_date_sk
+       JOIN item ON ss_item_sk = i_item_sk
+       LEFT JOIN customer ON ss_customer_sk = c_customer_sk LEFT JOIN store ON ss_store_sk = s_store_sk
+  WHERE ss_sold_date_sk > last_sk - 60),
+r AS (
+  SELECT f.*, dd.d_date_sk, it.i_item_sk, it.i_wholesale_cost, c.c_customer_sk, s.s_store_sk
+  FROM feed f LEFT JOIN date_dim dd ON CAST(f.purchase_date AS DATE) = dd.d_date
+       LEFT JOIN item it ON f.item_id = it.i_item_id AND {_ASOF.format(d='CAST(f.purchase_date AS DATE)')}
+       LEFT JOIN customer c ON f.customer_id = c.c_customer_id
+       LEFT JOIN store s ON f.store_id = s.s_store_id)
+SELECT count(*) AS rows, sum(CASE WHEN i_item_sk IS NULL THEN 1 ELSE 0 END) AS unresolved_items,
+       sum(CASE WHEN d_date_sk IS NULL THEN 1 ELSE 0 END) AS unresolved_dates,
+       count(c_customer_sk) AS resolved_customers,
+       CAST(sum(CAST(sale_price * quantity - coupon_amt AS DECIMAL(7,2))) AS DOUBLE) AS net_paid,
+       CAST(sum(CAST(sale_price * quantity - coupon_amt - i_wholesale_cost * quantity AS DECIMAL(7,2))) AS DOUBLE) AS net_profit
+FROM r""")
+STAR_SQL["refresh_insert_returns"] = ("store_returns store_sales date_dim item reason", f"""
+WITH last AS (SELECT max(sr_returned_date_sk) AS last_sk FROM store_returns),
+feed AS (
+  SELECT sr_ticket_number AS purchase_id, i_item_id AS item_id, strftime(d_date, '%Y-%m-%d') AS return_date,
+         sr_return_quantity AS return_qty, sr_return_amt AS return_amt, r_reason_id AS reason_id
+  FROM store_returns CROSS JOIN last JOIN date_dim ON sr_returned_date_sk = d_date_sk
+       JOIN item ON sr_item_sk = i_item_sk LEFT JOIN reason ON sr_reason_sk = r_reason_sk
+  WHERE sr_returned_date_sk > last_sk - 60),
+sale AS (SELECT ss_ticket_number, ss_item_sk, ss_quantity, si.i_item_id AS s_item_id
+         FROM store_sales JOIN item si ON ss_item_sk = si.i_item_sk),
+r AS (
+  SELECT f.*, rs.r_reason_sk, sale.ss_item_sk, sale.ss_quantity
+  FROM feed f LEFT JOIN date_dim dd ON CAST(f.return_date AS DATE) = dd.d_date
+       LEFT JOIN item it ON f.item_id = it.i_item_id AND {_ASOF.format(d='CAST(f.return_date AS DATE)')}
+       LEFT JOIN reason rs ON f.reason_id = rs.r_reason_id
+       LEFT JOIN sale ON f.purchase_id = sale.ss_ticket_number AND f.item_id = sale.s_item_id)
+SELECT count(*) AS rows, count(ss_item_sk) AS linked_to_sale, count(r_reason_sk) AS resolved_reasons,
+       sum(CASE WHEN return_qty > ss_quantity THEN 1 ELSE 0 END) AS over_returned,
+       CAST(sum(return_amt) AS DOUBLE) AS return_amt
+FROM r""")
+STAR_SQL["refresh_inventory"] = ("inventory date_dim item warehouse", f"""
+WITH last AS (SELECT max(inv_date_sk) AS last_sk FROM inventory),
+feed AS (
+  SELECT w_warehouse_id AS warehouse_id, i_item_id AS item_id, strftime(d_date + 28, '%Y-%m-%d') AS inv_date,
+         inv_quantity_on_hand AS qty_on_hand
+  FROM inventory CROSS JOIN last JOIN date_dim ON inv_date_sk = d_date_sk JOIN item ON inv_item_sk = i_item_sk
+       JOIN warehouse ON inv_warehouse_sk = w_warehouse_sk
+  WHERE inv_date_sk > last_sk - 28),
+r AS (
+  SELECT f.*, it.i_item_sk, w.w_warehouse_sk
+  FROM feed f LEFT JOIN date_dim dd ON CAST(f.inv_date AS DATE) = dd.d_date
+       LEFT JOIN item it ON f.item_id = it.i_item_id AND {_ASOF.format(d='CAST(f.inv_date AS DATE)')}
+       LEFT JOIN warehouse w ON f.warehouse_id = w.w_warehouse_id)
+SELECT w_warehouse_sk AS inv_warehouse_sk, count(*) AS rows, count(i_item_sk) AS resolved_items, sum(qty_on_hand) AS qty
+FROM r GROUP BY w_warehouse_sk""")
+STAR_SQL["refresh_delete"] = ("store_sales store_returns", """
+WITH rng AS (SELECT * FROM store_sales
+             WHERE ss_sold_date_sk BETWEEN 2451180 AND 2451181 OR ss_sold_date_sk BETWEEN 2451300 AND 2451301
+                OR ss_sold_date_sk BETWEEN 2451420 AND 2451421)
+SELECT 'store_sales' AS table_name, (SELECT count(*) FROM store_sales) - (SELECT count(*) FROM rng) AS rows
+UNION ALL
+SELECT 'store_returns', count(*) FROM store_returns
+WHERE NOT EXISTS (SELECT 1 FROM rng WHERE sr_item_sk = rng.ss_item_sk AND sr_ticket_number = rng.ss_ticket_number)""")
+STAR_SQL["refresh_scd2"] = ("item", """
+WITH ch AS (SELECT i_item_id AS item_id,
+                   CAST(CAST((2 * (CAST(i_current_price * 100 AS BIGINT) * 110) + 100) // 200 AS DECIMAL(18,0)) / 100 AS DECIMAL(7,2)) AS new_price
+            FROM item WHERE i_rec_end_date IS NULL AND i_item_sk % 5 = 0),
+mx AS (SELECT max(i_item_sk) AS max_sk FROM item),
+t AS (SELECT item.*, ch.item_id, ch.new_price, i_rec_end_date IS NULL AND ch.item_id IS NOT NULL AS changed
+      FROM item LEFT JOIN ch ON item.i_item_id = ch.item_id),
+u AS (SELECT i_item_sk, i_item_id, i_current_price, CASE WHEN changed THEN 'closed' ELSE 'unchanged' END AS status FROM t
+      UNION ALL
+      SELECT i_item_sk + max_sk, i_item_id, new_price, 'opened' FROM t, mx WHERE changed)
+SELECT status, count(*) AS rows, count(DISTINCT i_item_id) AS business_ids, CAST(sum(i_current_price) AS DOUBLE) AS price_sum,
+       min(i_item_sk) AS min_sk, max(i_item_sk) AS max_sk
+FROM u GROUP BY status""")

@@ -1 +1,3 @@
 """Readers and writers."""
+
+from shelfline.sources import io  # noqa: F401

@@ -1 +1,3 @@
-"""Incremental refresh applied batch by batch."""
+"""Incremental refresh applied batch by batch (batch jobs or foreachBatch)."""
+
+from shelfline.streaming import refresh  # noqa: F401
