@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shelfline.functions.grouping import rollup
 from shelfline.functions.money import avg_exact, stddev_samp_exact
 from shelfline.operators.common import B, T, dec, dsum, revenue, year_of
 from shelfline.plans.registry import raw_query
@@ -105,18 +106,20 @@ def _nation_revenue(t):
 def agg_rollup(spark, sf_dir):
     """ROLLUP(region, nation)."""
     j = _nation_revenue(T(spark, sf_dir))
-    return j.rollup("r_name", "n_name").agg(F.sum("rev").cast("double").alias("revenue"), F.count(F.lit(1)).alias("lines"))
+    return rollup(j, ["r_name", "n_name"], [F.sum("rev").cast("double").alias("revenue"),
+                                            F.count(F.lit(1)).alias("lines")], {"lines": 0})
 
 
 @raw_query("agg_grouping")
 def agg_grouping(spark, sf_dir):
     """GROUPING() flags and level arithmetic on a ROLLUP."""
     j = _nation_revenue(T(spark, sf_dir))
-    return j.rollup("r_name", "n_name").agg(
+    return rollup(j, ["r_name", "n_name"], [
         F.sum("rev").cast("double").alias("revenue"),
         F.grouping("r_name").cast("int").alias("g_region"), F.grouping("n_name").cast("int").alias("g_nation"),
         (F.grouping("r_name") + F.grouping("n_name")).cast("int").alias("lvl"),
-        F.grouping_id("r_name", "n_name").cast("int").alias("gid"))
+        F.grouping_id("r_name", "n_name").cast("int").alias("gid")],
+        {"g_region": 1, "g_nation": 1, "lvl": 2, "gid": 3})
 
 
 @raw_query("agg_rollup_union")

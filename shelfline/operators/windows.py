@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelfline.functions.grouping import rollup
 from shelfline.operators.common import B, T, dec, year_of
 from shelfline.plans.registry import raw_query
 
@@ -65,9 +66,9 @@ def win_rank_rollup(spark, sf_dir):
     j = (t.lineitem.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
          .join(B(t.nation), F.col("s_nationkey") == F.col("n_nationkey"))
          .join(B(t.region), F.col("n_regionkey") == F.col("r_regionkey")))
-    g = j.rollup("r_name", "n_name").agg(F.sum(dec("l_extendedprice")).cast("double").alias("rev"),
+    g = rollup(j, ["r_name", "n_name"], [F.sum(dec("l_extendedprice")).cast("double").alias("rev"),
                                          (F.grouping("r_name") + F.grouping("n_name")).cast("int").alias("lvl"),
-                                         F.grouping("n_name").alias("g_n"))
+                                         F.grouping("n_name").alias("g_n")], {"lvl": 2, "g_n": 1})
     w = Window.partitionBy("lvl", F.when(F.col("g_n") == 0, F.col("r_name"))).orderBy(F.desc("rev"))
     return g.select("r_name", "n_name", "lvl", "rev", F.rank().over(w).alias("rank_within_parent"))
 

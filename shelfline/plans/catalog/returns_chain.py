@@ -8,6 +8,7 @@ calendar) and then shuffled on the composite key.
 
 from __future__ import annotations
 
+from shelfline.functions.grouping import rollup
 from shelfline.functions.money import round_ratio2, stddev_samp_exact
 from shelfline.plans.catalog.common import (B, F, Window, avg_exact, dates_between, order,
                                              star_query, topk)
@@ -341,7 +342,7 @@ _TOT = [("sales", "sales"), ("returns_", "returns"), ("profit", "profit")]
 def q80(st, start="2000-08-23", price_min=50):
     """Sales/returns/profit per outlet and channel with a ROLLUP (channel, id)."""
     u = _q80_union(st, start, price_min)
-    g = u.rollup("channel", "id").agg(*[F.sum(c).cast("double").alias(a) for c, a in _TOT])
+    g = rollup(u, ["channel", "id"], [F.sum(c).cast("double").alias(a) for c, a in _TOT])
     return topk(g, 100, "channel", "id", "sales", "returns", "profit")
 
 

@@ -8,6 +8,7 @@ self-join, so an order with thousands of lines never emits line pairs.
 
 from __future__ import annotations
 
+from shelfline.functions.grouping import rollup
 from shelfline.functions.money import idiv
 from shelfline.plans.catalog.common import (B, F, avg_exact, order, star_query, topk)
 
@@ -347,8 +348,8 @@ def q14_1(st, year=1999, month=11):
     cross, avg = _cross_items(st, year), _avg_sales(st, year)
     dates = st.date_dim.filter((F.col("d_year") == year + 2) & (F.col("d_moy") == month)).select("d_date_sk")
     y = _channel_brand_sales(st, year, dates, cross, avg)
-    g = y.rollup("channel", "i_brand_id", "i_class_id", "i_category_id").agg(
-        F.sum("sales").cast("double").alias("sum_sales"), F.sum("number_sales").alias("sum_number_sales"))
+    g = rollup(y, ["channel", "i_brand_id", "i_class_id", "i_category_id"],
+               [F.sum("sales").cast("double").alias("sum_sales"), F.sum("number_sales").alias("sum_number_sales")])
     return topk(g, 100, "channel", "i_brand_id", "i_class_id", "i_category_id", "sum_sales", "sum_number_sales")
 
 

@@ -10,6 +10,7 @@ shuffle.
 
 from __future__ import annotations
 
+from shelfline.functions.grouping import rollup
 from shelfline.functions.money import avg_exact
 from shelfline.plans.catalog.common import (B, DataFrame, F, Window, dates_between, order, star_query,
                                              topk)
@@ -73,7 +74,7 @@ def _money_totals(df):
 def q05(st, start="2000-08-23"):
     """Sales, returns and profit per channel and outlet over 14 days, ROLLUP(channel, id)."""
     x = _q05_channels(st, start)
-    g = x.rollup("channel", "id").agg(*_money_totals(x))
+    g = rollup(x, ["channel", "id"], _money_totals(x))
     return topk(g, 100, "channel", "id", "sales", "returns", "profit")
 
 
@@ -124,8 +125,8 @@ _Q18_AGGS = [("cs_quantity", "agg1"), ("cs_list_price", "agg2"), ("cs_coupon_amt
 def q18(st, gender="F", education="Unknown", months=(1, 6, 8, 9, 12, 2), year=1998, states=_Q18_STATES):
     """Catalog averages for one demographic, ROLLUP(item, country, state, county)."""
     j = _q18_detail(st, gender, education, months, year, states)
-    g = j.rollup("i_item_id", "ca_country", "ca_state", "ca_county").agg(
-        *[avg_exact(c).alias(a) for c, a in _Q18_AGGS])
+    g = rollup(j, ["i_item_id", "ca_country", "ca_state", "ca_county"],
+               [avg_exact(c).alias(a) for c, a in _Q18_AGGS])
     return topk(g, 100, "ca_country", "ca_state", "ca_county", "i_item_id", *[a for _, a in _Q18_AGGS])
 
 
@@ -157,7 +158,7 @@ _Q22_KEYS = ["i_product_name", "i_brand", "i_class", "i_category"]
 @star_query("q22", month_seq=1176)
 def q22(st, month_seq=1200):
     """Average on-hand quantity, ROLLUP(product, brand, class, category)."""
-    g = _q22_detail(st, month_seq).rollup(*_Q22_KEYS).agg(avg_exact("inv_quantity_on_hand").alias("qoh"))
+    g = rollup(_q22_detail(st, month_seq), _Q22_KEYS, [avg_exact("inv_quantity_on_hand").alias("qoh")])
     return topk(g, 100, "qoh", *_Q22_KEYS)
 
 
@@ -197,8 +198,8 @@ _Q27_AGGS = [("ss_quantity", "agg1"), ("ss_list_price", "agg2"), ("ss_coupon_amt
 def q27(st, gender="M", marital="S", education="College", year=2002, states=_Q27_STATES):
     """Store averages for one demographic, ROLLUP(item, state) with GROUPING(state)."""
     j = _q27_detail(st, gender, marital, education, year, states)
-    g = j.rollup("i_item_id", "s_state").agg(F.grouping("s_state").cast("int").alias("g_state"),
-                                             *[avg_exact(c).alias(a) for c, a in _Q27_AGGS])
+    g = rollup(j, ["i_item_id", "s_state"], [F.grouping("s_state").cast("int").alias("g_state"),
+                                             *[avg_exact(c).alias(a) for c, a in _Q27_AGGS]], {"g_state": 1})
     return topk(g, 100, "i_item_id", "s_state", "g_state", *[a for _, a in _Q27_AGGS])
 
 
@@ -250,10 +251,10 @@ _Q36_COLS = ["gross_margin", "i_category", "i_class", "lochierarchy", "rank_with
 def q36(st, year=2001, states=_Q36_STATES):
     """Gross margin by category/class ROLLUP, ranked within each parent."""
     j = _q36_detail(st, year, states)
-    g = j.rollup("i_category", "i_class").agg(
+    g = rollup(j, ["i_category", "i_class"], [
         (F.sum("ss_net_profit").cast("double") / F.sum("ss_ext_sales_price").cast("double")).alias("gross_margin"),
         (F.grouping("i_category") + F.grouping("i_class")).cast("int").alias("lochierarchy"),
-        F.grouping("i_class").alias("_g_sub"))
+        F.grouping("i_class").alias("_g_sub")], {"lochierarchy": 2, "_g_sub": 1})
     return _finish_rank(_rank_within_parent(g, "i_category", "i_class", "gross_margin", False), _Q36_COLS, "gross_margin")
 
 
@@ -290,10 +291,10 @@ _Q70_COLS = ["total_sum", "s_state", "s_county", "lochierarchy", "rank_within_pa
 def q70(st, month_seq=1200, top_states=5):
     """Store profit ROLLUP(state, county) for top states, ranked within parent."""
     j = _q70_detail(st, month_seq, top_states)
-    g = j.rollup("s_state", "s_county").agg(
+    g = rollup(j, ["s_state", "s_county"], [
         F.sum("ss_net_profit").cast("double").alias("total_sum"),
         (F.grouping("s_state") + F.grouping("s_county")).cast("int").alias("lochierarchy"),
-        F.grouping("s_county").alias("_g_sub"))
+        F.grouping("s_county").alias("_g_sub")], {"lochierarchy": 2, "_g_sub": 1})
     return _finish_rank(_rank_within_parent(g, "s_state", "s_county", "total_sum", True), _Q70_COLS, "total_sum")
 
 
@@ -326,10 +327,10 @@ _Q86_COLS = ["total_sum", "i_category", "i_class", "lochierarchy", "rank_within_
 def q86(st, month_seq=1200):
     """Web net paid ROLLUP(category, class), ranked within parent."""
     j = _q86_detail(st, month_seq)
-    g = j.rollup("i_category", "i_class").agg(
+    g = rollup(j, ["i_category", "i_class"], [
         F.sum("ws_net_paid").cast("double").alias("total_sum"),
         (F.grouping("i_category") + F.grouping("i_class")).cast("int").alias("lochierarchy"),
-        F.grouping("i_class").alias("_g_sub"))
+        F.grouping("i_class").alias("_g_sub")], {"lochierarchy": 2, "_g_sub": 1})
     return _finish_rank(_rank_within_parent(g, "i_category", "i_class", "total_sum", True), _Q86_COLS, "total_sum")
 
 
@@ -606,7 +607,7 @@ def _q67_rank(dw1):
 def q67(st, month_seq=1200):
     """Top 100 roll-up cells per category by revenue (8-level ROLLUP + rank filter)."""
     d = _q67_detail(st, month_seq)
-    dw1 = d.rollup(*_Q67_KEYS).agg(F.sum("v").cast("double").alias("sumsales"))
+    dw1 = rollup(d, _Q67_KEYS, [F.sum("v").cast("double").alias("sumsales")])
     return _q67_rank(dw1)
 
 
@@ -662,7 +663,7 @@ def _q77_x(st, start):
 def q77(st, start="2000-08-23"):
     """Sales/returns/profit per channel and outlet over 30 days, ROLLUP(channel, id)."""
     x = _q77_x(st, start)
-    g = x.rollup("channel", "id").agg(*_money_totals(x))
+    g = rollup(x, ["channel", "id"], _money_totals(x))
     return topk(g, 100, "channel", "id", "sales", "returns", "profit")
 
 
