@@ -1,11 +1,15 @@
-"""ROLLUP with SQL empty-input semantics.
+"""ROLLUP with SQL empty-input semantics, in one pass.
 
 In SQL the grand-total grouping set ``()`` of a ROLLUP yields one row even
-when the input is empty (all keys NULL, SUM/AVG NULL, COUNT 0). Spark's
-Expand-based rollup emits nothing for an empty input, so :func:`rollup`
-adds that row when -- and only when -- the total level is missing. The
-check reads the rollup's own (small) output; the rollup input is computed
-once (the second reference reuses the same shuffle stage).
+when the input is empty (keys NULL, SUM/AVG NULL, COUNT(col) 0). Spark's
+Expand-based rollup emits nothing for an empty input. :func:`rollup` unions
+a single all-NULL sentinel row into the input: NULL inputs are ignored by
+every aggregate, so the sentinel changes no value, but it guarantees the
+grand-total group exists. Groups that contain only the sentinel are
+dropped at every other level. Cost: one extra input row, no extra pass.
+
+Aggregates passed in must ignore NULL inputs (use ``count(col)``, not
+``count(*)``).
 """
 
 from __future__ import annotations
@@ -14,17 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def rollup(df: DataFrame, keys: list[str], aggs: list[Column], empty: dict | None = None) -> DataFrame:
-    """``df.rollup(*keys).agg(*aggs)`` plus the empty-input grand-total row.
-
-    ``empty`` gives the value of an output column in that row (default NULL;
-    pass 0 for counts and 1 for GROUPING() flags)."""
-    r = df.rollup(*keys).agg(*aggs, F.grouping_id().alias("_gid"))
+def rollup(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
+    """``df.rollup(*keys).agg(*aggs)`` that always has its grand-total row."""
+    real = df.withColumn("_real", F.lit(1))
+    sentinel = df.sparkSession.range(1).select(
+        *[F.lit(None).cast(t).alias(c) for c, t in df.dtypes], F.lit(None).cast("int").alias("_real"))
+    r = real.unionByName(sentinel).rollup(*keys).agg(
+        *aggs, F.grouping_id().alias("_gid"), F.count("_real").alias("_n_real"))
     full = (1 << len(keys)) - 1
-    have_total = r.filter(F.col("_gid") == full).agg(F.count(F.lit(1)).alias("_n"))
-    types = dict(r.dtypes)
-    cols = [c for c in r.columns if c != "_gid"]
-    empty = empty or {}
-    guard = have_total.filter(F.col("_n") == 0).select(
-        *[F.lit(empty.get(c)).cast(types[c]).alias(c) for c in cols])
-    return r.drop("_gid").unionByName(guard)
+    return r.filter((F.col("_n_real") > 0) | (F.col("_gid") == full)).drop("_gid", "_n_real")

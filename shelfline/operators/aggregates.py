@@ -107,7 +107,7 @@ def agg_rollup(spark, sf_dir):
     """ROLLUP(region, nation)."""
     j = _nation_revenue(T(spark, sf_dir))
     return rollup(j, ["r_name", "n_name"], [F.sum("rev").cast("double").alias("revenue"),
-                                            F.count(F.lit(1)).alias("lines")], {"lines": 0})
+                                            F.count("rev").alias("lines")])
 
 
 @raw_query("agg_grouping")
@@ -118,8 +118,7 @@ def agg_grouping(spark, sf_dir):
         F.sum("rev").cast("double").alias("revenue"),
         F.grouping("r_name").cast("int").alias("g_region"), F.grouping("n_name").cast("int").alias("g_nation"),
         (F.grouping("r_name") + F.grouping("n_name")).cast("int").alias("lvl"),
-        F.grouping_id("r_name", "n_name").cast("int").alias("gid")],
-        {"g_region": 1, "g_nation": 1, "lvl": 2, "gid": 3})
+        F.grouping_id("r_name", "n_name").cast("int").alias("gid")])
 
 
 @raw_query("agg_rollup_union")

@@ -68,7 +68,7 @@ def win_rank_rollup(spark, sf_dir):
          .join(B(t.region), F.col("n_regionkey") == F.col("r_regionkey")))
     g = rollup(j, ["r_name", "n_name"], [F.sum(dec("l_extendedprice")).cast("double").alias("rev"),
                                          (F.grouping("r_name") + F.grouping("n_name")).cast("int").alias("lvl"),
-                                         F.grouping("n_name").alias("g_n")], {"lvl": 2, "g_n": 1})
+                                         F.grouping("n_name").alias("g_n")])
     w = Window.partitionBy("lvl", F.when(F.col("g_n") == 0, F.col("r_name"))).orderBy(F.desc("rev"))
     return g.select("r_name", "n_name", "lvl", "rev", F.rank().over(w).alias("rank_within_parent"))
 

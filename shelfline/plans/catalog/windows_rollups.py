@@ -199,7 +199,7 @@ def q27(st, gender="M", marital="S", education="College", year=2002, states=_Q27
     """Store averages for one demographic, ROLLUP(item, state) with GROUPING(state)."""
     j = _q27_detail(st, gender, marital, education, year, states)
     g = rollup(j, ["i_item_id", "s_state"], [F.grouping("s_state").cast("int").alias("g_state"),
-                                             *[avg_exact(c).alias(a) for c, a in _Q27_AGGS]], {"g_state": 1})
+                                             *[avg_exact(c).alias(a) for c, a in _Q27_AGGS]])
     return topk(g, 100, "i_item_id", "s_state", "g_state", *[a for _, a in _Q27_AGGS])
 
 
@@ -254,7 +254,7 @@ def q36(st, year=2001, states=_Q36_STATES):
     g = rollup(j, ["i_category", "i_class"], [
         (F.sum("ss_net_profit").cast("double") / F.sum("ss_ext_sales_price").cast("double")).alias("gross_margin"),
         (F.grouping("i_category") + F.grouping("i_class")).cast("int").alias("lochierarchy"),
-        F.grouping("i_class").alias("_g_sub")], {"lochierarchy": 2, "_g_sub": 1})
+        F.grouping("i_class").alias("_g_sub")])
     return _finish_rank(_rank_within_parent(g, "i_category", "i_class", "gross_margin", False), _Q36_COLS, "gross_margin")
 
 
@@ -294,7 +294,7 @@ def q70(st, month_seq=1200, top_states=5):
     g = rollup(j, ["s_state", "s_county"], [
         F.sum("ss_net_profit").cast("double").alias("total_sum"),
         (F.grouping("s_state") + F.grouping("s_county")).cast("int").alias("lochierarchy"),
-        F.grouping("s_county").alias("_g_sub")], {"lochierarchy": 2, "_g_sub": 1})
+        F.grouping("s_county").alias("_g_sub")])
     return _finish_rank(_rank_within_parent(g, "s_state", "s_county", "total_sum", True), _Q70_COLS, "total_sum")
 
 
@@ -330,7 +330,7 @@ def q86(st, month_seq=1200):
     g = rollup(j, ["i_category", "i_class"], [
         F.sum("ws_net_paid").cast("double").alias("total_sum"),
         (F.grouping("i_category") + F.grouping("i_class")).cast("int").alias("lochierarchy"),
-        F.grouping("i_class").alias("_g_sub")], {"lochierarchy": 2, "_g_sub": 1})
+        F.grouping("i_class").alias("_g_sub")])
     return _finish_rank(_rank_within_parent(g, "i_category", "i_class", "total_sum", True), _Q86_COLS, "total_sum")
 
 
