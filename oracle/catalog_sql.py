@@ -751,7 +751,7 @@ FROM all_sales curr_yr, all_sales prev_yr
 WHERE curr_yr.i_brand_id = prev_yr.i_brand_id AND curr_yr.i_class_id = prev_yr.i_class_id
   AND curr_yr.i_category_id = prev_yr.i_category_id AND curr_yr.i_manufact_id = prev_yr.i_manufact_id
   AND curr_yr.d_year = 2000 AND prev_yr.d_year = 2000 - 1
-  AND CAST(curr_yr.sales_cnt AS DOUBLE) / CAST(prev_yr.sales_cnt AS DOUBLE) < 0.9
+  AND CASE WHEN prev_yr.sales_cnt <> 0 THEN CAST(curr_yr.sales_cnt AS DOUBLE) / CAST(prev_yr.sales_cnt AS DOUBLE) END < 0.9
 ORDER BY sales_cnt_diff, sales_amt_diff, i_brand_id, i_class_id, i_category_id, i_manufact_id LIMIT 100""")
 
 

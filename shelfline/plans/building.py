@@ -220,7 +220,7 @@ def profile_skew(st, buckets=32, warn=1.2):
         per = st[t].groupBy(F.pmod(F.col(key), F.lit(buckets)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
         s = per.agg(F.max("n").alias("max_rows"), F.sum("n").alias("rows"))
         s = s.select(F.lit(t).alias("table_name"), "max_rows", "rows",
-                     (F.col("max_rows") * buckets / F.col("rows")).alias("skew"))
+                     F.when(F.col("rows") > 0, F.col("max_rows") * buckets / F.col("rows")).alias("skew"))
         out.append(s.withColumn("status", F.when(F.col("skew") >= warn, "WARN").otherwise("OK")))
     return _union(out)
 

@@ -251,7 +251,8 @@ def q75(st, category="ring", year=2002):
     cur = all_sales.filter(F.col("d_year") == year)
     prev = all_sales.filter(F.col("d_year") == year - 1).select(*[F.col(c).alias("p_" + c) for c in all_sales.columns])
     j = cur.join(prev, [cur[k] == prev["p_" + k] for k in keys])
-    j = j.filter(F.col("sales_cnt").cast("double") / F.col("p_sales_cnt").cast("double") < 0.9)
+    j = j.filter(F.when(F.col("p_sales_cnt") != 0,
+                        F.col("sales_cnt").cast("double") / F.col("p_sales_cnt").cast("double")) < 0.9)
     out = j.select(F.col("p_d_year").alias("prev_year"), F.col("d_year").alias("year"), *keys,
                    F.col("p_sales_cnt").alias("prev_yr_cnt"), F.col("sales_cnt").alias("curr_yr_cnt"),
                    (F.col("sales_cnt") - F.col("p_sales_cnt")).alias("sales_cnt_diff"),

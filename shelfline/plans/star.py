@@ -867,7 +867,12 @@ class Star:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        # One DataFrame per table and session: the file listing and Parquet
+        # footer/schema resolution happen once, not on every reference.
+        df = self._cache.get(name)
+        if df is None:
+            df = self._cache[name] = self.spark.read.parquet(f"{self.root}/{name}")
+        return df
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
