@@ -325,21 +325,23 @@ _CHANNELS = [("store", "store_sales", "ss"), ("catalog", "catalog_sales", "cs"),
 
 
 def _channel_brand_sales(st, y0, dates, cross, avg, channels=_CHANNELS):
+    """Per channel and (brand, class, category): sales of cross-channel items
+    above the 3-year average. Channels are unioned first, so the cross-item
+    semi join and the average appear once in the plan."""
     keys = ["i_brand_id", "i_class_id", "i_category_id"]
     it = st.item.select("i_item_sk", *keys)
-    out = []
-    for ch, fact, p in channels:
-        j = (st[fact].join(B(dates), F.col(f"{p}_sold_date_sk") == dates.d_date_sk)
-             .join(cross, F.col(f"{p}_item_sk") == cross.x_item_sk, "left_semi")
-             .join(it, F.col(f"{p}_item_sk") == it.i_item_sk))
-        g = j.groupBy(*keys).agg(F.sum(F.col(f"{p}_quantity") * F.col(f"{p}_list_price")).alias("sales"),
-                                 F.count(F.lit(1)).alias("number_sales"))
-        g = g.crossJoin(avg).filter(F.col("sales").cast("double") > F.col("average_sales")).drop("average_sales")
-        out.append(g.select(F.lit(ch).alias("channel"), *keys, "sales", "number_sales"))
-    u = out[0]
-    for o in out[1:]:
+    parts = [st[fact].join(B(dates), F.col(f"{p}_sold_date_sk") == dates.d_date_sk)
+             .select(F.lit(ch).alias("channel"), F.col(f"{p}_item_sk").alias("sold_item_sk"),
+                     (F.col(f"{p}_quantity") * F.col(f"{p}_list_price")).alias("v"))
+             for ch, fact, p in channels]
+    u = parts[0]
+    for o in parts[1:]:
         u = u.unionByName(o)
-    return u
+    j = (u.join(cross, u.sold_item_sk == cross.x_item_sk, "left_semi")
+          .join(it, u.sold_item_sk == it.i_item_sk))
+    g = j.groupBy("channel", *keys).agg(F.sum("v").alias("sales"), F.count(F.lit(1)).alias("number_sales"))
+    g = g.crossJoin(F.broadcast(avg)).filter(F.col("sales").cast("double") > F.col("average_sales")).drop("average_sales")
+    return g.select("channel", *keys, "sales", "number_sales")
 
 
 @star_query("q14_1", year=1998)
@@ -419,15 +421,17 @@ def _q23_sets(st, y0, min_cnt, best_frac):
 
 
 def _q23_channel_rows(st, y0, month, freq, best):
+    """Catalog + web lines of one month for frequent items bought by best
+    customers (channels unioned first: one semi join per filter)."""
     dt = st.date_dim.filter((F.col("d_year") == y0) & (F.col("d_moy") == month)).select("d_date_sk")
-    out = []
-    for fact, p in [("catalog_sales", "cs"), ("web_sales", "ws")]:
-        out.append(st[fact].join(B(dt), F.col(f"{p}_sold_date_sk") == dt.d_date_sk)
-                   .join(freq, F.col(f"{p}_item_sk") == freq.item_sk, "left_semi")
-                   .join(best, F.col(f"{p}_bill_customer_sk") == best.best_sk, "left_semi")
-                   .select(F.lit(p).alias("ch"), F.col(f"{p}_bill_customer_sk").alias("cust"),
-                           (F.col(f"{p}_quantity") * F.col(f"{p}_list_price")).alias("sales")))
-    return out[0].unionByName(out[1])
+    parts = [st[fact].join(B(dt), F.col(f"{p}_sold_date_sk") == dt.d_date_sk)
+             .select(F.lit(p).alias("ch"), F.col(f"{p}_item_sk").alias("item"),
+                     F.col(f"{p}_bill_customer_sk").alias("cust"),
+                     (F.col(f"{p}_quantity") * F.col(f"{p}_list_price")).alias("sales"))
+             for fact, p in [("catalog_sales", "cs"), ("web_sales", "ws")]]
+    u = parts[0].unionByName(parts[1])
+    return (u.join(freq, u.item == freq.item_sk, "left_semi")
+             .join(best, u.cust == best.best_sk, "left_semi"))
 
 
 @star_query("q23_1", min_cnt=0, best_frac=0.5)

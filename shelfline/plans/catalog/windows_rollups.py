@@ -650,7 +650,7 @@ def _q77_x(st, start):
         F.coalesce("returns_", z).alias("returns_"), (F.col("profit") - F.coalesce("profit_loss", z)).alias("profit"))
     # benchmark quirk kept: the catalog branch is a cross join of two per-call-center
     # aggregates (each bounded by the call-center dimension)
-    catalog = cs.crossJoin(cr.drop("k")).select(
+    catalog = cs.crossJoin(B(cr.drop("k"))).select(
         F.lit("catalog channel").alias("channel"), F.col("k").alias("id"), "sales", "returns_",
         (F.col("profit") - F.col("profit_loss")).alias("profit"))
     web = ws.join(wr.withColumnRenamed("k", "rk"), F.col("k") == F.col("rk"), "left").select(
