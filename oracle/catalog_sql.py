@@ -647,7 +647,7 @@ ORDER BY c_last_name, c_first_name, s_store_name"""
 
 
 q("q24_1", "store_sales store_returns store item customer customer_address", _q24("red"))
-q("q24_2", "store_sales store_returns store item customer customer_address", _q24("blue"))
+q("q24_2", "store_sales store_returns store item customer customer_address", _q24("cold"))
 
 q("q40", "catalog_sales catalog_returns warehouse item date_dim", """
 SELECT w_state, i_item_id,
@@ -815,7 +815,7 @@ SELECT substr(r_reason_desc, 1, 20) AS reason,
 FROM web_sales, web_returns, web_page, customer_demographics cd1, customer_demographics cd2,
      customer_address, date_dim, reason
 WHERE ws_web_page_sk = wp_web_page_sk AND ws_item_sk = wr_item_sk AND ws_order_number = wr_order_number
-  AND ws_sold_date_sk = d_date_sk AND d_year = 1999 AND cd1.cd_demo_sk = wr_refunded_cdemo_sk
+  AND ws_sold_date_sk = d_date_sk AND d_year = 2000 AND cd1.cd_demo_sk = wr_refunded_cdemo_sk
   AND cd2.cd_demo_sk = wr_returning_cdemo_sk AND ca_address_sk = wr_refunded_addr_sk AND r_reason_sk = wr_reason_sk
   AND ((cd1.cd_marital_status = 'M' AND cd1.cd_marital_status = cd2.cd_marital_status
         AND cd1.cd_education_status = 'Advanced Degree' AND cd1.cd_education_status = cd2.cd_education_status

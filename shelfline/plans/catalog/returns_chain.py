@@ -112,7 +112,7 @@ def q24_1(st, color="red", market_id=8):
     return _q24(st, color, market_id)
 
 
-@star_query("q24_2", market_id=5)
+@star_query("q24_2", market_id=5, color="cold")
 def q24_2(st, color="blue", market_id=8):
     return _q24(st, color, market_id)
 
@@ -359,7 +359,7 @@ def q80a(st, start="2000-08-23", price_min=50):
     return topk(d.unionByName(c).unionByName(t).distinct(), 100, "channel", "id", "sales", "returns", "profit")
 
 
-@star_query("q85", year=1999)
+@star_query("q85", year=2000)
 def q85(st, year=2000):
     """Average quantity/refund/fee of web returns by reason for demographic x
     price x geography profiles (OR-of-ANDs; join keys written explicitly)."""
