@@ -846,8 +846,8 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def _source_key(sf_dir: str) -> str:
-    parts = [STAR_VERSION, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
+def _source_key(sf_dir: str, layout: str = "flat") -> str:
+    parts = [STAR_VERSION, layout, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
     for name in ("orders", "lineitem", "part", "customer", "supplier", "nation", "region"):
         path = os.path.join(sf_dir, f"{name}.parquet")
         if os.path.exists(path):
@@ -904,20 +904,29 @@ def build_star(spark: SparkSession, sf_dir: str, root: str,
     staged = f"{root}/_lines"
     lines(spark, sf_dir).write.mode("overwrite").parquet(staged)
     b = StarBuilder(spark, sf_dir, lines_df=spark.read.parquet(staged))
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     for name in TABLES:
         df = b.table(name)
         out = f"{root}/{name}"
         if name in _FACT_DATE:
             key = _FACT_DATE[name]
-            df = df.sortWithinPartitions(key)
-            w = df.write.mode("overwrite")
             if partition_facts_by_date:
-                w = w.partitionBy(key)
-            w.parquet(out)
+                # cluster rows by date first so each task writes few directories
+                df.repartitionByRange(n, F.col(key).asc_nulls_last()).sortWithinPartitions(key) \
+                  .write.mode("overwrite").partitionBy(key).parquet(out)
+            else:
+                df.sortWithinPartitions(key).write.mode("overwrite").parquet(out)
+        elif name in _DATA_SIZED_DIMS:
+            # 1:1 projections of driver tables: keep their parallelism
+            df.write.mode("overwrite").parquet(out)
         else:
+            # bounded by construction (calendar, clock, demographics, outlets)
             df.coalesce(1).write.mode("overwrite").parquet(out)
 
 
+_DATA_SIZED_DIMS = {"item", "customer", "customer_address"}
+
+
 def load_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     """Return the loaded star schema for ``sf_dir``, building it once.
 
@@ -925,7 +934,8 @@ def load_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     source files and the rule version, and is published atomically by a
     pointer file written after all tables are complete.
     """
-    key = _source_key(sf_dir)
+    layout = spark.conf.get("spark.shelfline.star.partitionFactsByDate", "false").lower()
+    key = _source_key(sf_dir, "partitioned" if layout == "true" else "flat")
     memo = _LOADED.get((id(spark), key))
     if memo is not None and not rebuild:
         return memo
@@ -933,7 +943,8 @@ def load_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     current = None if rebuild else _read_text(spark, f"{base}/CURRENT")
     if not current:
         current = uuid.uuid4().hex[:12]
-        build_star(spark, sf_dir, f"{base}/{current}")
+        partitioned = spark.conf.get("spark.shelfline.star.partitionFactsByDate", "false").lower() == "true"
+        build_star(spark, sf_dir, f"{base}/{current}", partition_facts_by_date=partitioned)
         _write_text(spark, f"{base}/CURRENT", current)
     star = Star(spark, f"{base}/{current}")
     _LOADED[(id(spark), key)] = star
