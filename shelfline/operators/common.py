@@ -22,9 +22,9 @@ def dec(c: str) -> Column:
     return F.col(c).cast("decimal(12,2)")
 
 
-def dsum(c: str | Column, alias: str) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast("decimal(12,2)") if isinstance(c, str) else col).cast("double").alias(alias)
+def dsum(c: str, alias: str) -> Column:
+    """Exact decimal sum of a two-decimal money column, reported as double."""
+    return F.sum(dec(c)).cast("double").alias(alias)
 
 
 def revenue() -> Column:

@@ -9,7 +9,7 @@ aggregate.
 
 from __future__ import annotations
 
-from shelfline.plans.catalog.common import (B, DataFrame, F, Window, order, star_query, topk)
+from shelfline.plans.catalog.common import B, DataFrame, F, order, star_query, topk
 
 _DAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
 _SHORT = ["sun", "mon", "tue", "wed", "thu", "fri", "sat"]

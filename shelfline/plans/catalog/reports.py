@@ -147,7 +147,7 @@ def q39_2(st, year=2001, month=1, cov_min=1.0, cov1_min=1.5):
     return _q39(st, year, month, cov_min, cov1_min)
 
 
-def _ticket_city(st, date_cond, hd_cond, store_cond, sums):
+def _ticket_city(st, date_cond, hd_cond, store_cond):
     dt = st.date_dim.filter(date_cond).select("d_date_sk")
     hd = st.household_demographics.filter(hd_cond).select("hd_demo_sk")
     s = st.store.filter(store_cond).select("s_store_sk", "s_city")
@@ -167,7 +167,7 @@ def _moved_customers(st, dn):
 def q46(st, years=(1999, 2000, 2001), cities=("Fairview", "Midway")):
     """Weekend tickets bought in a city other than the customer's current one."""
     j = _ticket_city(st, F.col("d_dow").isin(6, 0) & F.col("d_year").isin(*years),
-                     (F.col("hd_dep_count") == 4) | (F.col("hd_vehicle_count") == 3), F.col("s_city").isin(*cities), None)
+                     (F.col("hd_dep_count") == 4) | (F.col("hd_vehicle_count") == 3), F.col("s_city").isin(*cities))
     ca = st.customer_address.select("ca_address_sk", F.col("ca_city").alias("bought_city"))
     dn = (j.join(ca, F.col("ss_addr_sk") == ca.ca_address_sk)
            .groupBy("ss_ticket_number", "ss_customer_sk", "ss_addr_sk", "bought_city")
@@ -181,7 +181,7 @@ def q46(st, years=(1999, 2000, 2001), cities=("Fairview", "Midway")):
 def q68(st, years=(1999, 2000, 2001), cities=("Midway", "Fairview")):
     """Early-month tickets bought in another city: extended price, tax and list price."""
     j = _ticket_city(st, F.col("d_dom").between(1, 2) & F.col("d_year").isin(*years),
-                     (F.col("hd_dep_count") == 4) | (F.col("hd_vehicle_count") == 3), F.col("s_city").isin(*cities), None)
+                     (F.col("hd_dep_count") == 4) | (F.col("hd_vehicle_count") == 3), F.col("s_city").isin(*cities))
     ca = st.customer_address.select("ca_address_sk", F.col("ca_city").alias("bought_city"))
     dn = (j.join(ca, F.col("ss_addr_sk") == ca.ca_address_sk)
            .groupBy("ss_ticket_number", "ss_customer_sk", "ss_addr_sk", "bought_city")
@@ -199,7 +199,7 @@ def q79(st, years=(1999, 2000, 2001), employees=(200, 295)):
     """Monday tickets at mid-size stores: coupon amount and profit per customer ticket."""
     j = _ticket_city(st, (F.col("d_dow") == 1) & F.col("d_year").isin(*years),
                      (F.col("hd_dep_count") == 6) | (F.col("hd_vehicle_count") > 2),
-                     F.col("s_number_employees").between(*employees), None)
+                     F.col("s_number_employees").between(*employees))
     ms = (j.groupBy("ss_ticket_number", "ss_customer_sk", "ss_addr_sk", "s_city")
            .agg(F.sum("ss_coupon_amt").cast("double").alias("amt"), F.sum("ss_net_profit").cast("double").alias("profit")))
     c = st.customer.select("c_customer_sk", "c_last_name", "c_first_name")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from shelfline.functions.grouping import rollup
 from shelfline.functions.money import idiv
-from shelfline.plans.catalog.common import (B, F, avg_exact, order, star_query, topk)
+from shelfline.plans.catalog.common import B, F, avg_exact, star_query, topk
 
 
 def _buyers(st, fact, p, cust, dates):

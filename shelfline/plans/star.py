@@ -208,9 +208,6 @@ def _returned(src: DataFrame) -> DataFrame:
     return df
 
 
-_RET_MONEY = ["r_amt", "r_tax", "r_amt_inc_tax", "r_fee", "r_ship", "r_cash", "r_charge",
-              "r_credit", "r_loss"]
-
 
 def _purchase_cdemo(on: Column, ck: Column) -> Column:
     """Demographics recorded at purchase: the customer's current profile,
