@@ -934,7 +934,7 @@ def load_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     layout = spark.conf.get("spark.shelfline.star.partitionFactsByDate", "false").lower()
     key = _source_key(sf_dir, "partitioned" if layout == "true" else "flat")
     memo = _LOADED.get((id(spark), key))
-    if memo is not None and not rebuild:
+    if memo is not None and memo.spark is spark and not rebuild:
         return memo
     base = f"{scratch_dir(spark)}/star/{key}"
     current = None if rebuild else _read_text(spark, f"{base}/CURRENT")
