@@ -215,13 +215,13 @@ CTES["web_returns"] = (f"""SELECT r_date AS wr_returned_date_sk, r_time AS wr_re
                       'refunded_cash', 'reversed_charge', 'account_credit', 'net_loss'])}
 FROM (SELECT *, {_RETURNED} FROM _web_keys WHERE (pk + onum + ln) % 4 = 0) r""", ["_web_keys"])
 CTES["inventory"] = (f"""SELECT CAST({S.JD_1998} + (i // {S.N_WAREHOUSE}) * 7 AS INTEGER) AS inv_date_sk,
-  CAST(p_partkey + 1 AS INTEGER) AS inv_item_sk,
+  CAST(p_partkey + CASE WHEN p_partkey % 6 = 4 AND {S.JD_1998} + (i // {S.N_WAREHOUSE}) * 7 >= {S.JD_2000}
+                         AND p_partkey + 1 < n_parts THEN 2 ELSE 1 END AS INTEGER) AS inv_item_sk,
   CAST(i % {S.N_WAREHOUSE} + 1 AS INTEGER) AS inv_warehouse_sk,
   CAST((p_partkey * 37 + (i % {S.N_WAREHOUSE} + 1) * 101 + (i // {S.N_WAREHOUSE}) * 53) % 1000 AS INTEGER)
     AS inv_quantity_on_hand
-FROM part, range(0, {S.N_WAREHOUSE * S.INV_WEEKS}) g(i)
-WHERE p_partkey % 4 = 0""", [])
-
+FROM part, (SELECT count(*) AS n_parts FROM part) np, range(0, {S.N_WAREHOUSE * S.INV_WEEKS}) g(i)
+WHERE p_partkey % 6 <> 5""", [])
 _D1900 = "date_diff('day', DATE '1900-01-01', d)"
 CTES["date_dim"] = (f"""SELECT {jd('d')} AS d_date_sk, 'D' || CAST({jd('d')} AS VARCHAR) AS d_date_id,
   d AS d_date,

@@ -19,8 +19,8 @@ Scale notes
   driver table (item <- part, customer/address <- customer).
 * Sales channels are split by ``order_key % 3``; returns and re-purchases
   are projections/filters of the sales rows -- no further joins.
-* Inventory is generated per item with ``explode(sequence(...))`` (a
-  generator, not a cross join), so it partitions with the item table.
+* Inventory is generated per item business id with ``explode(sequence(...))``
+  (a generator, not a cross join), so it partitions with the item table.
 * The customer count used to pick gift recipients is a one-row aggregate
   broadcast into the line derivation.
 """
@@ -40,9 +40,10 @@ from shelfline.session import scratch_dir
 from shelfline.sources.tables import read_table
 
 # Bump whenever a derivation rule changes: it keys the materialised copy.
-STAR_VERSION = "5"
+STAR_VERSION = "6"
 
 JD_1998 = 2450815          # date key of 1998-01-01 (Julian day number)
+JD_2000 = 2451545          # date key of 2000-01-01
 DATE_LO, DATE_DAYS = "1994-01-01", 3652   # calendar 1994-01-01 .. 2003-12-31
 N_CDEMO, N_HDEMO, N_INCOME = 70, 240, 20
 N_STORE_MAX, N_CALL_CENTER, N_CATALOG_PAGE = 12, 6, 120
@@ -449,14 +450,22 @@ class StarBuilder:
         )
 
     def inventory(self) -> DataFrame:
-        """Weekly on-hand quantity for every 4th item x warehouse x Thursday."""
-        items = self._t("part").select(F.col("p_partkey").alias("pk")).filter(F.pmod("pk", F.lit(4)) == 0)
-        g = items.select("pk", F.explode(F.sequence(F.lit(0), F.lit(N_WAREHOUSE * INV_WEEKS - 1))).alias("i"))
+        """Weekly on-hand quantity for every item business id x warehouse x
+        Thursday. The item key is the type-2 revision valid on the snapshot
+        date (revisions split at 2000-01-01 for ids with two revisions)."""
+        parts = self._t("part").select(F.col("p_partkey").alias("pk"))
+        n_parts = parts.agg(F.count(F.lit(1)).alias("n_parts"))
+        ids = parts.filter(F.pmod("pk", F.lit(6)) != 5).crossJoin(F.broadcast(n_parts))
+        g = ids.select("pk", "n_parts",
+                       F.explode(F.sequence(F.lit(0), F.lit(N_WAREHOUSE * INV_WEEKS - 1))).alias("i"))
         w = F.pmod(F.col("i"), F.lit(N_WAREHOUSE)) + 1
         k = idiv(F.col("i"), N_WAREHOUSE)
+        date_sk = F.lit(JD_1998) + k * 7
+        second_rev = ((F.pmod(F.col("pk"), F.lit(6)) == 4) & (date_sk >= JD_2000)
+                      & (F.col("pk") + 1 < F.col("n_parts")))
         return g.select(
-            (F.lit(JD_1998) + k * 7).cast("int").alias("inv_date_sk"),
-            (F.col("pk") + 1).cast("int").alias("inv_item_sk"),
+            date_sk.cast("int").alias("inv_date_sk"),
+            (F.col("pk") + F.when(second_rev, 2).otherwise(1)).cast("int").alias("inv_item_sk"),
             w.cast("int").alias("inv_warehouse_sk"),
             F.pmod(F.col("pk") * 37 + w * 101 + k * 53, F.lit(1000)).cast("int").alias("inv_quantity_on_hand"),
         )
