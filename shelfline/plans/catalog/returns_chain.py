@@ -197,7 +197,11 @@ def q72(st, year=1999, buy_potential=">10000", marital="D"):
     """Catalog lines that outsell the week's inventory, by item/warehouse/week."""
     d1 = st.date_dim.filter(F.col("d_year") == year).select(
         F.col("d_date_sk").alias("d1_sk"), F.col("d_week_seq").alias("d1_week"), F.col("d_date").alias("d1_date"))
-    d2 = st.date_dim.select(F.col("d_date_sk").alias("d2_sk"), F.col("d_week_seq").alias("d2_week"))
+    # inventory weeks must equal a sale week: restrict d2 to the weeks of d1
+    # (a bounded semi join) so only those snapshots are read and joined
+    weeks = d1.select(F.col("d1_week").alias("w")).distinct()
+    d2 = (st.date_dim.join(B(weeks), F.col("d_week_seq") == weeks.w, "left_semi")
+          .select(F.col("d_date_sk").alias("d2_sk"), F.col("d_week_seq").alias("d2_week")))
     d3 = st.date_dim.select(F.col("d_date_sk").alias("d3_sk"), F.col("d_date").alias("d3_date"))
     hd = st.household_demographics.filter(F.col("hd_buy_potential") == buy_potential).select("hd_demo_sk")
     cd = st.customer_demographics.filter(F.col("cd_marital_status") == marital).select("cd_demo_sk")

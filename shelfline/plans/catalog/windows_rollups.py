@@ -157,8 +157,14 @@ _Q22_KEYS = ["i_product_name", "i_brand", "i_class", "i_category"]
 
 @star_query("q22", month_seq=1176)
 def q22(st, month_seq=1200):
-    """Average on-hand quantity, ROLLUP(product, brand, class, category)."""
-    g = rollup(_q22_detail(st, month_seq), _Q22_KEYS, [avg_exact("inv_quantity_on_hand").alias("qoh")])
+    """Average on-hand quantity, ROLLUP(product, brand, class, category).
+
+    The average decomposes into (sum, count), so snapshots are first reduced
+    to one row per detail group and only those rows are expanded into the
+    five roll-up levels (exact: integer sums)."""
+    detail = _q22_detail(st, month_seq).groupBy(*_Q22_KEYS).agg(
+        F.sum("inv_quantity_on_hand").alias("s"), F.count("inv_quantity_on_hand").alias("c"))
+    g = rollup(detail, _Q22_KEYS, [(F.sum("s").cast("double") / F.sum("c")).alias("qoh")])
     return topk(g, 100, "qoh", *_Q22_KEYS)
 
 
