@@ -146,10 +146,19 @@ def q18a(st, gender="F", education="Unknown", months=(1, 6, 8, 9, 12, 2), year=1
 
 # --------------------------------------------------------------------------- q22
 def _q22_detail(st, month_seq):
+    """Sum and count of on-hand quantity per item, with the item's attributes.
+
+    Snapshots are reduced to one row per item key (an integer key, partial
+    aggregation before the shuffle) before the join with ``item``: the item
+    attributes are a function of the item key, so grouping the per-item sums
+    by them afterwards is exact, and the string-keyed join and grouping see
+    one row per item instead of one per snapshot."""
     dt = st.date_dim.filter(F.col("d_month_seq").between(month_seq, month_seq + 11)).select("d_date_sk")
-    return (st.inventory.join(B(dt), F.col("inv_date_sk") == dt.d_date_sk)
-            .join(st.item.select("i_item_sk", "i_product_name", "i_brand", "i_class", "i_category"),
-                  F.col("inv_item_sk") == F.col("i_item_sk")))
+    per_item = (st.inventory.join(B(dt), F.col("inv_date_sk") == dt.d_date_sk)
+                .groupBy("inv_item_sk")
+                .agg(F.sum("inv_quantity_on_hand").alias("s"), F.count("inv_quantity_on_hand").alias("c")))
+    return per_item.join(st.item.select("i_item_sk", "i_product_name", "i_brand", "i_class", "i_category"),
+                         F.col("inv_item_sk") == F.col("i_item_sk"))
 
 
 _Q22_KEYS = ["i_product_name", "i_brand", "i_class", "i_category"]
@@ -163,7 +172,7 @@ def q22(st, month_seq=1200):
     to one row per detail group and only those rows are expanded into the
     five roll-up levels (exact: integer sums)."""
     detail = _q22_detail(st, month_seq).groupBy(*_Q22_KEYS).agg(
-        F.sum("inv_quantity_on_hand").alias("s"), F.count("inv_quantity_on_hand").alias("c"))
+        F.sum("s").alias("s"), F.sum("c").alias("c"))
     g = rollup(detail, _Q22_KEYS, [(F.sum("s").cast("double") / F.sum("c")).alias("qoh")])
     return topk(g, 100, "qoh", *_Q22_KEYS)
 
@@ -172,7 +181,7 @@ def q22(st, month_seq=1200):
 def q22a(st, month_seq=1200):
     """Average of averages per roll-up level (numerically differs from q22 on purpose)."""
     j = _q22_detail(st, month_seq)
-    base = j.groupBy(*_Q22_KEYS).agg(avg_exact("inv_quantity_on_hand").alias("qoh"))
+    base = j.groupBy(*_Q22_KEYS).agg((F.sum("s").cast("double") / F.sum("c")).alias("qoh"))
     parts = [base]
     for n in (3, 2, 1, 0):
         lv = _Q22_KEYS[:n]

@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,7 +40,7 @@ from shelfline.session import scratch_dir
 from shelfline.sources.tables import read_table
 
 # Bump whenever a derivation rule changes: it keys the materialised copy.
-STAR_VERSION = "6"
+STAR_VERSION = "7"
 
 JD_1998 = 2450815          # date key of 1998-01-01 (Julian day number)
 JD_2000 = 2451545          # date key of 2000-01-01
@@ -890,12 +891,47 @@ class Star:
 
 _LOADED: dict[tuple[int, str], Star] = {}
 
-# Facts whose stored files are clustered by their date key, so Parquet
-# min/max statistics prune row groups for date-range predicates.
+# Facts are stored range-partitioned on (date key, item key): every file
+# covers a narrow date range, so Parquet min/max statistics skip whole files
+# for date-range predicates, and a fact derived from a few input partitions
+# (inventory is generated from the item table) is still written as many
+# files that scan in parallel. The item key in the range key lets the range
+# sampler split a date that holds a large share of all rows.
 _FACT_DATE = {"store_sales": "ss_sold_date_sk", "store_returns": "sr_returned_date_sk",
               "catalog_sales": "cs_sold_date_sk", "catalog_returns": "cr_returned_date_sk",
               "web_sales": "ws_sold_date_sk", "web_returns": "wr_returned_date_sk",
               "inventory": "inv_date_sk"}
+_FACT_ITEM = {"store_sales": "ss_item_sk", "store_returns": "sr_item_sk",
+              "catalog_sales": "cs_item_sk", "catalog_returns": "cr_item_sk",
+              "web_sales": "ws_item_sk", "web_returns": "wr_item_sk",
+              "inventory": "inv_item_sk"}
+
+# Tables written concurrently after the staged lines exist: each write is a
+# separate job, and the small dimension writes would otherwise leave most
+# task slots idle.
+_WRITE_THREADS = 4
+
+_DATA_SIZED_DIMS = {"item", "customer", "customer_address"}
+
+
+def _write_table(b: "StarBuilder", name: str, out: str, partition_facts_by_date: bool) -> None:
+    df = b.table(name)
+    if name in _FACT_DATE:
+        key, item = _FACT_DATE[name], _FACT_ITEM[name]
+        # No explicit partition count: the range exchange uses the shuffle
+        # partition setting and AQE coalesces it to the data size.
+        clustered = df.repartitionByRange(F.col(key).asc_nulls_last(), F.col(item).asc_nulls_last()) \
+                      .sortWithinPartitions(key, item)
+        writer = clustered.write.mode("overwrite")
+        if partition_facts_by_date:
+            writer = writer.partitionBy(key)
+        writer.parquet(out)
+    elif name in _DATA_SIZED_DIMS:
+        # 1:1 projections of driver tables: keep their parallelism
+        df.write.mode("overwrite").parquet(out)
+    else:
+        # bounded by construction (calendar, clock, demographics, outlets)
+        df.coalesce(1).write.mode("overwrite").parquet(out)
 
 
 def build_star(spark: SparkSession, sf_dir: str, root: str,
@@ -905,37 +941,23 @@ def build_star(spark: SparkSession, sf_dir: str, root: str,
     The de-duplicated order lines (the one large join) are written once as a
     staging table and every fact is cut from that copy, which also cuts the
     lineage: a lost executor re-reads the staged lines instead of redoing the
-    join. Fact files are sorted by their date key so Parquet row-group
-    statistics prune date ranges; with ``partition_facts_by_date`` (the
-    cluster layout) they are Hive-partitioned on the date key as well, so
-    dynamic partition pruning skips whole directories when a query joins a
-    filtered ``date_dim``.
+    join. Facts are range-partitioned on their date key (see ``_FACT_DATE``);
+    with ``partition_facts_by_date`` (the cluster layout) they are
+    Hive-partitioned on the date key as well, so dynamic partition pruning
+    skips whole directories when a query joins a filtered ``date_dim``.
     """
     staged = f"{root}/_lines"
     lines(spark, sf_dir).write.mode("overwrite").parquet(staged)
     b = StarBuilder(spark, sf_dir, lines_df=spark.read.parquet(staged))
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    for name in TABLES:
-        df = b.table(name)
-        out = f"{root}/{name}"
-        if name in _FACT_DATE:
-            key = _FACT_DATE[name]
-            if partition_facts_by_date:
-                # cluster rows by date first so each task writes few directories
-                df.repartitionByRange(n, F.col(key).asc_nulls_last()).sortWithinPartitions(key) \
-                  .write.mode("overwrite").partitionBy(key).parquet(out)
-            else:
-                df.sortWithinPartitions(key).write.mode("overwrite").parquet(out)
-        elif name in _DATA_SIZED_DIMS:
-            # 1:1 projections of driver tables: keep their parallelism
-            df.write.mode("overwrite").parquet(out)
-        else:
-            # bounded by construction (calendar, clock, demographics, outlets)
-            df.coalesce(1).write.mode("overwrite").parquet(out)
+    with ThreadPoolExecutor(max_workers=_WRITE_THREADS) as pool:
+        # largest first, so the long fact writes start before the small dims
+        order = FACTS + DIMS
+        futures = [pool.submit(_write_table, b, name, f"{root}/{name}", partition_facts_by_date)
+                   for name in order]
+        for f in futures:
+            f.result()
 
 
-_DATA_SIZED_DIMS = {"item", "customer", "customer_address"}
-
 
 def load_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     """Return the loaded star schema for ``sf_dir``, building it once.
