@@ -27,3 +27,27 @@ def rollup(df: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
         *aggs, F.grouping_id().alias("_gid"), F.count("_real").alias("_n_real"))
     full = (1 << len(keys)) - 1
     return r.filter((F.col("_n_real") > 0) | (F.col("_gid") == full)).drop("_gid", "_n_real")
+
+
+def grouping_levels(df: DataFrame, keys: list[str], levels: list[list[str]],
+                    aggs: list[Column]) -> DataFrame:
+    """UNION ALL over ``levels`` of ``df.groupBy(*level).agg(*aggs)``, with the
+    keys outside a level NULL; columns ``keys`` then the aggregates.
+
+    Evaluated as one GROUPING SETS aggregate: a single Expand over one copy
+    of ``df`` with partial aggregation before one shuffle, instead of one
+    aggregate per level whose plans each repeat the whole input subtree (and
+    make every adaptive re-plan walk all copies). A grand-total level ``[]``
+    keeps its one row on empty input, as a global aggregate does, through
+    the sentinel row described above.
+    """
+    sets = [[F.col(k) for k in lv] for lv in levels]
+    if not any(len(lv) == 0 for lv in levels):
+        return df.groupingSets(sets, *keys).agg(*aggs)
+    real = df.withColumn("_real", F.lit(1))
+    sentinel = df.sparkSession.range(1).select(
+        *[F.lit(None).cast(t).alias(c) for c, t in df.dtypes], F.lit(None).cast("int").alias("_real"))
+    r = real.unionByName(sentinel).groupingSets(sets, *keys).agg(
+        *aggs, F.grouping_id().alias("_gid"), F.count("_real").alias("_n_real"))
+    full = (1 << len(keys)) - 1
+    return r.filter((F.col("_n_real") > 0) | (F.col("_gid") == full)).drop("_gid", "_n_real")

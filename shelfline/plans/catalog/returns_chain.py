@@ -8,7 +8,7 @@ calendar) and then shuffled on the composite key.
 
 from __future__ import annotations
 
-from shelfline.functions.grouping import rollup
+from shelfline.functions.grouping import grouping_levels, rollup
 from shelfline.functions.money import round_ratio2, stddev_samp_exact
 from shelfline.plans.catalog.common import (B, F, Window, avg_exact, dates_between, order,
                                              star_query, topk)
@@ -353,14 +353,12 @@ def q80(st, start="2000-08-23", price_min=50):
 
 @star_query("q80a", price_min=20)
 def q80a(st, start="2000-08-23", price_min=50):
-    """q80 with the levels written as UNION (distinct) of detail, channel and total."""
+    """q80 with the levels written as UNION (distinct) of detail, channel and
+    total (the levels evaluated as one grouping-sets aggregate)."""
     u = _q80_union(st, start, price_min)
-    aggs = [F.sum(c).cast("double").alias(a) for c, a in _TOT]
-    d = u.groupBy("channel", "id").agg(*aggs)
-    c = u.groupBy("channel").agg(*aggs).select("channel", F.lit(None).cast("string").alias("id"), "sales", "returns", "profit")
-    t = u.agg(*aggs).select(F.lit(None).cast("string").alias("channel"), F.lit(None).cast("string").alias("id"),
-                            "sales", "returns", "profit")
-    return topk(d.unionByName(c).unionByName(t).distinct(), 100, "channel", "id", "sales", "returns", "profit")
+    g = grouping_levels(u, ["channel", "id"], [["channel", "id"], ["channel"], []],
+                        [F.sum(c).cast("double").alias(a) for c, a in _TOT])
+    return topk(g.distinct(), 100, "channel", "id", "sales", "returns", "profit")
 
 
 @star_query("q85", year=2000)

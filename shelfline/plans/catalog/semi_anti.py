@@ -8,7 +8,7 @@ self-join, so an order with thousands of lines never emits line pairs.
 
 from __future__ import annotations
 
-from shelfline.functions.grouping import rollup
+from shelfline.functions.grouping import grouping_levels, rollup
 from shelfline.functions.money import idiv
 from shelfline.plans.catalog.common import B, F, avg_exact, star_query, topk
 
@@ -357,23 +357,16 @@ def q14_1(st, year=1999, month=11):
 
 @star_query("q14a", year=1998)
 def q14a(st, year=1999, month=11):
-    """q14_1 with the ROLLUP written as a UNION ALL of the five grouping levels."""
+    """q14_1 with the ROLLUP written as a UNION ALL of the five grouping levels
+    (one grouping-sets aggregate over the per-channel brand sales)."""
     cross, avg = _cross_items(st, year), _avg_sales(st, year)
     dates = st.date_dim.filter((F.col("d_year") == year + 2) & (F.col("d_moy") == month)).select("d_date_sk")
     y = _channel_brand_sales(st, year, dates, cross, avg)
-    levels = [["channel", "i_brand_id", "i_class_id", "i_category_id"], ["channel", "i_brand_id", "i_class_id"],
-              ["channel", "i_brand_id"], ["channel"], []]
-    allk = levels[0]
-    parts = []
-    for lv in levels:
-        g = y.groupBy(*lv).agg(F.sum("sales").cast("double").alias("sum_sales"),
-                               F.sum("number_sales").alias("sum_number_sales"))
-        parts.append(g.select(*[F.col(k) if k in lv else F.lit(None).cast("string" if k == "channel" else "int").alias(k)
-                                for k in allk], "sum_sales", "sum_number_sales"))
-    u = parts[0]
-    for p_ in parts[1:]:
-        u = u.unionByName(p_)
-    return topk(u, 100, "channel", "i_brand_id", "i_class_id", "i_category_id", "sum_sales", "sum_number_sales")
+    keys = ["channel", "i_brand_id", "i_class_id", "i_category_id"]
+    g = grouping_levels(y, keys, [keys[:n] for n in range(len(keys), -1, -1)],
+                        [F.sum("sales").cast("double").alias("sum_sales"),
+                         F.sum("number_sales").alias("sum_number_sales")])
+    return topk(g, 100, "channel", "i_brand_id", "i_class_id", "i_category_id", "sum_sales", "sum_number_sales")
 
 
 @star_query("q14_2", year=1998)

@@ -10,7 +10,7 @@ shuffle.
 
 from __future__ import annotations
 
-from shelfline.functions.grouping import rollup
+from shelfline.functions.grouping import grouping_levels, rollup
 from shelfline.functions.money import avg_exact
 from shelfline.plans.catalog.common import (B, DataFrame, F, Window, dates_between, order, star_query,
                                              topk)
@@ -78,20 +78,16 @@ def q05(st, start="2000-08-23"):
     return topk(g, 100, "channel", "id", "sales", "returns", "profit")
 
 
-def _rollup2_as_union(x):
-    detail = x.groupBy("channel", "id").agg(*_money_totals(x))
-    chan = x.groupBy("channel").agg(*_money_totals(x)).select("channel", F.lit(None).cast("string").alias("id"),
-                                                              "sales", "returns", "profit")
-    total = x.agg(*_money_totals(x)).select(F.lit(None).cast("string").alias("channel"),
-                                            F.lit(None).cast("string").alias("id"), "sales", "returns", "profit")
-    return detail, chan, total
+_CHANNEL_ID_LEVELS = [["channel", "id"], ["channel"], []]
 
 
 @star_query("q05a")
 def q05a(st, start="2000-08-23"):
-    """q05 with the ROLLUP expanded into detail UNION channel totals UNION grand total."""
-    d, c, t = _rollup2_as_union(_q05_channels(st, start))
-    return topk(d.unionByName(c).unionByName(t), 100, "channel", "id", "sales", "returns", "profit")
+    """q05 with the ROLLUP expanded into detail UNION ALL channel totals UNION ALL
+    grand total (the three levels evaluated as one grouping-sets aggregate)."""
+    x = _q05_channels(st, start)
+    g = grouping_levels(x, ["channel", "id"], _CHANNEL_ID_LEVELS, _money_totals(x))
+    return topk(g, 100, "channel", "id", "sales", "returns", "profit")
 
 
 # --------------------------------------------------------------------------- q18
@@ -132,19 +128,15 @@ def q18(st, gender="F", education="Unknown", months=(1, 6, 8, 9, 12, 2), year=19
 
 @star_query("q18a", months=tuple(range(1, 13)), year=1999)
 def q18a(st, gender="F", education="Unknown", months=(1, 6, 8, 9, 12, 2), year=1998, states=_Q18_STATES):
-    """q18 with the ROLLUP written as UNION ALL of averages recomputed from detail rows per level."""
+    """q18 with the ROLLUP written as UNION ALL of averages recomputed from detail
+    rows per level (one grouping-sets aggregate over the detail rows)."""
     j = _q18_detail(st, gender, education, months, year, states)
     keys = ["i_item_id", "ca_country", "ca_state", "ca_county"]
-    parts = []
-    for n in range(len(keys), -1, -1):
-        lv = keys[:n]
-        g = j.groupBy(*lv).agg(*[avg_exact(c).alias(a) for c, a in _Q18_AGGS])
-        parts.append(g.select(*[F.col(k) if k in lv else F.lit(None).cast("string").alias(k) for k in keys],
-                              *[a for _, a in _Q18_AGGS]))
-    return topk(_union(parts), 100, "ca_country", "ca_state", "ca_county", "i_item_id", *[a for _, a in _Q18_AGGS])
+    g = grouping_levels(j, keys, [keys[:n] for n in range(len(keys), -1, -1)],
+                        [avg_exact(c).alias(a) for c, a in _Q18_AGGS])
+    return topk(g, 100, "ca_country", "ca_state", "ca_county", "i_item_id", *[a for _, a in _Q18_AGGS])
 
 
-# --------------------------------------------------------------------------- q22
 def _q22_detail(st, month_seq):
     """Sum and count of on-hand quantity per item, with the item's attributes.
 
@@ -628,16 +620,12 @@ def q67(st, month_seq=1200):
 
 @star_query("q67a", month_seq=1176)
 def q67a(st, month_seq=1200):
-    """q67 with the ROLLUP written as nine UNION ALL grouping levels."""
+    """q67 with the ROLLUP written as nine UNION ALL grouping levels (one
+    grouping-sets aggregate over the detail rows)."""
     d = _q67_detail(st, month_seq)
-    types = dict(d.dtypes)
-    parts = []
-    for n in range(len(_Q67_KEYS), -1, -1):
-        lv = _Q67_KEYS[:n]
-        g = d.groupBy(*lv).agg(F.sum("v").cast("double").alias("sumsales"))
-        parts.append(g.select(*[F.col(k) if k in lv else F.lit(None).cast(types[k]).alias(k) for k in _Q67_KEYS],
-                              "sumsales"))
-    return _q67_rank(_union(parts))
+    g = grouping_levels(d, _Q67_KEYS, [_Q67_KEYS[:n] for n in range(len(_Q67_KEYS), -1, -1)],
+                        [F.sum("v").cast("double").alias("sumsales")])
+    return _q67_rank(g)
 
 
 # --------------------------------------------------------------------------- q77 / q77a
@@ -684,11 +672,8 @@ def q77(st, start="2000-08-23"):
 
 @star_query("q77a")
 def q77a(st, start="2000-08-23"):
-    """q77 with the levels as UNION (distinct) of detail, channel and total."""
+    """q77 with the levels as UNION (distinct) of detail, channel and total
+    (the levels evaluated as one grouping-sets aggregate)."""
     x = _q77_x(st, start)
-    d = x.groupBy("channel", "id").agg(*_money_totals(x))
-    c = x.groupBy("channel").agg(*_money_totals(x)).select("channel", F.lit(None).cast("long").alias("id"),
-                                                           "sales", "returns", "profit")
-    t = x.agg(*_money_totals(x)).select(F.lit(None).cast("string").alias("channel"), F.lit(None).cast("long").alias("id"),
-                                        "sales", "returns", "profit")
-    return topk(d.unionByName(c).unionByName(t).distinct(), 100, "channel", "id", "sales", "returns", "profit")
+    g = grouping_levels(x, ["channel", "id"], _CHANNEL_ID_LEVELS, _money_totals(x))
+    return topk(g.distinct(), 100, "channel", "id", "sales", "returns", "profit")
