@@ -212,16 +212,13 @@ def q27(st, gender="M", marital="S", education="College", year=2002, states=_Q27
 
 @star_query("q27a", year=2000)
 def q27a(st, gender="M", marital="S", education="College", year=2002, states=_Q27_STATES):
-    """q27 as UNION ALL of levels with a literal g_state."""
+    """q27 as UNION ALL of levels with a literal g_state (one grouping-sets
+    aggregate; the per-level literal is GROUPING(s_state))."""
     j = _q27_detail(st, gender, marital, education, year, states)
-    aggs = [avg_exact(c).alias(a) for c, a in _Q27_AGGS]
-    a = j.groupBy("i_item_id", "s_state").agg(*aggs).select("i_item_id", "s_state", F.lit(0).alias("g_state"),
-                                                            *[x for _, x in _Q27_AGGS])
-    b = j.groupBy("i_item_id").agg(*aggs).select("i_item_id", F.lit(None).cast("string").alias("s_state"),
-                                                 F.lit(1).alias("g_state"), *[x for _, x in _Q27_AGGS])
-    c = j.agg(*aggs).select(F.lit(None).cast("string").alias("i_item_id"), F.lit(None).cast("string").alias("s_state"),
-                            F.lit(1).alias("g_state"), *[x for _, x in _Q27_AGGS])
-    return topk(_union([a, b, c]), 100, "i_item_id", "s_state", "g_state", *[x for _, x in _Q27_AGGS])
+    g = grouping_levels(j, ["i_item_id", "s_state"], [["i_item_id", "s_state"], ["i_item_id"], []],
+                        [F.grouping("s_state").cast("int").alias("g_state"),
+                         *[avg_exact(c).alias(a) for c, a in _Q27_AGGS]])
+    return topk(g, 100, "i_item_id", "s_state", "g_state", *[x for _, x in _Q27_AGGS])
 
 
 # --------------------------------------------------------------------------- q36 / q70 / q86 (rank within roll-up level)
@@ -234,6 +231,13 @@ def _rank_within_parent(g, top, sub, measure, desc):
     return g
 
 
+def _level_aggs(measure, top, sub):
+    """The measure with the level literals of the UNION variants: lochierarchy
+    (0 detail, 1 parent, 2 total) and whether ``sub`` is rolled up."""
+    return [measure, (F.grouping(top) + F.grouping(sub)).cast("int").alias("lochierarchy"),
+            F.grouping(sub).cast("int").alias("_g_sub")]
+
+
 def _finish_rank(g, cols, measure):
     out = g.orderBy(F.col("lochierarchy").desc(), F.col("_ord").asc_nulls_last(), F.col("rank_within_parent").asc(),
                     *order(*[c for c in cols if c not in ("lochierarchy", "rank_within_parent")])).limit(100)
@@ -267,16 +271,13 @@ def q36(st, year=2001, states=_Q36_STATES):
 
 @star_query("q36a")
 def q36a(st, year=2001, states=_Q36_STATES):
-    """q36 with the roll-up levels written as UNION and a literal lochierarchy."""
+    """q36 with the roll-up levels written as UNION and a literal lochierarchy
+    (one grouping-sets aggregate; the per-level literal is the sum of the
+    GROUPING flags)."""
     j = _q36_detail(st, year, states)
     gm = (F.sum("ss_net_profit").cast("double") / F.sum("ss_ext_sales_price").cast("double")).alias("gross_margin")
-    a = j.groupBy("i_category", "i_class").agg(gm).select("gross_margin", "i_category", "i_class",
-                                                           F.lit(0).alias("lochierarchy"), F.lit(0).alias("_g_sub"))
-    b = j.groupBy("i_category").agg(gm).select("gross_margin", "i_category", F.lit(None).cast("string").alias("i_class"),
-                                               F.lit(1).alias("lochierarchy"), F.lit(1).alias("_g_sub"))
-    c = j.agg(gm).select("gross_margin", F.lit(None).cast("string").alias("i_category"),
-                         F.lit(None).cast("string").alias("i_class"), F.lit(2).alias("lochierarchy"), F.lit(1).alias("_g_sub"))
-    g = a.unionByName(b).unionByName(c).distinct()
+    g = grouping_levels(j, ["i_category", "i_class"], [["i_category", "i_class"], ["i_category"], []],
+                        _level_aggs(gm, "i_category", "i_class")).distinct()
     return _finish_rank(_rank_within_parent(g, "i_category", "i_class", "gross_margin", False), _Q36_COLS, "gross_margin")
 
 
@@ -307,16 +308,12 @@ def q70(st, month_seq=1200, top_states=5):
 
 @star_query("q70a", month_seq=1176)
 def q70a(st, month_seq=1200, top_states=5):
-    """q70 with the levels written as UNION and a literal lochierarchy."""
+    """q70 with the levels written as UNION and a literal lochierarchy (one
+    grouping-sets aggregate)."""
     j = _q70_detail(st, month_seq, top_states)
     ts = F.sum("ss_net_profit").cast("double").alias("total_sum")
-    a = j.groupBy("s_state", "s_county").agg(ts).select("total_sum", "s_state", "s_county", F.lit(0).alias("lochierarchy"),
-                                                        F.lit(0).alias("_g_sub"))
-    b = j.groupBy("s_state").agg(ts).select("total_sum", "s_state", F.lit(None).cast("string").alias("s_county"),
-                                            F.lit(1).alias("lochierarchy"), F.lit(1).alias("_g_sub"))
-    c = j.agg(ts).select("total_sum", F.lit(None).cast("string").alias("s_state"), F.lit(None).cast("string").alias("s_county"),
-                         F.lit(2).alias("lochierarchy"), F.lit(1).alias("_g_sub"))
-    g = a.unionByName(b).unionByName(c)
+    g = grouping_levels(j, ["s_state", "s_county"], [["s_state", "s_county"], ["s_state"], []],
+                        _level_aggs(ts, "s_state", "s_county"))
     return _finish_rank(_rank_within_parent(g, "s_state", "s_county", "total_sum", True), _Q70_COLS, "total_sum")
 
 
@@ -343,16 +340,12 @@ def q86(st, month_seq=1200):
 
 @star_query("q86a", month_seq=1176)
 def q86a(st, month_seq=1200):
-    """q86 with the levels written as UNION and a literal lochierarchy."""
+    """q86 with the levels written as UNION and a literal lochierarchy (one
+    grouping-sets aggregate)."""
     j = _q86_detail(st, month_seq)
     ts = F.sum("ws_net_paid").cast("double").alias("total_sum")
-    a = j.groupBy("i_category", "i_class").agg(ts).select("total_sum", "i_category", "i_class",
-                                                          F.lit(0).alias("lochierarchy"), F.lit(0).alias("_g_sub"))
-    b = j.groupBy("i_category").agg(ts).select("total_sum", "i_category", F.lit(None).cast("string").alias("i_class"),
-                                               F.lit(1).alias("lochierarchy"), F.lit(1).alias("_g_sub"))
-    c = j.agg(ts).select("total_sum", F.lit(None).cast("string").alias("i_category"),
-                         F.lit(None).cast("string").alias("i_class"), F.lit(2).alias("lochierarchy"), F.lit(1).alias("_g_sub"))
-    g = a.unionByName(b).unionByName(c)
+    g = grouping_levels(j, ["i_category", "i_class"], [["i_category", "i_class"], ["i_category"], []],
+                        _level_aggs(ts, "i_category", "i_class"))
     return _finish_rank(_rank_within_parent(g, "i_category", "i_class", "total_sum", True), _Q86_COLS, "total_sum")
 
 
