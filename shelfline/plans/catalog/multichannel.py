@@ -230,7 +230,11 @@ def q58(st, day="2000-01-03", weeks=1, band=(0.9, 1.1)):
 @star_query("q59", month_seq=1176)
 def q59(st, month_seq=1212):
     """Store weekly weekday sales vs. the same week 52 weeks later."""
-    dd = st.date_dim.select("d_date_sk", "d_week_seq", "d_day_name")
+    # aggregate only the (whole) weeks that touch the two compared 12-month spans
+    weeks = (st.date_dim.filter(F.col("d_month_seq").between(month_seq, month_seq + 23))
+             .select(F.col("d_week_seq").alias("wk")).distinct())
+    dd = (st.date_dim.join(B(weeks), F.col("d_week_seq") == weeks.wk, "left_semi")
+          .select("d_date_sk", "d_week_seq", "d_day_name"))
     ss = st.store_sales.select("ss_sold_date_sk", "ss_store_sk", "ss_sales_price")
     wss = _weekday_pivot(ss.join(B(dd), ss.ss_sold_date_sk == dd.d_date_sk), ["d_week_seq", "ss_store_sk"],
                          "ss_sales_price")
