@@ -300,14 +300,20 @@ def q54(st, category="Women", klass="maternity", year=1998, month=12):
 
 def _cross_items(st, y0):
     """Items whose (brand, class, category) sold in all three channels in the
-    three years starting y0 (INTERSECT of three distinct key sets)."""
+    three years starting y0 (INTERSECT of three distinct key sets).
+
+    INTERSECT keeps distinct keys only, so each channel is first reduced to
+    its distinct sold item keys (partial aggregation before the shuffle);
+    the join with ``item`` then sees one row per sold item, not one per
+    sale of three years."""
     dt = st.date_dim.filter(F.col("d_year").between(y0, y0 + 2)).select("d_date_sk")
     keys = ["i_brand_id", "i_class_id", "i_category_id"]
     it = st.item.select("i_item_sk", *keys)
     sets = []
     for fact, p in [("store_sales", "ss"), ("catalog_sales", "cs"), ("web_sales", "ws")]:
-        sets.append(st[fact].join(B(dt), F.col(f"{p}_sold_date_sk") == dt.d_date_sk, "left_semi")
-                    .join(it, F.col(f"{p}_item_sk") == it.i_item_sk).select(*keys))
+        sold = (st[fact].join(B(dt), F.col(f"{p}_sold_date_sk") == dt.d_date_sk, "left_semi")
+                .select(F.col(f"{p}_item_sk").alias("sold_sk")).distinct())
+        sets.append(sold.join(it, sold.sold_sk == it.i_item_sk).select(*keys))
     x = sets[0].intersect(sets[1]).intersect(sets[2])
     return it.join(x, keys, "left_semi").select(F.col("i_item_sk").alias("x_item_sk"))
 
