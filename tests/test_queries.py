@@ -6,11 +6,17 @@ The driver repeats this at sf0.01; tools/check.py runs it at any scale.
 import pytest
 
 import __spark_entry__ as E
+from oracle import all_sql
+from shelfline.plans.registry import load_all
 from tests.compare import compare
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = load_all()
+ORACLE = all_sql()
+
+
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_every_query_has_an_oracle():
