@@ -29,7 +29,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     repeating the work, and gives the optimizer the true size of the result.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

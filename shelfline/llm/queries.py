@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import simhash
+from shelfline.llm import simhash, suffix
 from shelfline.llm.common import read_table
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents covered by a 100-byte string that also starts earlier, removed."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    size = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return suffix.remove_repeats(docs, length=100).select(
+        "doc_id", size.alias("n_bytes"), (size - F.octet_length("kept")).alias("n_removed"), "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: 4-word shingles, links at 4 or fewer bits."""
     near = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, max_bits=4)
@@ -19,6 +28,6 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_simhash,)}
+    f.__name__: f for f in (op4_suffix_dedup, op7_simhash)}
 
 ORACLE_SQL: dict[str, str] = {}
