@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import simhash, suffix
+from shelfline.llm import decontam, simhash, suffix
 from shelfline.llm.common import read_table
 
 
@@ -27,7 +27,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("component").alias("component_id"))
 
 
+def op8_spaced_seed_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds (13 tokens or more, 80 % of them equal)."""
+    hits = decontam.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return hits.select(F.col("row_id").alias("doc_id"), F.col("item").alias("item_id"), "n_tokens", "n_equal",
+                       F.col("n_item").alias("item_tokens")).distinct()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_suffix_dedup, op7_simhash)}
+    f.__name__: f for f in (op4_suffix_dedup, op7_simhash, op8_spaced_seed_decontam)}
 
 ORACLE_SQL: dict[str, str] = {}
