@@ -82,6 +82,9 @@ def value_bytes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0]:off[-1]], off - off[0]
 
 
+EDGES_A_TASK = 500_000
+
+
 def star_components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataFrame:
     """Connected components of the undirected graph ``edges(a, b)`` of longs.
 
@@ -95,24 +98,25 @@ def star_components(edges: DataFrame, label: str, max_rounds: int = 60) -> DataF
     """
     cur = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                  f"{label}-edges")
-    if cur.isEmpty():
-        return cur.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    mark = None
+    mark = tuple(cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     for _ in range(max_rounds):
+        if not mark[0]:
+            break
+        parts = 8 + mark[0] // EDGES_A_TASK          # few links need few tasks, however wide the shuffles are
         both = cur.select("a", "b").union(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
-        large = (both.join(least, both.a == least.n).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a <> b").distinct())
+        large = (both.join(least.coalesce(parts), both.a == least.n).where("b > a")
+                 .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct().coalesce(parts))
         # small star: every neighbour below a node, and the node itself, point to the least of them
-        low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
-        small = large.join(low, large.a == low.n)
+        low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m").coalesce(parts)
+        small = large.join(low, large.a == low.n).coalesce(parts)
         nxt = (small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
                .where("a <> b").distinct())
-        cur = stored(nxt, f"{label}-round")
-        seen = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
+        cur = stored(nxt.coalesce(parts), f"{label}-round")
+        seen = tuple(cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if seen == mark:
             break
-        mark = tuple(seen)
+        mark = seen
     else:
         raise RuntimeError("components did not settle")
     roots = cur.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
