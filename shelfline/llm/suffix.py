@@ -63,7 +63,7 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if n > SHARD_BYTES:
         raise ValueError("shard too large")
     if n == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int32), np.zeros(0, np.int32)
     pad = np.concatenate((text, np.zeros(4, np.uint8))).astype(np.uint64)
     key = np.zeros(n, np.uint64)
     for k in range(5):
@@ -71,29 +71,30 @@ def suffix_array(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     low = np.uint64(21)
     mask = np.uint64((1 << 21) - 1)
     packed = np.sort(key << low | np.arange(n, dtype=np.uint64))
-    sa = (packed & mask).astype(np.int64)
+    sa = (packed & mask).astype(np.int32)
     head = np.concatenate(([True], (packed[1:] >> low) != (packed[:-1] >> low)))
-    at = np.arange(n)
-    rank = np.empty(n, np.int64)
-    rank[sa] = np.maximum.accumulate(np.where(head, at, 0))
+    rank = np.empty(n, np.int32)
+    rank[sa] = np.maximum.accumulate(np.where(head, np.arange(n, dtype=np.int32), np.int32(0)))
     single = head & np.concatenate((head[1:], [True]))
-    slots = np.flatnonzero(~single)                     # places of the array that are not settled
+    slots = np.flatnonzero(~single).astype(np.int32)    # places of the array that are not settled
+    first = head[slots]                                 # where their groups begin
     depth = 5
     while len(slots):
         pos = sa[slots]
-        behind = pos + depth
-        inside = behind < n
-        second = np.where(inside, rank[np.minimum(behind, n - 1)] + n, 2 * n - 1 - np.maximum(behind, n)).astype(np.int64)
-        group = rank[pos]
-        dense = np.cumsum(np.concatenate(([0], (group[1:] != group[:-1]).astype(np.int64))))
+        behind = pos + np.int32(depth)
+        second = rank.take(behind, mode="clip") + np.int32(n)
+        over = behind >= n
+        if over.any():
+            second[over] = 2 * n - 1 - behind[over]
         # at most 2**20 groups of two or more, 2**22 second ranks, 2**21 places: 63 bits
-        packed = np.sort((dense.astype(np.uint64) << np.uint64(43)) | (second.astype(np.uint64) << low)
-                         | np.arange(len(slots), dtype=np.uint64))
-        pos = pos[(packed & mask).astype(np.int64)]
+        packed = np.cumsum(first, dtype=np.uint64) << np.uint64(22) | second.astype(np.uint64)
+        packed = np.sort(packed << low | np.arange(len(slots), dtype=np.uint64))
+        pos = pos[packed & mask]
         sa[slots] = pos
         fresh = np.concatenate(([True], (packed[1:] >> low) != (packed[:-1] >> low)))
-        rank[pos] = np.maximum.accumulate(np.where(fresh, slots, 0))
-        slots = slots[~(fresh & np.concatenate((fresh[1:], [True])))]
+        rank[pos] = np.maximum.accumulate(np.where(fresh, slots, np.int32(0)))
+        rest = ~(fresh & np.concatenate((fresh[1:], [True])))
+        slots, first = slots[rest], fresh[rest]
         depth *= 2
     return sa, rank
 
@@ -107,31 +108,29 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, rank: np.ndarray) -> np.nd
     """
     n = len(text)
     if n == 0:
-        return np.zeros(0, np.int64)
-    prev = np.empty(n, np.int64)
+        return np.zeros(0, np.int32)
+    prev = np.empty(n, np.int32)
     prev[sa[1:]] = sa[:-1]
     prev[sa[0]] = -1
-    i = np.arange(n)
-    chained = (i > 0) & (prev > 0)
-    chained[chained] = text[i[chained] - 1] == text[prev[chained] - 1]
-    own = np.flatnonzero(~chained & (prev >= 0))
-    lcp = np.zeros(n, np.int64)
+    behind = np.concatenate((text[-1:], text))           # behind[i] is the byte before i
+    chained = behind[:n] == behind.take(prev, mode="wrap")
+    chained &= prev > 0
+    chained[0] = False
+    own = np.flatnonzero(~chained & (prev >= 0)).astype(np.int32)
     pad = np.concatenate((text, np.zeros(8, np.uint8)))
     words = np.ndarray((n + 1,), np.uint64, pad.tobytes(), strides=(1,))      # unaligned 8-byte words
-    todo, done = own, np.zeros(len(own), np.int64)
-    live = np.arange(len(own))
+    lcp = np.zeros(n, np.int32)
+    live, a, b = own, own.copy(), prev[own]
     while len(live):
-        a, b = todo[live] + done[live], prev[todo[live]] + done[live]
-        limit = n - np.maximum(a, b)
-        diff = words[np.minimum(a, n)] ^ words[np.minimum(b, n)]
-        same = np.where(diff == 0, 8, np.bitwise_count((diff & (~diff + np.uint64(1))) - np.uint64(1)) // 8).astype(np.int64)
-        step = np.minimum(same, limit)
-        done[live] += step
-        live = live[(step == 8)]
-    lcp[own] = done
-    base = np.maximum.accumulate(np.where(chained, 0, i))
-    plcp = np.where(chained, lcp[base] - (i - base), lcp)
-    return plcp[sa]
+        diff = words[a] ^ words[b]
+        same = np.bitwise_count((diff & (~diff + np.uint64(1))) - np.uint64(1)) >> 3      # 8 if equal
+        step = np.minimum(same.astype(np.int32), n - np.maximum(a, b))
+        lcp[live] += step
+        more = step == 8
+        live, a, b = live[more], a[more] + np.int32(8), b[more] + np.int32(8)
+    i = np.arange(n, dtype=np.int32)
+    base = np.maximum.accumulate(np.where(chained, np.int32(0), i))
+    return (lcp[base] - (i - base))[sa]
 
 
 def shard_repeats(text: np.ndarray, order: np.ndarray, valid: np.ndarray, length: int) -> np.ndarray:
@@ -230,50 +229,58 @@ class _Shard:
     """Collects stretches of windows; ``solve`` gives marks and the stretches to send on."""
 
     def __init__(self, length: int):
-        self.length, self.size, self.parts = length, 0, []
+        self.length, self.size, self.parts, self.runs = length, 0, [], []
 
     def room(self) -> int:
         return SHARD_BYTES - self.size
 
-    def add(self, ident, doc_at: int, body: np.ndarray, runs) -> None:
-        self.parts.append((ident, doc_at, body, runs))
+    def add(self, who: tuple[int, int], at: int, body: np.ndarray, begin: np.ndarray, end: np.ndarray, h: np.ndarray) -> None:
+        """``body`` lies at ``at`` in its document; the runs are counted from the start of ``body``."""
+        self.runs.append((begin + self.size, end + self.size, h))
+        self.parts.append((*who, at, body))
         self.size += len(body)
 
-    def solve(self):
-        length, parts = self.length, self.parts
-        text = np.concatenate([p[2] for p in parts])
-        starts = np.cumsum([0] + [len(p[2]) for p in parts])
-        ident = np.array([p[0] for p in parts], np.int64).reshape(-1, 2)
-        rows = np.lexsort((ident[:, 1], ident[:, 0]))
-        step = np.concatenate(([False], (ident[rows][1:] != ident[rows][:-1]).any(axis=1)))
-        number = np.empty(len(parts), np.int64)
-        number[rows] = np.cumsum(step)                   # equal identities share a number
-        order = np.empty(len(text), np.int64)
-        valid = np.zeros(len(text), bool)
-        for k, (_, at, body, _) in enumerate(parts):
-            s = starts[k]
-            order[s:s + len(body)] = (number[k] << 40) + at + np.arange(len(body))
-            valid[s:s + len(body) - length + 1] = True
-        repeat = shard_repeats(text, order, valid, length)
-        marks, sent = [], []
-        for k, (who, at, body, runs) in enumerate(parts):
-            s = starts[k]
-            flag = repeat[s:s + len(body) - length + 1]
-            marks += [(*who, a + at, b + at) for a, b in true_runs(flag)]
-            begin, end, h = runs                         # in the document
-            left = np.concatenate(([0], np.cumsum(~flag)))
-            fresh = np.flatnonzero(left[end - at + 1] > left[begin - at])
-            for j in fresh.tolist():
-                a, b = int(begin[j]), int(end[j])
-                sent.append((int(h[j]), *who, a, body[a - at:b - at + length].tobytes()))
-        self.size, self.parts = 0, []
-        return marks, sent
-
-
-def true_runs(flag: np.ndarray) -> list[tuple[int, int]]:
+    def solve(self) -> pa.RecordBatch:
+        length = self.length
+        text = np.concatenate([p[3] for p in self.parts])
+        starts = np.cumsum([0] + [len(p[3]) for p in self.parts])
+        ids, tags, at = (np.array([p[k] for p in self.parts], np.int64) for k in range(3))
+        begin, end, h = (np.concatenate([r[k] for r in self.runs]) for k in range(3))
+        self.size, self.parts, self.runs = 0, [], []
+        rows = np.lexsort((tags, ids))
+        step = (np.diff(ids[rows]) != 0) | (np.diff(tags[rows]) != 0)
+        number = np.empty(len(rows), np.int64)
+        number[rows] = np.concatenate(([0], np.cumsum(step)))        # equal identities share a number
+        shift = at - starts[:-1]                                     # place in the document less place in the shard
+        order = np.repeat((number << 40) + shift, np.diff(starts)) + np.arange(len(text))
+        edge = np.zeros(len(text) + 1, np.int8)
+        edge[begin] += 1
+        edge[end + 1] -= 1
+        repeat = shard_repeats(text, order, np.cumsum(edge[:-1], dtype=np.int8) > 0, length)
+        # the last length - 1 places of a part are no windows, so no run of marks crosses parts
+        first, last = true_runs(repeat)
+        k = np.searchsorted(starts, first, side="right") - 1
+        fresh = np.concatenate(([0], np.cumsum(~repeat)))
+        new = fresh[end + 1] > fresh[begin]                          # some window is first in this shard
+        begin, end, h = begin[new], end[new], h[new]
+        j = np.searchsorted(starts, begin, side="right") - 1
+        raw = text.tobytes()
+        bodies = [raw[x:y] for x, y in zip(begin.tolist(), (end + length).tolist())]
+        both = lambda x, y: np.concatenate((x, y))
+        is_mark = np.arange(len(first) + len(begin)) < len(first)
+        # marks go by a hash of their own, which spreads them
+        spread = (first + shift[k]) * 0x9E3779B1 + ids[k] * 0x85EBCA6B
+        return pa.RecordBatch.from_arrays(
+            [pa.array(both(spread, h)), pa.array(both(ids[k], ids[j])), pa.array(both(tags[k], tags[j])),
+             pa.array(both(first + shift[k], begin + shift[j])),
+             pa.array(both(last + shift[k], np.zeros(len(begin), np.int64)), mask=~is_mark),
+             pa.array([None] * len(first) + bodies, pa.binary())], schema=SENT)
+
+
+def true_runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last index of each run of true values."""
     edge = np.flatnonzero(np.diff(np.concatenate(([False], flag, [False])).astype(np.int8)))
-    return list(zip(edge[0::2].tolist(), (edge[1::2] - 1).tolist()))
+    return edge[0::2], edge[1::2] - 1
 
 
 SENT = pa.schema([("h", pa.int64()), ("id", pa.int64()), ("tag", pa.int64()), ("start", pa.int64()), ("last", pa.int64()),
@@ -284,14 +291,6 @@ def _shards(keyed: DataFrame, length: int, bits: int, words) -> DataFrame:
     """Rows with a body are stretches to compare across shards, the others are marks (id, tag, start, last)."""
     def run(batches):
         shard, passes = _Shard(length), words.value
-
-        def rows():
-            marks, sent = shard.solve()
-            n, m = len(marks), len(sent)
-            cols = list(zip(*([(None, i, t, a, b, None) for i, t, a, b in marks]
-                              + [(h, i, t, a, None, body) for h, i, t, a, body in sent]))) if n + m else [()] * 6
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, SENT)], schema=SENT)
-
         for b in byte_slices(batches, "body", SLICE_BYTES):
             ids, tags = b.column(0).to_numpy(), b.column(1).to_numpy()
             data, off = value_bytes(b.column(2))
@@ -299,21 +298,18 @@ def _shards(keyed: DataFrame, length: int, bits: int, words) -> DataFrame:
             bit = h % bits                                # numpy's modulo is pmod
             hit = (passes[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
             doc, begin, end, h = (x[hit] for x in (doc, begin, end, h))
-            k = 0
-            while k < len(doc):
-                # runs of one document that join, as many as the shard still takes
-                if shard.room() < 4 * length:
-                    yield rows()
-                stop = k + 1
-                while (stop < len(doc) and doc[stop] == doc[k] and begin[stop] == end[stop - 1] + 1
-                       and end[stop] + length - begin[k] <= shard.room()):
-                    stop += 1
-                o, a, z = off[doc[k]], begin[k], end[stop - 1] + length
-                shard.add((ids[doc[k]], tags[doc[k]]), int(a - o), data[a:z],
-                          (begin[k:stop] - o, end[k:stop] - o, h[k:stop]))
-                k = stop
+            apart = np.flatnonzero((np.diff(doc) != 0) | (begin[1:] != end[:-1] + 1)) + 1
+            for k, stop in zip([0, *apart.tolist()] if len(doc) else [], [*apart.tolist(), len(doc)]):
+                while k < stop:                           # runs that join, as many as the shard still takes
+                    n = int(np.searchsorted(end[k:stop], begin[k] + shard.room() - length, side="right"))
+                    if n == 0:
+                        yield shard.solve()
+                        continue
+                    d, a, z = doc[k], begin[k], end[k + n - 1] + length
+                    shard.add((ids[d], tags[d]), int(a - off[d]), data[a:z], begin[k:k + n] - a, end[k:k + n] - a, h[k:k + n])
+                    k += n
         if shard.parts:
-            yield rows()
+            yield shard.solve()
 
     schema = "h long, id long, tag long, start long, last long, body binary"
     return keyed.mapInArrow(run, schema)
@@ -356,7 +352,7 @@ def _windows(bodies: list[bytes], heads: list[bytes], length: int) -> np.ndarray
 
 
 def _across(sent: DataFrame, length: int) -> DataFrame:
-    """Marks (id, tag, start, last) of windows that an earlier shard or document has.
+    """Marks (id, tag, start, last): those of the shards, and windows that an earlier shard or document has.
 
     Rows arrive sorted by (h, id, tag, start): what is seen first is earliest.
     Rows of one (id, tag, start) come from rows that are one document.
@@ -375,7 +371,8 @@ def _across(sent: DataFrame, length: int) -> DataFrame:
             out, at = [], 0
             for head, i, t, a, body in waiting:
                 n = len(body) - length + 1
-                out += [(i, t, a + x, a + y) for x, y in true_runs(flag[at:at + n])]
+                if flag[at:at + n].any():
+                    out += [(i, t, a + x, a + y) for x, y in zip(*map(np.ndarray.tolist, true_runs(flag[at:at + n])))]
                 at += n
             head = waiting[-1][0]
             seen = merged[np.searchsorted(merged, head):np.searchsorted(merged, head + b"\xff" * length, side="right")]
@@ -385,8 +382,10 @@ def _across(sent: DataFrame, length: int) -> DataFrame:
         first = None                            # the first stretch of the present hash, not yet waiting
         for b in batches:
             marks = []
-            cols = [b.column(k).to_pylist() for k in range(5)]
-            for x, i, t, a, body in zip(*cols):
+            for x, i, t, a, z, body in zip(*(b.column(k).to_pylist() for k in range(6))):
+                if body is None:
+                    marks.append((i, t, a, z))
+                    continue
                 if x != h:
                     h, known, first = x, {}, None
                 where = known.get(body)
@@ -410,7 +409,7 @@ def _across(sent: DataFrame, length: int) -> DataFrame:
             yield _marks(marks)
         yield _marks(settle())
 
-    return (sent.select("h", "id", "tag", "start", "body").repartition("h")
+    return (sent.repartition("h")
             .sortWithinPartitions("h", "id", "tag", "start").mapInArrow(run, "id long, tag long, start long, last long"))
 
 
@@ -426,10 +425,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     """(id, tag, marks): the runs of window starts that repeat, for documents that have any."""
     keyed = _keyed(docs, key, text)
     words = docs.sparkSession.sparkContext.broadcast(_filter(keyed, length, filter_bits))
-    first = stored(_shards(keyed, length, filter_bits, words), "suffix-shards")
-    own = first.where("body IS NULL").select("id", "tag", "start", "last")
-    across = _across(first.where("body IS NOT NULL"), length)
-    return (own.union(across).groupBy("id", "tag")
+    return (_across(_shards(keyed, length, filter_bits, words), length).groupBy("id", "tag")
             .agg(F.sort_array(F.collect_set(F.struct("start", "last"))).alias("marks")))
 
 
