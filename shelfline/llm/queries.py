@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import decontam, simhash, suffix
+from shelfline.llm import bpe, decontam, quality, simhash, suffix
 from shelfline.llm.common import read_table
 
 
+def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bradley-Terry quality score of every document, learned outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", quality.held_out("doc_id").alias("held_out"), "score",
+                                             (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents covered by a 100-byte string that also starts earlier, removed."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -34,7 +42,12 @@ def op8_spaced_seed_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("n_item").alias("item_tokens")).distinct()
 
 
+def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document and their decoding, as digests."""
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_suffix_dedup, op7_simhash, op8_spaced_seed_decontam)}
+    f.__name__: f for f in (op1_quality_ranking, op4_suffix_dedup, op7_simhash, op8_spaced_seed_decontam, op10_bpe_round_trip)}
 
 ORACLE_SQL: dict[str, str] = {}
