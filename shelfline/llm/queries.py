@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontam, quality, simhash, suffix
+from shelfline.llm import bpe, decontam, quality, simhash, suffix, tokens
 from shelfline.llm.common import read_table
 
 
@@ -28,6 +28,13 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the library of the lower-case word vocabulary."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+                                                         .alias("n_bytes"), "text")
+    return tokens.token_counts(docs).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: 4-word shingles, links at 4 or fewer bits."""
     near = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=4, max_bits=4)
@@ -48,6 +55,6 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_ranking, op4_suffix_dedup, op7_simhash, op8_spaced_seed_decontam, op10_bpe_round_trip)}
+    f.__name__: f for f in (op1_quality_ranking, op4_suffix_dedup, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op10_bpe_round_trip)}
 
 ORACLE_SQL: dict[str, str] = {}
