@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontam, quality, simhash, suffix, tokens
-from shelfline.llm.common import read_table
+from shelfline.llm import bpe, decontam, quality, shards, simhash, suffix, tokens
+from shelfline.llm.common import read_table, stored
 
 
 def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,17 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near-equal bytes, equal texts side by side."""
+    body = F.coalesce(F.col("text"), F.lit(""))
+    rows = stored(read_table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(body).cast("long") + 1).alias("size"), F.crc32(body).alias("text_crc32"),
+        F.xxhash64(body).alias("text_hash")), "shard-rows")
+    out = shards.histogram_shards(rows, F.col("text_hash"), "doc_id", F.col("size"), 16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the library of the lower-case word vocabulary."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
@@ -55,6 +66,6 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_ranking, op4_suffix_dedup, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op10_bpe_round_trip)}
+    f.__name__: f for f in (op1_quality_ranking, op4_suffix_dedup, op5_histogram_shards, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op10_bpe_round_trip)}
 
 ORACLE_SQL: dict[str, str] = {}
