@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontam, quality, shards, simhash, suffix, tokens
+from shelfline.llm import bpe, decontam, quality, shards, simhash, sketch, suffix, tokens
 from shelfline.llm.common import read_table, stored
 
 
@@ -60,12 +60,22 @@ def op8_spaced_seed_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("n_item").alias("item_tokens")).distinct()
 
 
+def op9_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threshold-scaled sketches of every document, of its edited text, and their likeness."""
+    rows = sketch.compared_with_edits(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                       sketch.fingerprint(F.col("own")).alias("fingerprint"),
+                       sketch.fingerprint(F.col("edited_hashes")).alias("edited_fingerprint"),
+                       sketch.containment(F.col("own"), F.col("edited_hashes")).alias("near_edited"),
+                       sketch.containment(F.col("own"), F.col("next_hashes")).alias("near_next"))
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and their decoding, as digests."""
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_ranking, op4_suffix_dedup, op5_histogram_shards, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op10_bpe_round_trip)}
+    f.__name__: f for f in (op1_quality_ranking, op4_suffix_dedup, op5_histogram_shards, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op9_scaled_sketch, op10_bpe_round_trip)}
 
 ORACLE_SQL: dict[str, str] = {}
