@@ -21,6 +21,7 @@ import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
+from struct import pack
 
 import numpy as np
 import public_tokenizers
@@ -35,7 +36,7 @@ from shelfline.llm.common import byte_slices
 VOCABULARY = "byte_bpe_50k.tiktoken"
 SLICE_BYTES = 2 << 20
 WHOLE_CHARS = 1 << 20
-KNOWN_MAX = 400_000            # pre-tokens a worker remembers
+KNOWN_MAX = 600_000            # pre-tokens a worker remembers
 
 
 class PerfectHash:
@@ -98,37 +99,51 @@ class Bpe:
         self.by_slot = [b""] * len(keys)
         for k, s in zip(keys, self.table.slots(keys).tolist()):
             self.by_slot[s] = k
+        self.byte = [self.ranks[bytes([b])] for b in range(256)]
+        # two entries that together are an entry: its rank, in the upper half
+        self.pairs = {x << 32 | y: r << 32 for b, r in self.ranks.items() for k in range(1, len(b))
+                      if (x := self.ranks.get(b[:k])) is not None and (y := self.ranks.get(b[k:])) is not None}
         self.known: dict[str, bytes] = {}
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of one pre-token: a heap of pair ranks over the linked bytes."""
-        ranks, n = self.ranks, len(word)
-        part = [word[i:i + 1] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, word[i:i + 2]) for i in range(n - 1) if (r := ranks.get(word[i:i + 2])) is not None]
+        """Ids of one pre-token: a heap of pair ranks over the linked bytes.
+
+        A heap entry is a rank and a place in one integer, so ties go to the
+        left. An entry whose pair has changed since is passed over.
+        """
+        n, rank, pop, push = len(word), self.pairs.get, heapq.heappop, heapq.heappush
+        part = [self.byte[b] for b in word]
+        entry = [rank(a << 32 | b, -1 << 32) | i for i, (a, b) in enumerate(zip(part, part[1:]))]     # the valid entry of each place
+        heap = [x for x in entry if x >= 0]
         heapq.heapify(heap)
+        entry.append(-1)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while heap:
-            _, i, pair = heapq.heappop(heap)
-            j = after[i]
-            if part[i] is None or j >= n or part[i] + part[j] != pair:
-                continue                               # one of the two has changed since
-            part[i], part[j] = pair, None
+            x = pop(heap)
+            i = x & 0xFFFFFFFF
+            if entry[i] != x:
+                continue
+            r, j = x >> 32, after[i]
+            part[i], part[j], entry[i], entry[j] = r, -1, -1, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := ranks.get(pair + part[k])) is not None:
-                    heapq.heappush(heap, (r, i, pair + part[k]))
-            if (k := before[i]) >= 0 and (r := ranks.get(part[k] + pair)) is not None:
-                heapq.heappush(heap, (r, k, part[k] + pair))
-        return [ranks[p] for p in part if p is not None]
-
-    def learn(self, words: set[str]) -> None:
+                if (q := rank(r << 32 | part[k], -1)) >= 0:
+                    entry[i] = q = q | i
+                    push(heap, q)
+            k = before[i]
+            if k >= 0:
+                entry[k] = q = rank(part[k] << 32 | r, -1 << 32) | k
+                if q >= 0:
+                    push(heap, q)
+        return [p for p in part if p >= 0]
+
+    def learn(self, words: list[str]) -> None:
         """Resolve new pre-tokens: first by the perfect hash, the misses by merging."""
-        words = list(words)
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         for w, b, s in zip(words, raw, self.table.slots(raw).tolist()):
             ids = [self.ranks[b]] if s >= 0 and self.by_slot[s] == b else self.merge(b)
-            self.known[w] = np.array(ids, "<u4").tobytes()
+            self.known[w] = pack(f"<{len(ids)}I", *ids)
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         if len(text) <= WHOLE_CHARS:
@@ -138,20 +153,22 @@ class Bpe:
         while some := list(islice(found, 1 << 16)):
             yield some
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        out = []
-        for words in self.pieces(text):
-            own = set(words)
-            if new := own - self.known.keys():
-                if len(self.known) + len(new) > KNOWN_MAX:
-                    self.known, new = {}, own          # the memory is full: start again with these
-                self.learn(new)
-            out.append(b"".join(map(self.known.__getitem__, words)))
-        return b"".join(out)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; new pre-tokens of all are resolved together."""
+        if any(len(t) > WHOLE_CHARS for t in texts):
+            return [b"".join(self._coded([words])[0] for words in self.pieces(t)) for t in texts]
+        return self._coded([self.split.findall(t) for t in texts])
+
+    def _coded(self, split: list[list[str]]) -> list[bytes]:
+        own = set().union(*split)
+        if new := [w for w in own if w not in self.known]:
+            if len(self.known) + len(new) > KNOWN_MAX:
+                self.known, new = {}, list(own)        # the memory is full: start again with these
+            self.learn(new)
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.entry.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    def decode(self, coded: list[bytes]) -> list[bytes]:
+        return [b"".join(map(self.entry.__getitem__, np.frombuffer(ids, "<u4").tolist())) for ids in coded]
 
 
 @lru_cache(maxsize=2)
@@ -169,7 +186,7 @@ def _mapped(df: DataFrame, source: str, out: str, path: str, method: str) -> Dat
         bpe = load(path)
         call = getattr(bpe, method)
         for b in byte_slices(batches, source, SLICE_BYTES):
-            made = [call(v) for v in b.column(b.schema.get_field_index(source)).to_pylist()]
+            made = call(b.column(b.schema.get_field_index(source)).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in keep] + [pa.array(made, pa.binary())],
                                              names=keep + [out])
 

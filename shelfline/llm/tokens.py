@@ -72,10 +72,9 @@ class Counter:
             return self.lengths(texts)
         split = [t.replace("\n", " ").split(" ") for t in texts]
         own = set().union(*split)
-        new = own - self.known.keys()
+        new = [p for p in own if p not in self.known]
         if len(self.known) + len(new) > KNOWN_MAX:
-            self.known, new = {}, own                  # the memory is full: start again with these
-        new = list(new)
+            self.known, new = {}, list(own)            # the memory is full: start again with these
         self.known.update(zip(new, self.lengths(new)))
         out = [sum(map(self.known.__getitem__, parts)) for parts in split]
         for p in new:
