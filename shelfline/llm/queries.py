@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontam, quality, shards, simhash, sketch, suffix, tokens
+from shelfline.llm import bpe, decontam, quality, quotes, shards, simhash, sketch, suffix, tokens
 from shelfline.llm.common import read_table, stored
 
 
@@ -19,6 +19,13 @@ def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
 
 
+def op3_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message of the conversations with its links and its text without quotes, in reply order."""
+    rows = quotes.linked(read_table(spark, sf_dir, "conversations"))
+    return rows.select(F.col("conv").alias("conv_id"), "turn", "role", "reply_turn", "thread_turn", "n_quotes", "n_linked", "max_depth",
+                       F.col("own").alias("text"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of all documents covered by a 100-byte string that also starts earlier, removed."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,6 +83,6 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_ranking, op4_suffix_dedup, op5_histogram_shards, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op9_scaled_sketch, op10_bpe_round_trip)}
+    f.__name__: f for f in (op1_quality_ranking, op3_quote_linking, op4_suffix_dedup, op5_histogram_shards, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op9_scaled_sketch, op10_bpe_round_trip)}
 
 ORACLE_SQL: dict[str, str] = {}
