@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import bpe, decontam, quality, quotes, shards, simhash, sketch, suffix, tokens
+from shelfline.llm import arc, bpe, decontam, quality, quotes, shards, simhash, sketch, suffix, tokens
 from shelfline.llm.common import read_table, stored
 
 
@@ -19,6 +19,25 @@ def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              (F.col("score") >= quality.CUT).cast("int").alias("predicted"))
 
 
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as ARC files, converted to WARC files, read back."""
+    return (arc.pages_round_trip(read_table(spark, sf_dir, "pages"))
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
+#: SHA-1 in base32: four digits of 5 bits from every five hexadecimal ones.
+BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {1 + 5 * (i // 4)}, 5))::BIGINT >> {15 - 5 * (i % 4)}) & 31)::INT, 1)"
+                     for i in range(32))
+OP2_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+     d AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS best, {BASE32} AS digest FROM p)
+SELECT page_id, strlen(html) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to
+FROM d
+"""
+
+
 def op3_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message of the conversations with its links and its text without quotes, in reply order."""
     rows = quotes.linked(read_table(spark, sf_dir, "conversations"))
@@ -83,6 +102,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_ranking, op3_quote_linking, op4_suffix_dedup, op5_histogram_shards, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op9_scaled_sketch, op10_bpe_round_trip)}
+    f.__name__: f for f in (op1_quality_ranking, op2_arc_to_warc, op3_quote_linking, op4_suffix_dedup, op5_histogram_shards, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op9_scaled_sketch, op10_bpe_round_trip)}
 
-ORACLE_SQL: dict[str, str] = {}
+#: The others hash, learn, sort suffixes or tokenize in ways that SQL does not express; tests use brute force or the library.
+ORACLE_SQL: dict[str, str] = {"op2_arc_to_warc": OP2_SQL}
