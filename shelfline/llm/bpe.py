@@ -6,7 +6,7 @@ gets its id from one probe (and a comparison of the bytes). The second tier
 merges the others: the bytes are a linked list, a heap holds the ranks of
 neighbouring pairs, and the least rank, leftmost first, is merged until no
 pair is an entry. Each distinct pre-token of a batch is resolved once and kept
-in a bounded memory of the worker.
+in a bounded memory of the task.
 
 Defined cases: null and empty texts have no ids; a text longer than
 ``WHOLE_CHARS`` is cut by the pattern piece by piece, never at a boundary of
@@ -20,6 +20,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 from itertools import islice
 from struct import pack
 
@@ -31,12 +32,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import byte_slices
+from shelfline.llm.common import byte_slices, tidy
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 SLICE_BYTES = 2 << 20
 WHOLE_CHARS = 1 << 20
-KNOWN_MAX = 600_000            # pre-tokens a worker remembers
+KNOWN_MAX = 400_000            # pre-tokens a task remembers
 
 
 class PerfectHash:
@@ -177,36 +178,48 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def _mapped(df: DataFrame, source: str, out: str, path: str, method: str) -> DataFrame:
-    """``df`` without ``source``, plus binary ``out``."""
+def _mapped(df: DataFrame, source: str, made: dict[str, str], path: str, work) -> DataFrame:
+    """``df`` without ``source``, plus the columns ``made`` (name: type) that ``work(bpe, values)`` lists."""
     keep = [c for c in df.columns if c != source]
-    schema = df.select(*keep).withColumn(out, F.lit(None).cast("binary")).schema
+    schema = df.select(*keep).withColumns({c: F.lit(None).cast(t) for c, t in made.items()}).schema
 
+    @tidy
     def run(batches):
         bpe = load(path)
-        call = getattr(bpe, method)
-        for b in byte_slices(batches, source, SLICE_BYTES):
-            made = call(b.column(b.schema.get_field_index(source)).to_pylist())
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in keep] + [pa.array(made, pa.binary())],
-                                             names=keep + [out])
+        try:
+            for b in byte_slices(batches, source, SLICE_BYTES):
+                columns = work(bpe, b.column(b.schema.get_field_index(source)).to_pylist())
+                yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(c)) for c in keep] + columns, names=keep + [*made])
+        finally:
+            bpe.known = {}                             # a worker outlives its task
 
     return df.select(*keep, source).mapInArrow(run, schema)
 
 
+def _texts(docs: DataFrame, text: str) -> DataFrame:
+    return docs.withColumn(text, F.coalesce(F.col(text), F.lit("")))
+
+
 def encode(docs: DataFrame, text: str = "text", out: str = "ids", path: str | None = None) -> DataFrame:
     """``docs`` with ``out`` in place of the text: its ids, 4 bytes each, little-endian."""
-    body = docs.withColumn(text, F.coalesce(F.col(text), F.lit("")))
-    return _mapped(body, text, out, path or public_tokenizers.path(VOCABULARY), "encode")
+    return _mapped(_texts(docs, text), text, {out: "binary"}, path or public_tokenizers.path(VOCABULARY),
+                   lambda bpe, texts: [pa.array(bpe.encode(texts), pa.binary())])
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str | None = None) -> DataFrame:
     """``df`` with ``out`` (bytes) in place of the ids."""
-    return _mapped(df, ids, out, path or public_tokenizers.path(VOCABULARY), "decode")
+    return _mapped(df, ids, {out: "binary"}, path or public_tokenizers.path(VOCABULARY),
+                   lambda bpe, coded: [pa.array(bpe.decode(coded), pa.binary())])
+
+
+def _digests(bpe: Bpe, texts: list[str]) -> list[pa.Array]:
+    coded = bpe.encode(texts)
+    back = bpe.decode(coded)
+    return [pa.array([len(c) // 4 for c in coded], pa.int64()), pa.array([sha256(c).hexdigest() for c in coded], pa.string()),
+            pa.array([sha256(t).hexdigest() for t in back], pa.string())]
 
 
 def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256) of every row."""
-    coded = encode(docs.select(key, text), text, "ids", path)
-    digest = coded.select(key, "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"))
-    return (decode(digest, "ids", "decoded", path)
-            .select(key, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")))
+    """(key, n_tokens, ids_sha256, decoded_sha256) of every row: encoded, then decoded from the ids, in one task."""
+    return _mapped(_texts(docs.select(key, text), text), text, {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+                   path or public_tokenizers.path(VOCABULARY), _digests)

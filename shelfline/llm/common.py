@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -47,6 +50,21 @@ def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
 
 
+def tidy(run):
+    """Wraps a batch function: when its task ends, the worker gives the memory it used back to its executor."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return wrapped
+
+
 def byte_slices(batches, column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds at most about ``max_bytes`` in each.
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import byte_slices, free_name, stored, value_bytes
+from shelfline.llm.common import byte_slices, free_name, stored, tidy, value_bytes
 
 #: 1: the position counts, 0: it is ignored. For any two substitutions inside 13
 #: aligned tokens, some mask at some offset ignores both.
@@ -39,7 +39,7 @@ MIN_TOKENS = 13
 MIN_SHARE = 0.8
 AROUND = 64                    # tokens kept on each side of a hit
 FILTER_BITS = 1 << 26
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _P = np.uint64(0x9E3779B97F4A7C15)                   # odd, so it has an inverse modulo 2**64
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -108,6 +108,7 @@ def _common(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def _items(test: DataFrame, key: str, text: str) -> DataFrame:
     """(row_id, row_tag, toks): the token hashes of every test item that has any."""
+    @tidy
     def run(batches):
         for b in byte_slices(batches, "body", SLICE_BYTES):
             tok, off = tokens(*value_bytes(b.column(2)))
@@ -121,6 +122,7 @@ def _items(test: DataFrame, key: str, text: str) -> DataFrame:
 
 def _item_seeds(items: DataFrame) -> DataFrame:
     """(h, item, item_tag, t_at) of every seed of every item; a short item has one seed, its whole."""
+    @tidy
     def run(batches):
         for b in batches:
             out = []
@@ -163,6 +165,7 @@ def _stretches(keyed: DataFrame, passes, short: list[int]) -> DataFrame:
     """
     masks = list(enumerate(MASKS)) + [(len(MASKS) + n, "1" * n) for n in short]
 
+    @tidy
     def run(batches):
         bits = passes.value
         for b in byte_slices(batches, "body", SLICE_BYTES):

@@ -28,9 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import byte_slices, free_name, star_components, stored
+from shelfline.llm.common import byte_slices, free_name, star_components, stored, tidy
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def fingerprint(text: bytes, words: int = 4, seed: int = 42) -> int:
@@ -57,6 +57,7 @@ def fingerprints(docs: DataFrame, text: str = "text", words: int = 4, out: str =
     keep = [c for c in docs.columns if c != text]
     schema = docs.select(*keep).withColumn(out, F.lit(0).cast("long")).schema
 
+    @tidy
     def run(batches):
         for b in byte_slices(batches, text, SLICE_BYTES):
             col = b.column(b.schema.get_field_index(text)).cast(pa.binary())
@@ -106,6 +107,7 @@ def _block_links(fps: DataFrame, max_bits: int, max_group: int) -> DataFrame:
     keyed = (fps.select("fp", F.posexplode(F.array(*[F.lit(m).cast("long") for m in masks])).alias("k", "mask"))
              .select(F.xxhash64("k", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), "fp"))
 
+    @tidy
     def run(batches):
         held_k, held_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         wide = None                                  # key whose members go the other way

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import byte_slices, free_name, stored, value_bytes
+from shelfline.llm.common import byte_slices, free_name, stored, tidy, value_bytes
 
 GRAM = 24
 SLICE_BYTES = 2 << 20
@@ -208,6 +208,7 @@ def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def _filter(keyed: DataFrame, length: int, bits: int) -> np.ndarray:
     """Bit map (uint64 words) of the anchor hashes that occur twice or more; ``bits`` is its fixed size."""
+    @tidy
     def hashes(batches):
         for b in byte_slices(batches, "body", SLICE_BYTES):
             data, off = value_bytes(b.column(0))
@@ -289,6 +290,7 @@ SENT = pa.schema([("h", pa.int64()), ("id", pa.int64()), ("tag", pa.int64()), ("
 
 def _shards(keyed: DataFrame, length: int, bits: int, words) -> DataFrame:
     """Rows with a body are stretches to compare across shards, the others are marks (id, tag, start, last)."""
+    @tidy
     def run(batches):
         shard, passes = _Shard(length), words.value
         for b in byte_slices(batches, "body", SLICE_BYTES):
@@ -357,6 +359,7 @@ def _across(sent: DataFrame, length: int) -> DataFrame:
     Rows arrive sorted by (h, id, tag, start): what is seen first is earliest.
     Rows of one (id, tag, start) come from rows that are one document.
     """
+    @tidy
     def run(batches):
         h, known, seen = None, {}, np.zeros(0, f"S{length + 8}")
         waiting, load = [], 0                   # distinct stretches of many hashes, and their windows

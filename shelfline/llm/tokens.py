@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import byte_slices
+from shelfline.llm.common import byte_slices, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 BATCH_BYTES = 1 << 20
@@ -89,6 +89,7 @@ def token_counts(docs: DataFrame, text: str = "text", out: str = "n_tokens", pat
     keep, path = [c for c in docs.columns if c != text], path or public_tokenizers.path(VOCABULARY)
     schema = docs.select(*keep).withColumn(out, F.lit(0).cast("long")).schema
 
+    @tidy
     def run(batches):
         counter = Counter(path, drops_blanks)
         for b in byte_slices(batches, text, BATCH_BYTES):
