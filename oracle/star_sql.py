@@ -7,7 +7,7 @@ driver's pre-registered views. Rules are the same integer rules as
 
 from __future__ import annotations
 
-from shelfline.plans import star as S
+from oracle import values as S
 
 
 def _lst(values: list[str]) -> str:
@@ -26,8 +26,16 @@ def money(c: str, p: int = 7) -> str:
     return f"CAST(CAST({c} AS DECIMAL(18,0)) / 100 AS DECIMAL({p},2))"
 
 
-def nullk(v: str, i: int) -> str:
-    return f"CASE WHEN (onum * 13 + pk * 7 + {i}) % 25 = 0 THEN NULL ELSE CAST({v} AS INTEGER) END"
+def nullk(v: str, i: int, kind: str = "INTEGER") -> str:
+    return f"CASE WHEN (onum * 13 + pk * 7 + {i}) % 25 = 0 THEN NULL ELSE CAST({v} AS {kind}) END"
+
+
+def cdemo(ck: str) -> str:
+    return f"((({ck}) * {S.CDEMO_STEP}) % {S.N_CDEMO} + 1)"
+
+
+def hdemo(ck: str) -> str:
+    return f"((({ck}) * {S.HDEMO_STEP}) % {S.N_HDEMO} + 1)"
 
 
 def jd(d: str) -> str:
@@ -35,7 +43,8 @@ def jd(d: str) -> str:
 
 
 def pad(prefix: str, v: str, w: int = 10) -> str:
-    return f"('{prefix}' || lpad(CAST({v} AS VARCHAR), {w}, '0'))"
+    x = f"CAST({v} AS VARCHAR)"
+    return f"('{prefix}' || lpad({x}, CAST(greatest({w}, length({x})) AS INTEGER), '0'))"
 
 
 _PRICED = f"""
@@ -91,29 +100,31 @@ def _channel_keys(channel: int) -> str:
     page = S.N_CATALOG_PAGE if channel == 1 else S.N_WEB_PAGE
     sck = "(CASE WHEN onum % 10 = 0 THEN (ck * 7 + onum) % n_cust ELSE ck END)"
     if channel == 1:
-        rep = (f"SELECT onum + {S.CATALOG_REPURCHASE} AS onum, pk, sk, ln, q, ck, "
+        rep = (f"SELECT ok * {S.KINDS} + {S.CATALOG_REPURCHASE} AS num, "
+               f"onum + {S.RULE_SHIFT[S.CATALOG_REPURCHASE]} AS onum, pk, sk, ln, q, ck, "
                f"r_date + 10 AS sold, lp, disc, tax, n_cust FROM _store_returned")
     else:
-        rep = (f"SELECT onum + {S.WEB_REPURCHASE} AS onum, pk, sk, ln, q, ck, sold + 15 AS sold, "
+        rep = (f"SELECT ok * {S.KINDS} + {S.WEB_REPURCHASE} AS num, "
+               f"onum + {S.RULE_SHIFT[S.WEB_REPURCHASE]} AS onum, pk, sk, ln, q, ck, sold + 15 AS sold, "
                f"lp, disc, tax, n_cust FROM _store_src WHERE (pk + onum) % 4 = 1")
     return f"""SELECT *, {_PRICED},
   CAST((onum * 7919 + ln * 1047) % 86400 AS INTEGER) AS k_time,
   CAST(sold + 2 + (ln * 17 + pk) % 129 AS INTEGER) AS k_ship_date,
-  CAST(pk + 1 AS INTEGER) AS k_item,
-  {nullk('ck + 1', 1)} AS k_bill_customer,
-  {nullk(f'ck % {S.N_CDEMO} + 1', 2)} AS k_bill_cdemo,
-  {nullk(f'(ck * 7) % {S.N_HDEMO} + 1', 3)} AS k_bill_hdemo,
-  {nullk('ck + 1', 4)} AS k_bill_addr,
-  {nullk(sck + ' + 1', 5)} AS k_ship_customer,
-  {nullk(f'{sck} % {S.N_CDEMO} + 1', 6)} AS k_ship_cdemo,
-  {nullk(f'({sck} * 7) % {S.N_HDEMO} + 1', 7)} AS k_ship_hdemo,
-  {nullk(sck + ' + 1', 8)} AS k_ship_addr,
+  CAST(pk + 1 AS BIGINT) AS k_item,
+  {nullk('ck + 1', 1, 'BIGINT')} AS k_bill_customer,
+  {nullk(cdemo('ck'), 2)} AS k_bill_cdemo,
+  {nullk(hdemo('ck'), 3)} AS k_bill_hdemo,
+  {nullk('ck + 1', 4, 'BIGINT')} AS k_bill_addr,
+  {nullk(sck + ' + 1', 5, 'BIGINT')} AS k_ship_customer,
+  {nullk(cdemo(sck), 6)} AS k_ship_cdemo,
+  {nullk(hdemo(sck), 7)} AS k_ship_hdemo,
+  {nullk(sck + ' + 1', 8, 'BIGINT')} AS k_ship_addr,
   {nullk(f'sk % {outlet} + 1', 9)} AS k_outlet,
   {nullk(f'pk % {page} + 1', 10)} AS k_page,
   {nullk(f'(pk + ln) % {S.N_SHIP_MODE} + 1', 11)} AS k_ship_mode,
   {nullk(f'(pk * 7 + ln) % {S.N_WAREHOUSE} + 1', 12)} AS k_warehouse,
   {nullk(f'pk % {S.N_PROMO} + 1', 13)} AS k_promo
-FROM (SELECT ok AS onum, pk, sk, ln, q, ck, sold, lp, disc, tax, n_cust FROM lines WHERE ok % 3 = {channel}
+FROM (SELECT ok * {S.KINDS} + {S.BASE_ORDER} AS num, ok AS onum, pk, sk, ln, q, ck, sold, lp, disc, tax, n_cust FROM lines WHERE ok % 3 = {channel}
       UNION ALL {rep}) src"""
 
 
@@ -121,7 +132,7 @@ def _yn(cond: str) -> str:
     return f"CASE WHEN {cond} THEN 'Y' ELSE 'N' END"
 
 
-_PCDEMO = f"((ck + CASE WHEN onum % 7 = 0 THEN onum % 13 + 1 ELSE 0 END) % {S.N_CDEMO} + 1)"
+_PCDEMO = cdemo("ck + CASE WHEN onum % 7 = 0 THEN onum % 13 + 1 ELSE 0 END")
 _ADDR = "((CASE WHEN onum % 4 = 0 THEN (ck * 31 + onum) % n_cust ELSE ck END) + 1)"
 
 # name -> (SQL body, dependencies)
@@ -140,30 +151,30 @@ FROM (SELECT l.*, o.o_custkey, o.o_orderdate,
                            l_extendedprice, l_suppkey, l_discount, l_tax) AS rn_
       FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey) x
 WHERE rn_ = 1""", ["_base_customer"])
-CTES["_store_src"] = ("SELECT *, ok AS onum FROM lines WHERE ok % 3 = 0", ["lines"])
+CTES["_store_src"] = (f"SELECT *, ok * {S.KINDS} + {S.BASE_ORDER} AS num, ok AS onum FROM lines WHERE ok % 3 = 0", ["lines"])
 CTES["_store_priced"] = (f"SELECT *, {_PRICED} FROM _store_src", ["_store_src"])
 CTES["_store_returned"] = (f"SELECT *, {_RETURNED} FROM _store_priced WHERE (pk + ok) % 4 = 0",
                            ["_store_priced"])
 CTES["store_sales"] = (f"""SELECT sold AS ss_sold_date_sk,
   CAST((onum * 7919 + ln * 1047) % 86400 AS INTEGER) AS ss_sold_time_sk,
-  CAST(pk + 1 AS INTEGER) AS ss_item_sk,
-  {nullk('ck + 1', 1)} AS ss_customer_sk,
+  CAST(pk + 1 AS BIGINT) AS ss_item_sk,
+  {nullk('ck + 1', 1, 'BIGINT')} AS ss_customer_sk,
   {nullk(_PCDEMO, 2)} AS ss_cdemo_sk,
-  {nullk(f'(ck * 7) % {S.N_HDEMO} + 1', 3)} AS ss_hdemo_sk,
-  {nullk(_ADDR, 4)} AS ss_addr_sk,
-  {nullk(f'sk % {S.N_STORE_MAX} + 1', 5)} AS ss_store_sk,
+  {nullk(hdemo('ck'), 3)} AS ss_hdemo_sk,
+  {nullk(_ADDR, 4, 'BIGINT')} AS ss_addr_sk,
+  {nullk(f'sk % {S.N_STORE} + 1', 5)} AS ss_store_sk,
   {nullk(f'pk % {S.N_PROMO} + 1', 6)} AS ss_promo_sk,
-  onum AS ss_ticket_number, q AS ss_quantity,
+  num AS ss_ticket_number, q AS ss_quantity,
   {_money_list('ss_', _STORE_MONEY)}
 FROM _store_priced""", ["_store_priced"])
 CTES["store_returns"] = (f"""SELECT r_date AS sr_returned_date_sk, r_time AS sr_return_time_sk,
-  CAST(pk + 1 AS INTEGER) AS sr_item_sk,
-  {nullk('ck + 1', 1)} AS sr_customer_sk,
+  CAST(pk + 1 AS BIGINT) AS sr_item_sk,
+  {nullk('ck + 1', 1, 'BIGINT')} AS sr_customer_sk,
   {nullk(_PCDEMO, 2)} AS sr_cdemo_sk,
-  {nullk(f'(ck * 7) % {S.N_HDEMO} + 1', 3)} AS sr_hdemo_sk,
-  {nullk(_ADDR, 4)} AS sr_addr_sk,
-  {nullk(f'sk % {S.N_STORE_MAX} + 1', 5)} AS sr_store_sk,
-  r_reason AS sr_reason_sk, onum AS sr_ticket_number, r_qty AS sr_return_quantity,
+  {nullk(hdemo('ck'), 3)} AS sr_hdemo_sk,
+  {nullk(_ADDR, 4, 'BIGINT')} AS sr_addr_sk,
+  {nullk(f'sk % {S.N_STORE} + 1', 5)} AS sr_store_sk,
+  r_reason AS sr_reason_sk, num AS sr_ticket_number, r_qty AS sr_return_quantity,
   {_ret_money('sr_', ['return_amt', 'return_tax', 'return_amt_inc_tax', 'fee', 'return_ship_cost',
                       'refunded_cash', 'reversed_charge', 'store_credit', 'net_loss'])}
 FROM _store_returned""", ["_store_returned"])
@@ -186,7 +197,7 @@ def _sales_select(p: str, keys: str) -> str:
   k_bill_addr AS {p}_bill_addr_sk, k_ship_customer AS {p}_ship_customer_sk,
   k_ship_cdemo AS {p}_ship_cdemo_sk, k_ship_hdemo AS {p}_ship_hdemo_sk,
   k_ship_addr AS {p}_ship_addr_sk, {mid},
-  onum AS {p}_order_number, q AS {p}_quantity,
+  num AS {p}_order_number, q AS {p}_quantity,
   {_money_list(p + '_', S.MONEY_COLS)}
 FROM {keys}"""
 
@@ -200,7 +211,7 @@ CTES["catalog_returns"] = (f"""SELECT r_date AS cr_returned_date_sk, r_time AS c
   k_ship_cdemo AS cr_returning_cdemo_sk, k_ship_hdemo AS cr_returning_hdemo_sk,
   k_ship_addr AS cr_returning_addr_sk, k_outlet AS cr_call_center_sk,
   k_page AS cr_catalog_page_sk, k_ship_mode AS cr_ship_mode_sk, k_warehouse AS cr_warehouse_sk,
-  r_reason AS cr_reason_sk, onum AS cr_order_number, r_qty AS cr_return_quantity,
+  r_reason AS cr_reason_sk, num AS cr_order_number, r_qty AS cr_return_quantity,
   {_ret_money('cr_', ['return_amount', 'return_tax', 'return_amt_inc_tax', 'fee', 'return_ship_cost',
                       'refunded_cash', 'reversed_charge', 'store_credit', 'net_loss'])}
 FROM (SELECT *, {_RETURNED} FROM _cat_keys WHERE (pk + onum + ln) % 4 = 0) r""", ["_cat_keys"])
@@ -210,13 +221,13 @@ CTES["web_returns"] = (f"""SELECT r_date AS wr_returned_date_sk, r_time AS wr_re
   k_bill_addr AS wr_refunded_addr_sk, k_ship_customer AS wr_returning_customer_sk,
   k_ship_cdemo AS wr_returning_cdemo_sk, k_ship_hdemo AS wr_returning_hdemo_sk,
   k_ship_addr AS wr_returning_addr_sk, k_page AS wr_web_page_sk,
-  r_reason AS wr_reason_sk, onum AS wr_order_number, r_qty AS wr_return_quantity,
+  r_reason AS wr_reason_sk, num AS wr_order_number, r_qty AS wr_return_quantity,
   {_ret_money('wr_', ['return_amt', 'return_tax', 'return_amt_inc_tax', 'fee', 'return_ship_cost',
                       'refunded_cash', 'reversed_charge', 'account_credit', 'net_loss'])}
 FROM (SELECT *, {_RETURNED} FROM _web_keys WHERE (pk + onum + ln) % 4 = 0) r""", ["_web_keys"])
 CTES["inventory"] = (f"""SELECT CAST({S.JD_1998} + (i // {S.N_WAREHOUSE}) * 7 AS INTEGER) AS inv_date_sk,
   CAST(p_partkey + CASE WHEN p_partkey % 6 = 4 AND {S.JD_1998} + (i // {S.N_WAREHOUSE}) * 7 >= {S.JD_2000}
-                         AND p_partkey + 1 < n_parts THEN 2 ELSE 1 END AS INTEGER) AS inv_item_sk,
+                         AND p_partkey + 1 < n_parts THEN 2 ELSE 1 END AS BIGINT) AS inv_item_sk,
   CAST(i % {S.N_WAREHOUSE} + 1 AS INTEGER) AS inv_warehouse_sk,
   CAST((p_partkey * 37 + (i % {S.N_WAREHOUSE} + 1) * 101 + (i // {S.N_WAREHOUSE}) * 53) % 1000 AS INTEGER)
     AS inv_quantity_on_hand
@@ -243,8 +254,10 @@ CTES["date_dim"] = (f"""SELECT {jd('d')} AS d_date_sk, 'D' || CAST({jd('d')} AS
   CAST({jd('d')} - 91 AS INTEGER) AS d_same_day_lq,
   'N' AS d_current_day, 'N' AS d_current_week, 'N' AS d_current_month,
   'N' AS d_current_quarter, 'N' AS d_current_year
-FROM (SELECT CAST(DATE '{S.DATE_LO}' + CAST(i AS INTEGER) AS DATE) AS d
-      FROM range(0, {S.DATE_DAYS}) g(i)) x""", [])
+FROM (SELECT CAST(unnest(generate_series(
+        make_date(least(lo - {S.YEARS_BEFORE}, {S.YEAR_LO}), 1, 1),
+        make_date(greatest(hi + {S.YEARS_AFTER}, {S.YEAR_HI}), 12, 31), INTERVAL 1 DAY)) AS DATE) AS d
+      FROM (SELECT year(min(CAST(o_orderdate AS DATE))) AS lo, year(max(CAST(o_orderdate AS DATE))) AS hi FROM orders) span) x""", [])
 CTES["time_dim"] = (f"""SELECT CAST(s AS INTEGER) AS t_time_sk, {pad('T', 's', 8)} AS t_time_id,
   CAST(s AS INTEGER) AS t_time, CAST(s // 3600 AS INTEGER) AS t_hour,
   CAST((s // 60) % 60 AS INTEGER) AS t_minute, CAST(s % 60 AS INTEGER) AS t_second,
@@ -256,7 +269,7 @@ CTES["time_dim"] = (f"""SELECT CAST(s AS INTEGER) AS t_time_sk, {pad('T', 's', 8
        WHEN s // 3600 >= 11 AND s // 3600 < 14 THEN 'lunch'
        WHEN s // 3600 >= 17 AND s // 3600 < 20 THEN 'dinner' END AS t_meal_time
 FROM range(0, 86400) g(s)""", [])
-CTES["item"] = (f"""SELECT CAST(p_partkey + 1 AS INTEGER) AS i_item_sk,
+CTES["item"] = (f"""SELECT CAST(p_partkey + 1 AS BIGINT) AS i_item_sk,
   {pad('ITEM', 'CASE WHEN p_partkey % 6 = 5 THEN p_partkey - 1 ELSE p_partkey END', 8)} AS i_item_id,
   CASE WHEN p_partkey % 6 = 5 THEN DATE '2000-01-01' ELSE DATE '1997-10-27' END AS i_rec_start_date,
   CASE WHEN p_partkey % 6 = 4 THEN DATE '1999-12-31' END AS i_rec_end_date,
@@ -276,31 +289,30 @@ CTES["item"] = (f"""SELECT CAST(p_partkey + 1 AS INTEGER) AS i_item_sk,
   CAST(p_partkey % 50 + 1 AS INTEGER) AS i_manager_id,
   p_name || ' ' || CAST(p_partkey AS VARCHAR) AS i_product_name
 FROM part""", [])
-CTES["store"] = (f"""SELECT CAST(s_suppkey + 1 AS INTEGER) AS s_store_sk, {pad('STORE', 's_suppkey', 8)} AS s_store_id,
+CTES["store"] = (f"""SELECT CAST(k + 1 AS INTEGER) AS s_store_sk, {pad('STORE', 'k', 8)} AS s_store_id,
   DATE '1997-03-13' AS s_rec_start_date, CAST(NULL AS DATE) AS s_rec_end_date,
   CAST(NULL AS INTEGER) AS s_closed_date_sk,
-  {pick(S.STORE_NAMES, 's_suppkey % 6')} AS s_store_name,
-  CAST(200 + (s_suppkey * 37) % 100 AS INTEGER) AS s_number_employees,
-  CAST(5000000 + s_suppkey * 10007 AS INTEGER) AS s_floor_space,
-  {pick(['8AM-4PM', '8AM-8PM', '8AM-12AM'], 's_suppkey % 3')} AS s_hours,
-  'Manager ' || CAST(s_suppkey AS VARCHAR) AS s_manager,
-  CAST(s_suppkey % 10 + 1 AS INTEGER) AS s_market_id, 'Unknown' AS s_geography_class,
-  'Market of ' || n_name AS s_market_desc,
-  'Market manager ' || CAST(s_suppkey AS VARCHAR) AS s_market_manager,
+  {pick(S.STORE_NAMES, 'k % 6')} AS s_store_name,
+  CAST(200 + (k * 37) % 100 AS INTEGER) AS s_number_employees,
+  CAST(5000000 + k * 10007 AS INTEGER) AS s_floor_space,
+  {pick(['8AM-4PM', '8AM-8PM', '8AM-12AM'], 'k % 3')} AS s_hours,
+  'Manager ' || CAST(k AS VARCHAR) AS s_manager,
+  CAST(k % 10 + 1 AS INTEGER) AS s_market_id, 'Unknown' AS s_geography_class,
+  'Market of ' || 'NATION_' || CAST((k * 2) % 25 AS VARCHAR) AS s_market_desc,
+  'Market manager ' || CAST(k AS VARCHAR) AS s_market_manager,
   1 AS s_division_id, 'Unknown' AS s_division_name, 1 AS s_company_id, 'Unknown' AS s_company_name,
-  CAST(100 + s_suppkey * 7 AS VARCHAR) AS s_street_number,
-  {pick(S.STREETS, 's_suppkey % 8')} AS s_street_name,
-  {pick(S.STREET_TYPES, 's_suppkey % 5')} AS s_street_type,
-  'Suite ' || CAST(s_suppkey * 10 AS VARCHAR) AS s_suite_number,
-  {pick(S.CITIES, 'n_nationkey % 10')} AS s_city, n_name || ' County' AS s_county,
-  {pick(S.STATES, 'n_nationkey')} AS s_state, CAST(10000 + n_nationkey * 100 AS VARCHAR) AS s_zip,
-  'United States' AS s_country, CAST(-(5 + n_nationkey % 4) AS DECIMAL(5,2)) AS s_gmt_offset,
-  {money('s_suppkey % 12', 5)} AS s_tax_precentage
-FROM supplier JOIN nation ON s_nationkey = n_nationkey
-WHERE s_suppkey < {S.N_STORE_MAX}""", [])
+  CAST(100 + k * 7 AS VARCHAR) AS s_street_number,
+  {pick(S.STREETS, 'k % 8')} AS s_street_name,
+  {pick(S.STREET_TYPES, 'k % 5')} AS s_street_type,
+  'Suite ' || CAST(k * 10 AS VARCHAR) AS s_suite_number,
+  {pick(S.CITIES, '((k * 2) % 25) % 10')} AS s_city, 'NATION_' || CAST((k * 2) % 25 AS VARCHAR) || ' County' AS s_county,
+  {pick(S.STATES, '((k * 2) % 25)')} AS s_state, CAST(10000 + ((k * 2) % 25) * 100 AS VARCHAR) AS s_zip,
+  'United States' AS s_country, CAST(-(5 + ((k * 2) % 25) % 4) AS DECIMAL(5,2)) AS s_gmt_offset,
+  {money('k % 12', 5)} AS s_tax_precentage
+FROM range(0, {S.N_STORE}) g(k)""", [])
 _FIRST = pick(S.FIRST_NAMES, "c_custkey % 20")
 _LAST = pick(S.LAST_NAMES, "(c_custkey * 7 + c_custkey // 20) % 20")
-CTES["customer_address"] = (f"""SELECT CAST(c_custkey + 1 AS INTEGER) AS ca_address_sk,
+CTES["customer_address"] = (f"""SELECT CAST(c_custkey + 1 AS BIGINT) AS ca_address_sk,
   {pad('ADDR', 'c_custkey')} AS ca_address_id,
   CAST(c_custkey % 1000 + 1 AS VARCHAR) AS ca_street_number,
   {pick(S.STREETS, 'c_custkey % 8')} AS ca_street_name,
@@ -312,14 +324,14 @@ CTES["customer_address"] = (f"""SELECT CAST(c_custkey + 1 AS INTEGER) AS ca_addr
   'United States' AS ca_country, CAST(-(5 + n_nationkey % 4) AS DECIMAL(5,2)) AS ca_gmt_offset,
   {pick(S.LOCATION_TYPES, 'c_custkey % 3')} AS ca_location_type
 FROM _base_customer JOIN nation ON c_nationkey = n_nationkey""", ["_base_customer"])
-CTES["customer"] = (f"""SELECT CAST(c_custkey + 1 AS INTEGER) AS c_customer_sk,
+CTES["customer"] = (f"""SELECT CAST(c_custkey + 1 AS BIGINT) AS c_customer_sk,
   {pad('CUST', 'c_custkey')} AS c_customer_id,
-  CAST(c_custkey % {S.N_CDEMO} + 1 AS INTEGER) AS c_current_cdemo_sk,
-  CAST((c_custkey * 7) % {S.N_HDEMO} + 1 AS INTEGER) AS c_current_hdemo_sk,
-  CAST(c_custkey + 1 AS INTEGER) AS c_current_addr_sk,
+  CAST({cdemo('c_custkey')} AS INTEGER) AS c_current_cdemo_sk,
+  CAST({hdemo('c_custkey')} AS INTEGER) AS c_current_hdemo_sk,
+  CAST(c_custkey + 1 AS BIGINT) AS c_current_addr_sk,
   CAST({S.JD_1998} - 1000 + (c_custkey * 11) % 1500 AS INTEGER) AS c_first_shipto_date_sk,
   CAST({S.JD_1998} - 1030 + (c_custkey * 11) % 1500 AS INTEGER) AS c_first_sales_date_sk,
-  {pick(S.SALUTATIONS, 'c_custkey % 6')} AS c_salutation,
+  {pick(S.SALUTATIONS, 'c_custkey % 4')} AS c_salutation,
   {_FIRST} AS c_first_name, {_LAST} AS c_last_name,
   CASE WHEN c_custkey % 2 = 0 THEN 'Y' ELSE 'N' END AS c_preferred_cust_flag,
   CAST(c_custkey % 28 + 1 AS INTEGER) AS c_birth_day,
@@ -334,15 +346,15 @@ CTES["customer_demographics"] = (f"""SELECT CAST(k + 1 AS INTEGER) AS cd_demo_sk
   {pick(S.GENDERS, 'k % 2')} AS cd_gender,
   {pick(S.MARITAL, '(k // 2) % 5')} AS cd_marital_status,
   {pick(S.EDUCATION, '(k // 10) % 7')} AS cd_education_status,
-  CAST(500 * (k % 20 + 1) AS INTEGER) AS cd_purchase_estimate,
-  {pick(S.CREDIT, 'k % 4')} AS cd_credit_rating,
-  CAST(k % 7 AS INTEGER) AS cd_dep_count, CAST(k % 5 AS INTEGER) AS cd_dep_employed_count,
-  CAST(k % 3 AS INTEGER) AS cd_dep_college_count
+  CAST(500 * ((k // 70) % 20 + 1) AS INTEGER) AS cd_purchase_estimate,
+  {pick(S.CREDIT, '(k // 1400) % 4')} AS cd_credit_rating,
+  CAST((k // 5600) % 7 AS INTEGER) AS cd_dep_count, CAST((k // 39200) % 7 AS INTEGER) AS cd_dep_employed_count,
+  CAST((k // 274400) % 7 AS INTEGER) AS cd_dep_college_count
 FROM range(0, {S.N_CDEMO}) g(k)""", [])
 CTES["household_demographics"] = (f"""SELECT CAST(k + 1 AS INTEGER) AS hd_demo_sk,
   CAST(k % {S.N_INCOME} + 1 AS INTEGER) AS hd_income_band_sk,
-  {pick(S.BUY_POTENTIAL, '(k // 20) % 6')} AS hd_buy_potential,
-  CAST(k % 10 AS INTEGER) AS hd_dep_count, CAST(k // 120 + k % 3 AS INTEGER) AS hd_vehicle_count
+  {pick(S.BUY_POTENTIAL, f'(k // 20) % {S.N_BUY}')} AS hd_buy_potential,
+  CAST((k // 120) % {S.N_DEP} AS INTEGER) AS hd_dep_count, CAST((k // 1200) % {S.N_VEHICLE} - 1 AS INTEGER) AS hd_vehicle_count
 FROM range(0, {S.N_HDEMO}) g(k)""", [])
 CTES["income_band"] = (f"""SELECT CAST(k + 1 AS INTEGER) AS ib_income_band_sk,
   CAST(k * 10000 + CASE WHEN k > 0 THEN 1 ELSE 0 END AS INTEGER) AS ib_lower_bound,
@@ -375,7 +387,7 @@ CTES["warehouse"] = (f"""SELECT CAST(k + 1 AS INTEGER) AS w_warehouse_sk, {pad('
   'United States' AS w_country, CAST(-(5 + (k * 5) % 4) AS DECIMAL(5,2)) AS w_gmt_offset
 FROM range(0, {S.N_WAREHOUSE}) g(k)""", [])
 CTES["ship_mode"] = (f"""SELECT CAST(k + 1 AS INTEGER) AS sm_ship_mode_sk, {pad('SM', 'k', 8)} AS sm_ship_mode_id,
-  {pick(S.SHIP_TYPES, 'k % 5')} AS sm_type, {pick(['AIR', 'SURFACE', 'SEA', 'BIKE'], 'k // 5')} AS sm_code,
+  {pick(S.SHIP_TYPES, 'k % 6')} AS sm_type, {pick(S.SHIP_CODES, '(k // 6) % 3')} AS sm_code,
   {pick(S.CARRIERS, 'k')} AS sm_carrier, 'contract-' || CAST(k AS VARCHAR) AS sm_contract
 FROM range(0, {S.N_SHIP_MODE}) g(k)""", [])
 CTES["reason"] = (f"""SELECT CAST(k + 1 AS INTEGER) AS r_reason_sk, {pad('R', 'k', 8)} AS r_reason_id,
@@ -414,7 +426,7 @@ CTES["web_site"] = (f"""SELECT CAST(k + 1 AS INTEGER) AS web_site_sk, {pad('SITE
   'Manager ' || CAST(k AS VARCHAR) AS web_manager, CAST(k % 6 + 1 AS INTEGER) AS web_mkt_id,
   'Unknown' AS web_mkt_class, 'Unknown' AS web_mkt_desc,
   'Market manager ' || CAST(k AS VARCHAR) AS web_market_manager,
-  CAST(k % 6 + 1 AS INTEGER) AS web_company_id, {pick(S.PROMO_NAMES, 'k % 6')} AS web_company_name,
+  CAST(k % 6 + 1 AS INTEGER) AS web_company_id, {pick(S.SITE_COMPANIES, 'k % 6')} AS web_company_name,
   CAST(k * 17 + 1 AS VARCHAR) AS web_street_number, {pick(S.STREETS, 'k % 8')} AS web_street_name,
   {pick(S.STREET_TYPES, 'k % 5')} AS web_street_type, 'Suite ' || CAST(k AS VARCHAR) AS web_suite_number,
   {pick(S.CITIES, 'k % 10')} AS web_city,

@@ -57,7 +57,7 @@ def dim_time(st):
 @star_query("dim_demographics")
 def dim_demographics(st):
     """Customers by decoded customer and household demographics."""
-    j = (st.customer.join(B(st.customer_demographics), F.col("c_current_cdemo_sk") == F.col("cd_demo_sk"))
+    j = (st.customer.join(st.customer_demographics, F.col("c_current_cdemo_sk") == F.col("cd_demo_sk"))
          .join(B(st.household_demographics), F.col("c_current_hdemo_sk") == F.col("hd_demo_sk")))
     return j.groupBy("cd_gender", "cd_marital_status", "cd_education_status", "hd_buy_potential").agg(
         F.count(F.lit(1)).alias("customers"))

@@ -16,7 +16,7 @@ def _demo_geo_sales(st, year):
     dt = st.date_dim.filter(F.col("d_year") == year).select("d_date_sk")
     return (st.store_sales.join(B(dt), F.col("ss_sold_date_sk") == dt.d_date_sk)
             .join(B(st.store.select("s_store_sk")), F.col("ss_store_sk") == F.col("s_store_sk"))
-            .join(B(st.customer_demographics.select("cd_demo_sk", "cd_marital_status", "cd_education_status")),
+            .join(st.customer_demographics.select("cd_demo_sk", "cd_marital_status", "cd_education_status"),
                   F.col("ss_cdemo_sk") == F.col("cd_demo_sk"))
             .join(st.customer_address.select("ca_address_sk", "ca_country", "ca_state"),
                   F.col("ss_addr_sk") == F.col("ca_address_sk")))
@@ -89,10 +89,10 @@ def _ticket_counts(st, dom_cond, potentials, ratio_min, years, counties):
                                       "c_preferred_cust_flag"), F.col("ss_customer_sk") == F.col("c_customer_sk"))
 
 
-_ALL_COUNTIES = tuple(f"NATION_{n} County" for n in range(25))
+_COUNTIES = tuple(f"NATION_{n} County" for n in (0, 1, 4, 5, 8, 12, 16, 20))
 
 
-@star_query("q34", cnt_range=(2, 20), counties=_ALL_COUNTIES)
+@star_query("q34", cnt_range=(2, 20), counties=_COUNTIES)
 def q34(st, years=(1999, 2000, 2001), cnt_range=(15, 20), counties=("Williamson County",)):
     """Customers with mid-size tickets on month edges in high-potential households."""
     dom = F.col("d_dom").between(1, 3) | F.col("d_dom").between(25, 28)
@@ -103,7 +103,7 @@ def q34(st, years=(1999, 2000, 2001), cnt_range=(15, 20), counties=("Williamson
                               "ss_ticket_number", "cnt"))
 
 
-@star_query("q73", counties=_ALL_COUNTIES)
+@star_query("q73", counties=_COUNTIES)
 def q73(st, years=(1999, 2000, 2001), cnt_range=(1, 5), counties=("Williamson County",)):
     """Customers with small tickets on the first two days of a month."""
     j = _ticket_counts(st, F.col("d_dom").between(1, 2), (">10000", "Unknown"), 1.0, years, counties)
@@ -163,8 +163,8 @@ def _moved_customers(st, dn):
               .join(cur, (c.c_current_addr_sk == cur.cur_sk) & (cur.ca_city != dn.bought_city)))
 
 
-@star_query("q46", cities=("Fairview", "Midway", "Riverside", "Salem", "Greenwood"))
-def q46(st, years=(1999, 2000, 2001), cities=("Fairview", "Midway")):
+@star_query("q46", cities=("Ambervale", "Elkhaven", "Inkwell"))
+def q46(st, years=(1999, 2000, 2001), cities=("Ambervale", "Elkhaven")):
     """Weekend tickets bought in a city other than the customer's current one."""
     j = _ticket_city(st, F.col("d_dow").isin(6, 0) & F.col("d_year").isin(*years),
                      (F.col("hd_dep_count") == 4) | (F.col("hd_vehicle_count") == 3), F.col("s_city").isin(*cities))
@@ -177,8 +177,8 @@ def q46(st, years=(1999, 2000, 2001), cities=("Fairview", "Midway")):
     return topk(out, 100, "c_last_name", "c_first_name", "ca_city", "bought_city", "ss_ticket_number", "amt", "profit")
 
 
-@star_query("q68", cities=("Fairview", "Midway", "Riverside", "Salem", "Greenwood"))
-def q68(st, years=(1999, 2000, 2001), cities=("Midway", "Fairview")):
+@star_query("q68", cities=("Ambervale", "Elkhaven", "Inkwell"))
+def q68(st, years=(1999, 2000, 2001), cities=("Elkhaven", "Ambervale")):
     """Early-month tickets bought in another city: extended price, tax and list price."""
     j = _ticket_city(st, F.col("d_dom").between(1, 2) & F.col("d_year").isin(*years),
                      (F.col("hd_dep_count") == 4) | (F.col("hd_vehicle_count") == 3), F.col("s_city").isin(*cities))
@@ -237,7 +237,7 @@ def q99(st, month_seq=1200):
     return _ship_latency(st, "catalog_sales", "cs", "call_center", "cc_call_center_sk", "cc_name", month_seq)
 
 
-@star_query("q84", city="Fairview", income_lo=20000)
+@star_query("q84", city="Ambervale", income_lo=20000)
 def q84(st, city="Edgewood", income_lo=38128):
     """Customers in a city and income band who have store returns."""
     ib = st.income_band.filter((F.col("ib_lower_bound") >= income_lo)
@@ -246,12 +246,17 @@ def q84(st, city="Edgewood", income_lo=38128):
     ca = st.customer_address.filter(F.col("ca_city") == city).select("ca_address_sk")
     c = (st.customer.join(ca, F.col("c_current_addr_sk") == ca.ca_address_sk)
          .join(B(hd), F.col("c_current_hdemo_sk") == hd.hd_demo_sk)
-         .join(B(st.customer_demographics.select("cd_demo_sk")), F.col("c_current_cdemo_sk") == F.col("cd_demo_sk")))
-    j = c.join(st.store_returns.select("sr_cdemo_sk"), F.col("sr_cdemo_sk") == F.col("cd_demo_sk"))
-    out = j.select(F.col("c_customer_id").alias("customer_id"),
-                   F.concat(F.coalesce("c_last_name", F.lit("")), F.lit(", "), F.coalesce("c_first_name", F.lit("")))
-                   .alias("customername"))
-    return topk(out, 100, "customer_id", "customername")
+         .join(st.customer_demographics.select("cd_demo_sk"), F.col("c_current_cdemo_sk") == F.col("cd_demo_sk")))
+    # a customer appears once for each return of its demographic: counted first, and
+    # only the customers that can reach the first 100 rows are expanded
+    n = st.store_returns.where("sr_cdemo_sk IS NOT NULL").groupBy("sr_cdemo_sk").agg(F.count(F.lit(1)).alias("n_returns"))
+    out = c.join(n, F.col("sr_cdemo_sk") == F.col("cd_demo_sk")).select(
+        F.col("c_customer_id").alias("customer_id"),
+        F.concat(F.coalesce("c_last_name", F.lit("")), F.lit(", "), F.coalesce("c_first_name", F.lit(""))).alias("customername"),
+        F.least("n_returns", F.lit(100)).cast("int").alias("times"))
+    first = topk(out, 100, "customer_id", "customername")
+    return topk(first.select("customer_id", "customername", F.explode(F.sequence(F.lit(1), "times"))).drop("col"),
+                100, "customer_id", "customername")
 
 
 _Q64_COLORS = ("blue", "red", "cold", "hot", "new", "old")

@@ -195,7 +195,7 @@ def q28(st, buckets=_Q28_BUCKETS):
 
 
 @star_query("q88")
-def q88(st, store_name="ese"):
+def q88(st, store_name="meadow"):
     """Counts of store sales in eight half-hour slots from 8:30 to 12:30 for
     three household (dependents, vehicles) profiles; one pass."""
     hd = st.household_demographics.filter(
@@ -214,7 +214,7 @@ def q88(st, store_name="ese"):
     return j.agg(*[F.count(F.when(F.col("slot") == i, 1)).alias(n) for i, n in enumerate(names)])
 
 
-@star_query("q90", char_range=(1000, 8000))
+@star_query("q90", char_range=(4000, 5200))
 def q90(st, am_hour=8, pm_hour=19, dep_count=6, char_range=(5000, 5200)):
     """Morning-to-evening ratio of web sales for one household size."""
     hd = st.household_demographics.filter(F.col("hd_dep_count") == dep_count).select("hd_demo_sk")
@@ -230,7 +230,7 @@ def q90(st, am_hour=8, pm_hour=19, dep_count=6, char_range=(5000, 5200)):
                     .alias("am_pm_ratio"))
 
 
-@star_query("q61", months=tuple(range(1, 13)))
+@star_query("q61", months=(10, 11))
 def q61(st, category="ring", gmt_offset=-5, year=1998, months=(11,)):
     """Promoted share of one category's store revenue (promotions vs total)."""
     dt = st.date_dim.filter((F.col("d_year") == year) & F.col("d_moy").isin(*months)).select("d_date_sk")

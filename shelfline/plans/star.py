@@ -14,7 +14,7 @@ Scale notes
   are de-duplicated on (order, part) before it, so a hot order never lands
   in one window task, and the join itself is open to AQE skew splitting.
 * Every dimension is either bounded by construction (calendar, clock,
-  demographics, the small outlet dimensions) or a 1:1 projection of a
+  demographics, the small outlet dimensions, stores included) or a 1:1 projection of a
   driver table (item <- part, customer/address <- customer).
 * Sales channels are split by ``order_key % 3``; returns and re-purchases
   are projections/filters of the sales rows -- no further joins.
@@ -27,7 +27,6 @@ Scale notes
 from __future__ import annotations
 
 import hashlib
-import os
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -40,17 +39,25 @@ from shelfline.session import scratch_dir
 from shelfline.sources.tables import read_table
 
 # Bump whenever a derivation rule changes: it keys the materialised copy.
-STAR_VERSION = "7"
+STAR_VERSION = "8"
 
 JD_1998 = 2450815          # date key of 1998-01-01 (Julian day number)
 JD_2000 = 2451545          # date key of 2000-01-01
-DATE_LO, DATE_DAYS = "1994-01-01", 3652   # calendar 1994-01-01 .. 2003-12-31
-N_CDEMO, N_HDEMO, N_INCOME = 70, 240, 20
-N_STORE_MAX, N_CALL_CENTER, N_CATALOG_PAGE = 12, 6, 120
+YEAR_LO, YEAR_HI = 1998, 2000   # the calendar covers at least the snapshot years
+YEARS_BEFORE, YEARS_AFTER = 1, 2          # and these around the orders (returns, shipping, same day last year)
+N_INCOME, N_BUY, N_DEP, N_VEHICLE = 20, 6, 10, 6
+N_HDEMO = N_INCOME * N_BUY * N_DEP * N_VEHICLE                      # 7,200
+N_CDEMO = 2 * 5 * 7 * 20 * 4 * 7 * 7 * 7                            # 1,920,800
+CDEMO_STEP, HDEMO_STEP = 27449, 2969      # no common factor with the sizes: customers spread over all rows
+N_STORE, N_CALL_CENTER, N_CATALOG_PAGE = 12, 6, 120
 N_WEB_SITE, N_WEB_PAGE, N_WAREHOUSE = 30, 60, 5
 N_SHIP_MODE, N_REASON, N_PROMO = 20, 35, 30
 INV_WEEKS = 157            # weekly snapshots, Thursdays 1998-01-01 .. 2000-12-28
-CATALOG_REPURCHASE, WEB_REPURCHASE = 10_000_000, 20_000_000
+# Order numbers: four for each source order, one for each way a sale comes about
+# (3: a fresh purchase of the refresh feeds), so no two sales share a number.
+KINDS, BASE_ORDER, CATALOG_REPURCHASE, WEB_REPURCHASE, FRESH_PURCHASE = 4, 0, 1, 2, 3
+# Re-purchases draw their attributes by the same rules from a shifted number.
+RULE_SHIFT = {CATALOG_REPURCHASE: 10_000_000, WEB_REPURCHASE: 20_000_000}
 
 # ---------------------------------------------------------------------------
 # Fixed values. Demographic value lists and day names must equal the retail
@@ -62,12 +69,18 @@ EDUCATION = ["Primary", "Secondary", "College", "2 yr Degree", "4 yr Degree",
 CREDIT = ["Good", "High Risk", "Low Risk", "Unknown"]
 BUY_POTENTIAL = ["0-500", "501-1000", "1001-5000", "5001-10000", ">10000", "Unknown"]
 DAY_NAMES = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
-SHIP_TYPES = ["EXPRESS", "NEXT DAY", "OVERNIGHT", "REGULAR", "TWO DAY"]
-# Our own labels (free choice, kept small and readable):
+SHIP_TYPES = ["EXPRESS", "NEXT DAY", "OVERNIGHT", "REGULAR", "TWO DAY", "LIBRARY"]
+SHIP_CODES = ["AIR", "SURFACE", "SEA"]
+SIZES = ["petite", "small", "medium", "large", "extra large", "economy", "N/A"]
+WEB_PAGE_TYPES = ["general", "order", "welcome", "ad", "feedback", "protected", "dynamic"]
+LOCATION_TYPES = ["single family", "condo", "apartment"]
+CLASSES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]          # of the part table
+CATEGORIES = ["anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget"]
+# Our own labels:
 STATES = ["AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL",
           "IN", "IA", "KS", "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO"]
-CITIES = ["Fairview", "Midway", "Oak Grove", "Riverside", "Pleasant Hill",
-          "Centerville", "Mount Zion", "Five Points", "Greenwood", "Salem"]
+CITIES = ["Ambervale", "Birchport", "Copperton", "Dunmoor", "Elkhaven", "Foxbridge", "Gullwick", "Heronsford",
+          "Inkwell", "Juniper Bay"]
 STREETS = ["Main", "Oak", "Park", "Elm", "Lake", "Hill", "Pine", "Cedar"]
 STREET_TYPES = ["Street", "Avenue", "Road", "Lane", "Court"]
 FIRST_NAMES = ["James", "Mary", "John", "Linda", "Robert", "Susan", "Michael", "Karen",
@@ -76,20 +89,14 @@ FIRST_NAMES = ["James", "Mary", "John", "Linda", "Robert", "Susan", "Michael", "
 LAST_NAMES = ["Smith", "Johnson", "Brown", "Jones", "Miller", "Davis", "Garcia", "Wilson",
               "Moore", "Taylor", "Anderson", "Thomas", "Jackson", "White", "Harris",
               "Martin", "Thompson", "Young", "Allen", "King"]
-SALUTATIONS = ["Mr.", "Mrs.", "Ms.", "Dr.", "Sir", "Miss"]
-STORE_NAMES = ["ought", "able", "pri", "ese", "anti", "cally"]
-CLASSES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-CATEGORIES = ["anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget"]
-SIZES = ["petite", "small", "medium", "large", "extra large", "economy", "N/A"]
+SALUTATIONS = ["Mx.", "Prof.", "Capt.", "Rev."]
+STORE_NAMES = ["corner", "harbor", "meadow", "summit", "orchard", "canal"]
 UNITS = ["Each", "Dozen", "Box", "Case", "Pallet", "Lb", "Oz", "Gram"]
-CARRIERS = ["UPS", "FEDEX", "DHL", "USPS", "AIRBORNE", "TBS", "ZHOU", "MSC", "ALLIANCE",
-            "ORIENTAL", "BARIAN", "GREAT EASTERN", "DIAMOND", "GERMA", "HARMSTORF",
-            "LATVIAN", "RUPEKSA", "BOXBUNDLES", "ZOUROS", "PRIVATECARRIER"]
+CARRIERS = [f"Carrier {c}" for c in "ABCDEFGHIJKLMNOPQRST"]
 WAREHOUSES = ["Harbor depot", "Ridge depot", "Valley depot", "Summit depot", "Prairie depot"]
 CALL_CENTERS = ["North", "South", "East", "West", "Central", "Pacific"]
-PROMO_NAMES = ["able", "anti", "bar", "cally", "eing", "ese", "ought", "pri", "ation", "n st"]
-WEB_PAGE_TYPES = ["general", "order", "welcome", "ad", "feedback", "protected", "dynamic"]
-LOCATION_TYPES = ["single family", "condo", "apartment"]
+PROMO_NAMES = [f"campaign {k}" for k in range(10)]
+SITE_COMPANIES = [f"company {k}" for k in range(6)]
 # ---------------------------------------------------------------------------
 
 FACTS = ["store_sales", "store_returns", "catalog_sales", "catalog_returns",
@@ -116,14 +123,26 @@ def jd(date_col: Column) -> Column:
     return (F.lit(JD_1998) + F.datediff(date_col, F.lit("1998-01-01").cast("date"))).cast("int")
 
 
-def null_when(value: Column, order: Column, part: Column, ordinal: int) -> Column:
-    """Foreign key that is NULL for about 4% of rows (one column per row at most)."""
+def null_when(value: Column, order: Column, part: Column, ordinal: int, kind: str = "int") -> Column:
+    """Foreign key that is NULL for about 4% of rows (one column per row at most).
+
+    Keys of tables that grow with the source are ``long``."""
     return F.when(F.pmod(order * 13 + part * 7 + ordinal, F.lit(25)) == 0,
-                  F.lit(None)).otherwise(value).cast("int")
+                  F.lit(None)).otherwise(value).cast(kind)
 
 
 def _pad_id(prefix: str, col: Column, width: int = 10) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(col.cast("string"), width, "0"))
+    """Prefix and number, zero-padded to ``width`` digits; longer numbers are kept whole."""
+    text = col.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0")))
+
+
+def cdemo_key(ck: Column) -> Column:
+    return F.pmod(ck * CDEMO_STEP, F.lit(N_CDEMO)) + 1
+
+
+def hdemo_key(ck: Column) -> Column:
+    return F.pmod(ck * HDEMO_STEP, F.lit(N_HDEMO)) + 1
 
 
 # ---------------------------------------------------------------------------
@@ -187,6 +206,10 @@ def _priced(src: DataFrame) -> DataFrame:
     return df
 
 
+def _order_number(order: str, kind: int) -> Column:
+    return (F.col(order) * KINDS + kind).cast("long")
+
+
 def _money_out(prefix: str, cols: list[str]) -> list[Column]:
     return [to_money(F.col(c)).alias(prefix + c) for c in cols]
 
@@ -219,7 +242,7 @@ def _purchase_cdemo(on: Column, ck: Column) -> Column:
     """Demographics recorded at purchase: the customer's current profile,
     except every 7th ticket, which carries an older (different) profile."""
     shift = F.when(F.pmod(on, F.lit(7)) == 0, F.pmod(on, F.lit(13)) + 1).otherwise(F.lit(0))
-    return F.pmod(ck + shift, F.lit(N_CDEMO)) + 1
+    return cdemo_key(ck + shift)
 
 
 def _ship_ck(on: Column, ck: Column, n_cust: Column) -> Column:
@@ -243,7 +266,7 @@ class StarBuilder:
     # ---- facts --------------------------------------------------------
     def _store_src(self) -> DataFrame:
         return (self.lines().filter(F.pmod("ok", F.lit(3)) == 0)
-                .withColumn("onum", F.col("ok")))
+                .withColumn("onum", F.col("ok")).withColumn("num", _order_number("ok", BASE_ORDER)))
 
     def store_sales(self) -> DataFrame:
         s = _priced(self._store_src())
@@ -252,14 +275,14 @@ class StarBuilder:
         return s.select(
             F.col("sold").alias("ss_sold_date_sk"),
             F.pmod(on * 7919 + F.col("ln") * 1047, F.lit(86400)).cast("int").alias("ss_sold_time_sk"),
-            (pk + 1).cast("int").alias("ss_item_sk"),
-            null_when(ck + 1, on, pk, 1).alias("ss_customer_sk"),
+            (pk + 1).cast("long").alias("ss_item_sk"),
+            null_when(ck + 1, on, pk, 1, "long").alias("ss_customer_sk"),
             null_when(_purchase_cdemo(on, ck), on, pk, 2).alias("ss_cdemo_sk"),
-            null_when(F.pmod(ck * 7, F.lit(N_HDEMO)) + 1, on, pk, 3).alias("ss_hdemo_sk"),
-            null_when(addr, on, pk, 4).alias("ss_addr_sk"),
-            null_when(F.pmod(F.col("sk"), F.lit(N_STORE_MAX)) + 1, on, pk, 5).alias("ss_store_sk"),
+            null_when(hdemo_key(ck), on, pk, 3).alias("ss_hdemo_sk"),
+            null_when(addr, on, pk, 4, "long").alias("ss_addr_sk"),
+            null_when(F.pmod(F.col("sk"), F.lit(N_STORE)) + 1, on, pk, 5).alias("ss_store_sk"),
             null_when(F.pmod(pk, F.lit(N_PROMO)) + 1, on, pk, 6).alias("ss_promo_sk"),
-            on.cast("long").alias("ss_ticket_number"),
+            F.col("num").alias("ss_ticket_number"),
             F.col("q").alias("ss_quantity"),
             *_money_out("ss_", [c for c in MONEY_COLS if c not in (
                 "ext_ship_cost", "net_paid_inc_ship", "net_paid_inc_ship_tax")]),
@@ -278,14 +301,14 @@ class StarBuilder:
         return r.select(
             F.col("r_date").alias("sr_returned_date_sk"),
             F.col("r_time").alias("sr_return_time_sk"),
-            (pk + 1).cast("int").alias("sr_item_sk"),
-            null_when(ck + 1, on, pk, 1).alias("sr_customer_sk"),
+            (pk + 1).cast("long").alias("sr_item_sk"),
+            null_when(ck + 1, on, pk, 1, "long").alias("sr_customer_sk"),
             null_when(_purchase_cdemo(on, ck), on, pk, 2).alias("sr_cdemo_sk"),
-            null_when(F.pmod(ck * 7, F.lit(N_HDEMO)) + 1, on, pk, 3).alias("sr_hdemo_sk"),
-            null_when(addr, on, pk, 4).alias("sr_addr_sk"),
-            null_when(F.pmod(F.col("sk"), F.lit(N_STORE_MAX)) + 1, on, pk, 5).alias("sr_store_sk"),
+            null_when(hdemo_key(ck), on, pk, 3).alias("sr_hdemo_sk"),
+            null_when(addr, on, pk, 4, "long").alias("sr_addr_sk"),
+            null_when(F.pmod(F.col("sk"), F.lit(N_STORE)) + 1, on, pk, 5).alias("sr_store_sk"),
             F.col("r_reason").alias("sr_reason_sk"),
-            on.cast("long").alias("sr_ticket_number"),
+            F.col("num").alias("sr_ticket_number"),
             F.col("r_qty").alias("sr_return_quantity"),
             to_money(F.col("r_amt")).alias("sr_return_amt"),
             to_money(F.col("r_tax")).alias("sr_return_tax"),
@@ -303,16 +326,18 @@ class StarBuilder:
         of store lines (catalog: every returned store line, 10 days after the
         return; web: store lines with (part+order)%4==1, 15 days after sale)."""
         base = (self.lines().filter(F.pmod("ok", F.lit(3)) == channel)
-                .withColumn("onum", F.col("ok")))
+                .withColumn("onum", F.col("ok")).withColumn("num", _order_number("ok", BASE_ORDER)))
         store = self._store_src()
-        cols = ["onum", "pk", "sk", "ln", "q", "ck", "sold", "lp", "disc", "tax", "n_cust"]
+        cols = ["num", "onum", "pk", "sk", "ln", "q", "ck", "sold", "lp", "disc", "tax", "n_cust"]
         if channel == 1:
             rep = (_returned(_priced(store).filter(F.pmod(F.col("pk") + F.col("ok"), F.lit(4)) == 0))
-                   .withColumn("onum", F.col("ok") + CATALOG_REPURCHASE)
+                   .withColumn("onum", F.col("ok") + RULE_SHIFT[CATALOG_REPURCHASE])
+                   .withColumn("num", _order_number("ok", CATALOG_REPURCHASE))
                    .withColumn("sold", F.col("r_date") + 10))
         else:
             rep = (store.filter(F.pmod(F.col("pk") + F.col("ok"), F.lit(4)) == 1)
-                   .withColumn("onum", F.col("ok") + WEB_REPURCHASE)
+                   .withColumn("onum", F.col("ok") + RULE_SHIFT[WEB_REPURCHASE])
+                   .withColumn("num", _order_number("ok", WEB_REPURCHASE))
                    .withColumn("sold", F.col("sold") + 15))
         return base.select(*cols).unionByName(rep.select(*cols))
 
@@ -324,15 +349,15 @@ class StarBuilder:
             "*",
             F.pmod(on * 7919 + ln * 1047, F.lit(86400)).cast("int").alias("k_time"),
             (F.col("sold") + 2 + F.pmod(ln * 17 + pk, F.lit(129))).cast("int").alias("k_ship_date"),
-            (pk + 1).cast("int").alias("k_item"),
-            null_when(ck + 1, on, pk, 1).alias("k_bill_customer"),
-            null_when(F.pmod(ck, F.lit(N_CDEMO)) + 1, on, pk, 2).alias("k_bill_cdemo"),
-            null_when(F.pmod(ck * 7, F.lit(N_HDEMO)) + 1, on, pk, 3).alias("k_bill_hdemo"),
-            null_when(ck + 1, on, pk, 4).alias("k_bill_addr"),
-            null_when(sck + 1, on, pk, 5).alias("k_ship_customer"),
-            null_when(F.pmod(sck, F.lit(N_CDEMO)) + 1, on, pk, 6).alias("k_ship_cdemo"),
-            null_when(F.pmod(sck * 7, F.lit(N_HDEMO)) + 1, on, pk, 7).alias("k_ship_hdemo"),
-            null_when(sck + 1, on, pk, 8).alias("k_ship_addr"),
+            (pk + 1).cast("long").alias("k_item"),
+            null_when(ck + 1, on, pk, 1, "long").alias("k_bill_customer"),
+            null_when(cdemo_key(ck), on, pk, 2).alias("k_bill_cdemo"),
+            null_when(hdemo_key(ck), on, pk, 3).alias("k_bill_hdemo"),
+            null_when(ck + 1, on, pk, 4, "long").alias("k_bill_addr"),
+            null_when(sck + 1, on, pk, 5, "long").alias("k_ship_customer"),
+            null_when(cdemo_key(sck), on, pk, 6).alias("k_ship_cdemo"),
+            null_when(hdemo_key(sck), on, pk, 7).alias("k_ship_hdemo"),
+            null_when(sck + 1, on, pk, 8, "long").alias("k_ship_addr"),
             null_when(F.pmod(F.col("sk"), F.lit(N_CALL_CENTER if channel == 1 else N_WEB_SITE)) + 1,
                       on, pk, 9).alias("k_outlet"),
             null_when(F.pmod(pk, F.lit(N_CATALOG_PAGE if channel == 1 else N_WEB_PAGE)) + 1,
@@ -361,7 +386,7 @@ class StarBuilder:
             F.col("k_warehouse").alias("cs_warehouse_sk"),
             F.col("k_item").alias("cs_item_sk"),
             F.col("k_promo").alias("cs_promo_sk"),
-            F.col("onum").cast("long").alias("cs_order_number"),
+            F.col("num").alias("cs_order_number"),
             F.col("q").alias("cs_quantity"),
             *_money_out("cs_", MONEY_COLS),
         )
@@ -385,7 +410,7 @@ class StarBuilder:
             F.col("k_ship_mode").alias("ws_ship_mode_sk"),
             F.col("k_warehouse").alias("ws_warehouse_sk"),
             F.col("k_promo").alias("ws_promo_sk"),
-            F.col("onum").cast("long").alias("ws_order_number"),
+            F.col("num").alias("ws_order_number"),
             F.col("q").alias("ws_quantity"),
             *_money_out("ws_", MONEY_COLS),
         )
@@ -413,7 +438,7 @@ class StarBuilder:
             F.col("k_ship_mode").alias("cr_ship_mode_sk"),
             F.col("k_warehouse").alias("cr_warehouse_sk"),
             F.col("r_reason").alias("cr_reason_sk"),
-            F.col("onum").cast("long").alias("cr_order_number"),
+            F.col("num").alias("cr_order_number"),
             F.col("r_qty").alias("cr_return_quantity"),
             to_money(F.col("r_amt")).alias("cr_return_amount"),
             to_money(F.col("r_tax")).alias("cr_return_tax"),
@@ -441,7 +466,7 @@ class StarBuilder:
             F.col("k_ship_addr").alias("wr_returning_addr_sk"),
             F.col("k_page").alias("wr_web_page_sk"),
             F.col("r_reason").alias("wr_reason_sk"),
-            F.col("onum").cast("long").alias("wr_order_number"),
+            F.col("num").alias("wr_order_number"),
             F.col("r_qty").alias("wr_return_quantity"),
             to_money(F.col("r_amt")).alias("wr_return_amt"),
             to_money(F.col("r_tax")).alias("wr_return_tax"),
@@ -470,15 +495,18 @@ class StarBuilder:
                       & (F.col("pk") + 1 < F.col("n_parts")))
         return g.select(
             date_sk.cast("int").alias("inv_date_sk"),
-            (F.col("pk") + F.when(second_rev, 2).otherwise(1)).cast("int").alias("inv_item_sk"),
+            (F.col("pk") + F.when(second_rev, 2).otherwise(1)).cast("long").alias("inv_item_sk"),
             w.cast("int").alias("inv_warehouse_sk"),
             F.pmod(F.col("pk") * 37 + w * 101 + k * 53, F.lit(1000)).cast("int").alias("inv_quantity_on_hand"),
         )
 
     # ---- dimensions ---------------------------------------------------
     def date_dim(self) -> DataFrame:
-        d = self.spark.range(DATE_DAYS).select(
-            F.date_add(F.lit(DATE_LO).cast("date"), F.col("id").cast("int")).alias("d"))
+        # whole years around the source's orders: one row of two dates, expanded to days
+        span = self._t("orders").agg(F.min(F.to_date("o_orderdate")).alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi"))
+        first = F.least(F.year("lo") - YEARS_BEFORE, F.lit(YEAR_LO))
+        last = F.greatest(F.year("hi") + YEARS_AFTER, F.lit(YEAR_HI))
+        d = span.select(F.explode(F.sequence(F.make_date(first, F.lit(1), F.lit(1)), F.make_date(last, F.lit(12), F.lit(31)))).alias("d"))
         days1900 = F.datediff(F.col("d"), F.lit("1900-01-01").cast("date"))
         y, m, dom = F.year("d"), F.month("d"), F.dayofmonth("d")
         qoy = idiv(m - 1, 3) + 1
@@ -537,7 +565,7 @@ class StarBuilder:
         cat_id = F.array_position(F.array(*[F.lit(c) for c in CATEGORIES]), noun)
         cls_id = F.array_position(F.array(*[F.lit(c) for c in CLASSES]), F.col("p_type"))
         return p.select(
-            (pk + 1).cast("int").alias("i_item_sk"),
+            (pk + 1).cast("long").alias("i_item_sk"),
             _pad_id("ITEM", F.when(rev == 5, pk - 1).otherwise(pk), 8).alias("i_item_id"),
             F.when(rev == 5, F.lit("2000-01-01")).otherwise(F.lit("1997-10-27")).cast("date")
              .alias("i_rec_start_date"),
@@ -563,11 +591,10 @@ class StarBuilder:
         )
 
     def store(self) -> DataFrame:
-        s = self._t("supplier").filter(F.col("s_suppkey") < N_STORE_MAX)
-        n = self._t("nation")
-        j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-        sk, nk = F.col("s_suppkey"), F.col("n_nationkey")
-        return j.select(
+        sk = F.col("id")
+        nk = F.pmod(sk * 2, F.lit(25))
+        nation = F.concat(F.lit("NATION_"), nk.cast("string"))
+        return self.spark.range(N_STORE).select(
             (sk + 1).cast("int").alias("s_store_sk"), _pad_id("STORE", sk, 8).alias("s_store_id"),
             F.lit("1997-03-13").cast("date").alias("s_rec_start_date"),
             F.lit(None).cast("date").alias("s_rec_end_date"),
@@ -579,7 +606,7 @@ class StarBuilder:
             F.concat(F.lit("Manager "), sk.cast("string")).alias("s_manager"),
             (F.pmod(sk, F.lit(10)) + 1).cast("int").alias("s_market_id"),
             F.lit("Unknown").alias("s_geography_class"),
-            F.concat(F.lit("Market of "), F.col("n_name")).alias("s_market_desc"),
+            F.concat(F.lit("Market of "), nation).alias("s_market_desc"),
             F.concat(F.lit("Market manager "), sk.cast("string")).alias("s_market_manager"),
             F.lit(1).alias("s_division_id"), F.lit("Unknown").alias("s_division_name"),
             F.lit(1).alias("s_company_id"), F.lit("Unknown").alias("s_company_name"),
@@ -588,7 +615,7 @@ class StarBuilder:
             pick(STREET_TYPES, F.pmod(sk, F.lit(5))).alias("s_street_type"),
             F.concat(F.lit("Suite "), (sk * 10).cast("string")).alias("s_suite_number"),
             pick(CITIES, F.pmod(nk, F.lit(10))).alias("s_city"),
-            F.concat(F.col("n_name"), F.lit(" County")).alias("s_county"),
+            F.concat(nation, F.lit(" County")).alias("s_county"),
             pick(STATES, nk).alias("s_state"),
             (10000 + nk * 100).cast("string").alias("s_zip"),
             F.lit("United States").alias("s_country"),
@@ -606,13 +633,13 @@ class StarBuilder:
         first = pick(FIRST_NAMES, F.pmod(ck, F.lit(20)))
         last = pick(LAST_NAMES, F.pmod(ck * 7 + idiv(ck, 20), F.lit(20)))
         return j.select(
-            (ck + 1).cast("int").alias("c_customer_sk"), _pad_id("CUST", ck).alias("c_customer_id"),
-            (F.pmod(ck, F.lit(N_CDEMO)) + 1).cast("int").alias("c_current_cdemo_sk"),
-            (F.pmod(ck * 7, F.lit(N_HDEMO)) + 1).cast("int").alias("c_current_hdemo_sk"),
-            (ck + 1).cast("int").alias("c_current_addr_sk"),
+            (ck + 1).cast("long").alias("c_customer_sk"), _pad_id("CUST", ck).alias("c_customer_id"),
+            cdemo_key(ck).cast("int").alias("c_current_cdemo_sk"),
+            hdemo_key(ck).cast("int").alias("c_current_hdemo_sk"),
+            (ck + 1).cast("long").alias("c_current_addr_sk"),
             (JD_1998 - 1000 + F.pmod(ck * 11, F.lit(1500))).cast("int").alias("c_first_shipto_date_sk"),
             (JD_1998 - 1030 + F.pmod(ck * 11, F.lit(1500))).cast("int").alias("c_first_sales_date_sk"),
-            pick(SALUTATIONS, F.pmod(ck, F.lit(6))).alias("c_salutation"),
+            pick(SALUTATIONS, F.pmod(ck, F.lit(4))).alias("c_salutation"),
             first.alias("c_first_name"), last.alias("c_last_name"),
             F.when(F.pmod(ck, F.lit(2)) == 0, "Y").otherwise("N").alias("c_preferred_cust_flag"),
             (F.pmod(ck, F.lit(28)) + 1).cast("int").alias("c_birth_day"),
@@ -631,7 +658,7 @@ class StarBuilder:
         j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
         ck, nk = F.col("c_custkey"), F.col("n_nationkey")
         return j.select(
-            (ck + 1).cast("int").alias("ca_address_sk"), _pad_id("ADDR", ck).alias("ca_address_id"),
+            (ck + 1).cast("long").alias("ca_address_sk"), _pad_id("ADDR", ck).alias("ca_address_id"),
             (F.pmod(ck, F.lit(1000)) + 1).cast("string").alias("ca_street_number"),
             pick(STREETS, F.pmod(ck, F.lit(8))).alias("ca_street_name"),
             pick(STREET_TYPES, F.pmod(ck, F.lit(5))).alias("ca_street_type"),
@@ -646,17 +673,21 @@ class StarBuilder:
         )
 
     def customer_demographics(self) -> DataFrame:
+        """Every combination of its value lists: the key's digits in mixed radix, lowest first."""
         k = F.col("id")
+
+        def digit(below: int, n: int) -> Column:
+            return F.pmod(idiv(k, below), F.lit(n))
         return self.spark.range(N_CDEMO).select(
             (k + 1).cast("int").alias("cd_demo_sk"),
-            pick(GENDERS, F.pmod(k, F.lit(2))).alias("cd_gender"),
-            pick(MARITAL, F.pmod(idiv(k, 2), F.lit(5))).alias("cd_marital_status"),
-            pick(EDUCATION, F.pmod(idiv(k, 10), F.lit(7))).alias("cd_education_status"),
-            (500 * (F.pmod(k, F.lit(20)) + 1)).cast("int").alias("cd_purchase_estimate"),
-            pick(CREDIT, F.pmod(k, F.lit(4))).alias("cd_credit_rating"),
-            F.pmod(k, F.lit(7)).cast("int").alias("cd_dep_count"),
-            F.pmod(k, F.lit(5)).cast("int").alias("cd_dep_employed_count"),
-            F.pmod(k, F.lit(3)).cast("int").alias("cd_dep_college_count"),
+            pick(GENDERS, digit(1, 2)).alias("cd_gender"),
+            pick(MARITAL, digit(2, 5)).alias("cd_marital_status"),
+            pick(EDUCATION, digit(10, 7)).alias("cd_education_status"),
+            (500 * (digit(70, 20) + 1)).cast("int").alias("cd_purchase_estimate"),
+            pick(CREDIT, digit(1400, 4)).alias("cd_credit_rating"),
+            digit(5600, 7).cast("int").alias("cd_dep_count"),
+            digit(39200, 7).cast("int").alias("cd_dep_employed_count"),
+            digit(274400, 7).cast("int").alias("cd_dep_college_count"),
         )
 
     def household_demographics(self) -> DataFrame:
@@ -664,9 +695,9 @@ class StarBuilder:
         return self.spark.range(N_HDEMO).select(
             (k + 1).cast("int").alias("hd_demo_sk"),
             (F.pmod(k, F.lit(N_INCOME)) + 1).cast("int").alias("hd_income_band_sk"),
-            pick(BUY_POTENTIAL, F.pmod(idiv(k, 20), F.lit(6))).alias("hd_buy_potential"),
-            F.pmod(k, F.lit(10)).cast("int").alias("hd_dep_count"),
-            (idiv(k, 120) + F.pmod(k, F.lit(3))).cast("int").alias("hd_vehicle_count"),
+            pick(BUY_POTENTIAL, F.pmod(idiv(k, 20), F.lit(N_BUY))).alias("hd_buy_potential"),
+            F.pmod(idiv(k, 120), F.lit(N_DEP)).cast("int").alias("hd_dep_count"),
+            (F.pmod(idiv(k, 1200), F.lit(N_VEHICLE)) - 1).cast("int").alias("hd_vehicle_count"),
         )
 
     def income_band(self) -> DataFrame:
@@ -717,8 +748,8 @@ class StarBuilder:
         k = F.col("id")
         return self.spark.range(N_SHIP_MODE).select(
             (k + 1).cast("int").alias("sm_ship_mode_sk"), _pad_id("SM", k, 8).alias("sm_ship_mode_id"),
-            pick(SHIP_TYPES, F.pmod(k, F.lit(5))).alias("sm_type"),
-            pick(["AIR", "SURFACE", "SEA", "BIKE"], idiv(k, 5)).alias("sm_code"),
+            pick(SHIP_TYPES, F.pmod(k, F.lit(6))).alias("sm_type"),
+            pick(SHIP_CODES, F.pmod(idiv(k, 6), F.lit(3))).alias("sm_code"),
             pick(CARRIERS, k).alias("sm_carrier"),
             F.concat(F.lit("contract-"), k.cast("string")).alias("sm_contract"),
         )
@@ -792,7 +823,7 @@ class StarBuilder:
             F.lit("Unknown").alias("web_mkt_class"), F.lit("Unknown").alias("web_mkt_desc"),
             F.concat(F.lit("Market manager "), k.cast("string")).alias("web_market_manager"),
             (F.pmod(k, F.lit(6)) + 1).cast("int").alias("web_company_id"),
-            pick(PROMO_NAMES, F.pmod(k, F.lit(6))).alias("web_company_name"),
+            pick(SITE_COMPANIES, F.pmod(k, F.lit(6))).alias("web_company_name"),
             (k * 17 + 1).cast("string").alias("web_street_number"),
             pick(STREETS, F.pmod(k, F.lit(8))).alias("web_street_name"),
             pick(STREET_TYPES, F.pmod(k, F.lit(5))).alias("web_street_type"),
@@ -857,13 +888,28 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def _source_key(sf_dir: str, layout: str = "flat") -> str:
-    parts = [STAR_VERSION, layout, os.path.abspath(sf_dir) if "://" not in sf_dir else sf_dir]
-    for name in ("orders", "lineitem", "part", "customer", "supplier", "nation", "region"):
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(path):
-            st = os.stat(path)
-            parts.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
+SOURCES = ("orders", "lineitem", "part", "customer", "supplier", "nation", "region")
+
+
+def _source_key(spark: SparkSession, sf_dir: str, layout: str = "flat") -> str:
+    """Names the copy of a source: rules, layout, path, and every source file.
+
+    Files are listed through Spark's file system (any store it can read), each
+    with its path, size and time, so a changed part file of a remote table
+    names another copy. ``spark.shelfline.star.version`` states a version
+    instead and skips the listing."""
+    parts = [STAR_VERSION, layout, sf_dir.rstrip("/")]
+    stated = spark.conf.get("spark.shelfline.star.version", "")
+    if stated:
+        return hashlib.sha1("|".join([*parts, stated]).encode()).hexdigest()[:16]
+    for name in SOURCES:
+        fs, p = _fs(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        files = fs.listFiles(p, True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+        parts += sorted(found)
     return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
 
@@ -911,7 +957,7 @@ _FACT_ITEM = {"store_sales": "ss_item_sk", "store_returns": "sr_item_sk",
 # task slots idle.
 _WRITE_THREADS = 4
 
-_DATA_SIZED_DIMS = {"item", "customer", "customer_address"}
+_DATA_SIZED_DIMS = {"item", "customer", "customer_address", "customer_demographics"}
 
 
 def _write_table(b: "StarBuilder", name: str, out: str, partition_facts_by_date: bool) -> None:
@@ -967,7 +1013,7 @@ def load_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     pointer file written after all tables are complete.
     """
     layout = spark.conf.get("spark.shelfline.star.partitionFactsByDate", "false").lower()
-    key = _source_key(sf_dir, "partitioned" if layout == "true" else "flat")
+    key = _source_key(spark, sf_dir, "partitioned" if layout == "true" else "flat")
     memo = _LOADED.get((id(spark), key))
     if memo is not None and memo.spark is spark and not rebuild:
         return memo

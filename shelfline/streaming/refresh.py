@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.money import rdiv, to_money
 from shelfline.plans.registry import star_query
+from shelfline.plans.star import FRESH_PURCHASE
 
 B = F.broadcast
 FAR_FUTURE = "9999-12-31"
 
 
 # --------------------------------------------------------------------------- feeds (derived from loaded data)
-def purchase_feed(st, days: int = 60, id_offset: int = 50_000_000) -> DataFrame:
+def purchase_feed(st, days: int = 60) -> DataFrame:
     """Store purchases of the last ``days`` days, re-expressed with business ids
     and fresh purchase ids (the shape of an operational purchase feed)."""
     last = st.store_sales.agg(F.max("ss_sold_date_sk").alias("last_sk"))
@@ -36,7 +37,7 @@ def purchase_feed(st, days: int = 60, id_offset: int = 50_000_000) -> DataFrame:
               .join(st.item.select("i_item_sk", "i_item_id"), F.col("ss_item_sk") == F.col("i_item_sk"))
               .join(st.customer.select("c_customer_sk", "c_customer_id"), F.col("ss_customer_sk") == F.col("c_customer_sk"), "left")
               .join(B(st.store.select("s_store_sk", "s_store_id")), F.col("ss_store_sk") == F.col("s_store_sk"), "left")
-              .select((F.col("ss_ticket_number") + id_offset).alias("purchase_id"),
+              .select((F.col("ss_ticket_number") + FRESH_PURCHASE).alias("purchase_id"),
                       F.col("ss_item_sk").alias("line_number"), F.col("i_item_id").alias("item_id"),
                       F.col("c_customer_id").alias("customer_id"), F.col("s_store_id").alias("store_id"),
                       F.date_format("d_date", "yyyy-MM-dd").alias("purchase_date"),
