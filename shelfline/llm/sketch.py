@@ -12,7 +12,8 @@ hash combines its words' hashes.
 
 Defined cases: null and empty texts have the empty sketch; two texts with equal
 fingerprints have likeness 1 (the empty ones too), otherwise an empty sketch has
-likeness 0 with any other; equal texts have equal fingerprints; a null id comes
+likeness 0 with any other; equal texts have equal fingerprints; a null id (as
+which -2**63 counts) comes
 last in the order of successors, equal ids follow one another by the hash of
 their text, and rows equal in both share one successor; the last document is
 followed by the first, so a single document follows itself; extra columns do no
@@ -92,11 +93,11 @@ def compared_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     The texts are exchanged once, by their key: a document hands the prefix
     and sketch that its predecessor needs to that predecessor's task, where
-    its text already is.
+    its text already is. (Both uses of ``placed`` ask for the same columns of
+    the texts, so Spark reuses their exchange.)
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    base = docs.select(F.col(key).alias("key"), F.coalesce(F.col(key).cast("long"), F.lit(LOW)).alias("id"),
-                       F.xxhash64(body).alias("tag"), body.alias("body"))
+    base = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LOW)).alias("id"), F.xxhash64(body).alias("tag"), body.alias("body"))
     keys = base.groupBy("id", "tag").agg(F.max(F.char_length("body")).cast("long").alias("n"))
     order = stored(successors(keys), "sketch-next")
     third = F.floor(F.col("n") / 3).cast("int")
@@ -108,6 +109,6 @@ def compared_with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text"
                             sketch(F.col("body"), words, scale).alias("next_hashes"))
               .groupBy("id", "tag").agg(F.first("prefix").alias("prefix"), F.first("next_hashes").alias("next_hashes")))
     edited = F.concat(F.substr("body", F.lit(1), (F.col("n") - F.col("k")).cast("int")), F.col("prefix"))
-    made = placed.join(handed, ["id", "tag"]).select("key", F.col("n").alias("n_chars"), "body", edited.alias("edited"), "next_hashes")
-    return made.select(F.col("key").alias(key), "n_chars", "edited", sketch(F.col("body"), words, scale).alias("own"),
+    made = placed.join(handed, ["id", "tag"]).select("id", F.col("n").alias("n_chars"), "body", edited.alias("edited"), "next_hashes")
+    return made.select(F.nullif("id", F.lit(LOW)).cast(docs.schema[key].dataType).alias(key), "n_chars", "edited", sketch(F.col("body"), words, scale).alias("own"),
                        sketch(F.col("edited"), words, scale).alias("edited_hashes"), "next_hashes")
