@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
@@ -92,6 +93,9 @@ class Bpe:
         # Unicode white space, stated: the two regular-expression libraries differ on control characters
         blank = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
         self.split = regex.compile(pattern.replace(r"[^\s", f"[^{blank}").replace(r"\s", f"[{blank}]").replace(r"\S", f"[^{blank}]"))
+        # the same pattern for texts of ASCII alone
+        self.plain = re.compile(pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\t-\r\x20A-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]")
+                                .replace(r"\p{N}", "[0-9]").replace(r"\s", r"[\t-\r\x20]").replace(r"\S", r"[^\t-\r\x20]"))
         self.entry = [b""] * (max(self.ranks.values()) + 1)
         for b, i in self.ranks.items():
             self.entry[i] = b
@@ -104,6 +108,7 @@ class Bpe:
         # two entries that together are an entry: its rank, in the upper half
         self.pairs = {x << 32 | y: r << 32 for b, r in self.ranks.items() for k in range(1, len(b))
                       if (x := self.ranks.get(b[:k])) is not None and (y := self.ranks.get(b[k:])) is not None}
+        self.first = [self.pairs.get(x << 32 | y, -1 << 32) for x in self.byte for y in self.byte]
         self.known: dict[str, bytes] = {}
 
     def merge(self, word: bytes) -> list[int]:
@@ -112,9 +117,9 @@ class Bpe:
         A heap entry is a rank and a place in one integer, so ties go to the
         left. An entry whose pair has changed since is passed over.
         """
-        n, rank, pop, push = len(word), self.pairs.get, heapq.heappop, heapq.heappush
+        n, rank, pop, push, first = len(word), self.pairs.get, heapq.heappop, heapq.heappush, self.first
         part = [self.byte[b] for b in word]
-        entry = [rank(a << 32 | b, -1 << 32) | i for i, (a, b) in enumerate(zip(part, part[1:]))]     # the valid entry of each place
+        entry = [first[a << 8 | b] | i for i, (a, b) in enumerate(zip(word, word[1:]))]               # the valid entry of each place
         heap = [x for x in entry if x >= 0]
         heapq.heapify(heap)
         entry.append(-1)
@@ -158,7 +163,7 @@ class Bpe:
         """Ids of each text as little-endian unsigned 32-bit integers; new pre-tokens of all are resolved together."""
         if any(len(t) > WHOLE_CHARS for t in texts):
             return [b"".join(self._coded([words])[0] for words in self.pieces(t)) for t in texts]
-        return self._coded([self.split.findall(t) for t in texts])
+        return self._coded([(self.plain if t.isascii() else self.split).findall(t) for t in texts])
 
     def _coded(self, split: list[list[str]]) -> list[bytes]:
         own = set().union(*split)
