@@ -282,13 +282,14 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 def resolved(read: DataFrame) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to): revisits take size and digest from their response."""
-    held = (read.where("record_type = 'response'").groupBy(F.col("record_id").alias("origin_id"))
-            .agg(F.max("page_id").alias("o_page"), F.max("payload_bytes").alias("o_bytes"), F.max("payload_digest").alias("o_digest")))
-    joined = read.join(held, "origin_id", "left")
-    own = F.col("record_type") == "response"
-    return joined.select("page_id", F.when(own, F.col("payload_bytes")).otherwise(F.col("o_bytes")).alias("payload_bytes"),
-                         F.when(own, F.col("payload_digest")).otherwise(F.col("o_digest")).alias("payload_digest"), "record_type",
-                         F.when(~own, F.col("o_page")).alias("refers_to"), "declared")
+    own = read.where("record_type = 'response'")
+    held = (own.groupBy(F.col("record_id").alias("origin_id"))
+            .agg(F.max("page_id").alias("refers_to"), F.max("payload_bytes").alias("o_bytes"), F.max("payload_digest").alias("o_digest")))
+    # only revisits are joined: they alone have an origin
+    revisits = read.where("record_type <> 'response'").join(held, "origin_id", "left").select(
+        "page_id", F.col("o_bytes").alias("payload_bytes"), F.col("o_digest").alias("payload_digest"), "record_type", "refers_to", "declared")
+    return own.select("page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to"),
+                      "declared").unionByName(revisits)
 
 
 def pages_round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
