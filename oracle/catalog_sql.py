@@ -153,7 +153,7 @@ FROM call_center, catalog_returns, date_dim, customer, customer_address,
 WHERE cr_call_center_sk = cc_call_center_sk AND cr_returned_date_sk = d_date_sk
   AND cr_returning_customer_sk = c_customer_sk AND cd_demo_sk = c_current_cdemo_sk
   AND hd_demo_sk = c_current_hdemo_sk AND ca_address_sk = c_current_addr_sk
-  AND d_year = 1998 AND d_moy IN (9, 10, 11)
+  AND d_year = 1999 AND d_moy IN (9, 10, 11)
   AND ((cd_marital_status = 'M' AND cd_education_status = 'Unknown')
        OR (cd_marital_status = 'W' AND cd_education_status = 'Advanced Degree'))
   AND hd_buy_potential LIKE 'Unknown%' AND ca_gmt_offset = -7
@@ -628,7 +628,7 @@ q("q29", _TCH, _chain(
     "d3.d_year IN (1999, 2000, 2001)"))
 
 
-def _q24(color):
+def _q24(color, market):
     return f"""
 WITH ssales AS (
   SELECT c_last_name, c_first_name, s_store_name, ca_state, s_state, i_color, i_current_price, i_manager_id,
@@ -636,7 +636,7 @@ WITH ssales AS (
   FROM store_sales, store_returns, store, item, customer, customer_address
   WHERE ss_ticket_number = sr_ticket_number AND ss_item_sk = sr_item_sk AND ss_customer_sk = c_customer_sk
     AND ss_item_sk = i_item_sk AND ss_store_sk = s_store_sk AND c_current_addr_sk = ca_address_sk
-    AND c_birth_country <> upper(ca_country) AND s_zip = ca_zip AND s_market_id = 5
+    AND c_birth_country <> upper(ca_country) AND s_zip = ca_zip AND s_market_id = {market}
   GROUP BY c_last_name, c_first_name, s_store_name, ca_state, s_state, i_color, i_current_price,
            i_manager_id, i_units, i_size)
 SELECT c_last_name, c_first_name, s_store_name, CAST(sum(netpaid) AS DOUBLE) AS paid
@@ -646,8 +646,8 @@ HAVING CAST(sum(netpaid) AS DOUBLE) > (SELECT 0.05 * (CAST(sum(netpaid) AS DOUBL
 ORDER BY c_last_name, c_first_name, s_store_name"""
 
 
-q("q24_1", "store_sales store_returns store item customer customer_address", _q24("red"))
-q("q24_2", "store_sales store_returns store item customer customer_address", _q24("cold"))
+q("q24_1", "store_sales store_returns store item customer customer_address", _q24("red", 2))
+q("q24_2", "store_sales store_returns store item customer customer_address", _q24("cold", 5))
 
 q("q40", "catalog_sales catalog_returns warehouse item date_dim", """
 SELECT w_state, i_item_id,
@@ -939,17 +939,17 @@ GROUP BY cd_gender, cd_marital_status, cd_education_status, cd_purchase_estimate
 ORDER BY cd_gender, cd_marital_status, cd_education_status, cd_purchase_estimate, cd_credit_rating LIMIT 100""")
 
 
-def _named(fact, p, cust):
+def _named(fact, p, cust, month_seq=1176):
     return f"""SELECT DISTINCT c_last_name, c_first_name, d_date FROM {fact}, date_dim, customer
-  WHERE {p}_sold_date_sk = d_date_sk AND {cust} = c_customer_sk AND d_month_seq BETWEEN 1176 AND 1176 + 11"""
+  WHERE {p}_sold_date_sk = d_date_sk AND {cust} = c_customer_sk AND d_month_seq BETWEEN {month_seq} AND {month_seq} + 11"""
 
 
 _TN = "store_sales catalog_sales web_sales date_dim customer"
 q("q38", _TN, f"""
 SELECT count(*) AS cnt FROM (
-  {_named('store_sales', 'ss', 'ss_customer_sk')}
-  INTERSECT {_named('catalog_sales', 'cs', 'cs_bill_customer_sk')}
-  INTERSECT {_named('web_sales', 'ws', 'ws_bill_customer_sk')}) hot_cust""")
+  {_named('store_sales', 'ss', 'ss_customer_sk', 1164)}
+  INTERSECT {_named('catalog_sales', 'cs', 'cs_bill_customer_sk', 1164)}
+  INTERSECT {_named('web_sales', 'ws', 'ws_bill_customer_sk', 1164)}) hot_cust""")
 q("q87", _TN, f"""
 SELECT count(*) AS cnt FROM (
   ({_named('store_sales', 'ss', 'ss_customer_sk')})
@@ -1010,7 +1010,7 @@ WITH my_customers AS (
   FROM (SELECT cs_sold_date_sk AS sold_date_sk, cs_bill_customer_sk AS customer_sk, cs_item_sk AS item_sk FROM catalog_sales
         UNION ALL SELECT ws_sold_date_sk, ws_bill_customer_sk, ws_item_sk FROM web_sales) cs_or_ws_sales,
        item, date_dim, customer
-  WHERE sold_date_sk = d_date_sk AND item_sk = i_item_sk AND i_category = 'ring' AND i_class = 'promo'
+  WHERE sold_date_sk = d_date_sk AND item_sk = i_item_sk AND i_category = 'gear' AND i_class = 'economy'
     AND c_customer_sk = cs_or_ws_sales.customer_sk AND d_moy = 12 AND d_year = 1998),
 my_revenue AS (
   SELECT c_customer_sk, sum(ss_ext_sales_price) AS revenue
@@ -1020,7 +1020,7 @@ my_revenue AS (
     AND d_month_seq BETWEEN (SELECT DISTINCT d_month_seq + 1 FROM date_dim WHERE d_year = 1998 AND d_moy = 12)
                         AND (SELECT DISTINCT d_month_seq + 3 FROM date_dim WHERE d_year = 1998 AND d_moy = 12)
   GROUP BY c_customer_sk),
-segments AS (SELECT CAST(revenue * 100 AS BIGINT) // 5000 AS segment FROM my_revenue)
+segments AS (SELECT (2 * CAST(revenue * 100 AS BIGINT) + 5000) // 10000 AS segment FROM my_revenue)
 SELECT segment, count(*) AS num_customers, segment * 50 AS segment_base
 FROM segments GROUP BY segment ORDER BY segment, num_customers LIMIT 100""")
 
@@ -1615,12 +1615,12 @@ SELECT CAST(sum(ss_quantity) AS DOUBLE) / count(ss_quantity) AS avg_qty,
        CAST(sum(ss_ext_wholesale_cost) AS DOUBLE) AS sum_ext_wholesale_cost
 FROM store_sales, store, customer_demographics, household_demographics, customer_address, date_dim
 WHERE s_store_sk = ss_store_sk AND ss_sold_date_sk = d_date_sk AND d_year = 1999
-  AND ((ss_hdemo_sk = hd_demo_sk AND cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'M'
-        AND cd_education_status = 'Advanced Degree' AND ss_sales_price BETWEEN 100.00 AND 150.00 AND hd_dep_count = 3)
-    OR (ss_hdemo_sk = hd_demo_sk AND cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'S'
-        AND cd_education_status = 'College' AND ss_sales_price BETWEEN 50.00 AND 100.00 AND hd_dep_count = 1)
+  AND ((ss_hdemo_sk = hd_demo_sk AND cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'D'
+        AND cd_education_status = '2 yr Degree' AND ss_sales_price BETWEEN 100.00 AND 150.00 AND hd_dep_count = 3)
     OR (ss_hdemo_sk = hd_demo_sk AND cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'W'
-        AND cd_education_status = '2 yr Degree' AND ss_sales_price BETWEEN 150.00 AND 200.00 AND hd_dep_count = 1))
+        AND cd_education_status = 'Secondary' AND ss_sales_price BETWEEN 50.00 AND 100.00 AND hd_dep_count = 1)
+    OR (ss_hdemo_sk = hd_demo_sk AND cd_demo_sk = ss_cdemo_sk AND cd_marital_status = 'S'
+        AND cd_education_status = 'College' AND ss_sales_price BETWEEN 150.00 AND 200.00 AND hd_dep_count = 1))
   AND ((ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('IN', 'KS', 'KY')
         AND ss_net_profit BETWEEN 100 AND 200)
     OR (ss_addr_sk = ca_address_sk AND ca_country = 'United States' AND ca_state IN ('MA', 'MD', 'IA')

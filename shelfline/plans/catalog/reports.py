@@ -22,15 +22,15 @@ def _demo_geo_sales(st, year):
                   F.col("ss_addr_sk") == F.col("ca_address_sk")))
 
 
-@star_query("q13", year=1999)
-def q13(st, year=2001):
+@star_query("q13", year=1999, marital=("D", "W", "S"), education=("2 yr Degree", "Secondary", "College"))
+def q13(st, year=2001, marital=("M", "S", "W"), education=("Advanced Degree", "College", "2 yr Degree")):
     """Averages of store lines matching demographic x price and geography x profit profiles."""
     j = _demo_geo_sales(st, year).join(
         B(st.household_demographics.select("hd_demo_sk", "hd_dep_count")), F.col("ss_hdemo_sk") == F.col("hd_demo_sk"))
     m, e, p, hd = F.col("cd_marital_status"), F.col("cd_education_status"), F.col("ss_sales_price"), F.col("hd_dep_count")
-    demo = (((m == "M") & (e == "Advanced Degree") & p.between(100, 150) & (hd == 3))
-            | ((m == "S") & (e == "College") & p.between(50, 100) & (hd == 1))
-            | ((m == "W") & (e == "2 yr Degree") & p.between(150, 200) & (hd == 1)))
+    demo = (((m == marital[0]) & (e == education[0]) & p.between(100, 150) & (hd == 3))
+            | ((m == marital[1]) & (e == education[1]) & p.between(50, 100) & (hd == 1))
+            | ((m == marital[2]) & (e == education[2]) & p.between(150, 200) & (hd == 1)))
     us, s, np_ = F.col("ca_country") == "United States", F.col("ca_state"), F.col("ss_net_profit")
     geo = ((us & s.isin("IN", "KS", "KY") & np_.between(100, 200))
            | (us & s.isin("MA", "MD", "IA") & np_.between(150, 300))
@@ -290,10 +290,10 @@ def _cross_sales(st, colors, price_lo):
            .join(st.customer.select("c_customer_sk", "c_current_cdemo_sk", "c_current_hdemo_sk", "c_current_addr_sk",
                                     "c_first_sales_date_sk", "c_first_shipto_date_sk"),
                  ss.ss_customer_sk == F.col("c_customer_sk"))
-           .join(B(cd("cd1")), ss.ss_cdemo_sk == F.col("cd1_sk"))
+           .join(cd("cd1"), ss.ss_cdemo_sk == F.col("cd1_sk"))
            .join(B(hd("hd1")), ss.ss_hdemo_sk == F.col("hd1_sk"))
            .join(ad("ad1"), ss.ss_addr_sk == F.col("ad1_sk"))
-           .join(B(cd("cd2")), (F.col("c_current_cdemo_sk") == F.col("cd2_sk")) & (F.col("cd1_ms") != F.col("cd2_ms")))
+           .join(cd("cd2"), (F.col("c_current_cdemo_sk") == F.col("cd2_sk")) & (F.col("cd1_ms") != F.col("cd2_ms")))
            .join(B(hd("hd2")), F.col("c_current_hdemo_sk") == F.col("hd2_sk"))
            .join(ad("ad2"), F.col("c_current_addr_sk") == F.col("ad2_sk"))
            .join(B(d("d2")), F.col("c_first_sales_date_sk") == F.col("d2_sk"))

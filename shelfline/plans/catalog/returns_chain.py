@@ -107,7 +107,7 @@ def _q24(st, color, market_id):
     return out.orderBy(*order("c_last_name", "c_first_name", "s_store_name"))
 
 
-@star_query("q24_1", market_id=5)
+@star_query("q24_1", market_id=2)
 def q24_1(st, color="red", market_id=8):
     return _q24(st, color, market_id)
 

@@ -9,7 +9,7 @@ self-join, so an order with thousands of lines never emits line pairs.
 from __future__ import annotations
 
 from shelfline.functions.grouping import grouping_levels, rollup
-from shelfline.functions.money import idiv
+from shelfline.functions.money import rdiv
 from shelfline.plans.catalog.common import B, F, avg_exact, star_query, topk
 
 
@@ -156,7 +156,7 @@ def _named_buyer_days(st, fact, p, cust, month_seq):
             .select("c_last_name", "c_first_name", "d_date").distinct())
 
 
-@star_query("q38", month_seq=1176)
+@star_query("q38", month_seq=1164)
 def q38(st, month_seq=1200):
     """Count of (name, day) pairs that bought in all three channels (INTERSECT)."""
     s = _named_buyer_days(st, "store_sales", "ss", "ss_customer_sk", month_seq)
@@ -264,7 +264,7 @@ def q97(st, month_seq=1200):
                  F.sum(F.when(s_in & c_in, 1).otherwise(0)).alias("store_and_catalog"))
 
 
-@star_query("q54", category="ring", klass="promo")
+@star_query("q54", category="gear", klass="economy")
 def q54(st, category="Women", klass="maternity", year=1998, month=12):
     """Revenue segments of customers who bought a category/class on the web or
     catalog in one month, measured in stores over the next three months."""
@@ -293,7 +293,8 @@ def q54(st, category="Women", klass="maternity", year=1998, month=12):
                  F.col("c_customer_sk") == F.col("ss_customer_sk"))
            .join(B(d3), F.col("ss_sold_date_sk") == d3.d_date_sk)
            .groupBy("c_customer_sk").agg(F.sum("ss_ext_sales_price").alias("revenue")))
-    seg = rev.select(idiv((F.col("revenue") * 100).cast("long"), 5000).alias("segment"))
+    # the host's cast of a quotient to integer rounds half up
+    seg = rev.select(rdiv((F.col("revenue") * 100).cast("long"), 5000).alias("segment"))
     g = seg.groupBy("segment").agg(F.count(F.lit(1)).alias("num_customers")) \
         .withColumn("segment_base", F.col("segment") * 50)
     return topk(g, 100, "segment", "num_customers")

@@ -247,7 +247,7 @@ def q45(st, zips=("10500", "10801", "11202", "11600", "12001"),
     return topk(g, 100, "ca_zip", "ca_city")
 
 
-@star_query("q91", months=(9, 10, 11))
+@star_query("q91", year=1999, months=(9, 10, 11))
 def q91(st, year=1998, months=(11,), gmt_offset=-7):
     """Catalog-return losses per call center for two marital/education profiles."""
     dt = st.date_dim.filter((F.col("d_year") == year) & F.col("d_moy").isin(*months)).select("d_date_sk")
