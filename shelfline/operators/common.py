@@ -36,5 +36,11 @@ def day(c: str) -> Column:
     return F.to_date(F.col(c))
 
 
+def in_year(c: str, year: int) -> Column:
+    """Timestamps of one year as a range, which the scan can evaluate."""
+    return ((F.to_date(F.col(c)) >= F.lit(f"{year}-01-01").cast("date"))
+            & (F.to_date(F.col(c)) < F.lit(f"{year + 1}-01-01").cast("date")))
+
+
 def year_of(c: str) -> Column:
     return F.year(F.to_date(F.col(c)))

@@ -19,7 +19,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.money import avg_exact
-from shelfline.operators.common import B, T, dec, dsum, revenue, year_of
+from shelfline.operators.common import B, T, dec, dsum, revenue, in_year, year_of
 from shelfline.plans.registry import raw_query, star_query
 
 
@@ -27,7 +27,7 @@ from shelfline.plans.registry import raw_query, star_query
 def join_star(spark, sf_dir, year=1997):
     """Fact x dimensions: revenue by supplier nation and part brand."""
     t = T(spark, sf_dir)
-    li = t.lineitem.filter(year_of("l_shipdate") == year).select("l_partkey", "l_suppkey", "l_extendedprice")
+    li = t.lineitem.filter(in_year("l_shipdate", year)).select("l_partkey", "l_suppkey", "l_extendedprice")
     j = (li.join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
            .join(B(t.nation.select("n_nationkey", "n_name")), F.col("s_nationkey") == F.col("n_nationkey"))
            .join(t.part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")))
@@ -48,7 +48,7 @@ def join_fact_fact(spark, sf_dir):
 def join_left(spark, sf_dir, year=1998):
     """Left outer join: customers by their number of orders in a year (0 included)."""
     t = T(spark, sf_dir)
-    o = t.orders.filter(year_of("o_orderdate") == year).select("o_custkey", "o_orderkey")
+    o = t.orders.filter(in_year("o_orderdate", year)).select("o_custkey", "o_orderkey")
     per = (t.customer.select("c_custkey").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
            .groupBy("c_custkey").agg(F.count("o_orderkey").alias("c_count")))
     return per.groupBy("c_count").agg(F.count(F.lit(1)).alias("custdist"))
@@ -58,9 +58,9 @@ def join_left(spark, sf_dir, year=1998):
 def join_full(spark, sf_dir, y1=1996, y2=1997):
     """Full outer join of two per-customer aggregates with coalesced keys."""
     t = T(spark, sf_dir)
-    a = t.orders.filter(year_of("o_orderdate") == y1).groupBy(F.col("o_custkey").alias("a_cust")).agg(
+    a = t.orders.filter(in_year("o_orderdate", y1)).groupBy(F.col("o_custkey").alias("a_cust")).agg(
         F.count(F.lit(1)).alias("n1"))
-    b = t.orders.filter(year_of("o_orderdate") == y2).groupBy(F.col("o_custkey").alias("b_cust")).agg(
+    b = t.orders.filter(in_year("o_orderdate", y2)).groupBy(F.col("o_custkey").alias("b_cust")).agg(
         F.count(F.lit(1)).alias("n2"))
     j = a.join(b, a.a_cust == b.b_cust, "full")
     return j.select(F.coalesce("a_cust", "b_cust").alias("custkey"), F.coalesce("n1", F.lit(0)).alias("orders_y1"),
@@ -80,7 +80,7 @@ def join_semi(spark, sf_dir, min_total=300000.0):
 def join_anti(spark, sf_dir, year=1998):
     """Anti join (NOT EXISTS): parts never shipped in a year, by brand."""
     t = T(spark, sf_dir)
-    shipped = t.lineitem.filter(year_of("l_shipdate") == year).select("l_partkey")
+    shipped = t.lineitem.filter(in_year("l_shipdate", year)).select("l_partkey")
     p = t.part.join(shipped, F.col("p_partkey") == F.col("l_partkey"), "left_anti")
     return p.groupBy("p_brand").agg(F.count(F.lit(1)).alias("parts"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfline.operators.common import T, dec, year_of
+from shelfline.operators.common import T, dec, in_year
 from shelfline.plans.registry import raw_query, star_query
 
 
@@ -53,7 +53,7 @@ def set_union(spark, sf_dir):
 
 
 def _parts_shipped(t, year):
-    return t.lineitem.filter(year_of("l_shipdate") == year).select("l_partkey")
+    return t.lineitem.filter(in_year("l_shipdate", year)).select("l_partkey")
 
 
 @raw_query("set_intersect")

@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.grouping import rollup
-from shelfline.operators.common import B, T, dec, year_of
+from shelfline.operators.common import B, T, dec, in_year, year_of
 from shelfline.plans.registry import raw_query
 
 
@@ -35,7 +35,7 @@ def win_share(spark, sf_dir):
 def win_avg(spark, sf_dir, year=1997):
     """avg(sum(x)) over (partition by nation): monthly revenue vs. the nation's average month."""
     t = T(spark, sf_dir)
-    j = (t.lineitem.filter(year_of("l_shipdate") == year)
+    j = (t.lineitem.filter(in_year("l_shipdate", year))
          .join(t.supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")))
     g = j.groupBy("s_nationkey", F.month(F.to_date("l_shipdate")).alias("mon")).agg(F.sum(dec("l_extendedprice")).alias("rev"))
     w = Window.partitionBy("s_nationkey")

@@ -264,13 +264,13 @@ def profile_checksum(st):
 def profile_stats(st):
     """Column statistics of store_sales: count, nulls, distinct, min, max."""
     cols = ["ss_quantity", "ss_sales_price", "ss_net_profit", "ss_customer_sk", "ss_store_sk"]
-    out = []
-    for c in cols:
-        out.append(st.store_sales.agg(
-            F.count(F.lit(1)).alias("rows"), (F.count(F.lit(1)) - F.count(c)).alias("nulls"),
-            F.countDistinct(c).alias("distinct_values"), F.min(c).cast("double").alias("min_value"),
-            F.max(c).cast("double").alias("max_value")).select(F.lit(c).alias("column_name"), "*"))
-    return _union(out)
+    # one scan: every row becomes one (column, value) row per profiled column
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("decimal(20,2)").alias("v")) for c in cols]))
+    one = st.store_sales.select(pairs.alias("p")).select("p.column_name", "p.v")
+    return one.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("rows"), (F.count(F.lit(1)) - F.count("v")).alias("nulls"),
+        F.countDistinct("v").alias("distinct_values"), F.min("v").cast("double").alias("min_value"),
+        F.max("v").cast("double").alias("max_value"))
 
 
 @raw_query("orders_explode")

@@ -248,7 +248,7 @@ def q75(st, category="ring", year=2002):
         parts.append(j.select("d_year", "i_brand_id", "i_class_id", "i_category_id", "i_manufact_id",
                               (F.col(f"{p}_quantity") - F.coalesce(F.col(f"{r}_return_quantity"), F.lit(0))).alias("sales_cnt"),
                               (F.col(f"{p}_ext_sales_price") - F.coalesce(F.col(ramt), F.lit(0))).alias("sales_amt")))
-    detail = parts[0].union(parts[1]).distinct().union(parts[2]).distinct()
+    detail = parts[0].union(parts[1]).union(parts[2]).distinct()
     keys = ["i_brand_id", "i_class_id", "i_category_id", "i_manufact_id"]
     all_sales = detail.groupBy("d_year", *keys).agg(F.sum("sales_cnt").alias("sales_cnt"),
                                                     F.sum("sales_amt").alias("sales_amt"))

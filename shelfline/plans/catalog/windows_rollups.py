@@ -44,7 +44,8 @@ def _q05_channels(st, start):
                              F.col("ws_ext_sales_price").alias("sales_price"), F.col("ws_net_profit").alias("profit"),
                              z.alias("return_amt"), z.alias("net_loss"))
     # web returns carry no site key: take it from the originating sale (left join on item, order)
-    wr = (st.web_returns.join(st.web_sales.select("ws_item_sk", "ws_order_number", "ws_web_site_sk"),
+    # (the returns of the 14 days only: few keys, before the whole fact is met)
+    wr = (st.web_returns.join(B(dt), F.col("wr_returned_date_sk") == dt.d_date_sk, "left_semi").join(st.web_sales.select("ws_item_sk", "ws_order_number", "ws_web_site_sk"),
                               (F.col("wr_item_sk") == F.col("ws_item_sk"))
                               & (F.col("wr_order_number") == F.col("ws_order_number")), "left")
           .select(F.col("ws_web_site_sk").alias("outlet_sk"), F.col("wr_returned_date_sk").alias("date_sk"),
@@ -590,11 +591,14 @@ _Q67_KEYS = ["i_category", "i_class", "i_brand", "i_product_name", "d_year", "d_
 def _q67_detail(st, month_seq):
     dt = st.date_dim.filter(F.col("d_month_seq").between(month_seq, month_seq + 11)).select(
         "d_date_sk", "d_year", "d_qoy", "d_moy")
-    return (st.store_sales.join(B(dt), F.col("ss_sold_date_sk") == dt.d_date_sk)
-            .join(B(st.store.select("s_store_sk", "s_store_id")), F.col("ss_store_sk") == F.col("s_store_sk"))
+    # one row for each item, month and store before the roll-up expands its input nine times
+    per = (st.store_sales.join(B(dt), F.col("ss_sold_date_sk") == dt.d_date_sk)
+           .groupBy("ss_item_sk", "ss_store_sk", "d_year", "d_qoy", "d_moy")
+           .agg(F.sum(F.coalesce(F.col("ss_sales_price") * F.col("ss_quantity"), F.lit(0))).alias("v")))
+    return (per.join(B(st.store.select("s_store_sk", "s_store_id")), F.col("ss_store_sk") == F.col("s_store_sk"))
             .join(st.item.select("i_item_sk", "i_category", "i_class", "i_brand", "i_product_name"),
                   F.col("ss_item_sk") == F.col("i_item_sk"))
-            .select(*_Q67_KEYS, F.coalesce(F.col("ss_sales_price") * F.col("ss_quantity"), F.lit(0)).alias("v")))
+            .select(*_Q67_KEYS, "v"))
 
 
 def _q67_rank(dw1):
