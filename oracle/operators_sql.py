@@ -579,7 +579,7 @@ t AS (SELECT item.*, ch.item_id, ch.new_price, i_rec_end_date IS NULL AND ch.ite
       FROM item LEFT JOIN ch ON item.i_item_id = ch.item_id),
 u AS (SELECT i_item_sk, i_item_id, i_current_price, CASE WHEN changed THEN 'closed' ELSE 'unchanged' END AS status FROM t
       UNION ALL
-      SELECT i_item_sk + max_sk, i_item_id, new_price, 'opened' FROM t, mx WHERE changed)
+      SELECT max_sk + row_number() OVER (ORDER BY i_item_sk), i_item_id, new_price, 'opened' FROM t, mx WHERE changed)
 SELECT status, count(*) AS rows, count(DISTINCT i_item_id) AS business_ids, CAST(sum(i_current_price) AS DOUBLE) AS price_sum,
        min(i_item_sk) AS min_sk, max(i_item_sk) AS max_sk
 FROM u GROUP BY status""")

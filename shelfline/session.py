@@ -1,9 +1,9 @@
 """Session construction and the shared scratch location.
 
-Materialised intermediate tables (the loaded star schema, checkpoints)
-go to the folder the cluster names in ``spark.checkpoint.dir``. Only when
-that setting is absent (local runs, tests) do we pick a private folder
-under the system temp dir and register it as the checkpoint dir.
+Materialised intermediate tables (the loaded star schema, checkpoints) go to
+the folder the cluster names in ``spark.checkpoint.dir``. Only a local master
+may do without that setting: it then uses a private folder under the system
+temp dir, registered as the checkpoint dir.
 """
 
 from __future__ import annotations
@@ -17,34 +17,34 @@ _LOCAL_SCRATCH: str | None = None
 
 
 def get_session(master: str | None = None, app: str = "shelfline",
-                shuffle_partitions: int | None = None) -> SparkSession:
+                shuffle_partitions: int | None = None, driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session tuned for star-schema work.
 
-    AQE coalesces the many small post-shuffle partitions of dimension
-    joins and splits skewed ones; the broadcast threshold stays at a
-    fixed byte size so only dimension-sized sides are broadcast.
+    Master, shuffle partitions and driver memory are set only if the caller
+    names them: a submitted job keeps those of its cluster. AQE coalesces the
+    many small post-shuffle partitions of dimension joins and splits skewed
+    ones; the broadcast threshold stays at a fixed byte size so only
+    dimension-sized sides are broadcast.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(cpus) * 2
     builder = (
-        SparkSession.builder.master(master).appName(app)
+        SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         .config("spark.sql.parquet.compression.codec", "zstd")
         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
-        .config("spark.driver.memory", os.environ.get("SHELFLINE_DRIVER_MEM", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for key, value in (("spark.master", master), ("spark.sql.shuffle.partitions", shuffle_partitions),
+                       ("spark.driver.memory", driver_memory)):
+        if value is not None:
+            builder = builder.config(key, str(value))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    scratch_dir(spark)
     return spark
 
 
@@ -52,10 +52,11 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for materialised tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem) or a checkpoint dir set on the context. Only when neither
-    exists (tests, local runs) do we register a folder under the local temp
-    dir; it is stable per user so separate local processes reuse the loaded
-    star schema instead of rebuilding it.
+    filesystem) or a checkpoint dir set on the context; without either, a
+    session on a cluster raises an error instead of writing to one machine's
+    disk. A local session registers a folder under the temp dir; it is stable
+    per user so separate local processes reuse the loaded star schema instead
+    of rebuilding it.
     """
     global _LOCAL_SCRATCH
     sc = spark.sparkContext
@@ -64,13 +65,18 @@ def scratch_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if _LOCAL_SCRATCH is not None:
-        return _LOCAL_SCRATCH
     existing = sc.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
-    root = os.path.join(tempfile.gettempdir(), f"shelfline-scratch-{os.getuid()}")
-    os.makedirs(root, exist_ok=True)
-    sc.setCheckpointDir(root)
-    _LOCAL_SCRATCH = root
-    return root
+    if not is_local(sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if _LOCAL_SCRATCH is None:
+        _LOCAL_SCRATCH = os.path.join(tempfile.gettempdir(), f"shelfline-scratch-{os.getuid()}")
+        os.makedirs(_LOCAL_SCRATCH, exist_ok=True)
+    sc.setCheckpointDir(_LOCAL_SCRATCH)
+    return _LOCAL_SCRATCH
+
+
+def is_local(master: str) -> bool:
+    """Driver and executors are one process (``local``, ``local[4]``), unlike ``local-cluster``."""
+    return master == "local" or master.startswith("local[")

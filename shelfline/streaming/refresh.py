@@ -16,7 +16,7 @@ re-expressed with business ids) and report what an apply would write.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.money import rdiv, to_money
@@ -25,6 +25,7 @@ from shelfline.plans.star import FRESH_PURCHASE
 
 B = F.broadcast
 FAR_FUTURE = "9999-12-31"
+KEY_BLOCK_BITS = 20          # a million keys in a block
 
 
 # --------------------------------------------------------------------------- feeds (derived from loaded data)
@@ -203,16 +204,24 @@ def price_change_feed(st, every: int = 5, pct: int = 10) -> DataFrame:
 
 def apply_scd2(dim: DataFrame, changes: DataFrame, effective: str, key_offset: DataFrame) -> DataFrame:
     """Close the current revision of each changed business id the day before
-    ``effective`` and open a new revision with a new surrogate key
-    (old key + max key: collision-free and computed without a global sort)."""
+    ``effective`` and open a new revision with the next surrogate keys after
+    the largest (numbered in steps: inside blocks of old keys, after the counts
+    of the blocks before, so no task orders the whole dimension)."""
     eff = F.lit(effective).cast("date")
     cur = F.col("i_rec_end_date").isNull()
     tagged = dim.join(changes, dim.i_item_id == changes.item_id, "left")
     changed = cur & F.col("item_id").isNotNull()
     old = tagged.select(*[F.when(changed, F.date_sub(eff, 1)).otherwise(F.col(c)).alias(c) if c == "i_rec_end_date"
                           else F.col(c) for c in dim.columns], F.when(changed, F.lit("closed")).otherwise(F.lit("unchanged")).alias("status"))
-    new = (tagged.filter(changed).crossJoin(F.broadcast(key_offset))
-           .select(*[(F.col("i_item_sk") + F.col("max_sk")).cast("int").alias(c) if c == "i_item_sk"
+    block = F.shiftright(F.col("i_item_sk").cast("long"), KEY_BLOCK_BITS)
+    numbered = tagged.filter(changed).withColumn("key_block", block)
+    counts = numbered.groupBy("key_block").agg(F.count(F.lit(1)).alias("block_rows"))
+    before = counts.select("key_block", F.coalesce(F.sum("block_rows").over(
+        Window.orderBy("key_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("rows_before"))
+    numbered = (numbered.join(before, "key_block").withColumn(
+        "key_place", F.col("rows_before") + F.row_number().over(Window.partitionBy("key_block").orderBy("i_item_sk"))))
+    new = (numbered.crossJoin(F.broadcast(key_offset))
+           .select(*[(F.col("key_place") + F.col("max_sk")).cast("long").alias(c) if c == "i_item_sk"
                      else eff.alias(c) if c == "i_rec_start_date"
                      else F.lit(None).cast("date").alias(c) if c == "i_rec_end_date"
                      else F.col("new_price").alias(c) if c == "i_current_price"
@@ -234,12 +243,12 @@ def refresh_scd2(st, effective="2001-01-01"):
 # --------------------------------------------------------------------------- streaming adapter
 def stream_refresh(spark: SparkSession, st, feed_dir: str, feed_schema, target_path: str, checkpoint: str):
     """Apply purchase-feed files as they arrive: a file-source stream whose
-    micro-batches are resolved by :func:`apply_insert_sales` and appended to
-    ``target_path`` (exactly-once through the checkpointed batch id)."""
+    micro-batches are resolved by :func:`apply_insert_sales` and written to
+    ``target_path``. A batch owns the partition of its batch id and overwrites
+    it, so a batch that is run again after a failure replaces its rows."""
     stream = spark.readStream.schema(feed_schema).parquet(feed_dir)
 
     def _apply(batch: DataFrame, batch_id: int) -> None:
-        apply_insert_sales(st, batch).withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("append").parquet(target_path)
+        apply_insert_sales(st, batch).write.mode("overwrite").parquet(f"{target_path}/batch_id={batch_id}")
 
     return stream.writeStream.foreachBatch(_apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
