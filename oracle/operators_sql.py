@@ -366,17 +366,20 @@ SELECT d_year, CAST(sum(ss_ext_list_price) AS DOUBLE) AS ss_ext_list_price,
                   OR ss_net_paid_inc_tax <> ss_net_paid + ss_ext_tax
                   OR ss_net_profit <> ss_net_paid - ss_ext_wholesale_cost THEN 1 ELSE 0 END) AS violations
 FROM store_sales JOIN date_dim ON ss_sold_date_sk = d_date_sk GROUP BY d_year""")
-STAR_SQL["returns_from_sales"] = ("store_sales store_returns date_dim", """
-SELECT d_year, count(*) AS sales, sum(CASE WHEN sr_item_sk IS NOT NULL THEN 1 ELSE 0 END) AS returns,
-       sum(sr_return_quantity) AS returned_qty,
-       CAST(sum(CAST(sr_returned_date_sk - ss_sold_date_sk AS BIGINT)) AS DOUBLE) / count(sr_returned_date_sk - ss_sold_date_sk) AS avg_lag_days,
-       CAST(sum(sr_refunded_cash) AS DOUBLE) AS cash, CAST(sum(sr_reversed_charge) AS DOUBLE) AS charge,
-       CAST(sum(sr_store_credit) AS DOUBLE) AS credit,
-       sum(CASE WHEN sr_refunded_cash + sr_reversed_charge + sr_store_credit <> sr_return_amt THEN 1 ELSE 0 END) AS split_violations,
-       sum(CASE WHEN sr_return_quantity > ss_quantity THEN 1 ELSE 0 END) AS qty_violations
-FROM store_sales LEFT JOIN store_returns ON ss_item_sk = sr_item_sk AND ss_ticket_number = sr_ticket_number
-     JOIN date_dim ON ss_sold_date_sk = d_date_sk
-GROUP BY d_year""")
+STAR_SQL["returns_from_sales"] = ("store_sales store_returns catalog_sales catalog_returns web_sales web_returns date_dim", "\nUNION ALL ".join(f"""
+SELECT '{ch}' AS channel, d_year, count(*) AS sales, sum(CASE WHEN {r}_item_sk IS NOT NULL THEN 1 ELSE 0 END) AS returns,
+       sum({r}_return_quantity) AS returned_qty,
+       CAST(sum(CAST({r}_returned_date_sk - {p}_sold_date_sk AS BIGINT)) AS DOUBLE) / count({r}_returned_date_sk - {p}_sold_date_sk) AS avg_lag_days,
+       CAST(sum({r}_refunded_cash) AS DOUBLE) AS cash, CAST(sum({r}_reversed_charge) AS DOUBLE) AS charge,
+       CAST(sum({r}_{credit}) AS DOUBLE) AS credit,
+       sum(CASE WHEN {r}_refunded_cash + {r}_reversed_charge + {r}_{credit} <> {r}_{amt} THEN 1 ELSE 0 END) AS split_violations,
+       sum(CASE WHEN {r}_return_quantity > {p}_quantity THEN 1 ELSE 0 END) AS qty_violations
+FROM {ch}_sales LEFT JOIN {ch}_returns ON {p}_item_sk = {r}_item_sk AND {p}_{num} = {r}_{num}
+     JOIN date_dim ON {p}_sold_date_sk = d_date_sk
+GROUP BY d_year""" for ch, p, r, num, amt, credit in [
+    ("store", "ss", "sr", "ticket_number", "return_amt", "store_credit"),
+    ("catalog", "cs", "cr", "order_number", "return_amount", "store_credit"),
+    ("web", "ws", "wr", "order_number", "return_amt", "account_credit")]))
 STAR_SQL["inventory_snapshot"] = ("inventory date_dim", """
 SELECT inv_warehouse_sk, d_year, count(DISTINCT inv_date_sk) AS snapshots, count(DISTINCT inv_item_sk) AS items,
        CAST(sum(inv_quantity_on_hand) AS DOUBLE) / count(inv_quantity_on_hand) AS avg_on_hand,
@@ -396,6 +399,11 @@ def _dq_fk():
     tabs = sorted({t for t, _, d, _ in FK} | {d for _, _, d, _ in FK})
     parts = [f"""SELECT '{t}.{c}' AS fk_name, count(*) AS orphans FROM {t}
   WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {d} WHERE {k} = {t}.{c})""" for t, c, d, k in FK]
+    for p, r, sales, rets, num in [("ss", "sr", "store_sales", "store_returns", "ticket_number"),
+                                   ("cs", "cr", "catalog_sales", "catalog_returns", "order_number"),
+                                   ("ws", "wr", "web_sales", "web_returns", "order_number")]:
+        parts.append(f"""SELECT '{rets}.{r}_{num}' AS fk_name, count(*) AS orphans FROM {rets}
+  WHERE NOT EXISTS (SELECT 1 FROM {sales} WHERE {p}_item_sk = {r}_item_sk AND {p}_{num} = {r}_{num})""")
     return " ".join(tabs), "\nUNION ALL ".join(parts)
 
 
@@ -414,35 +422,43 @@ def _nulls():
 
 
 STAR_SQL["profile_nulls"] = _nulls()
-STAR_SQL["profile_skew"] = ("store_sales catalog_sales web_sales inventory", "\nUNION ALL ".join(
+STAR_SQL["profile_skew"] = ("store_sales store_returns catalog_sales catalog_returns web_sales web_returns inventory", "\nUNION ALL ".join(
     f"""SELECT '{t}' AS table_name, max(n) AS max_rows, sum(n) AS rows, max(n) * 32 / CAST(sum(n) AS DOUBLE) AS skew,
        CASE WHEN max(n) * 32 / CAST(sum(n) AS DOUBLE) >= 1.2 THEN 'WARN' ELSE 'OK' END AS status
   FROM (SELECT {k} % 32 AS b, count(*) AS n FROM {t} GROUP BY b) g"""
-    for t, k in [("store_sales", "ss_item_sk"), ("catalog_sales", "cs_item_sk"), ("web_sales", "ws_item_sk"),
+    for t, k in [("store_sales", "ss_item_sk"), ("store_returns", "sr_item_sk"), ("catalog_sales", "cs_item_sk"),
+                 ("catalog_returns", "cr_item_sk"), ("web_sales", "ws_item_sk"), ("web_returns", "wr_item_sk"),
                  ("inventory", "inv_item_sk")]))
-_CK = {"store_sales": ["ss_item_sk", "ss_ticket_number", "ss_quantity"],
-       "store_returns": ["sr_item_sk", "sr_ticket_number", "sr_return_quantity"],
-       "catalog_sales": ["cs_item_sk", "cs_order_number", "cs_quantity"],
-       "catalog_returns": ["cr_item_sk", "cr_order_number", "cr_return_quantity"],
-       "web_sales": ["ws_item_sk", "ws_order_number", "ws_quantity"],
-       "web_returns": ["wr_item_sk", "wr_order_number", "wr_return_quantity"],
-       "inventory": ["inv_date_sk", "inv_item_sk", "inv_quantity_on_hand"]}
-STAR_SQL["profile_checksum"] = (" ".join(_CK), "\nUNION ALL ".join(
-    f"""SELECT '{t}' AS table_name, count(*) AS rows,
-       sum((CAST({a} AS BIGINT) * 31 + CAST({b} AS BIGINT) * 17 + CAST({c} AS BIGINT)) % 1000003) AS checksum FROM {t}"""
-    for t, (a, b, c) in _CK.items()))
-STAR_SQL["profile_stats"] = ("store_sales", "\nUNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values,
-       CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value FROM store_sales"""
-    for c in ["ss_quantity", "ss_sales_price", "ss_net_profit", "ss_customer_sk", "ss_store_sk"]))
+
+
+def _checksums():
+    from shelfline.plans.building import CHECKED
+    def term(i, c):
+        return f"coalesce(CAST({c} AS BIGINT), -1) * {2 * i + 17}"
+    return " ".join(CHECKED), "\nUNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, count(*) AS rows,
+       sum((((({' + '.join(term(i, c) for i, c in enumerate(cols))}) % 1000003) + 1000003) % 1000003)) AS checksum FROM {t}"""
+        for t, cols in CHECKED.items())
+
+
+def _stats():
+    from shelfline.plans.building import STATS_COLUMNS
+    return "store_sales", "\nUNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values,
+       CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value FROM store_sales""" for c in STATS_COLUMNS)
+
+
+STAR_SQL["profile_checksum"] = _checksums()
+STAR_SQL["profile_stats"] = _stats()
 SQL["orders_explode"] = """
 WITH n AS (SELECT count(*) AS n_items FROM part),
-o AS (SELECT o_orderkey, 8 + o_orderkey % 9 AS n, n_items FROM orders, n),
-lines AS (SELECT o_orderkey, o.n, ((o_orderkey * 7919) % n_items + i) % n_items AS item
+o AS (SELECT o_orderkey, o_orderkey % 3 = 1 AS catalog,
+             CASE WHEN o_orderkey % 3 = 1 THEN 4 + o_orderkey % 11 ELSE 8 + o_orderkey % 9 END AS n, n_items FROM orders, n),
+lines AS (SELECT o_orderkey, catalog, o.n, ((o_orderkey * 7919) % n_items + i) % n_items AS item
           FROM o, LATERAL (SELECT unnest(range(0, o.n)) AS i) g)
-SELECT n, count(DISTINCT o_orderkey) AS orders, count(*) AS lines,
+SELECT catalog, n, count(DISTINCT o_orderkey) AS orders, count(*) AS lines,
        count(DISTINCT (o_orderkey, item)) AS distinct_pairs, min(item) AS min_item, max(item) AS max_item
-FROM lines GROUP BY n"""
+FROM lines GROUP BY catalog, n"""
 STAR_SQL["sample_weighted"] = ("item customer", """
 WITH w AS (SELECT i_category, count(*) AS weight FROM item GROUP BY i_category),
 c AS (SELECT i_category, weight, sum(weight) OVER (ORDER BY i_category ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_hi

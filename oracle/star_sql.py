@@ -98,7 +98,7 @@ def _ret_money(prefix: str, names: list[str]) -> str:
 def _channel_keys(channel: int) -> str:
     outlet = S.N_CALL_CENTER if channel == 1 else S.N_WEB_SITE
     page = S.N_CATALOG_PAGE if channel == 1 else S.N_WEB_PAGE
-    sck = "(CASE WHEN onum % 10 = 0 THEN (ck * 7 + onum) % n_cust ELSE ck END)"
+    sck = f"(CASE WHEN onum % 100 < {10 if channel == 1 else 7} THEN (ck * 7 + onum) % n_cust ELSE ck END)"
     if channel == 1:
         rep = (f"SELECT ok * {S.KINDS} + {S.CATALOG_REPURCHASE} AS num, "
                f"onum + {S.RULE_SHIFT[S.CATALOG_REPURCHASE]} AS onum, pk, sk, ln, q, ck, "

@@ -103,22 +103,30 @@ def sales_pricing(st):
 
 @star_query("returns_from_sales")
 def returns_from_sales(st):
-    """Returns joined to their sale: rate, lag and refund split, with the
-    cash + charge + credit = amount identity checked."""
-    ss = st.store_sales.select("ss_item_sk", "ss_ticket_number", "ss_sold_date_sk", "ss_quantity")
-    sr = st.store_returns
-    j = ss.join(sr, (ss.ss_item_sk == sr.sr_item_sk) & (ss.ss_ticket_number == sr.sr_ticket_number), "left")
-    j = j.join(B(st.date_dim.select("d_date_sk", "d_year")), F.col("ss_sold_date_sk") == F.col("d_date_sk"))
-    ret = F.col("sr_item_sk").isNotNull()
-    lag = (F.col("sr_returned_date_sk") - F.col("ss_sold_date_sk")).cast("long")
-    split_bad = (F.col("sr_refunded_cash") + F.col("sr_reversed_charge") + F.col("sr_store_credit")) != F.col("sr_return_amt")
-    return j.groupBy("d_year").agg(
-        F.count(F.lit(1)).alias("sales"), F.sum(ret.cast("int")).alias("returns"),
-        F.sum("sr_return_quantity").alias("returned_qty"), avg_exact(lag).alias("avg_lag_days"),
-        F.sum("sr_refunded_cash").cast("double").alias("cash"), F.sum("sr_reversed_charge").cast("double").alias("charge"),
-        F.sum("sr_store_credit").cast("double").alias("credit"),
-        F.sum(F.when(split_bad, 1).otherwise(0)).alias("split_violations"),
-        F.sum(F.when(F.col("sr_return_quantity") > F.col("ss_quantity"), 1).otherwise(0)).alias("qty_violations"))
+    """Returns of all channels joined to their sale: rate, lag and refund split,
+    with the cash + charge + credit = amount identity checked."""
+    out = []
+    for channel, sales, p, rets, r, number, amount, credit in [
+            ("store", "store_sales", "ss", "store_returns", "sr", "ticket_number", "return_amt", "store_credit"),
+            ("catalog", "catalog_sales", "cs", "catalog_returns", "cr", "order_number", "return_amount", "store_credit"),
+            ("web", "web_sales", "ws", "web_returns", "wr", "order_number", "return_amt", "account_credit")]:
+        s = st[sales].select(*[F.col(f"{p}_{c}").alias(c) for c in ("item_sk", number, "sold_date_sk", "quantity")])
+        b = st[rets].select(F.col(f"{r}_item_sk").alias("r_item"), F.col(f"{r}_{number}").alias("r_number"),
+                            F.col(f"{r}_returned_date_sk").alias("r_date"), F.col(f"{r}_return_quantity").alias("r_qty"),
+                            F.col(f"{r}_refunded_cash").alias("r_cash"), F.col(f"{r}_reversed_charge").alias("r_charge"),
+                            F.col(f"{r}_{credit}").alias("r_credit"), F.col(f"{r}_{amount}").alias("r_amount"))
+        j = s.join(b, (F.col("item_sk") == F.col("r_item")) & (F.col(number) == F.col("r_number")), "left")
+        j = j.join(B(st.date_dim.select("d_date_sk", "d_year")), F.col("sold_date_sk") == F.col("d_date_sk"))
+        split_bad = (F.col("r_cash") + F.col("r_charge") + F.col("r_credit")) != F.col("r_amount")
+        out.append(j.groupBy("d_year").agg(
+            F.count(F.lit(1)).alias("sales"), F.count("r_item").alias("returns"), F.sum("r_qty").alias("returned_qty"),
+            avg_exact((F.col("r_date") - F.col("sold_date_sk")).cast("long")).alias("avg_lag_days"),
+            F.sum("r_cash").cast("double").alias("cash"), F.sum("r_charge").cast("double").alias("charge"),
+            F.sum("r_credit").cast("double").alias("credit"),
+            F.sum(F.when(split_bad, 1).otherwise(0)).alias("split_violations"),
+            F.sum(F.when(F.col("r_qty") > F.col("quantity"), 1).otherwise(0)).alias("qty_violations"))
+            .select(F.lit(channel).alias("channel"), "*"))
+    return _union(out)
 
 
 @star_query("inventory_snapshot")
@@ -154,35 +162,47 @@ def dq_pk(st):
     return _union(out)
 
 
-FK = [("store_sales", "ss_sold_date_sk", "date_dim", "d_date_sk"), ("store_sales", "ss_item_sk", "item", "i_item_sk"),
-      ("store_sales", "ss_customer_sk", "customer", "c_customer_sk"),
-      ("store_sales", "ss_cdemo_sk", "customer_demographics", "cd_demo_sk"),
-      ("store_sales", "ss_hdemo_sk", "household_demographics", "hd_demo_sk"),
-      ("store_sales", "ss_addr_sk", "customer_address", "ca_address_sk"),
-      ("store_sales", "ss_store_sk", "store", "s_store_sk"), ("store_sales", "ss_promo_sk", "promotion", "p_promo_sk"),
-      ("store_sales", "ss_sold_time_sk", "time_dim", "t_time_sk"),
-      ("store_returns", "sr_returned_date_sk", "date_dim", "d_date_sk"),
-      ("store_returns", "sr_reason_sk", "reason", "r_reason_sk"), ("store_returns", "sr_store_sk", "store", "s_store_sk"),
-      ("catalog_sales", "cs_ship_date_sk", "date_dim", "d_date_sk"),
-      ("catalog_sales", "cs_bill_customer_sk", "customer", "c_customer_sk"),
-      ("catalog_sales", "cs_ship_addr_sk", "customer_address", "ca_address_sk"),
-      ("catalog_sales", "cs_call_center_sk", "call_center", "cc_call_center_sk"),
-      ("catalog_sales", "cs_catalog_page_sk", "catalog_page", "cp_catalog_page_sk"),
-      ("catalog_sales", "cs_ship_mode_sk", "ship_mode", "sm_ship_mode_sk"),
-      ("catalog_sales", "cs_warehouse_sk", "warehouse", "w_warehouse_sk"),
-      ("catalog_returns", "cr_returning_customer_sk", "customer", "c_customer_sk"),
-      ("web_sales", "ws_web_page_sk", "web_page", "wp_web_page_sk"), ("web_sales", "ws_web_site_sk", "web_site", "web_site_sk"),
-      ("web_sales", "ws_bill_customer_sk", "customer", "c_customer_sk"),
-      ("web_returns", "wr_web_page_sk", "web_page", "wp_web_page_sk"),
-      ("inventory", "inv_item_sk", "item", "i_item_sk"), ("inventory", "inv_warehouse_sk", "warehouse", "w_warehouse_sk"),
-      ("customer", "c_current_addr_sk", "customer_address", "ca_address_sk"),
-      ("customer", "c_current_hdemo_sk", "household_demographics", "hd_demo_sk"),
-      ("household_demographics", "hd_income_band_sk", "income_band", "ib_income_band_sk")]
-
-
-_BOUNDED_DIMS = {"date_dim", "time_dim", "store", "customer_demographics", "household_demographics", "income_band",
-                 "promotion", "warehouse", "ship_mode", "reason", "call_center", "catalog_page", "web_site",
-                 "web_page"}
+# The declared references: column stems of each child table; a stem's ending names the parent.
+_PARENTS = {"date": ("date_dim", "d_date_sk"), "time": ("time_dim", "t_time_sk"), "item": ("item", "i_item_sk"),
+            "customer": ("customer", "c_customer_sk"), "cdemo": ("customer_demographics", "cd_demo_sk"),
+            "hdemo": ("household_demographics", "hd_demo_sk"), "addr": ("customer_address", "ca_address_sk"),
+            "store": ("store", "s_store_sk"), "promo": ("promotion", "p_promo_sk"), "reason": ("reason", "r_reason_sk"),
+            "call_center": ("call_center", "cc_call_center_sk"), "catalog_page": ("catalog_page", "cp_catalog_page_sk"),
+            "ship_mode": ("ship_mode", "sm_ship_mode_sk"), "warehouse": ("warehouse", "w_warehouse_sk"),
+            "web_page": ("web_page", "wp_web_page_sk"), "web_site": ("web_site", "web_site_sk"),
+            "income_band": ("income_band", "ib_income_band_sk")}
+_PEOPLE = ("customer", "cdemo", "hdemo", "addr")
+
+
+def _both(first: str, second: str) -> str:
+    return " ".join(f"{who}_{part}" for who in (first, second) for part in _PEOPLE)
+
+
+_REFERENCES = {
+    "store_sales": ("ss", "sold_date sold_time item customer cdemo hdemo addr store promo"),
+    "store_returns": ("sr", "returned_date return_time item customer cdemo hdemo addr store reason"),
+    "catalog_sales": ("cs", f"sold_date sold_time ship_date item {_both('bill', 'ship')} call_center catalog_page ship_mode warehouse promo"),
+    "catalog_returns": ("cr", f"returned_date returned_time item {_both('refunded', 'returning')} call_center catalog_page ship_mode "
+                              "warehouse reason"),
+    "web_sales": ("ws", f"sold_date sold_time ship_date item {_both('bill', 'ship')} web_page web_site ship_mode warehouse promo"),
+    "web_returns": ("wr", f"returned_date returned_time item {_both('refunded', 'returning')} web_page reason"),
+    "inventory": ("inv", "date item warehouse"),
+    "customer": ("c", "current_cdemo current_hdemo current_addr first_shipto_date first_sales_date"),
+    "household_demographics": ("hd", "income_band"), "promotion": ("p", "start_date end_date item"),
+    "call_center": ("cc", "open_date closed_date"), "catalog_page": ("cp", "start_date end_date"),
+    "web_site": ("web", "open_date close_date"), "web_page": ("wp", "creation_date access_date customer"),
+    "store": ("s", "closed_date")}
+FK = [(t, f"{p}_{stem}_sk", *next(v for k, v in _PARENTS.items() if stem == k or stem.endswith("_" + k)))
+      for t, (p, stems) in _REFERENCES.items() for stem in stems.split()]
+#: every return names a sale line by item and ticket or order
+RETURN_OF = [("store_returns", ("sr_item_sk", "sr_ticket_number"), "store_sales", ("ss_item_sk", "ss_ticket_number")),
+             ("catalog_returns", ("cr_item_sk", "cr_order_number"), "catalog_sales", ("cs_item_sk", "cs_order_number")),
+             ("web_returns", ("wr_item_sk", "wr_order_number"), "web_sales", ("ws_item_sk", "ws_order_number"))]
+
+
+# bounded and small enough to send to every task for each of several references
+_BOUNDED_DIMS = {"date_dim", "time_dim", "store", "household_demographics", "income_band", "promotion", "warehouse",
+                 "ship_mode", "reason", "call_center", "catalog_page", "web_site", "web_page"}
 
 
 @star_query("dq_fk")
@@ -207,13 +227,13 @@ def dq_fk(st):
                          .alias(f"{t}.{col}"))
         one = child.agg(*flags)
         out.append(one.unpivot([], [f"`{t}.{c}`" for c, _, _ in refs], "fk_name", "orphans"))
+    for t, cols, parent, keys in RETURN_OF:
+        lost = st[t].join(st[parent].select(*keys), [F.col(c) == F.col(k) for c, k in zip(cols, keys)], "left_anti")
+        out.append(lost.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(f"{t}.{cols[1]}").alias("fk_name"), "orphans"))
     return _union(out)
 
 
-_NULLABLE = {"store_sales": ["ss_customer_sk", "ss_cdemo_sk", "ss_hdemo_sk", "ss_addr_sk", "ss_store_sk", "ss_promo_sk"],
-             "catalog_sales": ["cs_bill_customer_sk", "cs_ship_addr_sk", "cs_call_center_sk", "cs_warehouse_sk",
-                               "cs_promo_sk"],
-             "web_sales": ["ws_bill_customer_sk", "ws_ship_customer_sk", "ws_web_page_sk", "ws_web_site_sk", "ws_promo_sk"]}
+_NULLABLE = {t: [f"{p}_{stem}_sk" for stem in stems.split()] for t, (p, stems) in _REFERENCES.items()}
 
 
 @star_query("profile_nulls")
@@ -228,12 +248,15 @@ def profile_nulls(st):
     return _union(out)
 
 
+PLACED_BY = {"store_sales": "ss_item_sk", "store_returns": "sr_item_sk", "catalog_sales": "cs_item_sk",
+             "catalog_returns": "cr_item_sk", "web_sales": "ws_item_sk", "web_returns": "wr_item_sk", "inventory": "inv_item_sk"}
+
+
 @star_query("profile_skew")
 def profile_skew(st, buckets=32, warn=1.2):
     """Rows per placement bucket of the item key: max/avg ratio, WARN at >= 1.2."""
     out = []
-    for t, key in [("store_sales", "ss_item_sk"), ("catalog_sales", "cs_item_sk"), ("web_sales", "ws_item_sk"),
-                   ("inventory", "inv_item_sk")]:
+    for t, key in PLACED_BY.items():
         per = st[t].groupBy(F.pmod(F.col(key), F.lit(buckets)).alias("b")).agg(F.count(F.lit(1)).alias("n"))
         s = per.agg(F.max("n").alias("max_rows"), F.sum("n").alias("rows"))
         s = s.select(F.lit(t).alias("table_name"), "max_rows", "rows",
@@ -242,28 +265,33 @@ def profile_skew(st, buckets=32, warn=1.2):
     return _union(out)
 
 
+_MEASURES = {"store_sales": ["ss_quantity"], "store_returns": ["sr_return_quantity"], "catalog_sales": ["cs_quantity"],
+             "catalog_returns": ["cr_return_quantity"], "web_sales": ["ws_quantity"], "web_returns": ["wr_return_quantity"],
+             "inventory": ["inv_quantity_on_hand"]}
+CHECKED = {t: list(dict.fromkeys([*keys, *_NULLABLE.get(t, []), *_MEASURES.get(t, [])])) for t, keys in PK.items()}
+
+
 @star_query("profile_checksum")
 def profile_checksum(st):
-    """Row count and an order-independent integer checksum of each fact's keys."""
-    specs = {"store_sales": ["ss_item_sk", "ss_ticket_number", "ss_quantity"],
-             "store_returns": ["sr_item_sk", "sr_ticket_number", "sr_return_quantity"],
-             "catalog_sales": ["cs_item_sk", "cs_order_number", "cs_quantity"],
-             "catalog_returns": ["cr_item_sk", "cr_order_number", "cr_return_quantity"],
-             "web_sales": ["ws_item_sk", "ws_order_number", "ws_quantity"],
-             "web_returns": ["wr_item_sk", "wr_order_number", "wr_return_quantity"],
-             "inventory": ["inv_date_sk", "inv_item_sk", "inv_quantity_on_hand"]}
+    """Row count and an order-independent integer checksum of the keys and references of every table."""
     out = []
-    for t, (a, b, c) in specs.items():
-        h = F.pmod(F.col(a).cast("long") * 31 + F.col(b).cast("long") * 17 + F.col(c).cast("long"), F.lit(1000003))
-        out.append(st[t].agg(F.count(F.lit(1)).alias("rows"), F.sum(h).alias("checksum"))
+    for t, cols in CHECKED.items():
+        h = sum((F.coalesce(F.col(c).cast("long"), F.lit(-1)) * (2 * i + 17) for i, c in enumerate(cols)), F.lit(0))
+        out.append(st[t].agg(F.count(F.lit(1)).alias("rows"), F.sum(F.pmod(h, F.lit(1000003))).alias("checksum"))
                    .select(F.lit(t).alias("table_name"), "rows", "checksum"))
     return _union(out)
 
 
+STATS_COLUMNS = [*_NULLABLE["store_sales"], "ss_ticket_number", "ss_quantity",
+                 *[f"ss_{m}" for m in ("wholesale_cost", "list_price", "sales_price", "ext_discount_amt", "ext_sales_price",
+                                       "ext_wholesale_cost", "ext_list_price", "ext_tax", "coupon_amt", "net_paid",
+                                       "net_paid_inc_tax", "net_profit")]]
+
+
 @star_query("profile_stats")
 def profile_stats(st):
     """Column statistics of store_sales: count, nulls, distinct, min, max."""
-    cols = ["ss_quantity", "ss_sales_price", "ss_net_profit", "ss_customer_sk", "ss_store_sk"]
+    cols = STATS_COLUMNS
     # one scan: every row becomes one (column, value) row per profiled column
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("decimal(20,2)").alias("v")) for c in cols]))
     one = st.store_sales.select(pairs.alias("p")).select("p.column_name", "p.v")
@@ -275,15 +303,18 @@ def profile_stats(st):
 
 @raw_query("orders_explode")
 def orders_explode(spark, sf_dir):
-    """Multi-line orders: 8-16 lines per order, items taken by wrap-around from
-    a per-order start position, hence unique within an order."""
+    """Multi-line orders (8-16 lines of a store or web order, 4-14 of a catalog
+    order), items taken by wrap-around from a per-order start position, hence
+    unique within an order."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey")
     n_items = read_table(spark, sf_dir, "part").agg(F.count(F.lit(1)).alias("n_items"))
-    o = o.crossJoin(B(n_items)).withColumn("n", 8 + F.pmod("o_orderkey", F.lit(9)))
-    lines = o.select("o_orderkey", "n", "n_items", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
+    catalog = F.pmod("o_orderkey", F.lit(3)) == 1
+    o = o.crossJoin(B(n_items)).withColumn("catalog", catalog).withColumn(
+        "n", F.when(catalog, 4 + F.pmod("o_orderkey", F.lit(11))).otherwise(8 + F.pmod("o_orderkey", F.lit(9))))
+    lines = o.select("o_orderkey", "catalog", "n", "n_items", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
     lines = lines.withColumn("item", F.pmod(F.pmod(F.col("o_orderkey") * 7919, F.col("n_items")) + F.col("i"),
                                             F.col("n_items")))
-    return lines.groupBy("n").agg(F.countDistinct("o_orderkey").alias("orders"), F.count(F.lit(1)).alias("lines"),
+    return lines.groupBy("catalog", "n").agg(F.countDistinct("o_orderkey").alias("orders"), F.count(F.lit(1)).alias("lines"),
                                   F.countDistinct("o_orderkey", "item").alias("distinct_pairs"),
                                   F.min("item").alias("min_item"), F.max("item").alias("max_item"))
 

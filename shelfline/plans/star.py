@@ -39,7 +39,7 @@ from shelfline.session import scratch_dir
 from shelfline.sources.tables import read_table
 
 # Bump whenever a derivation rule changes: it keys the materialised copy.
-STAR_VERSION = "8"
+STAR_VERSION = "9"
 
 JD_1998 = 2450815          # date key of 1998-01-01 (Julian day number)
 JD_2000 = 2451545          # date key of 2000-01-01
@@ -245,9 +245,12 @@ def _purchase_cdemo(on: Column, ck: Column) -> Column:
     return cdemo_key(ck + shift)
 
 
-def _ship_ck(on: Column, ck: Column, n_cust: Column) -> Column:
-    """Gift orders (order % 10 == 0) ship to another customer."""
-    return F.when(F.pmod(on, F.lit(10)) == 0, F.pmod(ck * 7 + on, n_cust)).otherwise(ck)
+GIFT_PERCENT = {1: 10, 2: 7}             # catalog, web
+
+
+def _ship_ck(on: Column, ck: Column, n_cust: Column, channel: int) -> Column:
+    """Gift orders (10 % of the catalog's, 7 % of the web's) ship to another customer."""
+    return F.when(F.pmod(on, F.lit(100)) < GIFT_PERCENT[channel], F.pmod(ck * 7 + on, n_cust)).otherwise(ck)
 
 
 class StarBuilder:
@@ -344,7 +347,7 @@ class StarBuilder:
     def _channel_keys(self, channel: int) -> DataFrame:
         s = _priced(self._channel_src(channel))
         on, pk, ck, ln = F.col("onum"), F.col("pk"), F.col("ck"), F.col("ln")
-        sck = _ship_ck(on, ck, F.col("n_cust"))
+        sck = _ship_ck(on, ck, F.col("n_cust"), channel)
         return s.select(
             "*",
             F.pmod(on * 7919 + ln * 1047, F.lit(86400)).cast("int").alias("k_time"),
