@@ -9,10 +9,8 @@ operator's docstring says what becomes of it.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfline.llm import bpe, decontam, quality, simhash, suffix
 from shelfline.llm.common import free_name, read_table, stored
@@ -30,11 +28,6 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs, words=4, max_bits=4)
 
 
-@F.pandas_udf(T.StringType())
-def whole_characters(cut: pd.Series) -> pd.Series:
-    return cut.map(lambda b: None if b is None else b.decode("utf-8", "ignore"))
-
-
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes covered by a 100-byte string that also starts earlier are cut from the texts.
 
@@ -44,9 +37,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     included, is left as it is.
     """
     kept, spans = free_name(docs.columns, "kept"), free_name(docs.columns, "n_spans")
-    done = suffix.remove_repeats(docs, length=100, kept=kept, n_spans=spans)
-    new = done.withColumn("text", F.when(F.col(spans) > 0, whole_characters(F.when(F.col(spans) > 0, F.col(kept))))
-                          .otherwise(F.col("text")))
+    new = suffix.remove_repeats(docs, length=100, kept=kept, n_spans=spans, characters=True).withColumn("text", F.col(kept))
     if "n_chars" in docs.columns:
         new = new.withColumn("n_chars", F.when(F.col(spans) > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
                              .otherwise(F.col("n_chars")))

@@ -445,8 +445,12 @@ def cut(body: bytes, marks, length: int) -> tuple[bytes, int]:
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100, kept: str = "kept",
-                   n_spans: str = "n_spans", filter_bits: int = FILTER_BITS) -> DataFrame:
-    """``docs`` plus ``kept`` (binary, the bytes that are left) and ``n_spans`` (maximal removed runs)."""
+                   n_spans: str = "n_spans", filter_bits: int = FILTER_BITS, characters: bool = False) -> DataFrame:
+    """``docs`` plus ``kept`` (binary, the bytes that are left) and ``n_spans`` (maximal removed runs).
+
+    With ``characters`` ``kept`` is a string, without the bytes of characters
+    that a cut has torn, and null where the text is null.
+    """
     marked = stored(repeats(docs, key, text, length, filter_bits), "suffix-marks")
     names = docs.columns
     i, t, m = (free_name(names, x) for x in ("mark_id", "mark_tag", "mark_runs"))
@@ -455,13 +459,19 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     joined = docs.join(marked, (F.coalesce(F.col(key).cast("long"), F.lit(FIRST_ID)) == F.col(i))
                        & (F.xxhash64(body) == F.col(t)), "left").drop(i, t)
 
-    @F.pandas_udf("kept binary, n_spans long")
+    def one(v, w):
+        if w is None:
+            return None, 0
+        left, runs = cut(v, [(r["start"], r["last"]) for r in w], length)
+        return left.decode("utf-8", "ignore") if characters else left, runs
+
+    @F.pandas_udf(f"kept {'string' if characters else 'binary'}, n_spans long")
     def cutting(bodies, marks):
-        got = [(None, 0) if w is None else cut(v, [(r["start"], r["last"]) for r in w], length) for v, w in zip(bodies, marks)]
-        return pd.DataFrame(got, columns=["kept", "n_spans"])
+        return pd.DataFrame([one(v, w) for v, w in zip(bodies, marks)], columns=["kept", "n_spans"])
 
     r = free_name(joined.columns, "cutting")
     # texts without a mark stay out of Python
     done = joined.withColumn(r, cutting(F.when(F.col(m).isNotNull(), F.encode(body, "utf-8")), F.col(m)))
-    return done.select(*names, F.coalesce(F.col(f"{r}.kept"), F.encode(body, "utf-8")).alias(kept),
+    whole = F.col(text) if characters else F.encode(body, "utf-8")
+    return done.select(*names, F.coalesce(F.col(f"{r}.kept"), whole).alias(kept),
                        F.coalesce(F.col(f"{r}.n_spans"), F.lit(0)).alias(n_spans))
