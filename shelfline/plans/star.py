@@ -963,13 +963,25 @@ _WRITE_THREADS = 4
 _DATA_SIZED_DIMS = {"item", "customer", "customer_address", "customer_demographics"}
 
 
-def _write_table(b: "StarBuilder", name: str, out: str, partition_facts_by_date: bool) -> None:
+# Bytes of staged lines, and rows of inventory, that one task of a fact write
+# gets. AQE merges small partitions but never adds any, so the count must
+# follow the data.
+_LINE_BYTES_A_TASK, _SNAPSHOTS_A_TASK = 64 << 20, 8_000_000
+
+
+def _fact_tasks(b: "StarBuilder", name: str, staged_bytes: int, n_parts: int) -> int:
+    least = int(b.spark.conf.get("spark.sql.shuffle.partitions"))
+    if name == "inventory":
+        return max(least, n_parts * N_WAREHOUSE * INV_WEEKS // _SNAPSHOTS_A_TASK)
+    return max(least, staged_bytes // _LINE_BYTES_A_TASK)
+
+
+def _write_table(b: "StarBuilder", name: str, out: str, partition_facts_by_date: bool, staged_bytes: int, n_parts: int) -> None:
     df = b.table(name)
     if name in _FACT_DATE:
         key, item = _FACT_DATE[name], _FACT_ITEM[name]
-        # No explicit partition count: the range exchange uses the shuffle
-        # partition setting and AQE coalesces it to the data size.
-        clustered = df.repartitionByRange(F.col(key).asc_nulls_last(), F.col(item).asc_nulls_last()) \
+        tasks = _fact_tasks(b, name, staged_bytes, n_parts)
+        clustered = df.repartitionByRange(tasks, F.col(key).asc_nulls_last(), F.col(item).asc_nulls_last()) \
                       .sortWithinPartitions(key, item)
         writer = clustered.write.mode("overwrite")
         if partition_facts_by_date:
@@ -998,10 +1010,12 @@ def build_star(spark: SparkSession, sf_dir: str, root: str,
     staged = f"{root}/_lines"
     lines(spark, sf_dir).write.mode("overwrite").parquet(staged)
     b = StarBuilder(spark, sf_dir, lines_df=spark.read.parquet(staged))
+    fs, path = _fs(spark, staged)
+    staged_bytes, n_parts = fs.getContentSummary(path).getLength(), b._t("part").count()
     with ThreadPoolExecutor(max_workers=_WRITE_THREADS) as pool:
         # largest first, so the long fact writes start before the small dims
         order = FACTS + DIMS
-        futures = [pool.submit(_write_table, b, name, f"{root}/{name}", partition_facts_by_date)
+        futures = [pool.submit(_write_table, b, name, f"{root}/{name}", partition_facts_by_date, staged_bytes, n_parts)
                    for name in order]
         for f in futures:
             f.result()
@@ -1021,12 +1035,16 @@ def load_star(spark: SparkSession, sf_dir: str, rebuild: bool = False) -> Star:
     if memo is not None and memo.spark is spark and not rebuild:
         return memo
     base = f"{scratch_dir(spark)}/star/{key}"
-    current = None if rebuild else _read_text(spark, f"{base}/CURRENT")
+    published = _read_text(spark, f"{base}/CURRENT")
+    current = None if rebuild else published
     if not current:
         current = uuid.uuid4().hex[:12]
         partitioned = spark.conf.get("spark.shelfline.star.partitionFactsByDate", "false").lower() == "true"
         build_star(spark, sf_dir, f"{base}/{current}", partition_facts_by_date=partitioned)
         _write_text(spark, f"{base}/CURRENT", current)
+        if published:                       # the copy that this one replaces
+            fs, old = _fs(spark, f"{base}/{published}")
+            fs.delete(old, True)
     star = Star(spark, f"{base}/{current}")
     _LOADED[(id(spark), key)] = star
     return star
