@@ -578,14 +578,22 @@ r AS (
        LEFT JOIN warehouse w ON f.warehouse_id = w.w_warehouse_id)
 SELECT w_warehouse_sk AS inv_warehouse_sk, count(*) AS rows, count(i_item_sk) AS resolved_items, sum(qty_on_hand) AS qty
 FROM r GROUP BY w_warehouse_sk""")
-STAR_SQL["refresh_delete"] = ("store_sales store_returns", """
-WITH rng AS (SELECT * FROM store_sales
-             WHERE ss_sold_date_sk BETWEEN 2451180 AND 2451181 OR ss_sold_date_sk BETWEEN 2451300 AND 2451301
-                OR ss_sold_date_sk BETWEEN 2451420 AND 2451421)
-SELECT 'store_sales' AS table_name, (SELECT count(*) FROM store_sales) - (SELECT count(*) FROM rng) AS rows
+def _in(col, ranges):
+    return " OR ".join(f"{col} BETWEEN {lo} AND {hi}" for lo, hi in ranges)
+
+
+_DEL = [(2451180, 2451181), (2451300, 2451301), (2451420, 2451421)]
+_DEL_INV = [(2451179, 2451185), (2451298, 2451304), (2451417, 2451423)]
+STAR_SQL["refresh_delete"] = ("store_sales store_returns catalog_sales catalog_returns web_sales web_returns inventory", "\nUNION ALL ".join(
+    [f"""SELECT '{ch}_sales' AS table_name, count(*) AS rows, CAST(sum({p}_net_paid) AS DOUBLE) AS total FROM {ch}_sales
+WHERE {p}_sold_date_sk IS NULL OR NOT ({_in(f'{p}_sold_date_sk', _DEL)})
 UNION ALL
-SELECT 'store_returns', count(*) FROM store_returns
-WHERE NOT EXISTS (SELECT 1 FROM rng WHERE sr_item_sk = rng.ss_item_sk AND sr_ticket_number = rng.ss_ticket_number)""")
+SELECT '{ch}_returns', count(*), CAST(sum({r}_{amt}) AS DOUBLE) FROM {ch}_returns
+WHERE NOT EXISTS (SELECT 1 FROM {ch}_sales WHERE {p}_item_sk = {r}_item_sk AND {p}_{num} = {r}_{num} AND ({_in(f'{p}_sold_date_sk', _DEL)}))"""
+     for ch, p, r, num, amt in [("store", "ss", "sr", "ticket_number", "return_amt"),
+                                ("catalog", "cs", "cr", "order_number", "return_amount"),
+                                ("web", "ws", "wr", "order_number", "return_amt")]]
+    + [f"""SELECT 'inventory', count(*), CAST(sum(inv_quantity_on_hand) AS DOUBLE) FROM inventory WHERE NOT ({_in('inv_date_sk', _DEL_INV)})"""]))
 STAR_SQL["refresh_scd2"] = ("item", """
 WITH ch AS (SELECT i_item_id AS item_id,
                    CAST(CAST((2 * (CAST(i_current_price * 100 AS BIGINT) * 110) + 100) // 200 AS DECIMAL(18,0)) / 100 AS DECIMAL(7,2)) AS new_price

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from shelfline.functions.grouping import grouping_levels, rollup
 from shelfline.functions.money import round_ratio2, stddev_samp_exact
-from shelfline.plans.catalog.common import (B, F, Window, avg_exact, dates_between, order,
+from shelfline.functions.ranking import ranked
+from shelfline.plans.catalog.common import (B, F, avg_exact, dates_between, order,
                                              star_query, topk)
 
 
@@ -148,9 +149,8 @@ def _ranked_returns(st, ch, sales, rets, p, r, ticket, rticket, ramt, year, mont
          / F.sum(F.coalesce(F.col(f"{p}_quantity"), F.lit(0))).cast("double")).alias("return_ratio"),
         (F.sum(F.coalesce(F.col(ramt), F.lit(0))).cast("double")
          / F.sum(F.coalesce(F.col(f"{p}_net_paid"), F.lit(0))).cast("double")).alias("currency_ratio"))
-    # global ranks over a per-item aggregate (bounded by the item count)
-    g = (g.withColumn("return_rank", F.rank().over(Window.orderBy("return_ratio")))
-          .withColumn("currency_rank", F.rank().over(Window.orderBy("currency_ratio"))))
+    # ranks over all items of a channel, in buckets of the ratio
+    g = ranked(ranked(g, "return_ratio", "return_rank", step=1 / 1024), "currency_ratio", "currency_rank", step=1 / 1024)
     return g.filter((F.col("return_rank") <= 10) | (F.col("currency_rank") <= 10)).select(
         F.lit(ch).alias("channel"), "item", "return_ratio", "return_rank", "currency_rank")
 

@@ -183,14 +183,34 @@ def apply_delete(sales: DataFrame, returns: DataFrame, ranges: list[tuple[int, i
     return kept, kept_returns
 
 
+def delete_inventory(inventory: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Snapshots outside the date ranges (inventory has ranges of its own and no returns)."""
+    hit = None
+    for lo, hi in ranges:
+        c = F.col("inv_date_sk").between(lo, hi)
+        hit = c if hit is None else (hit | c)
+    return inventory.filter(~hit | F.col("inv_date_sk").isNull())
+
+
 @star_query("refresh_delete")
-def refresh_delete(st, ranges=((2451180, 2451181), (2451300, 2451301), (2451420, 2451421))):
-    """Delete three two-day ranges of store sales; cascade to returns."""
-    ss, sr = apply_delete(st.store_sales, st.store_returns, list(ranges), "ss_sold_date_sk",
-                          ("ss_item_sk", "ss_ticket_number"), ("sr_item_sk", "sr_ticket_number"))
-    a = ss.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("store_sales").alias("table_name"), "rows")
-    b = sr.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("store_returns").alias("table_name"), "rows")
-    return a.unionByName(b)
+def refresh_delete(st, ranges=((2451180, 2451181), (2451300, 2451301), (2451420, 2451421)),
+                   inventory_ranges=((2451179, 2451185), (2451298, 2451304), (2451417, 2451423))):
+    """Delete three two-day ranges of sales of every channel with their returns,
+    and three weekly ranges of inventory; rows and money that stay."""
+    out = []
+    for channel, p, r, number, amount in [("store", "ss", "sr", "ticket_number", "return_amt"),
+                                          ("catalog", "cs", "cr", "order_number", "return_amount"),
+                                          ("web", "ws", "wr", "order_number", "return_amt")]:
+        kept, kept_returns = apply_delete(st[f"{channel}_sales"], st[f"{channel}_returns"], list(ranges), f"{p}_sold_date_sk",
+                                          (f"{p}_item_sk", f"{p}_{number}"), (f"{r}_item_sk", f"{r}_{number}"))
+        out += [(f"{channel}_sales", kept, f"{p}_net_paid"), (f"{channel}_returns", kept_returns, f"{r}_{amount}")]
+    out.append(("inventory", delete_inventory(st.inventory, list(inventory_ranges)), "inv_quantity_on_hand"))
+    parts = [df.agg(F.count(F.lit(1)).alias("rows"), F.sum(m).cast("double").alias("total"))
+             .select(F.lit(t).alias("table_name"), "rows", "total") for t, df, m in out]
+    total = parts[0]
+    for x in parts[1:]:
+        total = total.unionByName(x)
+    return total
 
 
 # --------------------------------------------------------------------------- U5: type-2 update
