@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import bpe, decontam, quality, simhash, suffix
-from shelfline.llm.common import free_name, read_table, stored
+from shelfline.llm.common import find_code, free_name, read_table, stored
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +25,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: the smallest doc_id."""
+    find_code(spark)
     return simhash.keep_one(docs, words=4, max_bits=4)
 
 
@@ -36,6 +37,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ``n_chars`` is that of the new text; a text without repeats, a null one
     included, is left as it is.
     """
+    find_code(spark)
     kept, spans = free_name(docs.columns, "kept"), free_name(docs.columns, "n_spans")
     new = suffix.remove_repeats(docs, length=100, kept=kept, n_spans=spans, characters=True).withColumn("text", F.col(kept))
     if "n_chars" in docs.columns:
@@ -51,6 +53,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as token ids, with the digests of the ids and of their decoding."""
+    find_code(spark)
     return bpe.round_trip(docs)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import gc
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -13,15 +14,32 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import shelfline
 from shelfline.session import scratch_dir
 
 
+def find_code(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it.
+
+    Workers of a local session start in the working directory of the driver,
+    which need not hold the library. On a cluster whose nodes have it elsewhere
+    (``--py-files``, an installed package) the entry does no harm.
+    """
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.abspath(shelfline.__path__[0]))
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([p for p in paths if p] + [root])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_code(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder (``spark.checkpoint.dir``)."""
+    find_code(spark)
     return f"{scratch_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
 
 
