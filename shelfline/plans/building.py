@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.money import avg_exact, idiv, idiv_col
+from shelfline.plans.catalog.common import demographics
 from shelfline.plans.registry import raw_query, star_query
 from shelfline.sources.tables import read_table
 
@@ -57,7 +58,7 @@ def dim_time(st):
 @star_query("dim_demographics")
 def dim_demographics(st):
     """Customers by decoded customer and household demographics."""
-    j = (st.customer.join(st.customer_demographics, F.col("c_current_cdemo_sk") == F.col("cd_demo_sk"))
+    j = (st.customer.join(demographics(st), F.col("c_current_cdemo_sk") == F.col("cd_demo_sk"))
          .join(B(st.household_demographics), F.col("c_current_hdemo_sk") == F.col("hd_demo_sk")))
     return j.groupBy("cd_gender", "cd_marital_status", "cd_education_status", "hd_buy_potential").agg(
         F.count(F.lit(1)).alias("customers"))

@@ -39,3 +39,12 @@ def dates_between(st, start: str, days: int, cols=("d_date_sk",)) -> DataFrame:
 
 def zip5(c: str) -> Column:
     return F.substring(F.col(c), 1, 5)
+
+
+def demographics(st, *cols):
+    """The customer demographics (1,920,800 rows), never sent whole to every task.
+
+    Its file is small enough to look like a broadcast side, its rows are not.
+    """
+    cd = st.customer_demographics
+    return (cd.select(*cols) if cols else cd).hint("merge")

@@ -6,7 +6,7 @@ and the 18-relation cross-sales comparison (q64).
 from __future__ import annotations
 
 from shelfline.functions.money import stddev_samp_exact
-from shelfline.plans.catalog.common import (B, F, avg_exact, order, star_query, topk)
+from shelfline.plans.catalog.common import (B, F, avg_exact, demographics, order, star_query, topk)
 
 
 def _demo_geo_sales(st, year):
@@ -16,7 +16,7 @@ def _demo_geo_sales(st, year):
     dt = st.date_dim.filter(F.col("d_year") == year).select("d_date_sk")
     return (st.store_sales.join(B(dt), F.col("ss_sold_date_sk") == dt.d_date_sk)
             .join(B(st.store.select("s_store_sk")), F.col("ss_store_sk") == F.col("s_store_sk"))
-            .join(st.customer_demographics.select("cd_demo_sk", "cd_marital_status", "cd_education_status"),
+            .join(demographics(st, "cd_demo_sk", "cd_marital_status", "cd_education_status"),
                   F.col("ss_cdemo_sk") == F.col("cd_demo_sk"))
             .join(st.customer_address.select("ca_address_sk", "ca_country", "ca_state"),
                   F.col("ss_addr_sk") == F.col("ca_address_sk")))
@@ -246,7 +246,7 @@ def q84(st, city="Edgewood", income_lo=38128):
     ca = st.customer_address.filter(F.col("ca_city") == city).select("ca_address_sk")
     c = (st.customer.join(ca, F.col("c_current_addr_sk") == ca.ca_address_sk)
          .join(B(hd), F.col("c_current_hdemo_sk") == hd.hd_demo_sk)
-         .join(st.customer_demographics.select("cd_demo_sk"), F.col("c_current_cdemo_sk") == F.col("cd_demo_sk")))
+         .join(demographics(st, "cd_demo_sk"), F.col("c_current_cdemo_sk") == F.col("cd_demo_sk")))
     # a customer appears once for each return of its demographic: counted first, and
     # only the customers that can reach the first 100 rows are expanded
     n = st.store_returns.where("sr_cdemo_sk IS NOT NULL").groupBy("sr_cdemo_sk").agg(F.count(F.lit(1)).alias("n_returns"))
@@ -272,8 +272,7 @@ def _cross_sales(st, colors, price_lo):
     it = st.item.filter(F.col("i_color").isin(*colors) & F.col("i_current_price").between(price_lo, price_lo + 10)
                         & F.col("i_current_price").between(price_lo + 1, price_lo + 15)).select("i_item_sk", "i_product_name")
     d = lambda a: st.date_dim.select(F.col("d_date_sk").alias(f"{a}_sk"), F.col("d_year").alias(f"{a}_year"))
-    cd = lambda a: st.customer_demographics.select(F.col("cd_demo_sk").alias(f"{a}_sk"),
-                                                   F.col("cd_marital_status").alias(f"{a}_ms"))
+    cd = lambda a: demographics(st, F.col("cd_demo_sk").alias(f"{a}_sk"), F.col("cd_marital_status").alias(f"{a}_ms"))
     hd = lambda a: st.household_demographics.select(F.col("hd_demo_sk").alias(f"{a}_sk"),
                                                     F.col("hd_income_band_sk").alias(f"{a}_ib"))
     ad = lambda a: st.customer_address.select(F.col("ca_address_sk").alias(f"{a}_sk"),

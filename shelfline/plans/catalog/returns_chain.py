@@ -11,7 +11,7 @@ from __future__ import annotations
 from shelfline.functions.grouping import grouping_levels, rollup
 from shelfline.functions.money import round_ratio2, stddev_samp_exact
 from shelfline.functions.ranking import ranked
-from shelfline.plans.catalog.common import (B, F, avg_exact, dates_between, order,
+from shelfline.plans.catalog.common import (B, F, avg_exact, dates_between, demographics, order,
                                              star_query, topk)
 
 
@@ -370,16 +370,16 @@ def q85(st, year=2000):
                              "ws_sales_price", "ws_net_profit")
     wr = st.web_returns.select("wr_item_sk", "wr_order_number", "wr_refunded_cdemo_sk", "wr_returning_cdemo_sk",
                                "wr_refunded_addr_sk", "wr_reason_sk", "wr_refunded_cash", "wr_fee")
-    cd1 = st.customer_demographics.select(F.col("cd_demo_sk").alias("cd1_sk"), F.col("cd_marital_status").alias("m1"),
-                                          F.col("cd_education_status").alias("e1"))
-    cd2 = st.customer_demographics.select(F.col("cd_demo_sk").alias("cd2_sk"), F.col("cd_marital_status").alias("m2"),
-                                          F.col("cd_education_status").alias("e2"))
+    cd1 = demographics(st, F.col("cd_demo_sk").alias("cd1_sk"), F.col("cd_marital_status").alias("m1"),
+                       F.col("cd_education_status").alias("e1"))
+    cd2 = demographics(st, F.col("cd_demo_sk").alias("cd2_sk"), F.col("cd_marital_status").alias("m2"),
+                       F.col("cd_education_status").alias("e2"))
     ca = st.customer_address.select("ca_address_sk", "ca_country", "ca_state")
     j = (ws.join(B(dt), ws.ws_sold_date_sk == dt.d_date_sk)
            .join(B(st.web_page.select("wp_web_page_sk")), ws.ws_web_page_sk == F.col("wp_web_page_sk"))
            .join(wr, (ws.ws_item_sk == wr.wr_item_sk) & (ws.ws_order_number == wr.wr_order_number))
-           .join(B(cd1), wr.wr_refunded_cdemo_sk == cd1.cd1_sk)
-           .join(B(cd2), wr.wr_returning_cdemo_sk == cd2.cd2_sk)
+           .join(cd1, wr.wr_refunded_cdemo_sk == cd1.cd1_sk)
+           .join(cd2, wr.wr_returning_cdemo_sk == cd2.cd2_sk)
            .join(ca, wr.wr_refunded_addr_sk == ca.ca_address_sk)
            .join(B(st.reason.select("r_reason_sk", "r_reason_desc")), wr.wr_reason_sk == F.col("r_reason_sk")))
     price, profit = F.col("ws_sales_price"), F.col("ws_net_profit")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from shelfline.functions.grouping import grouping_levels, rollup
 from shelfline.functions.money import rdiv
-from shelfline.plans.catalog.common import B, F, avg_exact, star_query, topk
+from shelfline.plans.catalog.common import B, F, avg_exact, demographics, star_query, topk
 
 
 def _buyers(st, fact, p, cust, dates):
@@ -55,7 +55,7 @@ def _active_customers(st, counties_or_states, by, period_ss, period_other, other
     c = st.customer.select("c_customer_sk", "c_current_addr_sk", "c_current_cdemo_sk")
     ca = st.customer_address if by is None else st.customer_address.filter(F.col(by).isin(*counties_or_states))
     ca = ca.select("ca_address_sk", "ca_state")
-    cd = st.customer_demographics
+    cd = demographics(st)
     base = (c.join(ca, c.c_current_addr_sk == ca.ca_address_sk)
              .join(cd, F.col("cd_demo_sk") == c.c_current_cdemo_sk))
     store_b = _buyers(st, "store_sales", "ss", "ss_customer_sk", period_ss)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from shelfline.functions.grouping import grouping_levels, rollup
 from shelfline.functions.money import avg_exact
-from shelfline.plans.catalog.common import (B, DataFrame, F, Window, dates_between, order, star_query,
+from shelfline.plans.catalog.common import (B, DataFrame, F, Window, dates_between, demographics, order, star_query,
                                              topk)
 
 
@@ -103,13 +103,13 @@ def _q18_detail(st, gender, education, months, year, states):
         "c_customer_sk", "c_current_cdemo_sk", "c_current_addr_sk", "c_birth_year")
     ca = st.customer_address.filter(F.col("ca_state").isin(*states)).select(
         "ca_address_sk", "ca_country", "ca_state", "ca_county")
-    cd2 = st.customer_demographics.select(F.col("cd_demo_sk").alias("cd2_sk"))
+    cd2 = demographics(st, F.col("cd_demo_sk").alias("cd2_sk"))
     cs = st.catalog_sales.select("cs_sold_date_sk", "cs_item_sk", "cs_bill_cdemo_sk", "cs_bill_customer_sk",
                                  "cs_quantity", "cs_list_price", "cs_coupon_amt", "cs_sales_price", "cs_net_profit")
     return (cs.join(B(dt), cs.cs_sold_date_sk == dt.d_date_sk)
               .join(B(cd1), cs.cs_bill_cdemo_sk == cd1.cd_demo_sk)
               .join(c, cs.cs_bill_customer_sk == c.c_customer_sk)
-              .join(B(cd2), c.c_current_cdemo_sk == cd2.cd2_sk)
+              .join(cd2, c.c_current_cdemo_sk == cd2.cd2_sk)
               .join(ca, c.c_current_addr_sk == ca.ca_address_sk)
               .join(st.item.select("i_item_sk", "i_item_id"), cs.cs_item_sk == F.col("i_item_sk")))
 
