@@ -18,10 +18,14 @@ are judged on the input. The work is split into shards as follows.
    ``length`` bytes form one block; all but its earliest window repeat.
 3. *Across shards.* The windows that are first in their shard are sent, as the
    stretch around their anchor, to the task of the anchor's hash. A shard sends
-   a stretch once however often it holds it, so a common passage arrives once
-   per shard. There the stretches come in document order; equal ones are known
-   by their bytes, and the windows of different ones are merged by binary
-   search in the sorted windows seen so far.
+   a window once however often it holds it. There the stretches come in
+   document order; equal ones are known by their bytes, and the windows of
+   different ones are merged by binary search in the sorted windows seen so
+   far. An anchor with over ``HOT_STRETCHES`` stretches (a common line has
+   another context in every document) does not go to one task: its windows are
+   dealt out by a 128-bit digest of their bytes and meet in two rounds, first
+   the copies of one window among one of ``SALTS`` parts of the documents, then
+   the earliest of each part.
 4. The marks of both steps meet the text of their document, which is cut.
 
 Windows never cross documents and a document may be cut over many shards (at
@@ -35,6 +39,8 @@ columns pass through; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -47,6 +53,8 @@ GRAM = 24
 SLICE_BYTES = 2 << 20
 SHARD_BYTES = 1 << 21           # positions of a shard fit 21 bits (see suffix_array)
 FILTER_BITS = 1 << 26
+HOT_STRETCHES = 1024            # of one anchor that go to one task
+SALTS = 64
 FIRST_ID = -(1 << 63)
 
 
@@ -261,9 +269,13 @@ class _Shard:
         # the last length - 1 places of a part are no windows, so no run of marks crosses parts
         first, last = true_runs(repeat)
         k = np.searchsorted(starts, first, side="right") - 1
-        fresh = np.concatenate(([0], np.cumsum(~repeat)))
-        new = fresh[end + 1] > fresh[begin]                          # some window is first in this shard
-        begin, end, h = begin[new], end[new], h[new]
+        fresh = edge[:-1].cumsum(dtype=np.int8) > 0                  # windows that are first in this shard
+        fresh &= ~repeat
+        head = fresh & ~np.concatenate(([False], fresh[:-1]))
+        head[begin] = fresh[begin]
+        tail = fresh & np.concatenate((head[1:] | ~fresh[1:], [True]))
+        run = np.searchsorted(begin, np.flatnonzero(head), side="right") - 1
+        begin, end, h = np.flatnonzero(head), np.flatnonzero(tail), h[run]
         j = np.searchsorted(starts, begin, side="right") - 1
         raw = text.tobytes()
         bodies = [raw[x:y] for x, y in zip(begin.tolist(), (end + length).tolist())]
@@ -421,6 +433,93 @@ def _marks(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "tag", "start", "last"])
 
 
+def _window_digests(stretches: DataFrame, length: int) -> DataFrame:
+    """(d1, d2, id, tag, start): every window of every stretch, by the digest of its bytes."""
+    @tidy
+    def run(batches):
+        digests, where, load = [], [], 0
+
+        def made():
+            d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            n = [w[3] for w in where]
+            i, t = (np.repeat(np.array([w[k] for w in where], np.int64), n) for k in range(2))
+            start = np.concatenate([np.arange(w[2], w[2] + w[3], dtype=np.int64) for w in where])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (d[:, 0].copy(), d[:, 1].copy(), i, t, start)],
+                                              names=["d1", "d2", "id", "tag", "start"])
+
+        for b in batches:
+            for i, t, a, body in zip(*(b.column(k).to_pylist() for k in range(4))):
+                n = len(body) - length + 1
+                digests += [hashlib.blake2b(body[k:k + length], digest_size=16).digest() for k in range(n)]
+                where.append((i, t, a, n))
+                load += n
+                if load >= WINDOWS_AT_ONCE:
+                    yield made()
+                    digests, where, load = [], [], 0
+        if where:
+            yield made()
+
+    return stretches.select("id", "tag", "start", "body").mapInArrow(run, "d1 long, d2 long, id long, tag long, start long")
+
+
+def _meeting(rows: DataFrame, *group: str) -> DataFrame:
+    """The rows (d1, d2, id, tag, start, mark) with ``mark`` where the group has the window earlier.
+
+    Marks of before pass, spread by a hash of their own. A group is read in
+    document order and only its first row is kept in mind.
+    """
+    names = ["d1", "d2", "id", "tag", "start", "mark"]
+    spread = lambda c: F.when(F.col("mark"), F.xxhash64("id", "start")).otherwise(F.col(c)).alias(c)
+    salt = [F.pmod(F.xxhash64("id", "tag"), F.lit(SALTS)).alias(c) for c in group if c == "salt"]
+
+    @tidy
+    def run(batches):
+        last = None
+        for b in batches:
+            cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(b.num_columns)]
+            if not len(cols[0]):
+                continue
+            if last is not None:
+                cols = [np.concatenate(([x], c)) for x, c in zip(last, cols)]
+            new = np.zeros(len(cols[0]), bool)
+            new[0] = True
+            for c in (cols[0], cols[1], *cols[5:]):               # the digest, the mark, the salt
+                new[1:] |= c[1:] != c[:-1]
+            first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            old = cols[5].astype(bool)
+            # a row at the place of its group's first is the same document again
+            later = np.logical_or.reduce([c != c[first] for c in cols[2:5]]) & ~old
+            keep = new | later | old
+            carried = [c[first[-1]] for c in cols]
+            if last is not None:
+                keep[0] = False
+            last = carried
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols[:5]] + [pa.array((later | old)[keep])], names=names)
+
+    return (rows.select(spread("d1"), spread("d2"), "id", "tag", "start", "mark", *salt).repartition(*group)
+            .sortWithinPartitions("mark", *group, "id", "tag", "start")
+            .mapInArrow(run, "d1 long, d2 long, id long, tag long, start long, mark boolean"))
+
+
+def _across_hot(stretches: DataFrame, length: int) -> DataFrame:
+    """Marks (id, tag, start, last) of stretches whose anchors are too common for one task."""
+    rows = _window_digests(stretches, length).withColumn("mark", F.lit(False))
+    met = _meeting(_meeting(rows, "d1", "d2", "salt"), "d1", "d2")
+    return met.where("mark").select("id", "tag", "start", F.col("start").alias("last"))
+
+
+def _all_marks(sent: DataFrame, length: int) -> DataFrame:
+    """Marks of the shards and across them; no task gets more than ``HOT_STRETCHES`` stretches of one anchor."""
+    sent = stored(sent, "suffix-sent")
+    stretches = sent.where("body IS NOT NULL")
+    done = sent.where("body IS NULL").select("id", "tag", "start", "last")
+    hot = stored(stretches.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_STRETCHES).select("h"), "suffix-hot")
+    if hot.isEmpty():
+        return done.union(_across(stretches, length))
+    cold = stretches.join(hot, "h", "left_anti").select(*SENT.names)
+    return done.union(_across(cold, length)).union(_across_hot(stretches.join(hot, "h", "left_semi"), length))
+
+
 # ---------------------------------------------------------------- the operator
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100,
@@ -428,7 +527,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: in
     """(id, tag, marks): the runs of window starts that repeat, for documents that have any."""
     keyed = _keyed(docs, key, text)
     words = docs.sparkSession.sparkContext.broadcast(_filter(keyed, length, filter_bits))
-    return (_across(_shards(keyed, length, filter_bits, words), length).groupBy("id", "tag")
+    return (_all_marks(_shards(keyed, length, filter_bits, words), length).groupBy("id", "tag")
             .agg(F.sort_array(F.collect_set(F.struct("start", "last"))).alias("marks")))
 
 

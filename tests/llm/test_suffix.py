@@ -153,3 +153,32 @@ def test_copies_are_emptied(spark):
     got = S.remove_repeats(docs)
     assert got.where("doc_id % 3 = 0 AND length(kept) = 0 AND n_spans = 1").count() == 999
     assert got.where("length(kept) = octet_length(text) AND n_spans = 0").count() == 2001
+
+
+def test_common_line_in_every_document(spark, documents, monkeypatch):
+    """A short common line has another context in every document: its anchor must not fill one task."""
+    monkeypatch.setattr(S, "HOT_STRETCHES", 100, raising=False)
+    line, passage = "a line of 50 bytes that each document has somewhere", " ".join(f"passage{k}" for k in range(30))
+    own = lambda k: hashlib.sha256(str(k).encode()).hexdigest()
+    docs = [(k, f"{own(k)} {own(-k)} {line} {own(k + 9000)} {own(k + 99000)}" + (f" {passage} {own(k % 40)}{line}{own(k % 50)}" if k % 3 else ""))
+            for k in range(600)]
+    sizes, real = [], S._across
+
+    def across(sent, length):
+        sizes.append(sent.where("body IS NOT NULL").groupBy("h").count().agg(F.max("count")).first()[0] or 0)
+        return real(sent, length)
+    monkeypatch.setattr(S, "_across", across)
+    rows = S.remove_repeats(documents(docs).repartition(40)).collect()
+    want = brute(docs)
+    assert {r.doc_id: (r.n_spans, bytes(r.kept)) for r in rows} == {i: v[2:] for i, v in want.items()}
+    assert max(sizes) <= 100
+
+
+def test_every_anchor_hot(spark, documents, monkeypatch):
+    """All windows by their digests: the same marks, copies of one row included."""
+    monkeypatch.setattr(S, "HOT_STRETCHES", 0, raising=False)
+    docs = made(4)
+    want = brute(sorted(docs))
+    rows = S.remove_repeats(documents(docs + docs[:5]).repartition(7)).collect()
+    assert len(rows) == len(docs) + 5
+    assert all((r.n_spans, bytes(r.kept)) == want[r.doc_id][2:] for r in rows)
