@@ -32,8 +32,12 @@ from pyspark.sql import functions as F
 from shelfline.llm.common import byte_slices, free_name, stored, tidy, value_bytes
 
 #: 1: the position counts, 0: it is ignored. For any two substitutions inside 13
-#: aligned tokens, some mask at some offset ignores both.
-MASKS = ("10110110101", "10001111011", "11111001001", "11010100111")
+#: aligned tokens, some mask of the first four at some offset ignores both. With
+#: the others this holds for every stretch of 11 to 29 tokens that begins and
+#: ends equal with at most a fifth substituted, so for longer ones too: cut into
+#: parts of 15 to 29 tokens, some part has at most a fifth.
+MASKS = ("10110110101", "10001111011", "11111001001", "11010100111", "11110111000", "11100011101", "10010011111",
+         "11111100001", "10101101110", "11001110101", "11111010100")
 SPAN = 11
 MIN_TOKENS = 13
 MIN_SHARE = 0.8

@@ -85,3 +85,23 @@ def test_edges_of_the_input(spark, documents):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 5, 7]
     assert D.contaminated(documents([]), test).count() == 0
     assert D.contaminated(docs, test.limit(0)).count() == 0 and D.without_contaminated(docs, test.limit(0)).count() == docs.count()
+
+
+def test_masks_find_every_good_stretch():
+    """Every way to substitute a fifth of 11 to 29 tokens (the ends equal) leaves some mask a place."""
+    masks = [sum(1 << i for i, c in enumerate(m) if c == "1") for m in D.MASKS]
+    for n in range(11, 30):
+        gone = np.array([sum(1 << x for x in c) for c in itertools.combinations(range(1, n - 1), n // 5)])
+        found = np.zeros(len(gone), bool)
+        for m in masks:
+            for o in range(n - D.SPAN + 1):
+                found |= gone >> o & m == 0
+        assert found.all()
+
+
+def test_three_substitutions_in_fifteen(spark, documents):
+    item = [f"w{k}" for k in range(15)]
+    part = [w if k not in (3, 7, 11) else "other" for k, w in enumerate(item)]
+    test = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = D.contaminated(documents([(7, "a b c " + " ".join(part) + " d e f")]), test).collect()
+    assert [(r.row_id, r.n_tokens, r.n_equal) for r in got] == [(7, 15, 12)]
