@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-Texts become tokens (maximal runs of ASCII letters and digits or bytes above
-127, ASCII letters in lower case). Fixed masks of ``SPAN`` tokens hash the
+Texts are normalised (Unicode's NFKC, lower case, ß as ss; a character above
+127 that is no letter, mark or number is a blank) and become tokens (maximal
+runs of letters, digits and marks). Fixed masks of ``SPAN`` tokens hash the
 positions they name and ignore the others, so a hash survives substituted
 tokens at ignored positions. Training hashes meet the test hashes in a join;
 around every hit the aligned tokens of both sides are compared, and the hit
@@ -26,6 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,6 +92,17 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _mix(h + (end - start).astype(np.uint64)), np.searchsorted(start, off)
 
 
+def folded(texts: pa.Array) -> pa.Array:
+    """Texts in one letter case and Unicode form, with blanks for separators above 127; ASCII ones are left to ``tokens``."""
+    plain = pc.string_is_ascii(texts)
+    if pc.all(plain).as_py() is not False:
+        return texts
+    # composed once more: the lower case of a letter may be several characters
+    low = pc.utf8_normalize(pc.utf8_lower(pc.utf8_normalize(texts, "NFKC")), "NFKC")
+    low = pc.replace_substring(pc.replace_substring(low, "ß", "ss"), "ς", "σ")
+    return pc.replace_substring_regex(low, r"[^\x00-\x7F\pL\pM\pN]+", " ")
+
+
 def seeds(tok: np.ndarray, off: np.ndarray, mask: str, number: int) -> tuple[np.ndarray, np.ndarray]:
     """(position, hash) of ``mask`` at every place where it fits into one document."""
     span = len(mask)
@@ -107,7 +120,7 @@ def seeds(tok: np.ndarray, off: np.ndarray, mask: str, number: int) -> tuple[np.
 
 def _common(df: DataFrame, key: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
-    return df.select(F.col(key).cast("long").alias("row_id"), F.xxhash64(body).alias("row_tag"), body.alias("body"))
+    return df.select(F.col(key).cast("long").alias("row_id"), F.xxhash64(body).alias("row_tag"), F.make_valid_utf8(body).alias("body"))
 
 
 def _items(test: DataFrame, key: str, text: str) -> DataFrame:
@@ -115,7 +128,7 @@ def _items(test: DataFrame, key: str, text: str) -> DataFrame:
     @tidy
     def run(batches):
         for b in byte_slices(batches, "body", SLICE_BYTES):
-            tok, off = tokens(*value_bytes(b.column(2)))
+            tok, off = tokens(*value_bytes(folded(b.column(2))))
             rows = np.flatnonzero(np.diff(off))
             toks = [tok[off[k]:off[k + 1]].tobytes() for k in rows.tolist()]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows)), b.column(1).take(pa.array(rows)),
@@ -173,7 +186,7 @@ def _stretches(keyed: DataFrame, passes, short: list[int]) -> DataFrame:
     def run(batches):
         bits = passes.value
         for b in byte_slices(batches, "body", SLICE_BYTES):
-            tok, off = tokens(*value_bytes(b.column(2)))
+            tok, off = tokens(*value_bytes(folded(b.column(2))))
             found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
             for number, mask in masks:
                 at, h = seeds(tok, off, mask, number)

@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+import unicodedata
 
 import numpy as np
 
@@ -105,3 +106,12 @@ def test_three_substitutions_in_fifteen(spark, documents):
     test = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     got = D.contaminated(documents([(7, "a b c " + " ".join(part) + " d e f")]), test).collect()
     assert [(r.row_id, r.n_tokens, r.n_equal) for r in got] == [(7, 15, 12)]
+
+
+def test_letter_case_and_punctuation_of_unicode(spark, documents):
+    item = "déjà vu à l été où naïve Größe señor über çà fête château forêt élève"
+    test = spark.createDataFrame([(1, item)], "item_id long, text string")
+    apart = "\u201c" + item.replace(" ", "\u00a0\u2014") + "\u201d"
+    forms = [item.upper(), apart, unicodedata.normalize("NFD", item), "x " + item.title() + "\u2026 y", "nothing of this kind"]
+    got = D.contaminated(documents(list(enumerate(forms))), test).collect()
+    assert {(r.row_id, r.n_tokens, r.n_equal) for r in got} == {(k, 15, 15) for k in range(4)}
