@@ -6,7 +6,9 @@ or more are quoted passages, the others are the message's own text. Passages
 are normalised (lower case, runs of white space as one blank) and hashed, and
 so are the whole own text of every message, its paragraphs and its lines. A
 passage joins the latest earlier message of its conversation whose own text
-holds its hash. A message answers the origin of its least nested linked
+holds its hash. A passage of several lines may also be a trimmed quote: the
+messages of its conversation hash every run of as many lines (blank ones left
+out), and it joins the latest that holds its lines in a row. A message answers the origin of its least nested linked
 passage (the latest of several); messages that answer each other, directly or
 over others, are one thread. Conversations are laid out in reply order: by
 thread (its first turn), then by turn, so every message follows the one it
@@ -76,11 +78,27 @@ def blocks(text: str) -> list[tuple[int, str]]:
     return [(d, "\n".join(x)) for d, x in out if d == 0 or any(y.strip() for y in x)]
 
 
+def full_lines(text: str) -> list[str]:
+    """The normalised lines that are not blank."""
+    return [x for x in map(normal, text.split("\n")) if x]
+
+
+def run_hashes(own: str, sizes) -> list[str]:
+    """Hashes of the runs of ``own``'s lines that have one of ``sizes`` lines, as ``digest`` makes them of a quote."""
+    lines = full_lines(own)
+    return sorted({digest(" ".join(lines[k:k + n])) for n in sizes for k in range(len(lines) - n + 1)})
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def runs_udf(own: pd.Series, sizes: pd.Series) -> pd.Series:
+    return pd.Series([run_hashes(x, s) for x, s in zip(own, sizes)])
+
+
 def parsed(text: str) -> dict:
     """Own text, quoted passages (place, level, hash) and the hashes that others can quote."""
     found = blocks(text)
     own = re.sub(r"\n{3,}", "\n\n", "\n".join(x for d, x in found if d == 0)).strip()
-    quotes = [{"place": k, "depth": d, "hash": digest(x), "text": x} for k, (d, x) in enumerate((d, x) for d, x in found if d)]
+    quotes = [{"place": k, "depth": d, "hash": digest(x), "text": x, "lines": len(full_lines(x))} for k, (d, x) in enumerate((d, x) for d, x in found if d)]
     parts = [own, *re.split(r"\n[ \t]*\n", own), *own.split("\n")]
     return {"own": own, "quotes": quotes, "hashes": sorted({h for h in map(digest, parts) if h})}
 
@@ -88,7 +106,8 @@ def parsed(text: str) -> dict:
 PARSED = T.StructType([
     T.StructField("own", T.StringType()),
     T.StructField("quotes", T.ArrayType(T.StructType([T.StructField("place", T.IntegerType()), T.StructField("depth", T.IntegerType()),
-                                                      T.StructField("hash", T.StringType()), T.StructField("text", T.StringType())]))),
+                                                      T.StructField("hash", T.StringType()), T.StructField("text", T.StringType()),
+                                                      T.StructField("lines", T.IntegerType())]))),
     T.StructField("hashes", T.ArrayType(T.StringType()))])
 
 
@@ -142,6 +161,13 @@ def linked(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
     quoted = (found.select("conv", "at", "node", F.explode("quotes").alias("q"))
               .select("conv", "at", "node", F.col("q.depth").alias("depth"), F.col("q.hash").alias("hash")))
     sources = found.select("conv", "at", "node", F.explode("hashes").alias("hash"))
+    # only the sizes that some passage of the conversation has, two lines or more
+    sizes = stored(found.select("conv", F.explode("quotes.lines").alias("n")).where("n > 1").groupBy("conv")
+                   .agg(F.collect_set("n").alias("sizes")), "quotes-sizes")
+    if not sizes.isEmpty():
+        own, s = found.select("conv", "at", "node", "own").alias("m"), sizes.alias("s")
+        runs = own.join(s, F.col("m.conv").eqNullSafe(F.col("s.conv"))).select("m.conv", "m.at", "m.node", F.explode(runs_udf("m.own", "s.sizes")).alias("hash"))
+        sources = sources.union(runs)
     a, b = quoted.alias("a"), origins(quoted, sources).alias("b")
     met = a.join(b, F.col("a.conv").eqNullSafe(F.col("b.conv")) & (F.col("a.hash") == F.col("b.hash")) & (F.col("a.at") == F.col("b.at")))
     per = stored(met.groupBy("a.node").agg(

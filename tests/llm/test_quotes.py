@@ -101,3 +101,15 @@ def test_one_conversation_holds_a_third(spark):
     got = Q.linked(df)
     assert got.where("conv = 0 AND n_linked = 1").count() == 1000
     assert got.where("conv = 0 AND n_linked = 1 AND reply_turn = turn - 3").count() == 1000
+
+
+def test_trimmed_quotes(spark):
+    """Two of three paragraphs, or two of three lines of one, link to the latest message that holds them in a row."""
+    text = "First line\nsecond line\nthird line\n\nNext paragraph\n\nLast paragraph"
+    rows = [(1, 1, "user", text), (1, 2, "user", "x\n" + text + "\ny"), (1, 3, "user", "second line\nother\nthird line"),
+            (1, 4, "user", "> second line\n> third line\nyes"), (1, 5, "user", "> Next paragraph\n>\n> Last paragraph\nno"),
+            (1, 6, "user", "> First line\n> third line\nnot in a row"), (1, 7, "user", "> > third line\n> >\n> > next  paragraph\nthree"),
+            (2, 8, "user", "> second line\n> third line\nelsewhere"), (None, 1, "user", text), (None, 2, "user", "> first line\n> second line\nok")]
+    got = {(r.conv, r.turn): (r.reply_turn, r.n_quotes, r.n_linked) for r in Q.linked(spark.createDataFrame(rows, COLS)).collect()}
+    assert got[1, 4] == got[1, 5] == got[1, 7] == (2, 1, 1)
+    assert got[1, 6] == got[2, 8] == (None, 1, 0) and got[None, 2] == (1, 1, 1)
