@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import arc, bpe, decontam, quality, quotes, shards, simhash, sketch, suffix, tokens
-from shelfline.llm.common import read_table, stored
+from shelfline.llm.common import read_table
 
 
 def op1_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,11 +57,11 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of near-equal bytes, equal texts side by side."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    rows = stored(read_table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(body).cast("long") + 1).alias("size"), F.crc32(body).alias("text_crc32"),
-        F.xxhash64(body).alias("text_hash")), "shard-rows")
-    out = shards.histogram_shards(rows, F.col("text_hash"), "doc_id", F.col("size"), 16)
-    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+    size = F.octet_length(body).cast("long") + 1
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = shards.histogram_shards(docs, F.xxhash64(body), "doc_id", size, 16)
+    # the digests are those of the sharded rows
+    return out.select("doc_id", size.alias("size"), F.crc32(body).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -85,3 +85,15 @@ def test_edges_of_the_input(spark, documents):
     assert len(rows) == 5 and len({(r.shard, r.slot) for r in rows}) == 5
     assert len({r.shard for r in rows if r.doc_id == 3}) == 1
     assert S.histogram_shards(docs.limit(0), F.xxhash64(body), "doc_id", F.octet_length(body) + 1).count() == 0
+
+
+def test_query_puts_the_texts_into_shards(spark, monkeypatch):
+    got, real = [], S.histogram_shards
+
+    def sharded(df, *args):
+        got.append(real(df, *args))
+        return got[-1]
+    monkeypatch.setattr(S, "histogram_shards", sharded)
+    rows = E.queries()["op5_histogram_shards"](spark, SF_CHECK)
+    docs = {(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect()}
+    assert "text" in got[0].columns and {(r.doc_id, r.text) for r in got[0].collect()} == docs and rows.count() == len(docs)
