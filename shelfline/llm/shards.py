@@ -79,8 +79,7 @@ def _histogram(df: DataFrame, keys: list[tuple[int, int]]) -> list[tuple]:
     return out
 
 
-def splitters(df: DataFrame, shards: int, tolerance: float = TOLERANCE, probes: int = PROBES,
-              max_rounds: int = 60) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+def splitters(df: DataFrame, shards: int, tolerance: float = TOLERANCE, probes: int = PROBES) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """(keys, counts) for rows ``df(a, b, w)`` of two long keys and a weight.
 
     ``keys`` are ``shards - 1`` sorted keys, the first of its shard each (a
@@ -95,7 +94,7 @@ def splitters(df: DataFrame, shards: int, tolerance: float = TOLERANCE, probes:
     # exact (bytes, rows) below a key; a target lies between two neighbours
     known = {(low[0], LOW): (0, 0), after(high): (total, rows)}
     single = set()                                          # least keys of intervals without a second key
-    for _ in range(max_rounds):
+    while True:
         order = sorted(known)
         ranks = [known[k][0] for k in order]
         open_ = []
@@ -104,9 +103,11 @@ def splitters(df: DataFrame, shards: int, tolerance: float = TOLERANCE, probes:
             i = max(j - 1, 0)
             if min(abs(ranks[i] - t), abs(ranks[j] - t)) > slack and order[i] not in single:
                 open_.append((order[i], order[j]))
-        open_ = sorted(set(open_))[:PROBES_A_ROUND // 3]    # the others wait for a later round
+        open_ = sorted(set(open_))
         if not open_:
             break
+        open_ = open_[::-(-len(open_) // (PROBES_A_ROUND // 3))]      # spread over all; the others wait for a later round
+        before = len(known) + len(single)
         each = max(2, min(probes, PROBES_A_ROUND // len(open_)))
         keys = sorted({k for lo, hi in open_ for k in (lo, *between(lo, hi, each), hi)})
         w, n = 0, 0
@@ -119,6 +120,8 @@ def splitters(df: DataFrame, shards: int, tolerance: float = TOLERANCE, probes:
                 if lo == hi:
                     single.add(start)
             w, n = w + x, n + y
+        if len(known) + len(single) == before:
+            raise RuntimeError("splitters did not settle")
     order = sorted(known)
     ranks = [known[k][0] for k in order]
     keys = []

@@ -97,3 +97,17 @@ def test_query_puts_the_texts_into_shards(spark, monkeypatch):
     rows = E.queries()["op5_histogram_shards"](spark, SF_CHECK)
     docs = {(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").collect()}
     assert "text" in got[0].columns and {(r.doc_id, r.text) for r in got[0].collect()} == docs and rows.count() == len(docs)
+
+
+def test_every_splitter_settles(spark, monkeypatch):
+    """Few probes a round mean more than 60 rounds; every splitter still meets the tolerance."""
+    monkeypatch.setattr(S, "PROBES_A_ROUND", 6)
+    rounds, real = [], S._histogram
+    monkeypatch.setattr(S, "_histogram", lambda df, keys: rounds.append(1) or real(df, keys))
+    df = spark.range(50_000).select(F.xxhash64("id").alias("a"), F.col("id").alias("b"), F.lit(1).cast("long").alias("w")).coalesce(2).cache()
+    _, counts = S.splitters(df, 70, 0.02)
+    at = 0
+    for k, (w, _) in enumerate(counts[:-1]):
+        at += w
+        assert abs(at - 50_000 * (k + 1) / 70) <= 0.02 * 50_000 / 70
+    assert len(rounds) > 61
