@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import arc, bpe, decontam, quality, quotes, shards, simhash, sketch, suffix, tokens
+from shelfline.llm import arc, audit, bpe, decontam, quality, quotes, shards, simhash, sketch, suffix, tokens
 from shelfline.llm.common import read_table
 
 
@@ -101,8 +101,45 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, for every source."""
+    failed = audit.failures(read_table(spark, sf_dir, "documents"))
+    return audit.interactions(failed, read_table(spark, sf_dir, "labels"))
+
+
+#: The words of a text are counted in lists; the orders are 120 strings and their five steps.
+OP13_SQL = """
+WITH RECURSIVE letters(f, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders(o) AS (SELECT f FROM letters UNION ALL SELECT o || f FROM orders, letters WHERE NOT contains(o, f)),
+steps AS (SELECT o, s::INT AS step, (SELECT bit FROM letters WHERE f = substr(o, s::INT, 1)) AS bit,
+                 coalesce((SELECT sum(bit) FROM letters WHERE contains(left(o, s::INT - 1), f)), 0)::INT AS before
+          FROM orders, generate_series(1, 5) g(s) WHERE length(o) = 5),
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) AS good, max((toxic IS NOT DISTINCT FROM 1)::INT) AS toxic
+      FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+             + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
+             + 8 * regexp_matches(text, '[#$%&*|]')::INT
+             + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS mask
+      FROM d LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask)
+SELECT part, o AS filter_order, step,
+       sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+       sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+       sum(CASE WHEN mask & bit <> 0 AND mask & before <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+       sum(CASE WHEN mask = bit THEN n ELSE 0 END)::BIGINT AS unique_fails,
+       sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+       sum(CASE WHEN mask & bit <> 0 AND mask & before = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost,
+       sum(CASE WHEN mask & bit <> 0 THEN n * 120 // bit_count(mask) ELSE 0 END)::BIGINT AS shapley
+FROM c, steps GROUP BY part, o, step
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_ranking, op2_arc_to_warc, op3_quote_linking, op4_suffix_dedup, op5_histogram_shards, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op9_scaled_sketch, op10_bpe_round_trip)}
+    f.__name__: f for f in (op1_quality_ranking, op2_arc_to_warc, op3_quote_linking, op4_suffix_dedup, op5_histogram_shards, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op9_scaled_sketch, op10_bpe_round_trip,
+                             op13_filter_audit)}
 
 #: The others hash, learn, sort suffixes or tokenize in ways that SQL does not express; tests use brute force or the library.
-ORACLE_SQL: dict[str, str] = {"op2_arc_to_warc": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_arc_to_warc": OP2_SQL, "op13_filter_audit": OP13_SQL}
