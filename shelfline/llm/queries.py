@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import arc, audit, bpe, decontam, quality, quotes, shards, simhash, sketch, suffix, tokens
+from shelfline.llm import arc, audit, bpe, decontam, licenses, quality, quotes, shards, simhash, sketch, spelling, suffix, tokens
 from shelfline.llm.common import read_table
 
 
@@ -101,6 +101,24 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    rows = licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("scan.spans")
+    base = F.filter(spans, lambda x: x["exact"])
+    starts = base["start"]
+    joined = lambda c: F.array_join(F.array_sort(F.array_distinct(c["label"])), ",")
+    return rows.select("doc_id", F.col("scan.n_words").alias("n_words"), F.size(base).cast("long").alias("n_base"),
+                       F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                       joined(base).alias("base_labels"), joined(spans).alias("labels"),
+                       F.coalesce(F.array_max(spans["share"]), F.lit(0.0)).alias("score"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their neighbours one edit away, their common form and its root."""
+    return spelling.variants(read_table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove in each of their 120 orders, for every source."""
     failed = audit.failures(read_table(spark, sf_dir, "documents"))
@@ -139,7 +157,7 @@ FROM c, steps GROUP BY part, o, step
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_ranking, op2_arc_to_warc, op3_quote_linking, op4_suffix_dedup, op5_histogram_shards, op6_token_counts, op7_simhash, op8_spaced_seed_decontam, op9_scaled_sketch, op10_bpe_round_trip,
-                             op13_filter_audit)}
+                             op11_license_scan, op12_spelling_variants, op13_filter_audit)}
 
 #: The others hash, learn, sort suffixes or tokenize in ways that SQL does not express; tests use brute force or the library.
 ORACLE_SQL: dict[str, str] = {"op2_arc_to_warc": OP2_SQL, "op13_filter_audit": OP13_SQL}
