@@ -16,20 +16,24 @@ are judged on the input. The work is split into shards as follows.
    ranks of the suffixes behind them, doubling the depth, until every group is
    single), and Kasai's relation gives the common prefixes. Suffixes that share
    ``length`` bytes form one block; all but its earliest window repeat.
-3. *Across shards.* The windows that are first in their shard are sent, as the
-   stretch around their anchor, to the task of the anchor's hash. A shard sends
-   a window once however often it holds it. There the stretches come in
-   document order; equal ones are known by their bytes, and the windows of
-   different ones are merged by binary search in the sorted windows seen so
-   far. An anchor with over ``HOT_STRETCHES`` stretches (a common line has
-   another context in every document) does not go to one task: its windows are
-   dealt out by a 128-bit digest of their bytes and meet in two rounds, first
-   the copies of one window among one of ``SALTS`` parts of the documents, then
-   the earliest of each part.
-4. The marks of both steps meet the text of their document, which is cut.
-
-Windows never cross documents and a document may be cut over many shards (at
-window boundaries), so long texts need no more memory than short ones.
+3. *Across shards.* The windows that are first in their shard go on as runs
+   around an anchor, cut where the anchor's offset in the window passes a
+   multiple of a width. All windows of such an interval share a core: with
+   width 2 all but one byte of a window. Equal windows share their interval and
+   so the core, and the core's hash is the key of a run. The widths of
+   ``WIDTHS`` are taken one after the other, for every run alike: runs whose key
+   occurs once repeat nothing and are done; copies of one run are marked but the
+   earliest, in two rounds (``SALTS`` parts of the documents, then their
+   firsts); the runs that are left are cut by the next width. So only what lies
+   around a difference of two copies gets as far as the last width. There the
+   runs of a key have at most a byte before and one behind the core (65,536
+   different ones), come in document order, and are merged by binary search in
+   the sorted windows seen so far.
+4. The marks of all steps meet the text of their document, which is cut.
+
+Windows never cross documents. A document may be cut over many shards, and a
+text longer than a slice is read in pieces that share ``length - 1`` bytes, so
+long texts need no more working memory than short ones.
 
 Defined cases: a null text is empty; null ids come first in document order;
 rows of one id are ordered by a hash of their text, and rows equal in both are
@@ -39,22 +43,20 @@ columns pass through; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import byte_slices, free_name, stored, tidy, value_bytes
+from shelfline.llm.common import byte_slices, free_name, mixed, range_hashes, stored, tidy, value_bytes
 
 GRAM = 24
 SLICE_BYTES = 2 << 20
 SHARD_BYTES = 1 << 21           # positions of a shard fit 21 bits (see suffix_array)
 FILTER_BITS = 1 << 26
-HOT_STRETCHES = 1024            # of one anchor that go to one task
-SALTS = 64
+WIDTHS = (40, 10, 2)            # of the offsets of an anchor that a run may have; each divides the one before
+SALTS = 16
 FIRST_ID = -(1 << 63)
 
 
@@ -163,11 +165,11 @@ _M = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.u
 
 
 def anchor_runs(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Runs of windows of one document that share an anchor: (document, first start, last start, hash).
+    """Runs of windows of one document that share an anchor: (document, first start, last start, hash, anchor).
 
-    Starts are positions in ``data``. A document names each anchor in one run.
+    Starts and anchors are positions in ``data``. A document names each anchor in one run.
     """
-    none = tuple(np.zeros(0, np.int64) for _ in range(4))
+    none = tuple(np.zeros(0, np.int64) for _ in range(5))
     n = len(data)
     if n < length:
         return none
@@ -204,7 +206,39 @@ def anchor_runs(data: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndar
     doc = np.searchsorted(off, begin, side="right") - 1
     # empty documents share an offset: the last one that starts here holds the bytes
     end = np.minimum(np.concatenate((begin[1:] - 1, [n])), off[doc + 1] - length)
-    return doc, begin, end, h[at[begin]].view(np.int64)
+    return doc, begin, end, h[at[begin]].view(np.int64), at[begin]
+
+
+def interval_runs(begin: np.ndarray, end: np.ndarray, anchor: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """(run, begin, end, interval): the runs cut where the anchor's offset in a window passes a multiple of ``width``."""
+    high, low = (anchor - begin) // width, (anchor - end) // width
+    n = high - low + 1
+    run = np.repeat(np.arange(len(begin)), n)
+    k = high[run] - (np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n))
+    return run, np.maximum(begin[run], anchor[run] - (k * width + width - 1)), np.minimum(end[run], anchor[run] - k * width), k
+
+
+def core_keys(data: np.ndarray, anchor: np.ndarray, interval: np.ndarray, width: int, length: int) -> np.ndarray:
+    """Hash of the bytes that all windows of an interval share."""
+    low = interval * width
+    high = np.minimum(low + width - 1, length - GRAM)
+    h = range_hashes(data, anchor - low, anchor - high + length)
+    return mixed(h ^ interval.astype(np.uint64)).view(np.int64)
+
+
+def pieces(batches, length: int):
+    """(batch, place, data, offsets): slices of documents; a long one comes in pieces that share ``length - 1`` bytes.
+
+    ``place`` is where the piece lies in its document, 0 for whole ones.
+    """
+    for b in byte_slices(batches, "body", SLICE_BYTES):
+        data, off = value_bytes(b.column(b.schema.get_field_index("body")))
+        if b.num_rows > 1 or len(data) <= SLICE_BYTES:
+            yield b, 0, data, off
+            continue
+        for k in range(0, len(data) - length + 1, SLICE_BYTES):
+            part = data[k:k + SLICE_BYTES + length - 1]
+            yield b, k, part, np.array([0, len(part)])
 
 
 def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -218,8 +252,7 @@ def _filter(keyed: DataFrame, length: int, bits: int) -> np.ndarray:
     """Bit map (uint64 words) of the anchor hashes that occur twice or more; ``bits`` is its fixed size."""
     @tidy
     def hashes(batches):
-        for b in byte_slices(batches, "body", SLICE_BYTES):
-            data, off = value_bytes(b.column(0))
+        for _, _, data, off in pieces(batches, length):
             h, n = np.unique(anchor_runs(data, off, length)[3], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["h", "n"])
 
@@ -243,9 +276,9 @@ class _Shard:
     def room(self) -> int:
         return SHARD_BYTES - self.size
 
-    def add(self, who: tuple[int, int], at: int, body: np.ndarray, begin: np.ndarray, end: np.ndarray, h: np.ndarray) -> None:
+    def add(self, who: tuple[int, int], at: int, body: np.ndarray, begin: np.ndarray, end: np.ndarray, anchor: np.ndarray) -> None:
         """``body`` lies at ``at`` in its document; the runs are counted from the start of ``body``."""
-        self.runs.append((begin + self.size, end + self.size, h))
+        self.runs.append((begin + self.size, end + self.size, anchor + self.size))
         self.parts.append((*who, at, body))
         self.size += len(body)
 
@@ -254,7 +287,7 @@ class _Shard:
         text = np.concatenate([p[3] for p in self.parts])
         starts = np.cumsum([0] + [len(p[3]) for p in self.parts])
         ids, tags, at = (np.array([p[k] for p in self.parts], np.int64) for k in range(3))
-        begin, end, h = (np.concatenate([r[k] for r in self.runs]) for k in range(3))
+        begin, end, anchor = (np.concatenate([r[k] for r in self.runs]) for k in range(3))
         self.size, self.parts, self.runs = 0, [], []
         rows = np.lexsort((tags, ids))
         step = (np.diff(ids[rows]) != 0) | (np.diff(tags[rows]) != 0)
@@ -275,7 +308,9 @@ class _Shard:
         head[begin] = fresh[begin]
         tail = fresh & np.concatenate((head[1:] | ~fresh[1:], [True]))
         run = np.searchsorted(begin, np.flatnonzero(head), side="right") - 1
-        begin, end, h = np.flatnonzero(head), np.flatnonzero(tail), h[run]
+        run, begin, end, interval = interval_runs(np.flatnonzero(head), np.flatnonzero(tail), at_run := anchor[run], WIDTHS[0])
+        anchor = at_run[run]
+        h = core_keys(text, anchor, interval, WIDTHS[0], length)
         j = np.searchsorted(starts, begin, side="right") - 1
         raw = text.tobytes()
         bodies = [raw[x:y] for x, y in zip(begin.tolist(), (end + length).tolist())]
@@ -287,7 +322,8 @@ class _Shard:
             [pa.array(both(spread, h)), pa.array(both(ids[k], ids[j])), pa.array(both(tags[k], tags[j])),
              pa.array(both(first + shift[k], begin + shift[j])),
              pa.array(both(last + shift[k], np.zeros(len(begin), np.int64)), mask=~is_mark),
-             pa.array([None] * len(first) + bodies, pa.binary())], schema=SENT)
+             pa.array([None] * len(first) + bodies, pa.binary()),
+             pa.array(both(np.zeros(len(first), np.int32), (anchor - begin).astype(np.int32)))], schema=SENT)
 
 
 def true_runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -297,21 +333,20 @@ def true_runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 SENT = pa.schema([("h", pa.int64()), ("id", pa.int64()), ("tag", pa.int64()), ("start", pa.int64()), ("last", pa.int64()),
-                  ("body", pa.binary())])
+                  ("body", pa.binary()), ("off", pa.int32())])
 
 
 def _shards(keyed: DataFrame, length: int, bits: int, words) -> DataFrame:
-    """Rows with a body are stretches to compare across shards, the others are marks (id, tag, start, last)."""
+    """Rows with a body are runs to compare across shards, the others are marks (id, tag, start, last)."""
     @tidy
     def run(batches):
         shard, passes = _Shard(length), words.value
-        for b in byte_slices(batches, "body", SLICE_BYTES):
+        for b, place, data, off in pieces(batches, length):
             ids, tags = b.column(0).to_numpy(), b.column(1).to_numpy()
-            data, off = value_bytes(b.column(2))
-            doc, begin, end, h = anchor_runs(data, off, length)
+            doc, begin, end, h, anchor = anchor_runs(data, off, length)
             bit = h % bits                                # numpy's modulo is pmod
             hit = (passes[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-            doc, begin, end, h = (x[hit] for x in (doc, begin, end, h))
+            doc, begin, end, anchor = (x[hit] for x in (doc, begin, end, anchor))
             apart = np.flatnonzero((np.diff(doc) != 0) | (begin[1:] != end[:-1] + 1)) + 1
             for k, stop in zip([0, *apart.tolist()] if len(doc) else [], [*apart.tolist(), len(doc)]):
                 while k < stop:                           # runs that join, as many as the shard still takes
@@ -320,13 +355,13 @@ def _shards(keyed: DataFrame, length: int, bits: int, words) -> DataFrame:
                         yield shard.solve()
                         continue
                     d, a, z = doc[k], begin[k], end[k + n - 1] + length
-                    shard.add((ids[d], tags[d]), int(a - off[d]), data[a:z], begin[k:k + n] - a, end[k:k + n] - a, h[k:k + n])
+                    shard.add((ids[d], tags[d]), int(place + a - off[d]), data[a:z], begin[k:k + n] - a, end[k:k + n] - a,
+                              anchor[k:k + n] - a)
                     k += n
         if shard.parts:
             yield shard.solve()
 
-    schema = "h long, id long, tag long, start long, last long, body binary"
-    return keyed.mapInArrow(run, schema)
+    return keyed.mapInArrow(run, "h long, id long, tag long, start long, last long, body binary, off int")
 
 
 # ---------------------------------------------------------------- across shards
@@ -369,11 +404,12 @@ def _across(sent: DataFrame, length: int) -> DataFrame:
     """Marks (id, tag, start, last): those of the shards, and windows that an earlier shard or document has.
 
     Rows arrive sorted by (h, id, tag, start): what is seen first is earliest.
-    Rows of one (id, tag, start) come from rows that are one document.
+    Rows of one document that overlap come from rows that repeat it: a window
+    is looked at once.
     """
     @tidy
     def run(batches):
-        h, known, seen = None, {}, np.zeros(0, f"S{length + 8}")
+        h, known, seen = None, set(), np.zeros(0, f"S{length + 8}")
         waiting, load = [], 0                   # distinct stretches of many hashes, and their windows
 
         def settle():
@@ -395,6 +431,7 @@ def _across(sent: DataFrame, length: int) -> DataFrame:
             return out
 
         first = None                            # the first stretch of the present hash, not yet waiting
+        held, upto = None, 0                    # the present hash and document, and its last window so far
         for b in batches:
             marks = []
             for x, i, t, a, z, body in zip(*(b.column(k).to_pylist() for k in range(6))):
@@ -402,13 +439,16 @@ def _across(sent: DataFrame, length: int) -> DataFrame:
                     marks.append((i, t, a, z))
                     continue
                 if x != h:
-                    h, known, first = x, {}, None
-                where = known.get(body)
-                if where is not None:
-                    if where != (i, t, a):
-                        marks.append((i, t, a, a + len(body) - length))
+                    h, known, first = x, set(), None
+                if held == (x, i, t) and a <= upto:
+                    body, a = body[upto + 1 - a:], upto + 1
+                    if len(body) < length:
+                        continue
+                held, upto = (x, i, t), a + len(body) - length
+                if body in known:
+                    marks.append((i, t, a, upto))
                     continue
-                known[body] = (i, t, a)
+                known.add(body)
                 head = x.to_bytes(8, "big", signed=True)
                 if len(known) == 1:
                     first = (head, i, t, a, body)
@@ -433,91 +473,63 @@ def _marks(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["id", "tag", "start", "last"])
 
 
-def _window_digests(stretches: DataFrame, length: int) -> DataFrame:
-    """(d1, d2, id, tag, start): every window of every stretch, by the digest of its bytes."""
+def _cut_again(runs: DataFrame, width: int, length: int) -> DataFrame:
+    """The runs cut at multiples of ``width``, with the keys of their new cores."""
     @tidy
     def run(batches):
-        digests, where, load = [], [], 0
+        for b in byte_slices(batches, "body", SLICE_BYTES):
+            data, off = value_bytes(b.column(5))
+            anchor = off[:-1] + b.column(6).to_numpy()
+            row, begin, end, interval = interval_runs(off[:-1], off[1:] - length, anchor, width)
+            raw, anchor, at = data.tobytes(), anchor[row], pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(core_keys(data, anchor, interval, width, length)), b.column(1).take(at), b.column(2).take(at),
+                 pa.array(b.column(3).to_numpy()[row] + begin - off[row]), pa.nulls(len(row), pa.int64()),
+                 pa.array([raw[x:y] for x, y in zip(begin.tolist(), (end + length).tolist())], pa.binary()),
+                 pa.array((anchor - begin).astype(np.int32))], schema=SENT)
 
-        def made():
-            d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            n = [w[3] for w in where]
-            i, t = (np.repeat(np.array([w[k] for w in where], np.int64), n) for k in range(2))
-            start = np.concatenate([np.arange(w[2], w[2] + w[3], dtype=np.int64) for w in where])
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in (d[:, 0].copy(), d[:, 1].copy(), i, t, start)],
-                                              names=["d1", "d2", "id", "tag", "start"])
+    return runs.mapInArrow(run, "h long, id long, tag long, start long, last long, body binary, off int")
 
-        for b in batches:
-            for i, t, a, body in zip(*(b.column(k).to_pylist() for k in range(4))):
-                n = len(body) - length + 1
-                digests += [hashlib.blake2b(body[k:k + length], digest_size=16).digest() for k in range(n)]
-                where.append((i, t, a, n))
-                load += n
-                if load >= WINDOWS_AT_ONCE:
-                    yield made()
-                    digests, where, load = [], [], 0
-        if where:
-            yield made()
 
-    return stretches.select("id", "tag", "start", "body").mapInArrow(run, "d1 long, d2 long, id long, tag long, start long")
+def _met(runs: DataFrame) -> DataFrame:
+    """The runs whose key occurs twice or more; only keys are counted."""
+    keys = runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    return runs.join(keys, "h", "left_semi").select(*SENT.names)
 
 
-def _meeting(rows: DataFrame, *group: str) -> DataFrame:
-    """The rows (d1, d2, id, tag, start, mark) with ``mark`` where the group has the window earlier.
+def _copies(runs: DataFrame) -> DataFrame:
+    """The runs with ``copy``: an earlier document, or an earlier place, has the same run.
 
-    Marks of before pass, spread by a hash of their own. A group is read in
-    document order and only its first row is kept in mind.
+    Of rows at one place one is kept: they are one document. The first round
+    is dealt out by parts of the documents, so that copies of a common run do
+    not meet in one task; what is a copy there takes no part in the second.
     """
-    names = ["d1", "d2", "id", "tag", "start", "mark"]
-    spread = lambda c: F.when(F.col("mark"), F.xxhash64("id", "start")).otherwise(F.col(c)).alias(c)
-    salt = [F.pmod(F.xxhash64("id", "tag"), F.lit(SALTS)).alias(c) for c in group if c == "salt"]
+    salt = F.pmod(F.xxhash64("id", "tag"), F.lit(SALTS))
+    run = [F.col("h"), F.col("off"), F.col("body")]
 
-    @tidy
-    def run(batches):
-        last = None
-        for b in batches:
-            cols = [b.column(k).to_numpy(zero_copy_only=False) for k in range(b.num_columns)]
-            if not len(cols[0]):
-                continue
-            if last is not None:
-                cols = [np.concatenate(([x], c)) for x, c in zip(last, cols)]
-            new = np.zeros(len(cols[0]), bool)
-            new[0] = True
-            for c in (cols[0], cols[1], *cols[5:]):               # the digest, the mark, the salt
-                new[1:] |= c[1:] != c[:-1]
-            first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            old = cols[5].astype(bool)
-            # a row at the place of its group's first is the same document again
-            later = np.logical_or.reduce([c != c[first] for c in cols[2:5]]) & ~old
-            keep = new | later | old
-            carried = [c[first[-1]] for c in cols]
-            if last is not None:
-                keep[0] = False
-            last = carried
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols[:5]] + [pa.array((later | old)[keep])], names=names)
-
-    return (rows.select(spread("d1"), spread("d2"), "id", "tag", "start", "mark", *salt).repartition(*group)
-            .sortWithinPartitions("mark", *group, "id", "tag", "start")
-            .mapInArrow(run, "d1 long, d2 long, id long, tag long, start long, mark boolean"))
-
-
-def _across_hot(stretches: DataFrame, length: int) -> DataFrame:
-    """Marks (id, tag, start, last) of stretches whose anchors are too common for one task."""
-    rows = _window_digests(stretches, length).withColumn("mark", F.lit(False))
-    met = _meeting(_meeting(rows, "d1", "d2", "salt"), "d1", "d2")
-    return met.where("mark").select("id", "tag", "start", F.col("start").alias("last"))
+    def ranked(rows, *group):
+        w = Window.partitionBy(*group).orderBy("id", "tag", "start")
+        rows = rows.withColumn("place", F.row_number().over(w)).withColumn("later", F.rank().over(w) > 1)
+        return rows.where("later OR place = 1").drop("place")
+
+    once = stored(ranked(runs.withColumn("salt", salt), *run, "salt"), "suffix-copies")
+    twice = ranked(once.where("NOT later").drop("later", "salt"), *run)
+    return (once.where("later").select(*SENT.names, F.lit(True).alias("copy"))
+            .union(twice.select(*SENT.names, F.col("later").alias("copy"))))
 
 
 def _all_marks(sent: DataFrame, length: int) -> DataFrame:
-    """Marks of the shards and across them; no task gets more than ``HOT_STRETCHES`` stretches of one anchor."""
+    """Marks (id, tag, start, last) of the shards and across them: the widths one after the other, then the merge."""
     sent = stored(sent, "suffix-sent")
-    stretches = sent.where("body IS NOT NULL")
-    done = sent.where("body IS NULL").select("id", "tag", "start", "last")
-    hot = stored(stretches.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_STRETCHES).select("h"), "suffix-hot")
-    if hot.isEmpty():
-        return done.union(_across(stretches, length))
-    cold = stretches.join(hot, "h", "left_anti").select(*SENT.names)
-    return done.union(_across(cold, length)).union(_across_hot(stretches.join(hot, "h", "left_semi"), length))
+    marks = sent.where("body IS NULL").select("id", "tag", "start", "last")
+    runs = sent.where("body IS NOT NULL")
+    for k, width in enumerate(WIDTHS):
+        if k:
+            runs = stored(_cut_again(runs, width, length), "suffix-runs")
+        seen = stored(_copies(_met(runs)), "suffix-seen")
+        marks = marks.union(seen.where("copy").select("id", "tag", "start", (F.col("start") + F.octet_length("body") - length).alias("last")))
+        runs = seen.where("NOT copy").drop("copy")
+    return marks.union(_across(_met(runs), length))
 
 
 # ---------------------------------------------------------------- the operator
