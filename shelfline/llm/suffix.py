@@ -21,10 +21,10 @@ are judged on the input. The work is split into shards as follows.
    multiple of a width. All windows of such an interval share a core: with
    width 2 all but one byte of a window. Equal windows share their interval and
    so the core, and the core's hash is the key of a run. The widths of
-   ``WIDTHS`` are taken one after the other, for every run alike: runs whose key
-   occurs once repeat nothing and are done; copies of one run are marked but the
-   earliest, in two rounds (``SALTS`` parts of the documents, then their
-   firsts); the runs that are left are cut by the next width. So only what lies
+   ``WIDTHS`` are taken one after the other, for every run alike: copies of one
+   run are marked but the earliest, in two rounds (``SALTS`` parts of the
+   documents, then their firsts); the runs that are left are cut by the next
+   width, and those whose new key occurs once repeat nothing and are done. So only what lies
    around a difference of two copies gets as far as the last width. There the
    runs of a key have at most a byte before and one behind the core (65,536
    different ones), come in document order, and are merged by binary search in
@@ -55,7 +55,7 @@ GRAM = 24
 SLICE_BYTES = 2 << 20
 SHARD_BYTES = 1 << 21           # positions of a shard fit 21 bits (see suffix_array)
 FILTER_BITS = 1 << 26
-WIDTHS = (40, 10, 2)            # of the offsets of an anchor that a run may have; each divides the one before
+WIDTHS = (80, 16, 2)            # of the offsets of an anchor that a run may have; each divides the one before
 SALTS = 16
 FIRST_ID = -(1 << 63)
 
@@ -497,25 +497,27 @@ def _met(runs: DataFrame) -> DataFrame:
     return runs.join(keys, "h", "left_semi").select(*SENT.names)
 
 
-def _copies(runs: DataFrame) -> DataFrame:
-    """The runs with ``copy``: an earlier document, or an earlier place, has the same run.
+def _copies(runs: DataFrame, length: int) -> DataFrame:
+    """The runs without their copies, and the copies as marks (without a body).
 
-    Of rows at one place one is kept: they are one document. The first round
-    is dealt out by parts of the documents, so that copies of a common run do
-    not meet in one task; what is a copy there takes no part in the second.
+    A copy is a run that an earlier document, or the same at an earlier place,
+    has too. Of rows at one place one is kept: they are one document. The first
+    round is dealt out by parts of the documents, so that copies of a common
+    run do not meet in one task; what is a copy there goes through the second
+    round by a hash of its own.
     """
-    salt = F.pmod(F.xxhash64("id", "tag"), F.lit(SALTS))
-    run = [F.col("h"), F.col("off"), F.col("body")]
+    last = (F.col("start") + F.octet_length("body") - length).alias("last")
+    rows = runs.select("h", "id", "tag", "start", last, "body", "off", F.pmod(F.xxhash64("id", "tag"), F.lit(SALTS)).alias("salt"))
 
     def ranked(rows, *group):
         w = Window.partitionBy(*group).orderBy("id", "tag", "start")
-        rows = rows.withColumn("place", F.row_number().over(w)).withColumn("later", F.rank().over(w) > 1)
-        return rows.where("later OR place = 1").drop("place")
+        rows = rows.withColumn("place", F.row_number().over(w)).withColumn("copy", F.rank().over(w) > 1).where("copy OR place = 1")
+        return rows.select(F.when(F.col("copy"), F.xxhash64("id", "start")).otherwise(F.col("h")).alias("h"), "id", "tag", "start", "last",
+                           F.when(~F.col("copy"), F.col("body")).alias("body"), "off")
 
-    once = stored(ranked(runs.withColumn("salt", salt), *run, "salt"), "suffix-copies")
-    twice = ranked(once.where("NOT later").drop("later", "salt"), *run)
-    return (once.where("later").select(*SENT.names, F.lit(True).alias("copy"))
-            .union(twice.select(*SENT.names, F.col("later").alias("copy"))))
+    # marks of the first round are alone in their group: nothing else has their hash, offset and no body
+    return ranked(ranked(rows, "h", "off", "body", "salt").withColumn("alone", F.when(F.col("body").isNull(), F.struct("id", "tag", "start"))),
+                  "h", "off", "body", "alone")
 
 
 def _all_marks(sent: DataFrame, length: int) -> DataFrame:
@@ -524,11 +526,11 @@ def _all_marks(sent: DataFrame, length: int) -> DataFrame:
     marks = sent.where("body IS NULL").select("id", "tag", "start", "last")
     runs = sent.where("body IS NOT NULL")
     for k, width in enumerate(WIDTHS):
-        if k:
-            runs = stored(_cut_again(runs, width, length), "suffix-runs")
-        seen = stored(_copies(_met(runs)), "suffix-seen")
-        marks = marks.union(seen.where("copy").select("id", "tag", "start", (F.col("start") + F.octet_length("body") - length).alias("last")))
-        runs = seen.where("NOT copy").drop("copy")
+        if k:        # nearly all anchors that pass the filter occur twice, so the first keys need no count
+            runs = _met(stored(_cut_again(runs, width, length), "suffix-runs"))
+        seen = stored(_copies(runs, length), "suffix-seen")
+        marks = marks.union(seen.where("body IS NULL").select("id", "tag", "start", "last"))
+        runs = seen.where("body IS NOT NULL")
     return marks.union(_across(_met(runs), length))
 
 
