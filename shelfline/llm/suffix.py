@@ -22,8 +22,9 @@ are judged on the input. The work is split into shards as follows.
    width 2 all but one byte of a window. Equal windows share their interval and
    so the core, and the core's hash is the key of a run. The widths of
    ``WIDTHS`` are taken one after the other, for every run alike: copies of one
-   run are marked but the earliest, in two rounds (``SALTS`` parts of the
-   documents, then their firsts); the runs that are left are cut by the next
+   run are marked but the earliest (a task marks those it has sent before, and
+   a key with very many runs is dealt out by parts of the documents first); the
+   runs that are left are cut by the next
    width, and those whose new key occurs once repeat nothing and are done. So only what lies
    around a difference of two copies gets as far as the last width. There the
    runs of a key have at most a byte before and one behind the core (65,536
@@ -56,7 +57,8 @@ SLICE_BYTES = 2 << 20
 SHARD_BYTES = 1 << 21           # positions of a shard fit 21 bits (see suffix_array)
 FILTER_BITS = 1 << 26
 WIDTHS = (80, 16, 2)            # of the offsets of an anchor that a run may have; each divides the one before
-SALTS = 16
+COPIES_A_TASK = 1 << 18         # of runs with one key that meet in one task
+HELD_RUNS = 200_000             # that a task remembers to have sent
 FIRST_ID = -(1 << 63)
 
 
@@ -272,6 +274,7 @@ class _Shard:
 
     def __init__(self, length: int):
         self.length, self.size, self.parts, self.runs = length, 0, [], []
+        self.sent: dict[tuple[int, bytes], tuple[int, int, int]] = {}
 
     def room(self) -> int:
         return SHARD_BYTES - self.size
@@ -314,6 +317,10 @@ class _Shard:
         j = np.searchsorted(starts, begin, side="right") - 1
         raw = text.tobytes()
         bodies = [raw[x:y] for x, y in zip(begin.tolist(), (end + length).tolist())]
+        off, who = (anchor - begin).astype(np.int32), list(zip(ids[j].tolist(), tags[j].tolist(), (begin + shift[j]).tolist()))
+        send, copy = self.known(bodies, off.tolist(), who)
+        first, last, k = (np.concatenate(x) for x in ((first, begin[copy]), (last, end[copy]), (k, j[copy])))
+        begin, j, h, off, bodies = begin[send], j[send], h[send], off[send], [bodies[i] for i in send.tolist()]
         both = lambda x, y: np.concatenate((x, y))
         is_mark = np.arange(len(first) + len(begin)) < len(first)
         # marks go by a hash of their own, which spreads them
@@ -323,7 +330,21 @@ class _Shard:
              pa.array(both(first + shift[k], begin + shift[j])),
              pa.array(both(last + shift[k], np.zeros(len(begin), np.int64)), mask=~is_mark),
              pa.array([None] * len(first) + bodies, pa.binary()),
-             pa.array(both(np.zeros(len(first), np.int32), (anchor - begin).astype(np.int32)))], schema=SENT)
+             pa.array(both(np.zeros(len(first), np.int32), off))], schema=SENT)
+
+    def known(self, bodies: list[bytes], off: list[int], who: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """(send, copy): the runs to send on, and those that a run which this task has sent makes copies."""
+        send, copy = [], []
+        for i, (key, me) in enumerate(zip(zip(off, bodies), who)):
+            before = self.sent.get(key)
+            if before is None or me < before:
+                self.sent[key] = me
+                send.append(i)
+            elif before != me:
+                copy.append(i)
+        if len(self.sent) > HELD_RUNS:
+            self.sent.clear()
+        return np.array(send, np.int64), np.array(copy, np.int64)
 
 
 def true_runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -501,13 +522,13 @@ def _copies(runs: DataFrame, length: int) -> DataFrame:
     """The runs without their copies, and the copies as marks (without a body).
 
     A copy is a run that an earlier document, or the same at an earlier place,
-    has too. Of rows at one place one is kept: they are one document. The first
-    round is dealt out by parts of the documents, so that copies of a common
-    run do not meet in one task; what is a copy there goes through the second
-    round by a hash of its own.
+    has too. Of rows at one place one is kept: they are one document. Keys of
+    over ``COPIES_A_TASK`` runs are dealt out by parts of the documents first;
+    what is a copy there goes through the second round by a hash of its own.
+    There are at most as many such keys as runs over that number.
     """
     last = (F.col("start") + F.octet_length("body") - length).alias("last")
-    rows = runs.select("h", "id", "tag", "start", last, "body", "off", F.pmod(F.xxhash64("id", "tag"), F.lit(SALTS)).alias("salt"))
+    rows = runs.select("h", "id", "tag", "start", last, "body", "off")
 
     def ranked(rows, *group):
         w = Window.partitionBy(*group).orderBy("id", "tag", "start")
@@ -515,9 +536,13 @@ def _copies(runs: DataFrame, length: int) -> DataFrame:
         return rows.select(F.when(F.col("copy"), F.xxhash64("id", "start")).otherwise(F.col("h")).alias("h"), "id", "tag", "start", "last",
                            F.when(~F.col("copy"), F.col("body")).alias("body"), "off")
 
-    # marks of the first round are alone in their group: nothing else has their hash, offset and no body
-    return ranked(ranked(rows, "h", "off", "body", "salt").withColumn("alone", F.when(F.col("body").isNull(), F.struct("id", "tag", "start"))),
-                  "h", "off", "body", "alone")
+    hot = stored(runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COPIES_A_TASK), "suffix-hot")
+    if hot.isEmpty():
+        return ranked(rows, "h", "off", "body")
+    salted = rows.join(F.broadcast(hot), "h").withColumn("salt", F.pmod(F.xxhash64("id", "tag"), 1 + F.expr(f"n div {COPIES_A_TASK}")))
+    # marks of the first round are alone in their group
+    firsts = ranked(salted, "h", "off", "body", "salt").withColumn("alone", F.when(F.col("body").isNull(), F.struct("id", "tag", "start")))
+    return ranked(rows.join(F.broadcast(hot), "h", "left_anti"), "h", "off", "body").union(ranked(firsts, "h", "off", "body", "alone"))
 
 
 def _all_marks(sent: DataFrame, length: int) -> DataFrame:

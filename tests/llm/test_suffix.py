@@ -182,3 +182,31 @@ def test_every_anchor_hot(spark, documents, monkeypatch):
     rows = S.remove_repeats(documents(docs + docs[:5]).repartition(7)).collect()
     assert len(rows) == len(docs) + 5
     assert all((r.n_spans, bytes(r.kept)) == want[r.doc_id][2:] for r in rows)
+
+
+def test_common_keys_are_dealt_out(spark, documents, monkeypatch):
+    """Every key over the limit: copies meet in parts of the documents, then their firsts."""
+    monkeypatch.setattr(S, "COPIES_A_TASK", 1)
+    monkeypatch.setattr(S, "HELD_RUNS", 0)
+    docs = made(6)
+    want = brute(sorted(docs))
+    rows = S.remove_repeats(documents(docs + docs[:5]).repartition(7)).collect()
+    assert len(rows) == len(docs) + 5
+    assert all((r.n_spans, bytes(r.kept)) == want[r.doc_id][2:] for r in rows)
+
+
+@pytest.mark.parametrize("width", [80, 16, 2])
+def test_runs_cut_at_offsets(width):
+    """The pieces of a run are its windows, each piece inside one interval, and the core lies in all of them."""
+    r = random.Random(width)
+    anchor = np.array([r.randint(200, 400) for _ in range(50)])
+    begin = anchor - np.array([r.randint(0, 76) for _ in range(50)])
+    end = np.minimum(begin + np.array([r.randint(0, 76) for _ in range(50)]), anchor)
+    run, a, z, k = S.interval_runs(begin, end, anchor, width)
+    for i in range(50):
+        mine = [(x, y, v) for w, x, y, v in zip(run, a, z, k) if w == i]
+        assert [s for x, y, _ in mine for s in range(x, y + 1)] == list(range(begin[i], end[i] + 1))
+        assert all((anchor[i] - s) // width == v for x, y, v in mine for s in range(x, y + 1))
+    data = np.frombuffer(r.randbytes(600), np.uint8)
+    keys = S.core_keys(np.concatenate((data, data)), anchor, anchor * 0 + 1 if width < 80 else anchor * 0, width, 100)
+    assert keys.tolist() == S.core_keys(np.concatenate((data, data)), anchor + 600, anchor * 0 + 1 if width < 80 else anchor * 0, width, 100).tolist()
