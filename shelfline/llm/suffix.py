@@ -18,18 +18,18 @@ are judged on the input. The work is split into shards as follows.
    ``length`` bytes form one block; all but its earliest window repeat.
 3. *Across shards.* The windows that are first in their shard go on as runs
    around an anchor, cut where the anchor's offset in the window passes a
-   multiple of a width. All windows of such an interval share a core: with
-   width 2 all but one byte of a window. Equal windows share their interval and
-   so the core, and the core's hash is the key of a run. The widths of
-   ``WIDTHS`` are taken one after the other, for every run alike: copies of one
-   run are marked but the earliest (a task marks those it has sent before, and
-   a key with very many runs is dealt out by parts of the documents first); the
-   runs that are left are cut by the next
-   width, and those whose new key occurs once repeat nothing and are done. So only what lies
-   around a difference of two copies gets as far as the last width. There the
-   runs of a key have at most a byte before and one behind the core (65,536
-   different ones), come in document order, and are merged by binary search in
-   the sorted windows seen so far.
+   multiple of 16. All windows of such an interval share a core of 85 bytes or
+   more. Equal windows share their interval and so the core, and the core's hash
+   is the key of a run: so a common line that is shorter than a core gathers
+   nothing. A task marks at once the copies of runs that it has sent before.
+   The runs of a key come in document order; equal ones are known by their
+   bytes, and the windows of different ones are merged by binary search in the
+   sorted windows seen so far.
+   A key with over ``HOT_STRETCHES`` runs (a longer line in very many
+   documents) does not go to one task: the copies of its runs are taken out in
+   two rounds, dealt out by parts of the documents, and what is left is cut
+   again by two offsets. Then the runs of a key have at most a byte before and
+   one behind the core (65,536 different ones), and are merged in the same way.
 4. The marks of all steps meet the text of their document, which is cut.
 
 Windows never cross documents. A document may be cut over many shards, and a
@@ -56,8 +56,8 @@ GRAM = 24
 SLICE_BYTES = 2 << 20
 SHARD_BYTES = 1 << 21           # positions of a shard fit 21 bits (see suffix_array)
 FILTER_BITS = 1 << 26
-WIDTHS = (80, 16, 2)            # of the offsets of an anchor that a run may have; each divides the one before
-COPIES_A_TASK = 1 << 18         # of runs with one key that meet in one task
+WIDTHS = (16, 2)                # of the offsets of an anchor that a run may have; the second divides the first
+HOT_STRETCHES = 1 << 18         # runs with one key that meet in one task
 HELD_RUNS = 200_000             # that a task remembers to have sent
 FIRST_ID = -(1 << 63)
 
@@ -512,23 +512,17 @@ def _cut_again(runs: DataFrame, width: int, length: int) -> DataFrame:
     return runs.mapInArrow(run, "h long, id long, tag long, start long, last long, body binary, off int")
 
 
-def _met(runs: DataFrame) -> DataFrame:
-    """The runs whose key occurs twice or more; only keys are counted."""
-    keys = runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    return runs.join(keys, "h", "left_semi").select(*SENT.names)
-
-
 def _copies(runs: DataFrame, length: int) -> DataFrame:
     """The runs without their copies, and the copies as marks (without a body).
 
     A copy is a run that an earlier document, or the same at an earlier place,
-    has too. Of rows at one place one is kept: they are one document. Keys of
-    over ``COPIES_A_TASK`` runs are dealt out by parts of the documents first;
-    what is a copy there goes through the second round by a hash of its own.
-    There are at most as many such keys as runs over that number.
+    has too. Of rows at one place one is kept: they are one document. The first
+    round is dealt out by parts of the documents, as many as the key's count
+    ``n`` asks for; what is a copy there goes through the second round by a hash
+    of its own.
     """
     last = (F.col("start") + F.octet_length("body") - length).alias("last")
-    rows = runs.select("h", "id", "tag", "start", last, "body", "off")
+    salt = F.pmod(F.xxhash64("id", "tag"), 1 + F.expr(f"n div {max(1, HOT_STRETCHES)}")).alias("salt")
 
     def ranked(rows, *group):
         w = Window.partitionBy(*group).orderBy("id", "tag", "start")
@@ -536,27 +530,35 @@ def _copies(runs: DataFrame, length: int) -> DataFrame:
         return rows.select(F.when(F.col("copy"), F.xxhash64("id", "start")).otherwise(F.col("h")).alias("h"), "id", "tag", "start", "last",
                            F.when(~F.col("copy"), F.col("body")).alias("body"), "off")
 
-    hot = stored(runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > COPIES_A_TASK), "suffix-hot")
-    if hot.isEmpty():
-        return ranked(rows, "h", "off", "body")
-    salted = rows.join(F.broadcast(hot), "h").withColumn("salt", F.pmod(F.xxhash64("id", "tag"), 1 + F.expr(f"n div {COPIES_A_TASK}")))
+    firsts = ranked(runs.select("h", "id", "tag", "start", last, "body", "off", salt), "h", "off", "body", "salt")
     # marks of the first round are alone in their group
-    firsts = ranked(salted, "h", "off", "body", "salt").withColumn("alone", F.when(F.col("body").isNull(), F.struct("id", "tag", "start")))
-    return ranked(rows.join(F.broadcast(hot), "h", "left_anti"), "h", "off", "body").union(ranked(firsts, "h", "off", "body", "alone"))
+    alone = F.when(F.col("body").isNull(), F.struct("id", "tag", "start"))
+    return ranked(firsts.withColumn("alone", alone), "h", "off", "body", "alone")
+
+
+def _counts(runs: DataFrame, more_than: int) -> DataFrame:
+    """(h, n) of the keys with over ``more_than`` runs: at most as many as runs over that number."""
+    return stored(runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > more_than), "suffix-hot")
 
 
 def _all_marks(sent: DataFrame, length: int) -> DataFrame:
-    """Marks (id, tag, start, last) of the shards and across them: the widths one after the other, then the merge."""
+    """Marks (id, tag, start, last) of the shards and across them."""
     sent = stored(sent, "suffix-sent")
     marks = sent.where("body IS NULL").select("id", "tag", "start", "last")
     runs = sent.where("body IS NOT NULL")
-    for k, width in enumerate(WIDTHS):
-        if k:        # nearly all anchors that pass the filter occur twice, so the first keys need no count
-            runs = _met(stored(_cut_again(runs, width, length), "suffix-runs"))
+    hot = _counts(runs, HOT_STRETCHES)
+    if hot.isEmpty():
+        return marks.union(_across(runs, length))
+    marks = marks.union(_across(runs.join(F.broadcast(hot), "h", "left_anti").select(*SENT.names), length))
+    runs = runs.join(F.broadcast(hot), "h")
+    for width in WIDTHS[1:]:
         seen = stored(_copies(runs, length), "suffix-seen")
         marks = marks.union(seen.where("body IS NULL").select("id", "tag", "start", "last"))
-        runs = seen.where("body IS NOT NULL")
-    return marks.union(_across(_met(runs), length))
+        runs = stored(_cut_again(seen.where("body IS NOT NULL"), width, length), "suffix-runs")
+        runs = runs.join(runs.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "h")     # one run repeats nothing
+    seen = stored(_copies(runs, length), "suffix-seen")
+    marks = marks.union(seen.where("body IS NULL").select("id", "tag", "start", "last"))
+    return marks.union(_across(seen.where("body IS NOT NULL"), length))
 
 
 # ---------------------------------------------------------------- the operator
