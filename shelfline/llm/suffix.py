@@ -17,19 +17,20 @@ are judged on the input. The work is split into shards as follows.
    single), and Kasai's relation gives the common prefixes. Suffixes that share
    ``length`` bytes form one block; all but its earliest window repeat.
 3. *Across shards.* The windows that are first in their shard go on as runs
-   around an anchor, cut where the anchor's offset in the window passes a
-   multiple of 16. All windows of such an interval share a core of 85 bytes or
-   more. Equal windows share their interval and so the core, and the core's hash
-   is the key of a run: so a common line that is shorter than a core gathers
-   nothing. A task marks at once the copies of runs that it has sent before.
-   The runs of a key come in document order; equal ones are known by their
-   bytes, and the windows of different ones are merged by binary search in the
-   sorted windows seen so far.
-   A key with over ``HOT_STRETCHES`` runs (a longer line in very many
-   documents) does not go to one task: the copies of its runs are taken out in
-   two rounds, dealt out by parts of the documents, and what is left is cut
-   again by two offsets. Then the runs of a key have at most a byte before and
-   one behind the core (65,536 different ones), and are merged in the same way.
+   around an anchor, keyed by the hash of the core that all windows of the
+   anchor share (its 24 bytes). A shard sends a window once however often it
+   holds it. The runs of a key come in document order; equal ones are known by
+   their bytes, and the windows of different ones are merged by binary search in
+   the sorted windows seen so far.
+   A key with over ``HOT_STRETCHES`` runs (a common line has another context in
+   every document) does not go to one task. The copies of its runs are marked
+   first, in two rounds: parts of the documents, then their firsts. What is left
+   is cut where the anchor's offset in the window passes a multiple of 16, then
+   of 2. The windows of such an interval share a core of 85, then 99 bytes, and
+   equal windows share their interval and so the core, whose hash is the new
+   key; runs whose key occurs once repeat nothing and are done. In the end the
+   runs of a key have at most a byte before and one behind the core (65,536
+   different ones), and are merged in the same way.
 4. The marks of all steps meet the text of their document, which is cut.
 
 Windows never cross documents. A document may be cut over many shards, and a
@@ -56,9 +57,8 @@ GRAM = 24
 SLICE_BYTES = 2 << 20
 SHARD_BYTES = 1 << 21           # positions of a shard fit 21 bits (see suffix_array)
 FILTER_BITS = 1 << 26
-WIDTHS = (16, 2)                # of the offsets of an anchor that a run may have; the second divides the first
-HOT_STRETCHES = 1 << 18         # runs with one key that meet in one task
-HELD_RUNS = 200_000             # that a task remembers to have sent
+WIDTHS = (80, 16, 2)            # of the offsets of an anchor that a run may have; each divides the one before
+HOT_STRETCHES = 4096            # of one key that go to one task
 FIRST_ID = -(1 << 63)
 
 
@@ -274,7 +274,6 @@ class _Shard:
 
     def __init__(self, length: int):
         self.length, self.size, self.parts, self.runs = length, 0, [], []
-        self.sent: dict[tuple[int, bytes], tuple[int, int, int]] = {}
 
     def room(self) -> int:
         return SHARD_BYTES - self.size
@@ -317,10 +316,7 @@ class _Shard:
         j = np.searchsorted(starts, begin, side="right") - 1
         raw = text.tobytes()
         bodies = [raw[x:y] for x, y in zip(begin.tolist(), (end + length).tolist())]
-        off, who = (anchor - begin).astype(np.int32), list(zip(ids[j].tolist(), tags[j].tolist(), (begin + shift[j]).tolist()))
-        send, copy = self.known(bodies, off.tolist(), who)
-        first, last, k = (np.concatenate(x) for x in ((first, begin[copy]), (last, end[copy]), (k, j[copy])))
-        begin, j, h, off, bodies = begin[send], j[send], h[send], off[send], [bodies[i] for i in send.tolist()]
+        off = (anchor - begin).astype(np.int32)
         both = lambda x, y: np.concatenate((x, y))
         is_mark = np.arange(len(first) + len(begin)) < len(first)
         # marks go by a hash of their own, which spreads them
@@ -332,20 +328,6 @@ class _Shard:
              pa.array([None] * len(first) + bodies, pa.binary()),
              pa.array(both(np.zeros(len(first), np.int32), off))], schema=SENT)
 
-    def known(self, bodies: list[bytes], off: list[int], who: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
-        """(send, copy): the runs to send on, and those that a run which this task has sent makes copies."""
-        send, copy = [], []
-        for i, (key, me) in enumerate(zip(zip(off, bodies), who)):
-            before = self.sent.get(key)
-            if before is None or me < before:
-                self.sent[key] = me
-                send.append(i)
-            elif before != me:
-                copy.append(i)
-        if len(self.sent) > HELD_RUNS:
-            self.sent.clear()
-        return np.array(send, np.int64), np.array(copy, np.int64)
-
 
 def true_runs(flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last index of each run of true values."""

@@ -187,7 +187,6 @@ def test_every_anchor_hot(spark, documents, monkeypatch):
 def test_common_keys_are_dealt_out(spark, documents, monkeypatch):
     """Every key over the limit: copies meet in parts of the documents, then their firsts."""
     monkeypatch.setattr(S, "HOT_STRETCHES", 1)
-    monkeypatch.setattr(S, "HELD_RUNS", 0)
     docs = made(6)
     want = brute(sorted(docs))
     rows = S.remove_repeats(documents(docs + docs[:5]).repartition(7)).collect()
@@ -195,7 +194,7 @@ def test_common_keys_are_dealt_out(spark, documents, monkeypatch):
     assert all((r.n_spans, bytes(r.kept)) == want[r.doc_id][2:] for r in rows)
 
 
-@pytest.mark.parametrize("width", [16, 2])
+@pytest.mark.parametrize("width", [80, 16, 2])
 def test_runs_cut_at_offsets(width):
     """The pieces of a run are its windows, each piece inside one interval, and the core lies in all of them."""
     r = random.Random(width)
@@ -208,6 +207,6 @@ def test_runs_cut_at_offsets(width):
         assert [s for x, y, _ in mine for s in range(x, y + 1)] == list(range(begin[i], end[i] + 1))
         assert all((anchor[i] - s) // width == v for x, y, v in mine for s in range(x, y + 1))
     data = np.frombuffer(r.randbytes(600), np.uint8)
-    one = np.ones(50, np.int64)
+    one = np.full(50, int(width < 80))
     twice = np.concatenate((data, data))
     assert S.core_keys(twice, anchor, one, width, 100).tolist() == S.core_keys(twice, anchor + 600, one, width, 100).tolist()
