@@ -17,8 +17,7 @@ are judged on the input. The work is split into shards as follows.
    single), and Kasai's relation gives the common prefixes. Suffixes that share
    ``length`` bytes form one block; all but its earliest window repeat.
 3. *Across shards.* The windows that are first in their shard go on as runs
-   around an anchor, keyed by the hash of the core that all windows of the
-   anchor share (its 24 bytes). A shard sends a window once however often it
+   around an anchor, keyed by its hash. A shard sends a window once however often it
    holds it. The runs of a key come in document order; equal ones are known by
    their bytes, and the windows of different ones are merged by binary search in
    the sorted windows seen so far.
@@ -57,8 +56,8 @@ GRAM = 24
 SLICE_BYTES = 2 << 20
 SHARD_BYTES = 1 << 21           # positions of a shard fit 21 bits (see suffix_array)
 FILTER_BITS = 1 << 26
-WIDTHS = (80, 16, 2)            # of the offsets of an anchor that a run may have; each divides the one before
-HOT_STRETCHES = 4096            # of one key that go to one task
+WIDTHS = (16, 2)                # of the offsets that the runs of hot keys may have; each divides the one before
+HOT_STRETCHES = 1024            # of one key that go to one task
 FIRST_ID = -(1 << 63)
 
 
@@ -278,9 +277,9 @@ class _Shard:
     def room(self) -> int:
         return SHARD_BYTES - self.size
 
-    def add(self, who: tuple[int, int], at: int, body: np.ndarray, begin: np.ndarray, end: np.ndarray, anchor: np.ndarray) -> None:
+    def add(self, who: tuple[int, int], at: int, body: np.ndarray, begin: np.ndarray, end: np.ndarray, h: np.ndarray, anchor: np.ndarray) -> None:
         """``body`` lies at ``at`` in its document; the runs are counted from the start of ``body``."""
-        self.runs.append((begin + self.size, end + self.size, anchor + self.size))
+        self.runs.append((begin + self.size, end + self.size, h, anchor + self.size))
         self.parts.append((*who, at, body))
         self.size += len(body)
 
@@ -289,7 +288,7 @@ class _Shard:
         text = np.concatenate([p[3] for p in self.parts])
         starts = np.cumsum([0] + [len(p[3]) for p in self.parts])
         ids, tags, at = (np.array([p[k] for p in self.parts], np.int64) for k in range(3))
-        begin, end, anchor = (np.concatenate([r[k] for r in self.runs]) for k in range(3))
+        begin, end, h, anchor = (np.concatenate([r[k] for r in self.runs]) for k in range(4))
         self.size, self.parts, self.runs = 0, [], []
         rows = np.lexsort((tags, ids))
         step = (np.diff(ids[rows]) != 0) | (np.diff(tags[rows]) != 0)
@@ -310,9 +309,7 @@ class _Shard:
         head[begin] = fresh[begin]
         tail = fresh & np.concatenate((head[1:] | ~fresh[1:], [True]))
         run = np.searchsorted(begin, np.flatnonzero(head), side="right") - 1
-        run, begin, end, interval = interval_runs(np.flatnonzero(head), np.flatnonzero(tail), at_run := anchor[run], WIDTHS[0])
-        anchor = at_run[run]
-        h = core_keys(text, anchor, interval, WIDTHS[0], length)
+        begin, end, h, anchor = np.flatnonzero(head), np.flatnonzero(tail), h[run], anchor[run]
         j = np.searchsorted(starts, begin, side="right") - 1
         raw = text.tobytes()
         bodies = [raw[x:y] for x, y in zip(begin.tolist(), (end + length).tolist())]
@@ -349,7 +346,7 @@ def _shards(keyed: DataFrame, length: int, bits: int, words) -> DataFrame:
             doc, begin, end, h, anchor = anchor_runs(data, off, length)
             bit = h % bits                                # numpy's modulo is pmod
             hit = (passes[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
-            doc, begin, end, anchor = (x[hit] for x in (doc, begin, end, anchor))
+            doc, begin, end, h, anchor = (x[hit] for x in (doc, begin, end, h, anchor))
             apart = np.flatnonzero((np.diff(doc) != 0) | (begin[1:] != end[:-1] + 1)) + 1
             for k, stop in zip([0, *apart.tolist()] if len(doc) else [], [*apart.tolist(), len(doc)]):
                 while k < stop:                           # runs that join, as many as the shard still takes
@@ -359,7 +356,7 @@ def _shards(keyed: DataFrame, length: int, bits: int, words) -> DataFrame:
                         continue
                     d, a, z = doc[k], begin[k], end[k + n - 1] + length
                     shard.add((ids[d], tags[d]), int(place + a - off[d]), data[a:z], begin[k:k + n] - a, end[k:k + n] - a,
-                              anchor[k:k + n] - a)
+                              h[k:k + n], anchor[k:k + n] - a)
                     k += n
         if shard.parts:
             yield shard.solve()
@@ -533,7 +530,7 @@ def _all_marks(sent: DataFrame, length: int) -> DataFrame:
         return marks.union(_across(runs, length))
     marks = marks.union(_across(runs.join(F.broadcast(hot), "h", "left_anti").select(*SENT.names), length))
     runs = runs.join(F.broadcast(hot), "h")
-    for width in WIDTHS[1:]:
+    for width in WIDTHS:
         seen = stored(_copies(runs, length), "suffix-seen")
         marks = marks.union(seen.where("body IS NULL").select("id", "tag", "start", "last"))
         runs = stored(_cut_again(seen.where("body IS NOT NULL"), width, length), "suffix-runs")
