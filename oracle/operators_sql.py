@@ -594,6 +594,11 @@ WHERE NOT EXISTS (SELECT 1 FROM {ch}_sales WHERE {p}_item_sk = {r}_item_sk AND {
                                 ("catalog", "cs", "cr", "order_number", "return_amount"),
                                 ("web", "ws", "wr", "order_number", "return_amt")]]
     + [f"""SELECT 'inventory', count(*), CAST(sum(inv_quantity_on_hand) AS DOUBLE) FROM inventory WHERE NOT ({_in('inv_date_sk', _DEL_INV)})"""]))
+STAR_SQL["refresh_delete_stored"] = STAR_SQL["refresh_delete"]
+STAR_SQL["refresh_inventory_stored"] = (STAR_SQL["refresh_inventory"][0], f"""
+SELECT inv_warehouse_sk, sum(rows)::BIGINT AS rows, sum(resolved_items)::BIGINT AS resolved_items, sum(qty)::BIGINT AS qty
+FROM (SELECT inv_warehouse_sk, count(*) AS rows, count(inv_item_sk) AS resolved_items, sum(inv_quantity_on_hand) AS qty
+      FROM inventory GROUP BY inv_warehouse_sk UNION ALL ({STAR_SQL["refresh_inventory"][1]})) GROUP BY inv_warehouse_sk""")
 STAR_SQL["refresh_scd2"] = ("item", """
 WITH ch AS (SELECT i_item_id AS item_id,
                    CAST(CAST((2 * (CAST(i_current_price * 100 AS BIGINT) * 110) + 100) // 200 AS DECIMAL(18,0)) / 100 AS DECIMAL(7,2)) AS new_price

@@ -16,12 +16,16 @@ re-expressed with business ids) and report what an apply would write.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.money import rdiv, to_money
 from shelfline.plans.registry import star_query
 from shelfline.plans.star import FRESH_PURCHASE
+from shelfline.sources.io import scratch_path
+from shelfline.sources.versions import VersionedTable
 
 B = F.broadcast
 FAR_FUTURE = "9999-12-31"
@@ -213,6 +217,68 @@ def refresh_delete(st, ranges=((2451180, 2451181), (2451300, 2451301), (2451420,
     return total
 
 
+# --------------------------------------------------------------------------- stored tables
+def _in_ranges(date_col: str, ranges) -> F.Column:
+    hit = F.lit(False)
+    for lo, hi in ranges:
+        hit = hit | F.col(date_col).between(lo, hi)
+    return F.coalesce(hit, F.lit(False))
+
+
+def delete_from_stored(sales: VersionedTable, returns: VersionedTable, ranges: list[tuple[int, int]],
+                       keys: tuple[str, str], rkeys: tuple[str, str]) -> tuple[int, int]:
+    """Delete the sales of the date ranges and their returns from stored tables; the new versions.
+
+    Only buckets that lose rows are rewritten. The returns go first, while the
+    sales still name them, so a run that stops between the two can be repeated.
+    """
+    gone = (sales.read().filter(_in_ranges(sales.date_col, ranges))
+            .select(F.col(keys[0]).alias("d_k0"), F.col(keys[1]).alias("d_k1")).distinct())
+    match = (F.col(rkeys[0]) == F.col("d_k0")) & (F.col(rkeys[1]) == F.col("d_k1"))
+    hit = returns.read().join(gone, match, "left_semi").select(returns.bucket().alias("b")).distinct()
+    touched = {r.b for r in hit.collect()}                      # ranges of the calendar
+    after_returns = returns.rewrite(touched, lambda rows: rows.join(gone, match, "left_anti"))
+    hit = sales.read().filter(_in_ranges(sales.date_col, ranges)).select(sales.bucket().alias("b")).distinct()
+    after_sales = sales.rewrite({r.b for r in hit.collect()}, lambda rows: rows.filter(~_in_ranges(sales.date_col, ranges)))
+    return after_sales, after_returns
+
+
+def _stored_copy(st, table: str, date_col: str) -> VersionedTable:
+    out = VersionedTable(st.spark, scratch_path(st.spark, f"stored-{table}"), date_col)
+    out.create(st[table])
+    return out
+
+
+@star_query("refresh_delete_stored")
+def refresh_delete_stored(st, ranges=((2451180, 2451181), (2451300, 2451301), (2451420, 2451421)),
+                          inventory_ranges=((2451179, 2451185), (2451298, 2451304), (2451417, 2451423))):
+    """The deletes of every channel and of inventory, written; the tables as a reader finds them after."""
+    out = []
+    for channel, p, r, number, amount in [("store", "ss", "sr", "ticket_number", "return_amt"),
+                                          ("catalog", "cs", "cr", "order_number", "return_amount"),
+                                          ("web", "ws", "wr", "order_number", "return_amt")]:
+        sales = _stored_copy(st, f"{channel}_sales", f"{p}_sold_date_sk")
+        returns = _stored_copy(st, f"{channel}_returns", f"{r}_returned_date_sk")
+        delete_from_stored(sales, returns, list(ranges), (f"{p}_item_sk", f"{p}_{number}"), (f"{r}_item_sk", f"{r}_{number}"))
+        out += [(f"{channel}_sales", sales, f"{p}_net_paid"), (f"{channel}_returns", returns, f"{r}_{amount}")]
+    inventory = _stored_copy(st, "inventory", "inv_date_sk")
+    hit = inventory.read().filter(_in_ranges("inv_date_sk", inventory_ranges)).select(inventory.bucket().alias("b")).distinct()
+    inventory.rewrite({x.b for x in hit.collect()}, lambda rows: rows.filter(~_in_ranges("inv_date_sk", inventory_ranges)))
+    out.append(("inventory", inventory, "inv_quantity_on_hand"))
+    return functools.reduce(DataFrame.unionByName, [
+        t.read().agg(F.count(F.lit(1)).alias("rows"), F.sum(m).cast("double").alias("total"))
+        .select(F.lit(n).alias("table_name"), "rows", "total") for n, t, m in out])
+
+
+@star_query("refresh_inventory_stored")
+def refresh_inventory_stored(st, weeks=4):
+    """The inventory feed appended to the stored table; the table as a reader finds it after."""
+    table = _stored_copy(st, "inventory", "inv_date_sk")
+    table.append(apply_inventory(st, inventory_feed(st, weeks)))
+    return table.read().groupBy("inv_warehouse_sk").agg(F.count(F.lit(1)).alias("rows"), F.count("inv_item_sk").alias("resolved_items"),
+                                                        F.sum("inv_quantity_on_hand").alias("qty"))
+
+
 # --------------------------------------------------------------------------- U5: type-2 update
 def price_change_feed(st, every: int = 5, pct: int = 10) -> DataFrame:
     """New prices for every ``every``-th business id (+pct%)."""
