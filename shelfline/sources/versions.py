@@ -60,6 +60,12 @@ class VersionedTable:
         paths = [f"{self.path}/{f}" for x in manifest["buckets"].values() for f in x]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
+    def read_buckets(self, buckets: set[int]) -> DataFrame:
+        """The rows of some buckets of the latest version; no file of another bucket is opened."""
+        folders, schema = self.folders(), self.read().schema
+        paths = [f"{self.path}/{f}" for b in buckets for f in folders.get(b, [])]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
     # ------------------------------------------------------------ commits
     def _write(self, rows: DataFrame) -> dict[int, list[str]]:
         """New folders for the rows, one for each bucket that they touch."""
