@@ -99,13 +99,19 @@ class VersionedTable:
             buckets[b] = buckets.get(b, []) + new
         return self._publish(base, buckets, schema)
 
-    def rewrite(self, touched: set[int], change) -> int:
-        """``change(rows)`` of the touched buckets replaces them; the other buckets keep their files."""
+    def rewrite(self, touched: set[int], change, plus: DataFrame | None = None) -> int:
+        """``change(rows)`` of the touched buckets replaces them, and the rows of ``plus`` join their
+        buckets, in one commit; the other buckets keep their files."""
         base = self.version()
         buckets, schema = self.folders(base), self.read(base).schema
         paths = [f"{self.path}/{f}" for b in touched for f in buckets.get(b, [])]
-        if not paths:
+        if not paths and plus is None:
             return base
-        new = self._write(change(self.spark.read.schema(schema).parquet(*paths)))
-        return self._publish(base, {b: f for b, f in buckets.items() if b not in touched} | new, schema)
-
+        rows = change(self.spark.read.schema(schema).parquet(*paths)) if paths else None
+        if plus is not None:
+            more = plus.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+            rows = more if rows is None else rows.unionByName(more)
+        after = {b: f for b, f in buckets.items() if b not in touched}
+        for b, new in self._write(rows).items():
+            after[b] = after.get(b, []) + new
+        return self._publish(base, after, schema)

@@ -1,3 +1,3 @@
 """Incremental refresh applied batch by batch (batch jobs or foreachBatch)."""
 
-from shelfline.streaming import channels, refresh  # noqa: F401
+from shelfline.streaming import channels, dimensions, refresh  # noqa: F401
