@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from shelfline.llm.common import byte_slices, free_name, star_components, stored, tidy
 
@@ -173,34 +174,48 @@ def _wide_links(fps: DataFrame, max_bits: int) -> DataFrame:
             .select(F.col("fp").alias("a"), "b").distinct())
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4,
-                    max_group: int = 4096) -> DataFrame:
-    """One row per row of ``docs``: ``key``, ``fp`` (signed long), ``component`` (smallest reachable key)."""
-    base = docs.select(F.col(key).alias("id"), F.col(text).alias("body"))
-    prints = stored(fingerprints(base, "body", words), "simhash-fp")
-    by_fp = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
+def _rooted(by_fp: DataFrame, max_bits: int, max_group: int) -> DataFrame:
+    """``by_fp`` (one row per fingerprint ``fp``) with ``root``, a fingerprint that names its component."""
     links = stored(_block_links(by_fp.select("fp"), max_bits, max_group), "simhash-links")
     edges = links.where("b IS NOT NULL")
     crowded = links.where("b IS NULL").select("a").distinct()
     if not crowded.isEmpty():
         edges = edges.union(_wide_links(crowded, max_bits))
     comp = star_components(edges, "simhash-cc")
-    rooted = by_fp.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
-    rooted = stored(rooted, "simhash-roots")
+    return by_fp.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4,
+                    max_group: int = 4096) -> DataFrame:
+    """One row per row of ``docs``: ``key``, ``fp`` (signed long), ``component`` (smallest reachable key)."""
+    base = docs.select(F.col(key).alias("id"), F.col(text).alias("body"))
+    prints = stored(fingerprints(base, "body", words), "simhash-fp")
+    by_fp = stored(prints.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
+    rooted = stored(_rooted(by_fp, max_bits, max_group).select("fp", "first", "root"), "simhash-roots")
     least = rooted.groupBy("root").agg(F.min("first").alias("component"))
     named = rooted.join(least, "root").select("fp", "component")
     return prints.join(named, "fp").select(F.col("id").alias(key), "fp", "component")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4) -> DataFrame:
-    """Rows of ``docs`` whose key is the smallest of their near-duplicate component.
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4,
+             max_group: int = 4096) -> DataFrame:
+    """One row of ``docs`` for each near-duplicate component.
 
-    Repeated rows (same key and text) stay once. A row without a key cannot be
-    named by a decision and stays.
+    The row with the smallest key stays; rows without a key come after all
+    others, and of rows with one key the one with the least hash over its columns
+    (maps left out) stays. Rows equal in all of these count once. The least row
+    travels with the grouping by fingerprint and by component, which combines
+    before it shuffles, so no row of a large group is joined to its component.
     """
-    named = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, words, max_bits)
-    other = free_name(docs.columns, "kept_key")
-    keys = named.where(F.col(key) == F.col("component")).select(F.col(key).alias(other)).distinct()
-    return (docs.join(keys, docs[key] == F.col(other)).drop(other).dropDuplicates([key, text])
-            .union(docs.where(F.col(key).isNull())))
+    hashed = [F.col(f.name) for f in docs.schema if not isinstance(f.dataType, MapType)]
+    row = F.xxhash64(*hashed)
+    base = docs.select(F.col(key).alias("id"), F.col(text).alias("body"), row.alias("row"))
+    prints = stored(fingerprints(base, "body", words), "simhash-fp")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    by_fp = stored(prints.groupBy("fp").agg(F.min(order).alias("first")), "simhash-distinct")
+    least = _rooted(by_fp, max_bits, max_group).groupBy("root").agg(F.min("first").alias("first"))
+    names = [free_name(docs.columns, n) for n in ("kept_key", "kept_row", "row_hash")]
+    kept = least.select(F.col("first.id").alias(names[0]), F.col("first.row").alias(names[1]))
+    tagged = docs.withColumn(names[2], row)
+    return (tagged.join(kept, tagged[key].eqNullSafe(F.col(names[0])) & (F.col(names[2]) == F.col(names[1])))
+            .dropDuplicates([key, names[2]]).drop(*names))
