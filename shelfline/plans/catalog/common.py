@@ -48,3 +48,16 @@ def demographics(st, *cols):
     """
     cd = st.customer_demographics
     return (cd.select(*cols) if cols else cd).hint("merge")
+
+
+def demographics_of(st, pairs, *cols):
+    """The demographics with one of the (marital status, education) pairs, sent to every task.
+
+    A pair has 54,880 rows (all combinations of the other attributes), whatever
+    the size of the source.
+    """
+    cd = st.customer_demographics
+    hit = F.lit(False)
+    for m, e in pairs:
+        hit = hit | ((F.col("cd_marital_status") == m) & (F.col("cd_education_status") == e))
+    return F.broadcast(cd.filter(hit).select(*cols))

@@ -6,18 +6,19 @@ and the 18-relation cross-sales comparison (q64).
 from __future__ import annotations
 
 from shelfline.functions.money import stddev_samp_exact
-from shelfline.plans.catalog.common import (B, F, avg_exact, demographics, order, star_query, topk)
+from shelfline.plans.catalog.common import (B, F, avg_exact, demographics, demographics_of, order, star_query, topk)
 
 
-def _demo_geo_sales(st, year):
+def _demo_geo_sales(st, year, pairs):
     """store_sales with the dimension columns the OR-of-AND filters read.
-    The join keys (cdemo, hdemo, addr) are written explicitly; only the
-    residual attribute predicates remain inside the OR."""
+    The join keys (cdemo, hdemo, addr) are written explicitly, and the
+    demographics are cut to the listed ``pairs`` first; only the residual
+    attribute predicates remain inside the OR."""
+    profiles = demographics_of(st, pairs, "cd_demo_sk", "cd_marital_status", "cd_education_status")
     dt = st.date_dim.filter(F.col("d_year") == year).select("d_date_sk")
     return (st.store_sales.join(B(dt), F.col("ss_sold_date_sk") == dt.d_date_sk)
             .join(B(st.store.select("s_store_sk")), F.col("ss_store_sk") == F.col("s_store_sk"))
-            .join(demographics(st, "cd_demo_sk", "cd_marital_status", "cd_education_status"),
-                  F.col("ss_cdemo_sk") == F.col("cd_demo_sk"))
+            .join(profiles, F.col("ss_cdemo_sk") == F.col("cd_demo_sk"))
             .join(st.customer_address.select("ca_address_sk", "ca_country", "ca_state"),
                   F.col("ss_addr_sk") == F.col("ca_address_sk")))
 
@@ -25,7 +26,7 @@ def _demo_geo_sales(st, year):
 @star_query("q13", year=1999, marital=("D", "W", "S"), education=("2 yr Degree", "Secondary", "College"))
 def q13(st, year=2001, marital=("M", "S", "W"), education=("Advanced Degree", "College", "2 yr Degree")):
     """Averages of store lines matching demographic x price and geography x profit profiles."""
-    j = _demo_geo_sales(st, year).join(
+    j = _demo_geo_sales(st, year, list(zip(marital, education))).join(
         B(st.household_demographics.select("hd_demo_sk", "hd_dep_count")), F.col("ss_hdemo_sk") == F.col("hd_demo_sk"))
     m, e, p, hd = F.col("cd_marital_status"), F.col("cd_education_status"), F.col("ss_sales_price"), F.col("hd_dep_count")
     demo = (((m == marital[0]) & (e == education[0]) & p.between(100, 150) & (hd == 3))
@@ -44,7 +45,7 @@ def q13(st, year=2001, marital=("M", "S", "W"), education=("Advanced Degree", "C
 @star_query("q48", year=1999)
 def q48(st, year=2000):
     """Total quantity of store lines matching demographic x price and geography x profit profiles."""
-    j = _demo_geo_sales(st, year)
+    j = _demo_geo_sales(st, year, [("M", "4 yr Degree"), ("D", "2 yr Degree"), ("S", "College")])
     m, e, p = F.col("cd_marital_status"), F.col("cd_education_status"), F.col("ss_sales_price")
     demo = (((m == "M") & (e == "4 yr Degree") & p.between(100, 150))
             | ((m == "D") & (e == "2 yr Degree") & p.between(50, 100))

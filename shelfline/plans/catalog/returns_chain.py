@@ -11,7 +11,7 @@ from __future__ import annotations
 from shelfline.functions.grouping import grouping_levels, rollup
 from shelfline.functions.money import round_ratio2, stddev_samp_exact
 from shelfline.functions.ranking import ranked
-from shelfline.plans.catalog.common import (B, F, avg_exact, dates_between, demographics, order,
+from shelfline.plans.catalog.common import (B, F, avg_exact, dates_between, demographics_of, order,
                                              star_query, topk)
 
 
@@ -370,10 +370,11 @@ def q85(st, year=2000):
                              "ws_sales_price", "ws_net_profit")
     wr = st.web_returns.select("wr_item_sk", "wr_order_number", "wr_refunded_cdemo_sk", "wr_returning_cdemo_sk",
                                "wr_refunded_addr_sk", "wr_reason_sk", "wr_refunded_cash", "wr_fee")
-    cd1 = demographics(st, F.col("cd_demo_sk").alias("cd1_sk"), F.col("cd_marital_status").alias("m1"),
-                       F.col("cd_education_status").alias("e1"))
-    cd2 = demographics(st, F.col("cd_demo_sk").alias("cd2_sk"), F.col("cd_marital_status").alias("m2"),
-                       F.col("cd_education_status").alias("e2"))
+    pairs = [("M", "Advanced Degree"), ("S", "College"), ("W", "2 yr Degree")]
+    cd1 = demographics_of(st, pairs, F.col("cd_demo_sk").alias("cd1_sk"), F.col("cd_marital_status").alias("m1"),
+                          F.col("cd_education_status").alias("e1"))
+    cd2 = demographics_of(st, pairs, F.col("cd_demo_sk").alias("cd2_sk"), F.col("cd_marital_status").alias("m2"),
+                          F.col("cd_education_status").alias("e2"))
     ca = st.customer_address.select("ca_address_sk", "ca_country", "ca_state")
     j = (ws.join(B(dt), ws.ws_sold_date_sk == dt.d_date_sk)
            .join(B(st.web_page.select("wp_web_page_sk")), ws.ws_web_page_sk == F.col("wp_web_page_sk"))

@@ -238,15 +238,14 @@ def q95(st, start="1999-02-01", state="IL", company="company 2"):
     ca = st.customer_address.filter(F.col("ca_state") == state).select("ca_address_sk")
     site = st.web_site.filter(F.col("web_company_name") == company).select("web_site_sk")
     ws = st.web_sales
-    multi = _multi_warehouse_orders(ws, "ws_order_number", "ws_warehouse_sk")
-    returned = st.web_returns.select("wr_order_number").join(
-        multi, F.col("wr_order_number") == multi.m_order, "left_semi")
     ws1 = (ws.join(B(dt), F.col("ws_ship_date_sk") == dt.d_date_sk)
              .join(ca, F.col("ws_ship_addr_sk") == ca.ca_address_sk)
              .join(B(site), F.col("ws_web_site_sk") == site.web_site_sk)
-             .join(multi, F.col("ws_order_number") == multi.m_order, "left_semi")
-             .join(returned, F.col("ws_order_number") == returned.wr_order_number, "left_semi"))
-    return _shipping_summary(ws1, "ws")
+             .join(st.web_returns.select("wr_order_number"), F.col("ws_order_number") == F.col("wr_order_number"), "left_semi"))
+    # only the orders that pass the filters need their warehouses compared; one check serves the sale and its return
+    mine = ws.join(ws1.select(F.col("ws_order_number").alias("my_order")).distinct(), F.col("ws_order_number") == F.col("my_order"), "left_semi")
+    multi = _multi_warehouse_orders(mine, "ws_order_number", "ws_warehouse_sk")
+    return _shipping_summary(ws1.join(multi, F.col("ws_order_number") == multi.m_order, "left_semi"), "ws")
 
 
 @star_query("q97", month_seq=1176)
