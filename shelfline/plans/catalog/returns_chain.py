@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from shelfline.functions.grouping import grouping_levels, rollup
 from shelfline.functions.money import round_ratio2, stddev_samp_exact
-from shelfline.functions.ranking import ranked
+from shelfline.functions.ranking import ranked_up_to
 from shelfline.plans.catalog.common import (B, F, avg_exact, dates_between, demographics_of, order,
                                              star_query, topk)
+from shelfline.sources.io import scratch_path
 
 
 def _dates(st, cond, alias):
@@ -138,7 +139,7 @@ def q40(st, day="2000-03-11", price_lo=10.0, price_hi=40.0):
     return topk(g, 100, "w_state", "i_item_id")
 
 
-def _ranked_returns(st, ch, sales, rets, p, r, ticket, rticket, ramt, year, month, amt_min):
+def _return_ratios(st, ch, sales, rets, p, r, ticket, rticket, ramt, year, month, amt_min):
     dt = st.date_dim.filter((F.col("d_year") == year) & (F.col("d_moy") == month)).select("d_date_sk")
     s = st[sales].filter((F.col(f"{p}_net_profit") > 1) & (F.col(f"{p}_net_paid") > 0) & (F.col(f"{p}_quantity") > 0))
     rt = st[rets].filter(F.col(ramt) > amt_min)
@@ -149,22 +150,24 @@ def _ranked_returns(st, ch, sales, rets, p, r, ticket, rticket, ramt, year, mont
          / F.sum(F.coalesce(F.col(f"{p}_quantity"), F.lit(0))).cast("double")).alias("return_ratio"),
         (F.sum(F.coalesce(F.col(ramt), F.lit(0))).cast("double")
          / F.sum(F.coalesce(F.col(f"{p}_net_paid"), F.lit(0))).cast("double")).alias("currency_ratio"))
-    # ranks over all items of a channel, in buckets of the ratio
-    g = ranked(ranked(g, "return_ratio", "return_rank", step=1 / 1024), "currency_ratio", "currency_rank", step=1 / 1024)
-    return g.filter((F.col("return_rank") <= 10) | (F.col("currency_rank") <= 10)).select(
-        F.lit(ch).alias("channel"), "item", "return_ratio", "return_rank", "currency_rank")
+    return g.select(F.lit(ch).alias("channel"), "*")
 
 
 @star_query("q49", amt_min=100)
 def q49(st, year=2001, month=12, amt_min=10000):
     """Top-10 items by return ratio / currency ratio per channel (union distinct)."""
-    w = _ranked_returns(st, "web", "web_sales", "web_returns", "ws", "wr", "ws_order_number", "wr_order_number",
+    w = _return_ratios(st, "web", "web_sales", "web_returns", "ws", "wr", "ws_order_number", "wr_order_number",
                         "wr_return_amt", year, month, amt_min)
-    c = _ranked_returns(st, "catalog", "catalog_sales", "catalog_returns", "cs", "cr", "cs_order_number",
+    c = _return_ratios(st, "catalog", "catalog_sales", "catalog_returns", "cs", "cr", "cs_order_number",
                         "cr_order_number", "cr_return_amount", year, month, amt_min)
-    s = _ranked_returns(st, "store", "store_sales", "store_returns", "ss", "sr", "ss_ticket_number",
+    s = _return_ratios(st, "store", "store_sales", "store_returns", "ss", "sr", "ss_ticket_number",
                         "sr_ticket_number", "sr_return_amt", year, month, amt_min)
-    u = w.unionByName(c).unionByName(s).distinct()
+    path = scratch_path(st.spark, "return-ratios")
+    ratios = w.unionByName(c).unionByName(s)
+    ratios.write.mode("overwrite").parquet(path)          # one row an item and channel; counted and ranked from here
+    best = ranked_up_to(st.spark.read.schema(ratios.schema).parquet(path),
+                        {"return_ratio": "return_rank", "currency_ratio": "currency_rank"}, 10, "channel")
+    u = best.select("channel", "item", "return_ratio", "return_rank", "currency_rank").distinct()
     return topk(u, 100, "channel", "return_rank", "currency_rank", "item", "return_ratio")
 
 
