@@ -44,6 +44,7 @@ def raw_query(key: str):
 def load_all() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import shelfline.plans.catalog  # noqa: F401  (registers on import)
     import shelfline.plans.building  # noqa: F401
+    import shelfline.plans.drawing  # noqa: F401
     import shelfline.plans.history  # noqa: F401
     import shelfline.plans.profiles  # noqa: F401
     import shelfline.operators  # noqa: F401
