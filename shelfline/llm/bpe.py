@@ -89,25 +89,24 @@ class Bpe:
 
     def __init__(self, path: str, pattern: str = public_tokenizers.PATTERN):
         with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         # Unicode white space, stated: the two regular-expression libraries differ on control characters
         blank = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
         self.split = regex.compile(pattern.replace(r"[^\s", f"[^{blank}").replace(r"\s", f"[{blank}]").replace(r"\S", f"[^{blank}]"))
         # the same pattern for texts of ASCII alone
         self.plain = re.compile(pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\t-\r\x20A-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]")
                                 .replace(r"\p{N}", "[0-9]").replace(r"\s", r"[\t-\r\x20]").replace(r"\S", r"[^\t-\r\x20]"))
-        self.entry = [b""] * (max(self.ranks.values()) + 1)
-        for b, i in self.ranks.items():
+        self.entry = [b""] * (max(ranks.values()) + 1)
+        for b, i in ranks.items():
             self.entry[i] = b
-        keys = list(self.ranks)
+        keys = list(ranks)
         self.table = PerfectHash(keys)
-        self.by_slot = [b""] * len(keys)
-        for k, s in zip(keys, self.table.slots(keys).tolist()):
-            self.by_slot[s] = k
-        self.byte = [self.ranks[bytes([b])] for b in range(256)]
+        self.id_at = np.zeros(len(keys), np.int64)         # the id of the entry in each slot
+        self.id_at[self.table.slots(keys)] = list(ranks.values())
+        self.byte = [ranks[bytes([b])] for b in range(256)]
         # two entries that together are an entry: its rank, in the upper half
-        self.pairs = {x << 32 | y: r << 32 for b, r in self.ranks.items() for k in range(1, len(b))
-                      if (x := self.ranks.get(b[:k])) is not None and (y := self.ranks.get(b[k:])) is not None}
+        self.pairs = {x << 32 | y: r << 32 for b, r in ranks.items() for k in range(1, len(b))
+                      if (x := ranks.get(b[:k])) is not None and (y := ranks.get(b[k:])) is not None}
         self.first = [self.pairs.get(x << 32 | y, -1 << 32) for x in self.byte for y in self.byte]
         self.known: dict[str, bytes] = {}
 
@@ -147,8 +146,9 @@ class Bpe:
     def learn(self, words: list[str]) -> None:
         """Resolve new pre-tokens: first by the perfect hash, the misses by merging."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
-        for w, b, s in zip(words, raw, self.table.slots(raw).tolist()):
-            ids = [self.ranks[b]] if s >= 0 and self.by_slot[s] == b else self.merge(b)
+        slots = self.table.slots(raw)
+        for w, b, i in zip(words, raw, np.where(slots >= 0, self.id_at[slots], -1).tolist()):
+            ids = [i] if i >= 0 and self.entry[i] == b else self.merge(b)
             self.known[w] = pack(f"<{len(ids)}I", *ids)
 
     def pieces(self, text: str) -> Iterator[list[str]]:
