@@ -44,6 +44,7 @@ SPAN = 11
 MIN_TOKENS = 13
 MIN_SHARE = 0.8
 AROUND = 64                    # tokens kept on each side of a hit
+SALTS = 16                     # tasks that the rows of one text are spread over
 FILTER_BITS = 1 << 26
 SLICE_BYTES = 1 << 20
 
@@ -255,12 +256,13 @@ def contaminated(docs: DataFrame, test: DataFrame, key: str = "doc_id", text: st
     short = sorted(r[0] for r in items.where(length < SPAN).select(length).distinct().collect())     # at most SPAN - 1 values
     passes = spark.sparkContext.broadcast(_filter(probes, FILTER_BITS))
     train = stored(_stretches(_common(docs, key, text), passes, short).withColumn("part", F.xxhash64("toks")), "spaced-train")
-    met = (train.select("row_id", "row_tag", "part", F.explode("seeds").alias("s"))
-           .select("row_id", "row_tag", "part", F.col("s.h").alias("h"), F.col("s.at").alias("at")).join(probes, "h")
-           .select("row_id", "row_tag", "part", "item", "item_tag", (F.col("at") - F.col("t_at")).alias("shift")).distinct())
-    parts = train.groupBy("row_tag", "part").agg(F.first("toks").alias("a"))
+    # copies of a text agree in all their parts: each is met and verified once, whatever the number of its rows
+    parts = stored(train.groupBy("row_tag", "part").agg(F.first("seeds").alias("seeds"), F.first("toks").alias("a")), "spaced-parts")
+    met = (parts.select("row_tag", "part", F.explode("seeds").alias("s"))
+           .select("row_tag", "part", F.col("s.h").alias("h"), F.col("s.at").alias("at")).join(probes, "h")
+           .select("row_tag", "part", "item", "item_tag", (F.col("at") - F.col("t_at")).alias("shift")).distinct())
     tests = items.select(F.col("row_id").alias("i2"), F.col("row_tag").alias("item_tag"), F.col("toks").alias("b"))
-    pairs = (met.join(parts, ["row_tag", "part"]).join(tests, ["item_tag"])
+    pairs = (met.join(parts.select("row_tag", "part", "a"), ["row_tag", "part"]).join(tests, ["item_tag"])
              .where(F.col("item").eqNullSafe(F.col("i2"))))
 
     @F.pandas_udf("n_tokens int, n_equal int")
@@ -270,10 +272,14 @@ def contaminated(docs: DataFrame, test: DataFrame, key: str = "doc_id", text: st
         return pd.DataFrame(out, columns=["n_tokens", "n_equal"])
 
     n_item = (F.octet_length("b") / 8).cast("int")
-    checked = (pairs.select("row_id", "row_tag", "item", "item_tag", n_item.alias("n_item"), verified("a", "b", "shift").alias("got"))
+    checked = (pairs.select("row_tag", "item", "item_tag", n_item.alias("n_item"), verified("a", "b", "shift").alias("got"))
                .where("got.n_tokens > 0"))
-    return (checked.groupBy("row_id", "row_tag", "item", "item_tag", "n_item").agg(F.max("got").alias("got"))
-            .select("row_id", "row_tag", "item", "got.n_tokens", "got.n_equal", "n_item"))
+    best = checked.groupBy("row_tag", "item", "item_tag", "n_item").agg(F.max("got").alias("got"))
+    # back to the rows, those of one text over all salts
+    salt = F.pmod(F.xxhash64("row_id"), F.lit(SALTS)).cast("int")
+    rows = train.select("row_id", "row_tag").distinct().withColumn("salt", salt)
+    best = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(best, ["row_tag", "salt"]).select("row_id", "row_tag", "item", "got.n_tokens", "got.n_equal", "n_item")
 
 
 def without_contaminated(docs: DataFrame, test: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:

@@ -115,3 +115,24 @@ def test_letter_case_and_punctuation_of_unicode(spark, documents):
     forms = [item.upper(), apart, unicodedata.normalize("NFD", item), "x " + item.title() + "\u2026 y", "nothing of this kind"]
     got = D.contaminated(documents(list(enumerate(forms))), test).collect()
     assert {(r.row_id, r.n_tokens, r.n_equal) for r in got} == {(k, 15, 15) for k in range(4)}
+
+
+def test_copies_of_a_text_are_verified_once(spark, monkeypatch):
+    item = " ".join(f"item{i}" for i in range(20))
+    hot = "before it all " + item + " after it all"
+    rows = [(i, hot) for i in range(90)] + [(90, None), (91, hot + " and more"), (None, hot)] + [(100 + i, f"plain text number {i} of many") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    test = spark.createDataFrame([(1, item), (2, item), (3, "nothing of the kind is in there " * 3)], "item_id long, text string")
+    seen = {}
+
+    def keep(df, label):
+        seen[label] = stored(df, label)
+        return seen[label]
+    stored = D.stored
+    monkeypatch.setattr(D, "stored", keep)
+    got = {(r.row_id, r.item): r for r in D.contaminated(docs, test).collect()}
+    assert set(got) == {(i, k) for i in [*range(90), 91, None] for k in (1, 2)}
+    assert {(r.n_tokens, r.n_equal) for r in got.values()} == {(20, 20)}
+    assert seen["spaced-train"].count() == 92 and seen["spaced-parts"].count() == 2
+    left = {r.doc_id for r in D.without_contaminated(docs, test).collect()}
+    assert left == {90, *range(100, 190)}
