@@ -245,7 +245,7 @@ def delete_from_stored(sales: VersionedTable, returns: VersionedTable, ranges: l
 
 def _stored_copy(st, table: str, date_col: str) -> VersionedTable:
     out = VersionedTable(st.spark, scratch_path(st.spark, f"stored-{table}"), date_col)
-    out.create(st[table])
+    out.create(st[table], clustered=True)          # star facts lie in files of few dates
     return out
 
 
