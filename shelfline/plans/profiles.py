@@ -29,32 +29,44 @@ WIDTH_DAYS = 30
 
 
 def _number(f: T.StructField) -> Column | None:
-    """Numbers and dates as decimals that compare as the column does; None for text."""
+    """Numbers, and dates as days, that compare as the column does; None for text."""
     if isinstance(f.dataType, T.DateType):
-        return F.unix_date(f.name).cast("decimal(20,2)")
-    return F.col(f.name).cast("decimal(20,2)") if isinstance(f.dataType, T.NumericType) else None
+        return F.unix_date(f.name)
+    if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+        return F.col(f.name).cast("decimal(20,2)")
+    return F.col(f.name) if isinstance(f.dataType, T.NumericType) else None
+
+
+def _wide(f: T.StructField) -> bool:
+    """Numbers whose hundredths may not fit a long: their distinct values are sketched as text."""
+    return isinstance(f.dataType, (T.FloatType, T.DoubleType)) or (
+        isinstance(f.dataType, T.DecimalType) and (f.dataType.precision > 16 or f.dataType.scale > 2))
 
 
 def column_sketches(rows: DataFrame, bucket: Column | None = None) -> DataFrame:
     """One row for each (``bucket``, ``column_name``) of a table: mergeable statistics."""
     bucket = F.lit(NO_BUCKET) if bucket is None else F.coalesce(bucket, F.lit(NO_BUCKET))
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    parts = []
+    aggs, cols, parts = [F.count(F.lit(1)).alias("rows")], [], []
     for i, f in enumerate(rows.schema):
-        n, text = _number(f), F.col(f.name).cast("string")
-        nothing = F.lit(None)
-        aggs += [F.count(f.name).alias(f"n{i}"), F.hll_sketch_agg(text, F.lit(HLL_BITS)).alias(f"h{i}")]
+        n, nothing = _number(f), F.lit(None)
+        # what the aggregates read is computed once a row, ahead of them; only the least and largest value become decimals
+        cols.append((F.col(f.name).cast("string") if n is None else n).alias(f"v{i}"))
+        v = f"v{i}"
+        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}")]
         if n is not None:
-            aggs += [F.min(n).alias(f"a{i}"), F.max(n).alias(f"z{i}"), F.kll_sketch_agg_double(n.cast("double"), F.lit(KLL_K)).alias(f"k{i}")]
+            whole = n.cast("long") if isinstance(f.dataType, (T.IntegralType, T.DateType)) else (n * 100).cast("long")
+            cols += [n.cast("double").alias(f"d{i}"), (F.col(f.name).cast("string") if _wide(f) else whole).alias(f"t{i}")]
+            aggs += [F.hll_sketch_agg(f"t{i}", F.lit(HLL_BITS)).alias(f"h{i}"),
+                     F.kll_sketch_agg_double(f"d{i}", F.lit(KLL_K)).alias(f"k{i}")]
         else:
-            aggs += [F.min(text).alias(f"a{i}"), F.max(text).alias(f"z{i}")]
+            aggs.append(F.hll_sketch_agg(v, F.lit(HLL_BITS)).alias(f"h{i}"))
         low, high = F.col(f"a{i}"), F.col(f"z{i}")
         parts.append(F.struct(
             F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("kind"), F.col(f"n{i}").alias("present"),
             (low if n is not None else nothing).cast("decimal(20,2)").alias("low"), (high if n is not None else nothing).cast("decimal(20,2)").alias("high"),
             (nothing if n is not None else low).cast("string").alias("low_text"), (nothing if n is not None else high).cast("string").alias("high_text"),
             F.col(f"h{i}").alias("distinct_sketch"), (F.col(f"k{i}") if n is not None else nothing).cast("binary").alias("quantile_sketch")))
-    wide = rows.withColumn("_bucket", bucket).groupBy("_bucket").agg(*aggs)
+    wide = rows.select(bucket.alias("_bucket"), *cols).groupBy("_bucket").agg(*aggs)
     return wide.select(F.col("_bucket").alias("bucket"), "rows", F.explode(F.array(*parts)).alias("p")).select("bucket", "rows", "p.*")
 
 
@@ -106,7 +118,9 @@ def row_checksum(rows: DataFrame) -> DataFrame:
     digest = rows.select(F.md5(text.cast("binary")).alias("d"))
 
     def part(start: int) -> Column:
-        return F.coalesce(F.sum(F.conv(F.substring("d", start, 8), 16, 10).cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)")
+        # halves of 16 bits: long sums of them hold for 2^47 rows, and no row needs a decimal
+        high, low = (F.coalesce(F.sum(F.conv(F.substring("d", at, 4), 16, 10).cast("long")), F.lit(0)) for at in (start, start + 4))
+        return (high.cast("decimal(20,0)") * F.lit(65536) + low).cast("decimal(38,0)")
     return digest.agg(F.count(F.lit(1)).alias("rows"), part(1).cast("string").alias("checksum_1"), part(9).cast("string").alias("checksum_2"))
 
 
