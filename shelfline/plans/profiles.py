@@ -115,11 +115,13 @@ def profile_columns(st):
 def row_checksum(rows: DataFrame) -> DataFrame:
     """Row count and two order-independent sums over the digests of whole rows."""
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in rows.columns])
-    digest = rows.select(F.md5(text.cast("binary")).alias("d"))
+    digest = rows.select(F.md5(text.cast("binary")).alias("d")).select(
+        *[F.conv(F.substring("d", at, 8), 16, 10).cast("long").alias(f"p{at}") for at in (1, 9)])
 
     def part(start: int) -> Column:
         # halves of 16 bits: long sums of them hold for 2^47 rows, and no row needs a decimal
-        high, low = (F.coalesce(F.sum(F.conv(F.substring("d", at, 4), 16, 10).cast("long")), F.lit(0)) for at in (start, start + 4))
+        x = F.col(f"p{start}")
+        high, low = (F.coalesce(F.sum(h), F.lit(0)) for h in (F.shiftright(x, 16), x.bitwiseAND(F.lit(65535))))
         return (high.cast("decimal(20,0)") * F.lit(65536) + low).cast("decimal(38,0)")
     return digest.agg(F.count(F.lit(1)).alias("rows"), part(1).cast("string").alias("checksum_1"), part(9).cast("string").alias("checksum_2"))
 
