@@ -1,11 +1,12 @@
 """What a job writes, shuffles and computes a row stays small when its tables grow."""
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
 from shelfline.plans.profiles import column_sketches, row_checksum
-from shelfline.plans.star import StarBuilder, load_star
+from shelfline.plans.star import FACTS, StarBuilder, load_star
 from shelfline.sources.versions import VersionedTable
 from tests.conftest import SF_SMALL
 
@@ -37,6 +38,25 @@ def test_facts_are_dealt_before_they_are_priced(spark):
         assert sorted(map(str, b.table(name).collect())) == sorted(map(str, StarBuilder(spark, SF_SMALL).table(name).collect()))
 
 
+def test_the_jvm_compiles_what_writes_a_fact(spark):
+    """HotSpot interprets a method of over 8,000 bytes of code, however often it runs."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        b = StarBuilder(spark, SF_SMALL, tasks=4)
+        for name in FACTS:
+            text = spark._jvm.PythonSQLUtils.explainString(b.table(name)._jdf.queryExecution(), "codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+            assert sizes and max(sizes) < 8000, (name, sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_blocks_of_inventory_come_from_all_tasks(spark):
+    below = plan(StarBuilder(spark, SF_SMALL, tasks=4).inventory()).split("rangepartitioning(")[1]
+    assert "hashpartitioning(pk" in below and below.index("explode") < below.index("hashpartitioning(pk")
+
+
 def test_inventory_shuffles_blocks_of_weeks(spark):
     dealt, whole = StarBuilder(spark, SF_SMALL, tasks=4).inventory(), StarBuilder(spark, SF_SMALL).inventory()
     below = plan(dealt).split("rangepartitioning(")[1]
