@@ -51,3 +51,16 @@ def grouping_levels(df: DataFrame, keys: list[str], levels: list[list[str]],
         *aggs, F.grouping_id().alias("_gid"), F.count("_real").alias("_n_real"))
     full = (1 << len(keys)) - 1
     return r.filter((F.col("_n_real") > 0) | (F.col("_gid") == full)).drop("_gid", "_n_real")
+
+
+def block_of(key: str) -> Column:
+    """The block of 64 neighbouring values of an integer key that a value is in; null for a null."""
+    return F.shiftright(F.col(key).cast("long"), 6)
+
+
+def bits_of(key: str) -> Column:
+    """Aggregate over rows of one :func:`block_of`: a bit for every value of the key; null without any.
+
+    ``bit_count`` of it is an exact distinct count, with a group a block in place of a group a value."""
+    place = F.col(key).bitwiseAND(F.lit(63)).cast("int")
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place))

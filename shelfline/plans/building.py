@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.functions.grouping import bits_of, block_of
 from shelfline.functions.money import avg_exact, idiv, idiv_col
 from shelfline.plans.catalog.common import demographics
 from shelfline.plans.registry import raw_query, star_query
@@ -152,15 +153,26 @@ PK = {"date_dim": ["d_date_sk"], "time_dim": ["t_time_sk"], "item": ["i_item_sk"
       "inventory": ["inv_date_sk", "inv_item_sk", "inv_warehouse_sk"]}
 
 
+# A snapshot holds nearly every item of its day and warehouse: its key is one bit of a block of items.
+PACKED = {"inventory": "inv_item_sk"}
+
+
+def key_counts(df: DataFrame, keys: list[str], packed: str | None = None) -> DataFrame:
+    """One row: rows, and surplus rows of keys that come more than once. A null in a key is a value.
+
+    ``packed`` names an integer key whose values lie close together beside equal other
+    keys: groups are blocks of 64 of them, not single keys. The counts are the same."""
+    by = [block_of(k).alias(k) if k == packed else F.col(k) for k in keys]
+    g = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *([bits_of(packed).alias("bits")] if packed else []))
+    kinds = F.coalesce(F.bit_count("bits"), F.lit(1)) if packed else F.lit(1)       # no bits: the null key
+    return g.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - kinds).alias("duplicate_rows"))
+
+
 @star_query("dq_pk")
 def dq_pk(st):
     """Primary-key uniqueness: rows and surplus rows of duplicated keys per table."""
-    out = []
-    for t, keys in PK.items():
-        g = st[t].groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        out.append(g.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("duplicate_rows"))
-                   .select(F.lit(t).alias("table_name"), "rows", "duplicate_rows"))
-    return _union(out)
+    return _union([key_counts(st[t], keys, PACKED.get(t)).select(F.lit(t).alias("table_name"), "rows", "duplicate_rows")
+                   for t, keys in PK.items()])
 
 
 # The declared references: column stems of each child table; a stem's ending names the parent.

@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from shelfline.plans.building import PK, key_counts
 from shelfline.plans.profiles import column_sketches, row_checksum
 from shelfline.plans.star import FACTS, StarBuilder, load_star
 from shelfline.sources.versions import VersionedTable
@@ -57,6 +58,20 @@ def test_blocks_of_inventory_come_from_all_tasks(spark):
     assert "hashpartitioning(pk" in below and below.index("explode") < below.index("hashpartitioning(pk")
 
 
+INVENTORY = [(d, i, w, q) for d in (10, 17, 24) for w in (1, 2) for i, q in ((1, 5), (63, 6), (64, None), (-7, 8), (1 << 40, 9))] + [
+    (10, 1, 1, 4), (10, 1, 1, 5), (10, None, 1, 3), (10, None, 1, 2), (None, 1, 1, 1), (10, 64, None, 7), (10, 64, None, 7)]
+
+
+def test_keys_are_counted_by_blocks(spark):
+    rows = spark.createDataFrame(INVENTORY, "inv_date_sk int, inv_item_sk long, inv_warehouse_sk int, inv_quantity_on_hand int").coalesce(1)
+    keys = PK["inventory"]
+    whole = (len(INVENTORY), len(INVENTORY) - len({r[:3] for r in INVENTORY}))
+    assert tuple(key_counts(rows, keys, "inv_item_sk").first()) == tuple(key_counts(rows, keys).first()) == whole
+    assert tuple(key_counts(rows.limit(0), keys, "inv_item_sk").first()) == tuple(key_counts(rows.limit(0), keys).first())
+    text = plan(key_counts(rows, keys, "inv_item_sk"))
+    assert "shiftright" in text
+
+
 def test_inventory_shuffles_blocks_of_weeks(spark):
     dealt, whole = StarBuilder(spark, SF_SMALL, tasks=4).inventory(), StarBuilder(spark, SF_SMALL).inventory()
     below = plan(dealt).split("rangepartitioning(")[1]
