@@ -135,10 +135,16 @@ def returns_from_sales(st):
 def inventory_snapshot(st):
     """Weekly inventory snapshots per warehouse and year."""
     j = st.inventory.join(B(st.date_dim.select("d_date_sk", "d_year", "d_dow")), F.col("inv_date_sk") == F.col("d_date_sk"))
-    return j.groupBy("inv_warehouse_sk", "d_year").agg(
-        F.countDistinct("inv_date_sk").alias("snapshots"), F.countDistinct("inv_item_sk").alias("items"),
-        avg_exact("inv_quantity_on_hand").alias("avg_on_hand"), F.min("d_dow").alias("min_dow"),
-        F.max("d_dow").alias("max_dow"))
+    keys = ["inv_warehouse_sk", "d_year"]
+    days = j.groupBy(*keys, "inv_date_sk").agg(F.sum("inv_quantity_on_hand").alias("on_hand"), F.count("inv_quantity_on_hand").alias("counted"),
+                                               F.min("d_dow").alias("least"), F.max("d_dow").alias("most"))
+    items = j.groupBy(*keys, block_of("inv_item_sk").alias("block")).agg(bits_of("inv_item_sk").alias("bits"))
+    both = (days.select(*keys, F.lit(1).alias("snapshots"), F.lit(0).alias("items"), "on_hand", "counted", "least", "most")
+            .unionByName(items.select(*keys, F.lit(0).alias("snapshots"), F.bit_count("bits").alias("items")), allowMissingColumns=True))
+    return both.groupBy(*keys).agg(
+        F.coalesce(F.sum("snapshots"), F.lit(0)).alias("snapshots"), F.coalesce(F.sum("items"), F.lit(0)).alias("items"),
+        (F.sum("on_hand").cast("double") / F.sum("counted")).alias("avg_on_hand"), F.min("least").alias("min_dow"),
+        F.max("most").alias("max_dow"))
 
 
 PK = {"date_dim": ["d_date_sk"], "time_dim": ["t_time_sk"], "item": ["i_item_sk"], "store": ["s_store_sk"],

@@ -2,10 +2,12 @@
 
 import os
 import re
+from datetime import date
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
-from shelfline.plans.building import PK, key_counts
+from shelfline.plans.building import PK, inventory_snapshot, key_counts
 from shelfline.plans.profiles import column_sketches, row_checksum
 from shelfline.plans.star import FACTS, StarBuilder, load_star
 from shelfline.sources.versions import VersionedTable
@@ -72,6 +74,22 @@ def test_keys_are_counted_by_blocks(spark):
     assert "shiftright" in text
 
 
+def test_a_snapshot_is_not_expanded(spark):
+    rows = spark.createDataFrame(INVENTORY, "inv_date_sk int, inv_item_sk long, inv_warehouse_sk int, inv_quantity_on_hand int")
+    days = spark.createDataFrame([(10, date(1998, 1, 1), 1998, 4), (17, date(1998, 1, 8), 1998, 3), (24, date(1999, 1, 1), 1999, 5)],
+                                 "d_date_sk int, d_date date, d_year int, d_dow int")
+    got = inventory_snapshot(SimpleNamespace(inventory=rows, date_dim=days))
+    assert "Expand" not in plan(got)
+    want = []
+    year, dow = {10: 1998, 17: 1998, 24: 1999}, {10: 4, 17: 3, 24: 5}
+    for w, y in {(r[2], year[r[0]]) for r in INVENTORY if r[0]}:
+        of = [r for r in INVENTORY if r[2] == w and year.get(r[0]) == y]
+        on_hand = [r[3] for r in of if r[3] is not None]
+        want.append((w, y, len({r[0] for r in of}), len({r[1] for r in of} - {None}), sum(on_hand) / len(on_hand),
+                     min(dow[r[0]] for r in of), max(dow[r[0]] for r in of)))
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.collect())
+
+
 def test_inventory_shuffles_blocks_of_weeks(spark):
     dealt, whole = StarBuilder(spark, SF_SMALL, tasks=4).inventory(), StarBuilder(spark, SF_SMALL).inventory()
     below = plan(dealt).split("rangepartitioning(")[1]
