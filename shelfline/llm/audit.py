@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from shelfline.llm.common import byte_slices, range_hashes, stored, tidy, value_bytes
 
@@ -43,11 +44,37 @@ FILTERS = "ABCDE"
 MIN_WORDS, MIN_DISTINCT, MAX_UPPER = 200, 50, 2      # words; percent of the words; percent of the code points
 SYMBOLS = b"#$%&*|"
 
-SHARD_TYPE = ("shard long, ids_of array<long>, parts array<string>, digests array<binary>, flags array<int>, indptr array<int>, "
-              "indices array<int>, counts array<int>, words array<string>")
+DOCUMENT_FIELDS = "shard long, ids_of array<long>, parts array<string>, digests array<binary>, flags array<int>, "
+SHARD_TYPE = DOCUMENT_FIELDS + "indptr array<int>, indices array<int>, counts array<int>, words array<string>"
+PACKED_TYPE = DOCUMENT_FIELDS + "indptr binary, indices binary, counts binary, words string"
 ROW_TYPE = "id long, part string, digest binary, flags int, n_words long, n_distinct long"
 
 
+# ---------------------------------------------------------------- packed cells
+
+def packed_ints(values: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """The bytes of ``values`` from each offset of ``cut`` to the next: one binary value for each list."""
+    at = pa.array(cut * values.itemsize, pa.int32()).buffers()[1]
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, at, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def packed_words(lists: pa.ListArray) -> pa.Array:
+    """The words of each list as one text, a line for each; no word holds a line break."""
+    return pc.binary_join(lists, "\n")
+
+
+def ints_of(cells: pa.Array, kind: type) -> np.ndarray:
+    """All numbers of an array of lists, or of packed lists."""
+    if pa.types.is_list(cells.type):
+        return cells.flatten().to_numpy()
+    return value_bytes(cells)[0].view(kind)
+
+
+def words_of(cells: pa.Array) -> pa.ListArray:
+    """The lists of words of an array of lists, or of packed lists; none may be empty."""
+    return cells if pa.types.is_list(cells.type) else pc.split_pattern(cells, "\n")
+
+
 # ---------------------------------------------------------------- shards
 
 def term_block(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -70,7 +97,9 @@ def character_flags(body: bytes) -> int:
     return (100 * upper > MAX_UPPER * points) << 2 | any(s in body for s in SYMBOLS) << 3
 
 
-def _shards(docs: DataFrame) -> DataFrame:
+def _shards(docs: DataFrame, packed: bool = False) -> DataFrame:
+    """The CSR shards of ``docs``; ``packed``: numbers and words of a shard are one value each, not arrays that
+    Spark copies number by number at every step."""
     @tidy
     def run(batches):
         base, n = TaskContext.get().partitionId() << 32, 0
@@ -79,12 +108,18 @@ def _shards(docs: DataFrame) -> DataFrame:
             indptr, indices, counts, words = term_block(body)
             flags = [character_flags(v.as_buffer().to_pybytes()) for v in body.cast(pa.binary() if body.type == pa.string()
                                                                                     else pa.large_binary())]
-            row = [[base + n], [ids], [parts], [digests], [flags], [indptr.astype(np.int32)], [indices.astype(np.int32)],
-                   [counts.astype(np.int32)], [words]]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, ARROW_SHARD.types)], schema=ARROW_SHARD)
+            row = [[base + n], [ids], [parts], [digests], [flags]]
+            row = [pa.array(v, t) for v, t in zip(row, ARROW_SHARD.types)]
+            block = [v.astype(np.int32) for v in (indptr, indices, counts)]
+            if packed:
+                row += [packed_ints(v, np.array([0, len(v)])) for v in block]
+                row.append(packed_words(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)))
+            else:
+                row += [pa.array([v], pa.list_(pa.int32())) for v in block] + [pa.array([words], pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(row, names=ARROW_SHARD.names)
             n += 1
 
-    return docs.mapInArrow(run, SHARD_TYPE)
+    return docs.mapInArrow(run, PACKED_TYPE if packed else SHARD_TYPE)
 
 
 ARROW_SHARD = pa.schema([("shard", pa.int64()), ("ids_of", pa.list_(pa.int64())), ("parts", pa.list_(pa.string())),
@@ -95,29 +130,30 @@ ARROW_SHARD = pa.schema([("shard", pa.int64()), ("ids_of", pa.list_(pa.int64()))
 # ---------------------------------------------------------------- dictionary
 
 def _by_bucket(shards: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, shard, pos, words): the words of each shard, one row for each bucket that it has words of."""
+    """(bucket, shard, pos, words), packed: the words of each shard, one row for each bucket that it has words of."""
     @tidy
     def run(batches):
         for b in batches:
-            for shard, words in zip(b.column(0), b.column(1)):
-                words = words.values
-                if not len(words):
-                    continue
+            b = b.filter(pc.greater(size(b.column(1)), 0))       # a shard of empty texts has no words
+            for k, shard in enumerate(b.column(0)):
+                words = words_of(b.column(1).slice(k, 1)).flatten()
                 data, off = value_bytes(words)
                 bucket = (range_hashes(data, off[:-1], off[1:]) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 edge = np.concatenate(([0], np.flatnonzero(np.diff(bucket[order])) + 1))
-                cut = pa.array(np.concatenate((edge, [len(order)])), pa.int32())
+                cut = np.concatenate((edge, [len(order)]))
+                lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words.take(pa.array(order)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket[order[edge]]), pa.array(np.full(len(edge), shard.as_py())),
-                     pa.ListArray.from_arrays(cut, pa.array(order.astype(np.int32))), pa.ListArray.from_arrays(cut, words.take(order))],
+                     packed_ints(order.astype(np.int32), cut), packed_words(lists)],
                     names=["bucket", "shard", "pos", "words"])
 
-    return shards.select("shard", "words").mapInArrow(run, "bucket long, shard long, pos array<int>, words array<string>")
+    size = pc.list_value_length if isinstance(shards.schema["words"].dataType, ArrayType) else pc.binary_length
+    return shards.select("shard", "words").mapInArrow(run, "bucket long, shard long, pos binary, words string")
 
 
-def word_ids(shards: DataFrame, buckets: int) -> DataFrame:
-    """(shard, pos, ids): the global ids of a shard's words, by bucket.
+def word_ids(shards: DataFrame, buckets: int, packed: bool = False) -> DataFrame:
+    """(shard, pos, ids): the global ids of a shard's words, by bucket; ``packed``: as bytes (int, long).
 
     A word belongs to the bucket of its hash, and a bucket to one task, which
     numbers its words as they come: the id is (bucket, place). Every shard has
@@ -127,16 +163,22 @@ def word_ids(shards: DataFrame, buckets: int) -> DataFrame:
     def run(batches):
         place: dict[str, int] = {}
         for b in batches:
-            words = b.column(3)
-            n = np.diff(words.offsets.to_numpy())
-            own = np.fromiter((place.setdefault(w, len(place)) for w in words.flatten().to_pylist()), np.int64, int(n.sum()))
+            words = words_of(b.column(3))
+            n = pc.list_value_length(words).to_numpy()
+            coded = words.flatten().dictionary_encode()          # Python meets a word once a batch, not once a shard
+            seen = coded.dictionary.to_pylist()
+            own = np.fromiter((place.setdefault(w, len(place)) for w in seen), np.int64, len(seen))[coded.indices.to_numpy()]
             ids = np.repeat(b.column(0).to_numpy(), n) << 32 | own
-            cut = pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.ListArray.from_arrays(cut, pa.array(ids))],
-                                             names=["shard", "pos", "ids"])
+            cut, pos = np.concatenate(([0], np.cumsum(n))), b.column(2)
+            if packed:
+                ids = packed_ints(ids, cut)
+            else:
+                cut = pa.array(cut, pa.int32())
+                pos, ids = (pa.ListArray.from_arrays(cut, pa.array(v)) for v in (ints_of(pos, np.int32), ids))
+            yield pa.RecordBatch.from_arrays([b.column(1), pos, ids], names=["shard", "pos", "ids"])
 
     return (_by_bucket(shards, buckets).repartition(buckets, "bucket")
-            .mapInArrow(run, "shard long, pos array<int>, ids array<long>"))
+            .mapInArrow(run, "shard long, pos binary, ids binary" if packed else "shard long, pos array<int>, ids array<long>"))
 
 
 # ---------------------------------------------------------------- matrix
@@ -145,7 +187,9 @@ def encode_block(indptr: np.ndarray, indices: np.ndarray, counts: np.ndarray, co
     """Global (indices, counts) of a block; a row's columns ascend."""
     column = columns[indices]
     row = np.repeat(np.arange(len(indptr) - 1), np.diff(indptr))
-    order = np.lexsort((column, row))
+    place = np.empty(len(columns), np.int64)                      # of a word among the shard's, by global id
+    place[np.argsort(columns)] = np.arange(len(columns))
+    order = np.argsort(row << 32 | place[indices])
     return column[order], counts[order]
 
 
@@ -155,14 +199,14 @@ def row_sums(indptr: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def document_terms(docs: DataFrame, buckets: int | None = None) -> DataFrame:
-    """The CSR shards of ``docs(id, part, digest, body)`` with the global ids of their columns.
+    """The packed CSR shards of ``docs(id, part, digest, body)`` with the global ids of their columns.
 
     ``buckets`` of the dictionary: as many as the session's shuffles have tasks.
     """
-    shards = stored(_shards(docs), "audit-shards")
+    shards = stored(_shards(docs, packed=True), "audit-shards")
     buckets = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # an id depends on the order of rows, so the numbering is written before it is used
-    ids = stored(word_ids(shards, buckets), "audit-ids")
+    ids = stored(word_ids(shards, buckets, packed=True), "audit-ids")
     columns = ids.groupBy("shard").agg(F.collect_list("pos").alias("pos"), F.collect_list("ids").alias("ids"))
     # a shard of empty texts has no words and so no columns
     return shards.drop("words").join(columns, "shard", "left")
@@ -172,12 +216,12 @@ def blocks(batch: pa.RecordBatch):
     """Of each shard of the batch: (fields by name, indptr, global indices, counts)."""
     for k in range(batch.num_rows):
         row = {n: batch.column(i)[k] for i, n in enumerate(batch.schema.names)}
-        indptr, indices, counts = (row[n].values.to_numpy() for n in ("indptr", "indices", "counts"))
+        indptr, indices, counts = (ints_of(batch.column(n).slice(k, 1), np.int32) for n in ("indptr", "indices", "counts"))
         columns = np.zeros(0, np.int64)
         if row["pos"].is_valid:
-            pos = row["pos"].values.flatten().to_numpy()
+            pos = ints_of(row["pos"].values, np.int32)
             columns = np.empty(len(pos), np.int64)
-            columns[pos] = row["ids"].values.flatten().to_numpy()
+            columns[pos] = ints_of(row["ids"].values, np.int64)
         yield row, indptr, *encode_block(indptr, indices, counts, columns)
 
 

@@ -110,3 +110,38 @@ def test_hashes_do_not_depend_on_the_place():
     data = np.frombuffer(b"abcabc bc", np.uint8)
     h = range_hashes(data, np.array([0, 3, 1, 7, 0, 5]), np.array([3, 6, 3, 9, 0, 5])).tolist()
     assert h[0] == h[1] and h[2] == h[3] and h[4] == h[5] and len(set(h)) == 3
+
+
+def test_numbers_and_words_of_a_shard_are_one_value_each(spark, monkeypatch):
+    """The matrix crosses Spark as bytes, and holds the words of the documents."""
+    monkeypatch.setattr(A, "SHARD_BYTES", 60)
+    texts = ["b a b", "", "  c\ta  é", "a" * 200, "é f a \x0b b", None, "b b b"]
+    docs = spark.createDataFrame([(k, "p", bytes([k]), t or "") for k, t in enumerate(texts)], "id long, part string, digest binary, body string")
+    matrix = A.document_terms(docs.coalesce(1), 5)
+    kinds = {f.name: f.dataType.simpleString() for f in matrix.schema}
+    assert {kinds[n] for n in ("indptr", "indices", "counts")} == {"binary"} and kinds["pos"] == kinds["ids"] == "array<binary>"
+    shards = {r.shard: r for r in A._shards(docs.coalesce(1)).collect()}
+    word, seen = {}, {}
+    for b in matrix.toArrow().to_batches():
+        for row, indptr, column, counts in A.blocks(b):
+            own = shards[row["shard"].as_py()]
+            assert indptr.tolist() == own.indptr and len(column) == len(own.indices)
+            for d, a, z in zip(row["ids_of"].as_py(), indptr, indptr[1:]):
+                assert (np.diff(column[a:z]) > 0).all()
+                seen[d] = dict(zip(column[a:z].tolist(), counts[a:z].tolist()))
+    for d, t in enumerate(texts):
+        assert sorted(seen[d].values()) == sorted(Counter((t or "").split()).values())
+    for a, b in ((0, 6), (0, 4), (2, 4)):                       # equal words have equal ids in any shard
+        common = set(texts[a].split()) & set(texts[b].split())
+        assert common and len(seen[a].keys() & seen[b].keys()) == len(common)
+    assert len(shards) > 2 and len(set().union(*seen.values())) == len({w for t in texts if t for w in t.split()})
+
+
+def test_packed_lists_are_the_lists():
+    values, cut = np.arange(6, dtype=np.int64) << 40, np.array([0, 2, 2, 6])
+    cells = A.packed_ints(values, cut)
+    assert A.ints_of(cells, np.int64).tolist() == values.tolist()
+    assert [A.ints_of(cells.slice(k, 1), np.int64).tolist() for k in range(3)] == [values[a:b].tolist() for a, b in zip(cut, cut[1:])]
+    assert A.ints_of(pa.array([[1, 2], [], [3]]), np.int64).tolist() == [1, 2, 3]
+    words = pa.array([["a", "é"], ["b"]])
+    assert A.words_of(A.packed_words(words)).to_pylist() == A.words_of(words).to_pylist() == words.to_pylist()
