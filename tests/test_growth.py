@@ -60,6 +60,36 @@ def test_blocks_of_inventory_come_from_all_tasks(spark):
     assert "hashpartitioning(pk" in below and below.index("explode") < below.index("hashpartitioning(pk")
 
 
+def test_snapshots_that_no_line_outsells_are_not_shuffled(spark):
+    """q72: the year's inventory meets the largest quantity of the lines left before any exchange of it."""
+    from shelfline.plans.catalog.returns_chain import q72
+    modes = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = q72(load_star(spark, SF_SMALL))
+        text = plan(df)
+    finally:
+        for k, v in modes.items():
+            spark.conf.set(k, v)
+    dealt = next(p for p in text.split("hashpartitioning(inv_item_sk")[1:])          # what lies below that exchange
+    assert "inv_quantity_on_hand" in dealt.split("most_sold")[0] and "most_sold" in dealt.split("inventory-")[0]
+
+
+def test_q72_without_lines_or_quantities(spark):
+    """No largest quantity (no lines, or null ones only): no rows, as of the join."""
+    from shelfline.plans.catalog.returns_chain import q72
+    st = load_star(spark, SF_SMALL)
+    tables = {t: st[t] for t in ("date_dim", "household_demographics", "customer_demographics", "inventory", "warehouse", "item",
+                                 "promotion", "catalog_returns")}
+    null = F.lit(None).cast("int")
+    for sales in (st.catalog_sales.limit(0), st.catalog_sales.withColumn("cs_quantity", null)):
+        assert q72(SimpleNamespace(**tables, catalog_sales=sales)).count() == 0
+    # null quantities beside others, and quantities at the bound, change no row of the others
+    mixed = st.catalog_sales.unionByName(st.catalog_sales.withColumn("cs_quantity", null))
+    assert q72(SimpleNamespace(**tables, catalog_sales=mixed)).collect() == q72(st).collect()
+
+
 INVENTORY = [(d, i, w, q) for d in (10, 17, 24) for w in (1, 2) for i, q in ((1, 5), (63, 6), (64, None), (-7, 8), (1 << 40, 9))] + [
     (10, 1, 1, 4), (10, 1, 1, 5), (10, None, 1, 3), (10, None, 1, 2), (None, 1, 1, 1), (10, 64, None, 7), (10, 64, None, 7)]
 
