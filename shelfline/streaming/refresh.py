@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from shelfline.functions.money import rdiv, to_money
 from shelfline.plans.registry import star_query
 from shelfline.plans.star import FRESH_PURCHASE
+from shelfline.session import SHUFFLES_END, held
 from shelfline.sources.io import scratch_path
 from shelfline.sources.versions import VersionedTable
 
@@ -252,18 +253,24 @@ def _stored_copy(st, table: str, date_col: str) -> VersionedTable:
 @star_query("refresh_delete_stored")
 def refresh_delete_stored(st, ranges=((2451180, 2451181), (2451300, 2451301), (2451420, 2451421)),
                           inventory_ranges=((2451179, 2451185), (2451298, 2451304), (2451417, 2451423))):
-    """The deletes of every channel and of inventory, written; the tables as a reader finds them after."""
+    """The deletes of every channel and of inventory, written; the tables as a reader finds them after.
+
+    The stored tables are this run's own: what a delete has replaced is removed after it."""
     out = []
     for channel, p, r, number, amount in [("store", "ss", "sr", "ticket_number", "return_amt"),
                                           ("catalog", "cs", "cr", "order_number", "return_amount"),
                                           ("web", "ws", "wr", "order_number", "return_amt")]:
         sales = _stored_copy(st, f"{channel}_sales", f"{p}_sold_date_sk")
         returns = _stored_copy(st, f"{channel}_returns", f"{r}_returned_date_sk")
-        delete_from_stored(sales, returns, list(ranges), (f"{p}_item_sk", f"{p}_{number}"), (f"{r}_item_sk", f"{r}_{number}"))
+        with held(st.spark, SHUFFLES_END):
+            delete_from_stored(sales, returns, list(ranges), (f"{p}_item_sk", f"{p}_{number}"), (f"{r}_item_sk", f"{r}_{number}"))
+        sales.vacuum()
+        returns.vacuum()
         out += [(f"{channel}_sales", sales, f"{p}_net_paid"), (f"{channel}_returns", returns, f"{r}_{amount}")]
     inventory = _stored_copy(st, "inventory", "inv_date_sk")
     hit = inventory.read().filter(_in_ranges("inv_date_sk", inventory_ranges)).select(inventory.bucket().alias("b")).distinct()
     inventory.rewrite({x.b for x in hit.collect()}, lambda rows: rows.filter(~_in_ranges("inv_date_sk", inventory_ranges)))
+    inventory.vacuum()
     out.append(("inventory", inventory, "inv_quantity_on_hand"))
     return functools.reduce(DataFrame.unionByName, [
         t.read().agg(F.count(F.lit(1)).alias("rows"), F.sum(m).cast("double").alias("total"))
