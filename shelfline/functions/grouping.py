@@ -62,5 +62,13 @@ def bits_of(key: str) -> Column:
     """Aggregate over rows of one :func:`block_of`: a bit for every value of the key; null without any.
 
     ``bit_count`` of it is an exact distinct count, with a group a block in place of a group a value."""
-    place = F.col(key).bitwiseAND(F.lit(63)).cast("int")
-    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _place(key)))
+
+
+def has_bit(bits: str, key: str) -> Column:
+    """Whether the :func:`bits_of` a block hold a value of the key that is in this block; false for a null of either."""
+    return F.coalesce(F.getbit(F.col(bits), _place(key)) == 1, F.lit(False))
+
+
+def _place(key: str) -> Column:
+    return F.col(key).bitwiseAND(F.lit(63)).cast("int")

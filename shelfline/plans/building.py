@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.functions.grouping import bits_of, block_of
+from shelfline.functions.grouping import bits_of, block_of, has_bit
 from shelfline.functions.money import avg_exact, idiv, idiv_col
 from shelfline.plans.catalog.common import demographics
 from shelfline.plans.registry import raw_query, star_query
@@ -222,30 +222,67 @@ RETURN_OF = [("store_returns", ("sr_item_sk", "sr_ticket_number"), "store_sales"
 # bounded and small enough to send to every task for each of several references
 _BOUNDED_DIMS = {"date_dim", "time_dim", "store", "household_demographics", "income_band", "promotion", "warehouse",
                  "ship_mode", "reason", "call_center", "catalog_page", "web_site", "web_page"}
+# A parent's keys go to every task as bits of blocks if there are so many blocks at most (16 bytes each, 16 million
+# neighbouring keys); else the child's keys are counted and shuffled.
+_SENT_BLOCKS = 1 << 18
+# References that one pass of a child checks: the JVM compiles no method of over 8,000 bytes of code.
+_REFS_A_PASS = 6
+
+
+def key_blocks(parent: DataFrame, key: str) -> DataFrame:
+    """The keys of a parent as bits of blocks of 64."""
+    return parent.filter(F.col(key).isNotNull()).groupBy(block_of(key).alias("block")).agg(bits_of(key).alias("bits"))
+
+
+def orphans_by_pass(child: DataFrame, refs: list[tuple[str, DataFrame, str | None]], prefix: str) -> DataFrame:
+    """Orphans of several references in one pass of the child, no row of which is shuffled.
+
+    A reference is a column with its parent's key and the key's column, or with :func:`key_blocks` and None."""
+    child, flags = child.select(*sorted({c for c, _, _ in refs})), []
+    for i, (col, parent, key) in enumerate(refs):
+        if key is None:
+            sent = parent.select(F.col("block").alias(f"_p{i}"), F.col("bits").alias(f"_f{i}"))
+            child, known = child.join(B(sent), block_of(col) == F.col(f"_p{i}"), "left"), has_bit(f"_f{i}", col)
+        else:
+            sent = parent.select(F.col(key).alias(f"_p{i}")).distinct().withColumn(f"_f{i}", F.lit(1))
+            child, known = child.join(B(sent), F.col(col) == F.col(f"_p{i}"), "left"), F.col(f"_f{i}").isNotNull()
+        flags.append(F.sum(F.when(F.col(col).isNotNull() & ~known, 1).otherwise(0)).alias(f"{prefix}.{col}"))
+    return child.agg(*flags).unpivot([], [f"`{prefix}.{c}`" for c, _, _ in refs], "fk_name", "orphans")
+
+
+def orphans_by_count(child: DataFrame, col: str, parent: DataFrame, key: str, prefix: str) -> DataFrame:
+    """Orphans of one reference: the child's keys are counted before they are shuffled to those of the parent."""
+    keys = child.groupBy(F.col(col).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    known = parent.select(F.col(key).alias("_p")).distinct().withColumn("_f", F.lit(1))
+    lost = F.when(F.col("_k").isNotNull() & F.col("_f").isNull(), F.col("_n")).otherwise(0)
+    return (keys.join(known, F.col("_k") == F.col("_p"), "left").agg(F.sum(lost).alias("orphans"))
+            .select(F.lit(f"{prefix}.{col}").alias("fk_name"), "orphans"))
 
 
 @star_query("dq_fk")
 def dq_fk(st):
     """Foreign-key orphans (non-NULL references without a parent).
 
-    One pass per child table: each parent key set is left-joined as a
-    presence flag (broadcast when the parent is bounded by construction,
-    shuffled otherwise) and all orphan counts of the table come out of a
-    single aggregate, instead of one anti join -- one child scan -- per key."""
+    Few passes per child table: each parent key set is left-joined as a
+    presence flag and the orphan counts of several references come out of a
+    single aggregate, instead of one anti join -- one child scan -- per key. No
+    row of a child is shuffled: parents bounded by construction are sent whole,
+    the others as bits of blocks of their keys. If the keys of one lie in too
+    many blocks, its references are checked by counts of the child's keys."""
     out = []
+    blocks = {}
+    for _, _, dim, key in FK:
+        if dim not in _BOUNDED_DIMS and dim not in blocks:
+            found = key_blocks(st[dim], key)
+            blocks[dim] = found if found.count() <= _SENT_BLOCKS else None
     by_child: dict[str, list[tuple[str, str, str]]] = {}
     for t, col, dim, key in FK:
         by_child.setdefault(t, []).append((col, dim, key))
     for t, refs in by_child.items():
-        child = st[t].select(*sorted({c for c, _, _ in refs}))
-        flags = []
-        for i, (col, dim, key) in enumerate(refs):
-            parent = st[dim].select(F.col(key).alias(f"_p{i}")).distinct().withColumn(f"_f{i}", F.lit(1))
-            child = child.join(B(parent) if dim in _BOUNDED_DIMS else parent, F.col(col) == F.col(f"_p{i}"), "left")
-            flags.append(F.sum(F.when(F.col(col).isNotNull() & F.col(f"_f{i}").isNull(), 1).otherwise(0))
-                         .alias(f"{t}.{col}"))
-        one = child.agg(*flags)
-        out.append(one.unpivot([], [f"`{t}.{c}`" for c, _, _ in refs], "fk_name", "orphans"))
+        sent = [(c, st[d], k) if d in _BOUNDED_DIMS else (c, blocks[d], None) for c, d, k in refs
+                if d in _BOUNDED_DIMS or blocks[d] is not None]
+        out += [orphans_by_pass(st[t], sent[i:i + _REFS_A_PASS], t) for i in range(0, len(sent), _REFS_A_PASS)]
+        out += [orphans_by_count(st[t], c, st[d], k, t) for c, d, k in refs if d not in _BOUNDED_DIMS and blocks[d] is None]
     for t, cols, parent, keys in RETURN_OF:
         lost = st[t].join(st[parent].select(*keys), [F.col(c) == F.col(k) for c, k in zip(cols, keys)], "left_anti")
         out.append(lost.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(f"{t}.{cols[1]}").alias("fk_name"), "orphans"))

@@ -116,3 +116,64 @@ def test_settings_are_put_back(spark):
         assert spark.conf.get(key) == "false"
     finally:
         spark.conf.unset(key)
+
+
+KEYS = [5, 5, 6, 63, 64, 65, -1, -64, -65, 1 << 40, (1 << 40) + 1, None, None]
+
+
+@pytest.mark.parametrize("parent", [[5, 63, -1, 1 << 40, 5], [5, None, 64, -65], [None], [], KEYS])
+def test_orphans_by_pass_and_by_count(spark, parent):
+    from shelfline.plans.building import key_blocks, orphans_by_count, orphans_by_pass
+    child = spark.createDataFrame([(k, (n % 3) or None) for n, k in enumerate(KEYS)], "a long, b int")
+    keys, few = spark.createDataFrame([(k,) for k in parent], "k long"), spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    lost = sum(k is not None and k not in parent for k in KEYS)
+    want = {"c.a": lost, "c.b": sum(n % 3 == 2 for n in range(len(KEYS)))}
+    refs = [("a", key_blocks(keys, "k"), None), ("b", few, "k")]
+    assert dict(map(tuple, orphans_by_pass(child, refs, "c").collect())) == want
+    assert dict(map(tuple, orphans_by_count(child, "a", keys, "k", "c").collect())) == {"c.a": lost}
+    # an empty child has no count, in either form
+    none = child.limit(0)
+    assert [r.orphans for r in orphans_by_pass(none, refs, "c").collect()] == [None, None]
+    assert [r.orphans for r in orphans_by_count(none, "a", keys, "k", "c").collect()] == [None]
+
+
+@pytest.mark.parametrize("most", [1 << 18, 0])
+def test_no_row_is_shuffled_to_a_parent(spark, monkeypatch, most):
+    """dq_fk: a child's row, or its key, crosses no exchange on the way to a parent; if its blocks are too many, a count a key does."""
+    from shelfline.plans import building
+    monkeypatch.setattr(building, "_SENT_BLOCKS", most)
+    st = load_star(spark, SF_SMALL)
+    modes = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = building.dq_fk(st)
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in modes.items():
+            spark.conf.set(k, v)
+    for col in ("ss_customer_sk", "cs_ship_addr_sk", "ws_bill_cdemo_sk", "inv_item_sk"):
+        below = [x.split("\n")[1] for x in text.split(f"hashpartitioning({col}#")[1:]]
+        assert bool(below) == (most == 0) and all("partial_count(1)" in x for x in below), (col, below)
+    found = {r.fk_name: r.orphans for r in building.dq_fk(st).collect()}
+    assert len(found) == 106
+    for t, col, dim, key in building.FK:
+        if t in ("web_page", "promotion"):                   # some of these name items and customers beyond the small tables
+            child = st[t].filter(f"{col} is not null")
+            assert found[f"{t}.{col}"] == child.join(st[dim], child[col] == st[dim][key], "left_anti").count()
+    assert sum(found.values()) > 0
+
+
+def test_the_jvm_compiles_the_passes(spark):
+    import re
+
+    from shelfline.plans import building
+    st = load_star(spark, SF_SMALL)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = spark._jvm.PythonSQLUtils.explainString(building.dq_fk(st)._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000, max(sizes)
